@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 # Parts a hot key is split into when both sides are shuffled.
 SALTS = 32
+# A key is hot when it holds more than one part in this many of all rows.
+HOT_SHARE = 1000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -32,6 +34,30 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str, s
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_keys(sizes: DataFrame, on: Sequence[str], rows: str, share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than ``1/share`` of all rows. There are fewer than ``share`` of them."""
+    total = sizes.agg(F.sum(rows).alias("_total"))
+    return sizes.where(F.col(rows) * F.lit(share) > total.scalar()).select(*on)
+
+
+def skew_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str, spread: Sequence[str],
+              sizes: DataFrame, rows: str, salts: int = SALTS, share: int = HOT_SHARE) -> DataFrame:
+    """Equi-join that salts the hot keys only.
+
+    ``sizes`` has one row per key with its row count in ``big``. The list of hot keys is the only thing broadcast,
+    and its length is bounded by ``share`` whatever the data holds.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"cannot salt a {how} join")
+    hot = F.broadcast(hot_keys(sizes, on, rows, share).withColumn("_hot", F.lit(True)))
+    left = big.join(hot, list(on), "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0))
+    right = small.join(hot, list(on), "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                           .otherwise(F.array(F.lit(0)))))
+    return left.drop("_hot").join(right.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+
+
 def sized_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str, spread: Sequence[str] = (),
                max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast the lookup when a count shows that it is small, else shuffle both sides.

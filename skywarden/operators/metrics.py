@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skywarden.functions.text import ip_block
+from skywarden.operators.joins import skew_join
 
 # Fixed value: gaps below this count as too fast.
 GAP_LIMIT_MS = 5000
@@ -72,8 +73,8 @@ def gap_stats(df: DataFrame, keys: Sequence[str], threshold_ms: int = GAP_LIMIT_
     borders come from one summary row per slice. No step needs all the rows of a key in one task.
     """
     group = _keys(window, keys)
-    per_ms = (_with_window(df, window, slide)
-              .withColumn("_ms", F.unix_millis("event_time"))
+    timed = df if "_ms" in df.columns else df.withColumn("_ms", F.unix_millis("event_time"))
+    per_ms = (_with_window(timed, window, slide)
               .groupBy(*group, "_ms").agg(_rows(weight).alias("_n")))
     sliced = per_ms.withColumn("_slice", F.floor(F.col("_ms") / slice_ms))
     inside = Window.partitionBy(*group, "_slice").orderBy("_ms")
@@ -139,29 +140,39 @@ def metric_vectors(df: DataFrame, critical: Column, window: str | None = None, s
                    weight: str | None = None, threshold_ms: int = GAP_LIMIT_MS) -> DataFrame:
     """One row per address and URL with all eight metrics and the time it was last seen.
 
-    Requests of one address and URL carry the same metrics, so they are collapsed before any join.
+    Requests of one address and URL carry the same metrics, so they are collapsed before any join. The input is
+    read twice: once collapsed to distinct milliseconds, which feeds counts and gaps, and once for the distinct
+    counts.
     """
     src = _with_window(df, window, slide)
     keys = _keys(window, ["remote_addr", "request"])
-    seen = src.groupBy(*keys).agg(_rows(weight).cast("long").alias("requests"),
-                                  F.max("event_time").alias("last_seen"))
-    vectors = seen.withColumn("ip_block", ip_block(F.col("remote_addr")))
-    vectors = vectors.join(ip_metrics(src, critical, window, slide, weight), _keys(window, ["remote_addr"]), "left")
-    vectors = vectors.join(block_metrics(src, window, slide, weight), _keys(window, ["ip_block"]), "left")
-    vectors = vectors.join(url_gap_counts(src, critical, threshold_ms, window, slide, weight), keys, "left")
+    by_ip = _keys(window, ["remote_addr"])
+    base = (src.withColumn("_ms", F.unix_millis("event_time")).groupBy(*keys, "_ms")
+            .agg(_rows(weight).cast("long").alias("_n"), F.max(critical).alias("_critical")))
+    seen = base.groupBy(*keys).agg(
+        F.sum("_n").alias("requests"), F.timestamp_millis(F.max("_ms")).alias("last_seen"))
+    marked = base.where("_critical")
+    gaps = gap_stats(marked, ["remote_addr"], threshold_ms, window, weight="_n").drop("short_gaps")
+    short = gap_stats(marked, ["remote_addr", "request"], threshold_ms, window, weight="_n").drop("min_gap_ms")
+    blocks = block_metrics(seen, window, weight="requests")
+    per_ip = (ip_counts(src, critical, window, weight=weight)
+              .withColumn("ip_block", ip_block(F.col("remote_addr")))
+              .join(blocks, _keys(window, ["ip_block"]), "left")
+              .join(gaps, by_ip, "left"))
+    vectors = skew_join(seen, per_ip, by_ip, "left", ["request"],
+                        sizes=seen.groupBy(*by_ip).agg(F.count(F.lit(1)).alias("_urls")), rows="_urls")
     zero = [c for c in METRICS.values() if c != "min_gap_ms"]
-    return vectors.fillna(0, zero).fillna(MAX_INT, ["min_gap_ms"])
+    return vectors.join(short, keys, "left").fillna(0, zero).fillna(MAX_INT, ["min_gap_ms"])
 
 
 def attach_metrics(df: DataFrame, vectors: DataFrame, window: str | None = None, slide: str | None = None,
                    spread: Sequence[str] = ("event_time", "http_user_agent", "jsessionid")) -> DataFrame:
     """Every request with its metrics; a hot address is split over many tasks."""
-    from skywarden.operators.joins import salted_join
-
     src = _with_window(df, window, slide)
     keys = _keys(window, ["remote_addr", "request"])
     lookup = vectors.drop(*[c for c in vectors.columns if c in src.columns and c not in keys])
-    return salted_join(src, lookup, keys, "left", [c for c in spread if c in src.columns])
+    return skew_join(src, lookup.drop("requests"), keys, "left", [c for c in spread if c in src.columns],
+                     sizes=vectors.select(*keys, "requests"), rows="requests")
 
 
 def cells(df: DataFrame, window: str, critical: Column | None = None) -> DataFrame:
