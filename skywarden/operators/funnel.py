@@ -24,10 +24,12 @@ def tag_spiders(requests: DataFrame, spiders: DataFrame, how: str = "left", dedu
     ``left`` keeps requests of normal users; ``inner`` keeps listed addresses only. Without ``dedup`` an address
     that is listed twice doubles its requests.
     """
+    return sized_join(requests, listed_spiders(spiders, dedup), ["remote_addr"], how, spread=spread)
+
+
+def listed_spiders(spiders: DataFrame, dedup: bool = True) -> DataFrame:
     listed = spiders.select("remote_addr", "flow_id")
-    if dedup:
-        listed = listed.groupBy("remote_addr").agg(F.min("flow_id").alias("flow_id"))
-    return sized_join(requests, listed, ["remote_addr"], how, spread=spread)
+    return listed.groupBy("remote_addr").agg(F.min("flow_id").alias("flow_id")) if dedup else listed
 
 
 def stage_counts(requests: DataFrame, spiders: DataFrame | None = None, by: Sequence[str] = (),
@@ -42,7 +44,7 @@ def stage_counts(requests: DataFrame, spiders: DataFrame | None = None, by: Sequ
         per = tagged.groupBy(*by, "_stage", "_session", "flow_id").agg(F.count(F.lit(1)).alias("_n"))
     else:
         per = (tagged.groupBy("remote_addr", *by, "_stage", "_session").agg(F.count(F.lit(1)).alias("_n")))
-        per = tag_spiders(per, spiders, how, dedup, spread=["_stage", "_session", *by])
+        per = per.join(listed_spiders(spiders, dedup), ["remote_addr"], how)
     per = per.withColumn("spider_tag", spider_tag(F.col("flow_id")))
 
     def total(cond: Column) -> Column:
