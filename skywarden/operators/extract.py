@@ -221,11 +221,12 @@ def core_params(df: DataFrame, book_fallback: bool = True) -> DataFrame:
 
 def xml_fields(df: DataFrame, column: str, paths: dict[str, str]) -> DataFrame:
     """One row per node found: ``key`` is the path name followed by the node number."""
-    page = F.col("_page")
-    found = F.array(*[
-        F.transform(xpath_list(page, path),
-                    lambda v, i, name=name: F.struct(F.concat(F.lit(name), i.cast("string")).alias("key"), v.alias("value")))
-        for name, path in paths.items()])
+    def nodes(name: str, path: str) -> Column:
+        return F.transform(
+            xpath_list(F.col("_page"), path),
+            lambda v, i: F.struct(F.concat(F.lit(name), i.cast("string")).alias("key"), v.alias("value")))
+
+    found = F.array(*[nodes(name, path) for name, path in paths.items()])
     return (df.withColumn("_page", xml_page(F.col(column)))
             .withColumn("_node", F.explode(F.flatten(found)))
             .select(*df.columns, "_node.key", "_node.value"))
