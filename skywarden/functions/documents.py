@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: root element of the XML bodies.
@@ -27,17 +27,23 @@ def json_list(document: Column, path: str | None) -> Column:
     return F.coalesce(F.from_json(listed, "array<string>"), empty)
 
 
-def xml_page(body: Column) -> Column:
-    """The body from its root element on, or null when that is not one well-formed document."""
-    cut = F.regexp_replace(
-        F.substring(body, F.instr(body, f"<{XML_ROOT}>"), F.length(body)), r"\s+\z", "")
-    shaped = F.when(body.contains(f"<{XML_ROOT}>") & cut.endswith(f"</{XML_ROOT}>"), cut)
-    checked = F.from_xml(
-        F.concat(F.lit("<r>"), shaped, F.lit("</r>")),
-        f"{XML_ROOT} array<string>, _broken string",
-        {"rowTag": "r", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"},
-    )
-    return F.when(checked["_broken"].isNull() & (F.size(checked[XML_ROOT]) == 1), shaped)
+def with_xml_page(df: DataFrame, body: Column, into: str = "_page") -> DataFrame:
+    """Add the body from its root element on, or null when that is not one well-formed document.
+
+    Done in steps so that each body is cut and checked once.
+    """
+    start, end = f"<{XML_ROOT}>", f"</{XML_ROOT}>"
+    cut = F.regexp_replace(F.substring(body, F.instr(body, start), F.length(body)), r"\s+\z", "")
+    shaped, checked = f"{into}_shaped", f"{into}_checked"
+    return (df.withColumn(shaped, F.when(body.contains(start), cut))
+            .withColumn(shaped, F.when(F.col(shaped).endswith(end), F.col(shaped)))
+            .withColumn(checked, F.from_xml(
+                F.concat(F.lit("<r>"), F.col(shaped), F.lit("</r>")),
+                f"{XML_ROOT} array<string>, _broken string",
+                {"rowTag": "r", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+            .withColumn(into, F.when(F.col(checked)["_broken"].isNull() & (F.size(F.col(checked)[XML_ROOT]) == 1),
+                                     F.col(shaped)))
+            .drop(shaped, checked))
 
 
 def xpath_text(page: Column, path: str | None) -> Column:

@@ -46,9 +46,9 @@ def key_values(text: Column, separator: str) -> Column:
 
     The value ends at a second ``=``; tokens without a value are left out.
     """
-    trimmed = F.transform(F.split(text, separator), lambda t: F.rtrim(t, F.lit("=")))
+    tokens = F.filter(F.split(text, separator), lambda t: t.rlike("=+[^=]"))
     return F.transform(
-        F.filter(trimmed, lambda t: F.instr(t, "=") > 0),
+        tokens,
         lambda t: F.struct(
             F.substring_index(t, "=", 1).alias("k"),
             F.get(F.split(t, "="), F.lit(1)).alias("v"),

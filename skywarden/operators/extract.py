@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skywarden.functions.codec import md5_upper, url_decode
-from skywarden.functions.documents import json_list, json_text, xml_page, xpath_list, xpath_text
+from skywarden.functions.documents import json_list, json_text, with_xml_page, xpath_list, xpath_text
 from skywarden.functions.text import full_match, key_values, last_value
 from skywarden.schema import (
     BEHAVIOR_CODES, BOOK_SCHEMA, FLIGHT_CODES, QUERY_SCHEMA, TRAVEL_CODES, ParseRule, code_of,
@@ -46,165 +47,173 @@ def matched_rule(rules: Sequence[ParseRule]) -> Column:
     return out
 
 
-def _query_record(values: dict[str, Column], empty: Column, travel: Column) -> Column:
+def _record(schema: T.StructType, values: dict[str, Column]) -> Column:
     cols = []
-    for f in QUERY_SCHEMA.fields:
-        if f.name == "isEmpty":
-            value = empty
-        elif f.name == "flightType":
-            value = F.lit(-1)
-        elif f.name == "travelType":
-            value = travel
-        else:
-            value = values.get(f.name, F.lit(""))
-        cols.append(value.cast(f.dataType).alias(f.name))
+    for f in schema.fields:
+        rest = F.array() if f.dataType.typeName() == "array" else F.lit("")
+        cols.append(values.get(f.name, rest).cast(f.dataType).alias(f.name))
     return F.struct(*cols)
 
 
-def empty_query() -> Column:
-    return _query_record({}, F.lit(True), F.lit(-1))
+def _by_rule(number: Column, values: dict[int, Column], rest: Column) -> Column:
+    """The value that goes with the matched rule."""
+    out = rest
+    for i, value in values.items():
+        out = F.when(number == i, value).otherwise(out)
+    return out
 
 
-def query_from_pairs(pairs: Column, rule: ParseRule) -> Column:
-    """Parameters to a query record; without any parameter the record stays empty."""
-    values = {f: F.coalesce(last_value(pairs, rule.query.get(f, "")), F.lit("")) for f in QUERY_FIELDS}
-    key = rule.query.get("travelType", "")
-    travel = F.coalesce(F.trim(last_value(pairs, key)).try_cast("int"), F.lit(-1)) if key.strip() else F.lit(-1)
-    return F.when(F.size(pairs) > 0, _query_record(values, F.lit(False), travel)).otherwise(empty_query())
+def _to_int(value: Column) -> Column:
+    return F.coalesce(F.trim(value).try_cast("int"), F.lit(-1))
 
 
-def query_from_json(document: Column, rule: ParseRule) -> Column:
-    values = {f: json_text(document, rule.query.get(f)) for f in QUERY_FIELDS}
-    present = F.coalesce(F.trim(document) != "", F.lit(False))
-    return F.when(present, _query_record(values, F.lit(False), F.lit(-1))).otherwise(empty_query())
+def _blank_to_empty(value: Column) -> Column:
+    return F.when(F.trim(value) == "", F.lit("")).otherwise(value)
 
 
-def query_from_xml(body: Column, rule: ParseRule) -> Column:
-    page = xml_page(body)
-    values = {f: _blank_to_empty(xpath_text(page, rule.query.get(f))) for f in QUERY_FIELDS}
-    path = rule.query.get("travelType", "")
-    travel = (F.coalesce(F.trim(xpath_text(page, path)).try_cast("int"), F.lit(-1))
-              if path.strip() else F.lit(-1))
-    return F.when(page.isNotNull(), _query_record(values, F.lit(False), travel)).otherwise(empty_query())
+def pair_value(pairs: Column, key: str | None) -> Column:
+    return F.coalesce(last_value(pairs, key or ""), F.lit(""))
 
 
-def _blank_to_empty(value: Column) -> Column:
-    return F.when(F.trim(value) == "", F.lit("")).otherwise(value)
+def pairs_fields(pairs: Column, rule: ParseRule) -> dict[str, Column]:
+    """Query fields out of parameters; a travel type that is no number is unknown."""
+    out = {f: pair_value(pairs, rule.query.get(f)) for f in QUERY_FIELDS}
+    out["travelType"] = _to_int(pair_value(pairs, rule.query.get("travelType")))
+    return out
+
 
+def json_fields(document: Column, rule: ParseRule) -> dict[str, Column]:
+    return {f: json_text(document, rule.query.get(f)) for f in QUERY_FIELDS}
 
-def _query_for(rule: ParseRule) -> Column:
-    body = F.col("request_body")
+
+def xml_query_fields(page: Column, rule: ParseRule) -> dict[str, Column]:
+    return {f: _blank_to_empty(xpath_text(page, rule.query.get(f))) for f in QUERY_FIELDS}
+
+
+def _query_kind(rule: ParseRule) -> str | None:
+    """Which reader a rule asks for."""
     method = rule.method.upper()
     if method == "GET" and rule.normal_get:
-        return query_from_pairs(url_pairs(F.col("request")), rule)
-    if method == "POST" and rule.normal_form:
-        return query_from_pairs(form_pairs(body), rule)
-    if method == "POST" and rule.json and rule.form_field:
-        return query_from_json(last_value(form_pairs(body), rule.form_field), rule)
-    if method == "POST" and rule.text_xml and rule.xml:
-        is_xml = (F.lower("content_type") == "text/xml") & (body != "")
-        return F.when(is_xml, query_from_xml(body, rule)).otherwise(empty_query())
-    return empty_query()
+        return "url"
+    if method != "POST":
+        return None
+    if rule.normal_form:
+        return "form"
+    if rule.json and rule.form_field:
+        return "json"
+    return "xml" if rule.text_xml and rule.xml else None
 
 
 def extract_query(df: DataFrame, rules: Sequence[ParseRule], flight_type: str = "flight") -> DataFrame:
     """Add ``query_data``. Needs the parsed request columns and the three type tags.
 
     ``flight_type="behavior"`` stores the behavior code in the record's flight type, as older readers expect.
+    Each body is taken apart once: rule number, then parameters or page, then JSON text, then fields.
     """
-    record = empty_query()
-    for rule in rules:
-        record = F.when(rule_matches(rule), _query_for(rule)).otherwise(record)
-    code = (code_of(F.col("behavior_type"), BEHAVIOR_CODES) if flight_type == "behavior"
-            else code_of(F.col("flight_type"), FLIGHT_CODES))
-    # The record is materialised once and its type codes are stamped in a second projection.
-    return df.withColumn("query_data", record).withColumn(
-        "query_data",
-        F.col("query_data")
-        .withField("flightType", code)
-        .withField("travelType", code_of(F.col("travel_type"), TRAVEL_CODES)))
-
-
-def _book_record(values: dict[str, Column], flight: Column, travel: Column) -> Column:
-    cols = []
-    for f in BOOK_SCHEMA.fields:
-        if f.name == "flightType":
-            value = flight
-        elif f.name == "travelType":
-            value = travel
-        elif f.dataType.typeName() == "array":
-            value = values.get(f.name, F.array())
-        else:
-            value = values.get(f.name, F.lit(""))
-        cols.append(value.cast(f.dataType).alias(f.name))
-    return F.struct(*cols)
+    kinds = {i: _query_kind(r) for i, r in enumerate(rules)}
+
+    def of(*names: str) -> list[int]:
+        return [i for i, kind in kinds.items() if kind in names]
+
+    number, body = F.col("_rule"), F.col("request_body")
+    df = df.withColumn("_rule", matched_rule(rules))
+    pairs = F.when(number.isin(of("url")), url_pairs(F.col("request"))) if of("url") else F.lit(None)
+    pairs = F.when(number.isin(of("form", "json")), form_pairs(body)).otherwise(pairs)
+    df = df.withColumn("_pairs", pairs.cast("array<struct<k:string,v:string>>"))
+    df = df.withColumn("_doc", _by_rule(
+        number, {i: last_value(F.col("_pairs"), rules[i].form_field) for i in of("json")}, F.lit(None).cast("string")))
+    if of("xml"):
+        is_xml = number.isin(of("xml")) & (F.lower("content_type") == "text/xml") & (body != "")
+        df = with_xml_page(df, F.when(is_xml, body))
+    else:
+        df = df.withColumn("_page", F.lit(None).cast("string"))
+
+    readers = {"url": ("_pairs", pairs_fields), "form": ("_pairs", pairs_fields), "json": ("_doc", json_fields),
+               "xml": ("_page", xml_query_fields)}
+    per_rule = {i: readers[kind][1](F.col(readers[kind][0]), rules[i]) for i, kind in kinds.items() if kind}
+    values = {f: _by_rule(number, {i: v[f] for i, v in per_rule.items()}, F.lit("")) for f in QUERY_FIELDS}
+    # A record is filled when its reader found something to read.
+    values["isEmpty"] = ~F.coalesce(
+        (F.size("_pairs") > 0) & number.isin(of("url", "form")) | (F.trim("_doc") != "") | F.col("_page").isNotNull(),
+        F.lit(False))
+    values["flightType"] = (code_of(F.col("behavior_type"), BEHAVIOR_CODES) if flight_type == "behavior"
+                            else code_of(F.col("flight_type"), FLIGHT_CODES))
+    values["travelType"] = code_of(F.col("travel_type"), TRAVEL_CODES)
+    return (df.withColumn("query_data", _record(QUERY_SCHEMA, values))
+            .drop("_rule", "_pairs", "_doc", "_page"))
+
+
+def form_json(text: Column) -> Column:
+    """JSON text of a form field without one pair of outer brackets."""
+    return F.when(text.startswith("[") & text.endswith("]"),
+                  F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
 
 
-def book_from_xml(body: Column, rule: ParseRule, flight: Column, travel: Column) -> Column:
+def xml_book_fields(page: Column, rule: ParseRule) -> dict[str, Column]:
     """Booking fields by XPath; contact name ends at a bar, contact phone at a slash."""
-    page = xml_page(body)
-    values = {name: xpath_list(page, rule.book.get(name)) for name in BOOK_LISTS}
+    out = {name: xpath_list(page, rule.book.get(name)) for name in BOOK_LISTS}
     for name in ("bookUserId", "bookUnUserId"):
-        values[name] = xpath_text(page, rule.book.get(name))
-    values["contractName"] = F.substring_index(xpath_text(page, rule.book.get("contractName")), "|", 1)
-    values["contractPhone"] = F.substring_index(xpath_text(page, rule.book.get("contractPhone")), "/", 1)
-    return _book_record(values, flight, travel)
+        out[name] = xpath_text(page, rule.book.get(name))
+    out["contractName"] = F.substring_index(xpath_text(page, rule.book.get("contractName")), "|", 1)
+    out["contractPhone"] = F.substring_index(xpath_text(page, rule.book.get("contractPhone")), "/", 1)
+    return out
 
 
-def book_from_json(document: Column, rule: ParseRule, flight: Column, travel: Column) -> Column:
+def json_book_fields(doc: Column, rule: ParseRule) -> dict[str, Column]:
     """Booking fields by JSON path; passenger names are first and last name joined."""
-    doc = F.trim(F.replace(document, F.lit("\\x22"), F.lit("")))
-    values = {name: json_text(doc, rule.book.get(name)) for name in ("bookUserId", "contractName", "contractPhone")}
+    out = {name: json_text(doc, rule.book.get(name)) for name in ("bookUserId", "contractName", "contractPhone")}
     first, last = json_list(doc, rule.book.get("psgFirName")), json_list(doc, rule.book.get("psgName"))
-    values["psgName"] = F.zip_with(
-        first, F.slice(last, 1, F.greatest(F.size(first), F.lit(0))),
-        lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))))
+    both = F.zip_with(first, last, lambda a, b: F.when(
+        a.isNotNull(), F.concat(a, F.coalesce(b, F.lit("")))))
+    out["psgName"] = F.filter(both, lambda x: x.isNotNull())
     for name in ("idType", "idCard"):
-        values[name] = json_list(doc, rule.book.get(name))
+        out[name] = json_list(doc, rule.book.get(name))
     for name in ("depCity", "arrCity", "flightDate", "flightNo", "cabin"):
         path = rule.book.get(name)
         value = F.get_json_object(doc, path) if path else F.lit(None).cast("string")
-        values[name] = F.filter(F.array(value), lambda x: x.isNotNull())
-    return _book_record(values, flight, travel)
-
-
-def form_json(body: Column, form_field: str) -> Column:
-    """JSON text of a form field without one pair of outer brackets."""
-    text = last_value(form_pairs(body), form_field)
-    return F.when(text.startswith("[") & text.endswith("]"),
-                  F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
-
-
-def _book_for(rule: ParseRule) -> Column:
-    body = F.col("request_body")
-    content = F.lower("content_type")
-    has_body = body != ""
-    # Only national and international rules stamp the type codes.
-    known = rule.flight_type in (0, 1)
-    flight = F.lit(rule.flight_type if known else -1)
-    travel = code_of(F.col("travel_type"), TRAVEL_CODES) if known else F.lit(-1)
-    out = _book_record({}, flight, travel)
-    if not rule.normal_form and rule.json and not rule.application_json and rule.form_field:
-        document = form_json(body, rule.form_field)
-        out = F.when(F.trim(document) != "", book_from_json(document, rule, flight, travel)).otherwise(out)
-    if not rule.normal_form and rule.application_json and rule.json:
-        out = F.when((content == "application/json") & has_body,
-                     book_from_json(body, rule, flight, travel)).otherwise(out)
-    if rule.text_xml and rule.xml:
-        out = F.when((content == "text/xml") & has_body, book_from_xml(body, rule, flight, travel)).otherwise(out)
+        out[name] = F.filter(F.array(value), lambda x: x.isNotNull())
     return out
 
 
 def extract_book(df: DataFrame, rules: Sequence[ParseRule]) -> DataFrame:
     """Add ``book_data`` with contact phone and identity numbers digested."""
-    record = _book_record({}, F.lit(-1), F.lit(-1))
-    for rule in rules:
-        record = F.when(rule_matches(rule), _book_for(rule)).otherwise(record)
-    data = F.col("book_data")
-    return df.withColumn("book_data", record).withColumn(
-        "book_data",
-        data.withField("contractPhone", md5_upper(data["contractPhone"]))
-        .withField("idCard", F.transform(data["idCard"], md5_upper)))
+    number, body, content = F.col("_rule"), F.col("request_body"), F.lower("content_type")
+    xml = [i for i, r in enumerate(rules) if r.text_xml and r.xml]
+    plain = [i for i, r in enumerate(rules) if not r.normal_form and r.application_json and r.json]
+    field = [i for i, r in enumerate(rules) if not r.normal_form and r.json and not r.application_json and r.form_field]
+    df = df.withColumn("_rule", matched_rule(rules))
+    if xml:
+        df = with_xml_page(df, F.when(number.isin(xml) & (content == "text/xml") & (body != ""), body))
+    else:
+        df = df.withColumn("_page", F.lit(None).cast("string"))
+    document = F.when(number.isin(plain) & (content == "application/json"), body)
+    for i in field:
+        document = F.when(number == i, form_json(last_value(form_pairs(body), rules[i].form_field))).otherwise(document)
+    # Quotes that were escaped as \\x22 are dropped.
+    df = df.withColumn("_doc", F.trim(F.replace(document, F.lit("\\x22"), F.lit(""))))
+
+    per_rule = {}
+    for i, rule in enumerate(rules):
+        fields = {}
+        if i in plain or i in field:
+            fields = json_book_fields(F.col("_doc"), rule)
+        if i in xml:
+            pages = xml_book_fields(F.col("_page"), rule)
+            fields = {n: F.when(F.col("_page").isNotNull(), v).otherwise(fields[n]) if n in fields else v
+                      for n, v in {**fields, **pages}.items()}
+        per_rule[i] = fields
+    values = {}
+    for f in BOOK_SCHEMA.fields:
+        rest = F.array().cast("array<string>") if f.dataType.typeName() == "array" else F.lit("")
+        values[f.name] = _by_rule(number, {i: v[f.name] for i, v in per_rule.items() if f.name in v}, rest)
+    values["contractPhone"] = md5_upper(values["contractPhone"])
+    values["idCard"] = F.transform(values["idCard"], md5_upper)
+    # Only national and international rules stamp the type codes.
+    known = {i: r.flight_type for i, r in enumerate(rules) if r.flight_type in (0, 1)}
+    values["flightType"] = _by_rule(number, {i: F.lit(code) for i, code in known.items()}, F.lit(-1))
+    values["travelType"] = _by_rule(
+        number, {i: code_of(F.col("travel_type"), TRAVEL_CODES) for i in known}, F.lit(-1))
+    return df.withColumn("book_data", _record(BOOK_SCHEMA, values)).drop("_rule", "_page", "_doc")
 
 
 def core_params(df: DataFrame, book_fallback: bool = True) -> DataFrame:
@@ -227,7 +236,7 @@ def xml_fields(df: DataFrame, column: str, paths: dict[str, str]) -> DataFrame:
             lambda v, i: F.struct(F.concat(F.lit(name), i.cast("string")).alias("key"), v.alias("value")))
 
     found = F.array(*[nodes(name, path) for name, path in paths.items()])
-    return (df.withColumn("_page", xml_page(F.col(column)))
+    return (with_xml_page(df, F.col(column))
             .withColumn("_node", F.explode(F.flatten(found)))
             .select(*df.columns, "_node.key", "_node.value"))
 
@@ -237,11 +246,11 @@ def xml_travel_type(df: DataFrame, column: str) -> DataFrame:
     body = F.col(column)
     # The document ends with the first closing root tag, whatever follows.
     cut = F.when(body.contains("</page>"), F.concat(F.substring_index(body, "</page>", 1), F.lit("</page>")))
-    segment = xpath_text(F.col("_page"), "//SEGTYPE/text()")
-    return (df.withColumn("_page", xml_page(cut))
-            .withColumn("xml_travel_type", F.when(segment == "S", "OneWay").when(segment == "R", "RoundTrip")
-                        .otherwise("Unknown"))
-            .drop("_page"))
+    return (with_xml_page(df, cut)
+            .withColumn("_segment", xpath_text(F.col("_page"), "//SEGTYPE/text()"))
+            .withColumn("xml_travel_type", F.when(F.col("_segment") == "S", "OneWay")
+                        .when(F.col("_segment") == "R", "RoundTrip").otherwise("Unknown"))
+            .drop("_page", "_segment"))
 
 
 def json_map(df: DataFrame, column: str, into: str = "json_map") -> DataFrame:

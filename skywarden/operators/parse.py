@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skywarden.functions.codec import cookie_decode
-from skywarden.functions.text import NULL_TEXT, key_values, last_value, last_wins_map
+from skywarden.functions.text import NULL_TEXT, key_values, last_wins_map
 from skywarden.schema import SEPARATOR
 
 # Slot numbers of a raw record.
@@ -53,14 +53,25 @@ def parse_requests(
     session_cookie: str = SESSION_COOKIE,
     user_cookie: str = USER_COOKIE,
 ) -> DataFrame:
-    """Replace the raw line by its twelve columns; other columns pass through."""
-    line = F.col(column)
-    fields = {"request": request_url(line)}
-    fields.update({name: slot(line, i) for name, i in RAW_SLOTS.items()})
-    fields["cookies_str"] = clean_cookies(slot(line, COOKIE_SLOT))
-    parsed = df.withColumns(fields)
-    pairs = cookie_pairs(F.col("cookies_str"))
+    """Replace the raw line by its twelve columns; other columns pass through.
+
+    Lines and cookies are each taken apart once, in a step of their own.
+    """
+    def part(index: int) -> Column:
+        return F.coalesce(F.get("_parts", F.lit(index)), F.lit(""))
+
+    fields = {"request": F.coalesce(F.get(F.split(part(1), " "), F.lit(1)), F.lit(""))}
+    fields.update({name: part(i) for name, i in RAW_SLOTS.items()})
+    fields["cookies_str"] = clean_cookies(part(COOKIE_SLOT))
+    parsed = df.withColumn("_parts", F.split(F.col(column), SEPARATOR)).withColumns(fields)
+    parsed = parsed.withColumn("_tokens", key_values(F.col("cookies_str"), ";"))
     return parsed.withColumns({
-        "jsessionid": F.coalesce(last_value(pairs, session_cookie), F.lit(NULL_TEXT)),
-        "userid": F.coalesce(last_value(pairs, user_cookie), F.lit(NULL_TEXT)),
-    }).drop(column)
+        "jsessionid": _cookie(F.col("_tokens"), session_cookie),
+        "userid": _cookie(F.col("_tokens"), user_cookie),
+    }).drop(column, "_parts", "_tokens")
+
+
+def _cookie(tokens: Column, name: str) -> Column:
+    """Decoded value of the last cookie of this name that can be decoded."""
+    decoded = F.transform(F.filter(tokens, lambda p: p["k"] == name), lambda p: cookie_decode(p["v"]))
+    return F.coalesce(F.try_element_at(F.filter(decoded, lambda v: v.isNotNull()), F.lit(-1)), F.lit(NULL_TEXT))

@@ -47,17 +47,20 @@ def tag_request_type(df: DataFrame, rules: Sequence[ClassifyRule], column: str =
 
     Classes are tried national before international, and query before booking inside each.
     """
-    flight, behavior = F.lit("Other"), F.lit("Other")
     classes = [(f, b) for f in ("National", "International") for b in ("Query", "Book")]
-    for f, b in reversed(classes):
+    number = F.lit(len(classes))
+    for i, (f, b) in reversed(list(enumerate(classes))):
         patterns = [r.expression for r in rules
                     if r.flight_type == FLIGHT_CODES[f] and r.operation_type == BEHAVIOR_CODES[b]]
-        if not patterns:
-            continue
-        hit = any_full_match(F.col(column), patterns)
-        flight = F.when(hit, F.lit(f)).otherwise(flight)
-        behavior = F.when(hit, F.lit(b)).otherwise(behavior)
-    return df.withColumns({"flight_type": flight, "behavior_type": behavior})
+        if patterns:
+            number = F.when(any_full_match(F.col(column), patterns), F.lit(i)).otherwise(number)
+    names = [*classes, ("Other", "Other")]
+    found = F.col("_class") + 1
+    # The patterns are tried once; both names are read off the class number.
+    return df.withColumn("_class", number).withColumns({
+        "flight_type": F.element_at(F.array(*[F.lit(f) for f, _ in names]), found),
+        "behavior_type": F.element_at(F.array(*[F.lit(b) for _, b in names]), found),
+    }).drop("_class")
 
 
 def travel_type(referrer: Column) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skywarden.session import work_dir
+
 _K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
 _TS = "CAST(ts AS STRING)"
 _DAY = f"substr({_TS}, 1, 10)"
@@ -123,9 +125,27 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("event_time", F.col("ts").cast("timestamp")))
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer files than there are cores; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw access records."""
-    return read(spark, sf_dir, "events").selectExpr(*_select(RAW_COLUMNS))
+    """Raw access records, written once per session as the log that the parsing queries scan.
+
+    Reading them from a table keeps the cost of making them up out of every parsing step.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        path = work_dir(spark, "raw")
+        events = spread_scan(read(spark, sf_dir, "events"))
+        events.selectExpr(*_select(RAW_COLUMNS)).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.schema("event_id long, ts timestamp_ntz, value string").parquet(_STAGED[key])
 
 
 def spiders(spark: SparkSession, sf_dir: str) -> DataFrame:

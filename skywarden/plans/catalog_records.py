@@ -18,7 +18,7 @@ from skywarden.operators.tag import (
 from skywarden.plans import adapter, rules
 from skywarden.plans.etl import Site, process_lines, processed_lines, tagged_requests
 from skywarden.plans.registry import cte, query, with_ctes  # noqa: F401
-from skywarden.schema import FLIGHT_CODES, code_of
+from skywarden.schema import ParseRule
 
 # --- building blocks of the checking SQL ---
 
@@ -226,11 +226,11 @@ def _(spark, sf):
 SELECT event_id, json_extract_string(request_body, '$.seg.dep') AS dep,
  json_extract_string(request_body, '$.seg.arr') AS arr FROM parsed WHERE content_type = 'application/json'""", "parsed")
 def _(spark, sf):
-    rule = ex.ParseRule(1, 0, ".*", "POST", application_json=True, json=True,
-                        query={"depCity": "$.seg.dep", "arrCity": "$.seg.arr"})
+    rule = ParseRule(1, 0, ".*", "POST", application_json=True, json=True,
+                     query={"depCity": "$.seg.dep", "arrCity": "$.seg.arr"})
+    fields = ex.json_fields(F.col("request_body"), rule)
     bodies = _parsed(spark, sf).where("content_type = 'application/json'")
-    return (bodies.withColumn("q", ex.query_from_json(F.col("request_body"), rule))
-            .select("event_id", F.col("q.depCity").alias("dep"), F.col("q.arrCity").alias("arr")))
+    return bodies.select("event_id", fields["depCity"].alias("dep"), fields["arrCity"].alias("arr"))
 
 
 @query("p17_query_from_xml", f"SELECT {_FIELDS} FROM queried WHERE regexp_full_match(request, '^.*/query/xml/.*$')",
@@ -245,9 +245,10 @@ SELECT event_id, {_last_param(_Q, 'dep')} AS dep, {_last_param(_Q, 'arr')} AS ar
 WHERE {_IS_GET}""", "parsed")
 def _(spark, sf):
     gets = _parsed(spark, sf).where(F.col("request").rlike("^.*/ita/intl/zh/search/.*$"))
-    return (gets.withColumn("q", ex.query_from_pairs(ex.url_pairs(F.col("request")), rules.QUERY_RULES[2]))
-            .select("event_id", F.col("q.depCity").alias("dep"), F.col("q.arrCity").alias("arr"),
-                    F.col("q.childNum").alias("child"), F.col("q.travelType").alias("travel_type")))
+    gets = gets.withColumn("pairs", ex.url_pairs(F.col("request")))
+    fields = ex.pairs_fields(F.col("pairs"), rules.QUERY_RULES[2])
+    return gets.select("event_id", fields["depCity"].alias("dep"), fields["arrCity"].alias("arr"),
+                       fields["childNum"].alias("child"), fields["travelType"].alias("travel_type"))
 
 
 @query("p19_stamped_codes", """
@@ -447,6 +448,3 @@ def _(spark, sf):
     from skywarden.operators.tag import with_known_session
 
     return with_known_session(adapter.requests(spark, sf)).select("event_id", "jsessionid")
-
-
-__all__ = ["FLIGHT_CODES", "STAGE_SQL", "code_of"]
