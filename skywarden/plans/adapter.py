@@ -148,6 +148,11 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id long, ts timestamp_ntz, value string").parquet(_STAGED[key])
 
 
+def staged_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the staged raw lines."""
+    return _STAGED[(spark.sparkContext.applicationId, sf_dir)]
+
+
 def spiders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed addresses, with repeats as they come."""
     return read(spark, sf_dir, "events").where(SPIDER_WHERE).selectExpr(*_select(SPIDER_COLUMNS))

@@ -112,6 +112,11 @@ def flow_rules(process: DataFrame, strategy: DataFrame, rules: DataFrame, names:
     return flows.join(named, "flow_id", "left")
 
 
+def flow_rows_view(rows: DataFrame) -> DataFrame:
+    """The columns of ``flow_rules`` that scoring reads."""
+    return rows.select("flow_id", "flow_name", "flow_limit", "id", "name", "status", "arg0", "arg1")
+
+
 def load_flows(rows: DataFrame) -> list[Flow]:
     """Flows as objects out of ``flow_rules``, rules in id order."""
     flows: dict[str, dict] = {}
