@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skywarden.functions.text import ip_block
-from skywarden.operators.joins import skew_join
+from skywarden.operators.joins import salted_join, skew_join
 
 # Fixed value: gaps below this count as too fast.
 GAP_LIMIT_MS = 5000
@@ -20,6 +20,8 @@ GAP_LIMIT_MS = 5000
 MAX_INT = 2147483647
 # Length of the time slices gaps are computed in: at most 300,000 distinct milliseconds per slice.
 SLICE_MS = 300_000
+# Parts an address is split into, by URL, when its metrics are joined to its URLs.
+URL_SALTS = 8
 
 METRICS = {
     "ipBlock": "ip_block_count", "ip": "ip_count", "criticalPages": "critical_count", "userAgent": "ua_count",
@@ -136,38 +138,57 @@ def ip_metrics(df: DataFrame, critical: Column, window: str | None = None, slide
     return counts.join(ip_min_gap(df, critical, window, slide, weight), _keys(window, ["remote_addr"]), "left")
 
 
+def url_profile(df: DataFrame, critical: Column, threshold_ms: int = GAP_LIMIT_MS, window: str | None = None,
+                slide: str | None = None, weight: str | None = None, slice_ms: int = SLICE_MS) -> DataFrame:
+    """Requests, time last seen and short gaps per address and URL, in one pass over the input.
+
+    Only critical pages keep their milliseconds; the rest collapse to one row per time slice before the shuffle.
+    """
+    keys = _keys(window, ["remote_addr", "request"])
+    real = F.unix_millis("event_time")
+    marked = (_with_window(df, window, slide).withColumn("_critical", critical)
+              .withColumns({"_real": real, "_ms": F.when(F.col("_critical"), real)
+                            .otherwise(F.floor(real / slice_ms) * slice_ms)}))
+    per_ms = marked.groupBy(*keys, "_critical", "_ms").agg(
+        _rows(weight).alias("_n"), F.max("_real").alias("_seen")).withColumn("_slice", F.floor(F.col("_ms") / slice_ms))
+    gap = F.col("_ms") - F.lag("_ms").over(Window.partitionBy(*keys, "_critical", "_slice").orderBy("_ms"))
+    close = F.coalesce((F.col("_gap") < threshold_ms).cast("long"), F.lit(0))
+    same = F.col("_n") - 1 if threshold_ms > 0 else F.lit(0)
+    slices = per_ms.withColumn("_gap", gap).groupBy(*keys, "_critical", "_slice").agg(
+        F.sum("_n").alias("_n"), F.max("_seen").alias("_seen"), F.min("_ms").alias("_first"),
+        F.max("_ms").alias("_last"), F.sum(F.when(F.col("_critical"), close + same).otherwise(0)).alias("_short"))
+    border = F.col("_first") - F.lag("_last").over(Window.partitionBy(*keys, "_critical").orderBy("_slice"))
+    across = F.when(F.col("_critical") & (F.col("_border") < threshold_ms), 1).otherwise(0)
+    return slices.withColumn("_border", border).groupBy(*keys).agg(
+        F.sum("_n").cast("long").alias("requests"), F.timestamp_millis(F.max("_seen")).alias("last_seen"),
+        F.sum(F.col("_short") + across).cast("long").alias("short_gaps"))
+
+
 def metric_vectors(df: DataFrame, critical: Column, window: str | None = None, slide: str | None = None,
                    weight: str | None = None, threshold_ms: int = GAP_LIMIT_MS) -> DataFrame:
     """One row per address and URL with all eight metrics and the time it was last seen.
 
-    Requests of one address and URL carry the same metrics, so they are collapsed before any join. The input is
-    read twice: once collapsed to distinct milliseconds, which feeds counts and gaps, and once for the distinct
-    counts.
+    Requests of one address and URL carry the same metrics, so they are collapsed before any join. What is joined
+    are aggregates; an address with very many URLs is split over several tasks by URL.
     """
     src = _with_window(df, window, slide)
-    keys = _keys(window, ["remote_addr", "request"])
     by_ip = _keys(window, ["remote_addr"])
-    base = (src.withColumn("_ms", F.unix_millis("event_time")).groupBy(*keys, "_ms")
-            .agg(_rows(weight).cast("long").alias("_n"), F.max(critical).alias("_critical")))
-    seen = base.groupBy(*keys).agg(
-        F.sum("_n").alias("requests"), F.timestamp_millis(F.max("_ms")).alias("last_seen"))
-    marked = base.where("_critical")
-    gaps = gap_stats(marked, ["remote_addr"], threshold_ms, window, weight="_n").drop("short_gaps")
-    short = gap_stats(marked, ["remote_addr", "request"], threshold_ms, window, weight="_n").drop("min_gap_ms")
-    blocks = block_metrics(seen, window, weight="requests")
     per_ip = (ip_counts(src, critical, window, weight=weight)
               .withColumn("ip_block", ip_block(F.col("remote_addr")))
-              .join(blocks, _keys(window, ["ip_block"]), "left")
-              .join(gaps, by_ip, "left"))
-    vectors = skew_join(seen, per_ip, by_ip, "left", ["request"],
-                        sizes=seen.groupBy(*by_ip).agg(F.count(F.lit(1)).alias("_urls")), rows="_urls")
+              .join(block_metrics(src, window, weight=weight), _keys(window, ["ip_block"]), "left")
+              .join(ip_min_gap(src, critical, window, weight=weight), by_ip, "left"))
+    vectors = salted_join(url_profile(src, critical, threshold_ms, window, weight=weight), per_ip, by_ip, "left",
+                          ["request"], URL_SALTS)
     zero = [c for c in METRICS.values() if c != "min_gap_ms"]
-    return vectors.join(short, keys, "left").fillna(0, zero).fillna(MAX_INT, ["min_gap_ms"])
+    return vectors.fillna(0, zero).fillna(MAX_INT, ["min_gap_ms"])
 
 
 def attach_metrics(df: DataFrame, vectors: DataFrame, window: str | None = None, slide: str | None = None,
                    spread: Sequence[str] = ("event_time", "http_user_agent", "jsessionid")) -> DataFrame:
-    """Every request with its metrics; a hot address is split over many tasks."""
+    """Every request with its metrics; a hot address and URL is split over many tasks.
+
+    ``vectors`` is read more than once, so it is best a stored table.
+    """
     src = _with_window(df, window, slide)
     keys = _keys(window, ["remote_addr", "request"])
     lookup = vectors.drop(*[c for c in vectors.columns if c in src.columns and c not in keys])

@@ -18,6 +18,7 @@ from skywarden.plans import adapter, rules
 from skywarden.plans.catalog_records import _CRITICAL, STAGE_SQL
 from skywarden.plans.registry import cte, query
 from skywarden.plans.scoring import blacklisted, scored_vectors
+from skywarden.session import work_dir
 
 _BLOCK = ("CASE WHEN len(string_split(remote_addr, '.')) = 4 THEN concat(split_part(remote_addr, '.', 1), '.', "
           "split_part(remote_addr, '.', 2)) ELSE '' END")
@@ -140,7 +141,10 @@ _VEC = ("ip_block_count", "ip_count", "critical_count", "ua_count", "trip_count"
 def _(spark, sf):
     reqs = _requests(spark, sf)
     vectors = mt.metric_vectors(reqs, critical(rules.CRITICAL), rules.WINDOW, threshold_ms=rules.GAP_MS)
-    return mt.attach_metrics(reqs, vectors, rules.WINDOW, spread=["event_id"]).select("event_id", *_VEC)
+    out = work_dir(spark, "vectors")
+    vectors.write.parquet(out)
+    stored = spark.read.schema(vectors.schema).parquet(out)
+    return mt.attach_metrics(reqs, stored, rules.WINDOW, spread=["event_id"]).select("event_id", *_VEC)
 
 
 def _flow_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -141,14 +141,20 @@ cte("backup_hours", ("backup",), """
 SELECT *, make_timestamp(key_exp_time::BIGINT * 1000) AS expires FROM backup""")
 
 
+_BACKUPS: dict[tuple[str, str], str] = {}
+
+
 def _backup_table(spark: SparkSession, sf: str) -> str:
-    """Backup of blacklist entries in hourly folders."""
+    """Backup of blacklist entries in hourly folders, written once per session."""
     from skywarden.plans.catalog_metrics import _backup
 
-    out = work_dir(spark, "backup")
-    rows = _backup(spark, sf).withColumn("at", F.timestamp_millis(F.col("key_exp_time").cast("long")))
-    writers.append_hourly(rows, out, "at")
-    return out
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BACKUPS:
+        out = work_dir(spark, "backup")
+        rows = _backup(spark, sf).withColumn("at", F.timestamp_millis(F.col("key_exp_time").cast("long")))
+        writers.append_hourly(rows, out, "at")
+        _BACKUPS[key] = out
+    return _BACKUPS[key]
 
 
 @query("s12_hourly_append", """
@@ -181,9 +187,7 @@ SELECT key FROM snaps WHERE h + INTERVAL 120 SECONDS > TIMESTAMP '2024-01-18 07:
 UNION ALL SELECT 'CSANTI_MONITOR_DP_LAST'""", "snaps")
 def _(spark, sf):
     out = work_dir(spark, "s15")
-    rows = _entries(spark, sf)
-    keyed.put(rows, out, 0)
-    keyed.put(keyed.with_last(rows, "CSANTI_MONITOR_DP"), out, 1)
+    keyed.put(keyed.with_last(_entries(spark, sf), "CSANTI_MONITOR_DP"), out, 0)
     return keyed.live(spark, out, "2024-01-18 07:00:30").select("key")
 
 

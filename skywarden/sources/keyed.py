@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 
 from skywarden.operators.blacklist import latest_row
 from skywarden.schema import KEYED_SCHEMA
+from skywarden.sources.writers import by_folder
 
 _COLUMNS = ["key", "value", "expire_at", "written_at"]
 
 
 def put(df: DataFrame, root: str, batch_id: int) -> None:
     """Write entries of one batch; repeating the batch replaces its rows."""
-    (df.select(*_COLUMNS)
-     .withColumn("expire_hour", F.date_format("expire_at", "yyyy-MM-dd-HH")).withColumn("batch", F.lit(batch_id))
+    rows = df.select(*_COLUMNS).withColumn("expire_hour", F.date_format("expire_at", "yyyy-MM-dd-HH"))
+    (by_folder(rows, "expire_hour").withColumn("batch", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("expire_hour", "batch").parquet(root))
 

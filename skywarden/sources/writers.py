@@ -22,18 +22,27 @@ def append_result(df: DataFrame, target: dict[str, str] | str) -> None:
     df.write.format(options.pop("format", "jdbc")).mode("append").options(**options).save()
 
 
+def by_folder(df: DataFrame, *columns: str) -> DataFrame:
+    """Bring the rows of an output folder together, so that a folder gets few files.
+
+    Adaptive execution splits folders that are large and joins those that are small.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def hour_columns(time: Column) -> dict[str, Column]:
     return {"dt": F.date_format(time, "yyyy-MM-dd"), "hh": F.date_format(time, "HH")}
 
 
 def append_hourly(df: DataFrame, root: str, time_col: str) -> None:
     """Append to one folder per hour of the time column."""
-    df.withColumns(hour_columns(F.col(time_col))).write.mode("append").partitionBy("dt", "hh").parquet(root)
+    rows = df.withColumns(hour_columns(F.col(time_col)))
+    by_folder(rows, "dt", "hh").write.mode("append").partitionBy("dt", "hh").parquet(root)
 
 
 def write_hourly_batch(df: DataFrame, root: str, time_col: str, batch_id: int) -> None:
     """Hourly folders of one micro-batch; a repeated batch replaces what it wrote before."""
-    (df.withColumns(hour_columns(F.col(time_col))).withColumn("batch", F.lit(batch_id))
+    (by_folder(df.withColumns(hour_columns(F.col(time_col))), "dt", "hh").withColumn("batch", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt", "hh", "batch").parquet(root))
 
