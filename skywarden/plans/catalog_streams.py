@@ -169,7 +169,7 @@ SELECT key, value FROM backup_hours WHERE expires >= TIMESTAMP '2024-01-15 11:00
 AND expires < TIMESTAMP '2024-01-15 13:00:00'""", "backup_hours")
 def _(spark, sf):
     return writers.read_recent_hours(spark, _backup_table(spark, sf), "2024-01-15 12:20:00",
-                                     schema=BACKUP_SCHEMA).select("key", "value")
+                                     BACKUP_SCHEMA).select("key", "value")
 
 
 @query("s14_archived_lines", """

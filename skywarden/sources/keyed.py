@@ -7,6 +7,7 @@ reader of live entries opens the hours that can still hold some and no others, h
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,16 @@ def live(spark: SparkSession, root: str, now: str) -> DataFrame:
     return newest.where(F.col("expire_at") > at)
 
 
+def drop_expired(spark: SparkSession, root: str, now: str) -> int:
+    """Delete the folders of hours that are over before ``now``; says how many. Their entries are all expired."""
+    hour = datetime.fromisoformat(now).strftime("%Y-%m-%d-%H")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = [s.getPath() for s in fs.listStatus(path)
+            if s.getPath().getName().startswith("expire_hour=") and s.getPath().getName() < f"expire_hour={hour}"]
+    return sum(bool(fs.delete(p, True)) for p in gone)
+
+
 def entries(df: DataFrame, prefix: str, at: Column, value: Column, ttl_s: int, carry: Sequence[str] = ()) -> DataFrame:
     """Entries keyed by prefix and time in milliseconds."""
     return df.select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,17 +50,21 @@ def write_hourly_batch(df: DataFrame, root: str, time_col: str, batch_id: int) -
      .partitionBy("dt", "hh", "batch").parquet(root))
 
 
-def read_recent_hours(spark: SparkSession, root: str, now: str, hours_back: int = 1,
-                      schema: str | None = None) -> DataFrame:
-    """Rows of the hour of ``now`` and the hours before it; other hour folders are not opened."""
-    reader = spark.read.option("basePath", root)
-    df = (reader.schema(f"{schema}, dt string, hh string") if schema else reader).parquet(root)
-    hours = [F.to_timestamp(F.lit(now)) - F.make_dt_interval(hours=F.lit(i)) for i in range(hours_back + 1)]
-    keep = F.lit(False)
-    for h in hours:
-        keep = keep | ((F.col("dt").cast("string") == F.date_format(h, "yyyy-MM-dd"))
-                       & (F.lpad(F.col("hh").cast("string"), 2, "0") == F.date_format(h, "HH")))
-    return df.where(keep)
+def read_recent_hours(spark: SparkSession, root: str, now: str, schema: str, hours_back: int = 1) -> DataFrame:
+    """Rows of the hour of ``now`` and the hours before it.
+
+    The folders are named outright, so the rest of the history is not even listed; missing hours are left out.
+    """
+    at = datetime.fromisoformat(now)
+    hours = [at - timedelta(hours=i) for i in range(hours_back + 1)]
+    folders = ",".join(f"dt={h:%Y-%m-%d}/hh={h:%H}" for h in hours)
+    full = f"{schema}, dt string, hh string"
+    try:
+        return spark.read.option("basePath", root).schema(full).parquet(f"{root}/{{{folders}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
 
 
 def route(df: DataFrame, topics: dict[str, str] | None = None) -> DataFrame:
