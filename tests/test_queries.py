@@ -46,5 +46,5 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     rows = entry.entry(spark).collect()
-    assert rows and all(r.flow_score > 25 for r in rows)
+    assert rows and all(r.flow_score > 40 for r in rows)
     assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(QUERIES)
