@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: root element of the XML bodies.
 XML_ROOT = "page"
+_BREAK = "\u0001"
 
 
 def json_text(document: Column, path: str | None) -> Column:
@@ -53,6 +56,16 @@ def xpath_text(page: Column, path: str | None) -> Column:
     return F.coalesce(F.when(page.isNotNull(), F.xpath_string(page, F.lit(path))), F.lit(""))
 
 
+def xpath_texts(page: Column, paths: Sequence[str | None]) -> Column:
+    """Texts at several XPaths from one reading of the page, as a list in the order of the paths.
+
+    The texts are joined by a character that no XML document may hold.
+    """
+    parts = [path if path and path.strip() else "''" for path in paths]
+    joined = f"concat({f", '{_BREAK}', ".join([*parts, "''"])})"
+    return F.split(F.when(page.isNotNull(), F.xpath_string(page, F.lit(joined))), _BREAK)
+
+
 def xpath_list(page: Column, path: str | None) -> Column:
     """Values of all nodes at an XPath, empty list when there are none."""
     empty = F.array().cast("array<string>")

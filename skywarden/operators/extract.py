@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skywarden.functions.codec import md5_upper, url_decode
-from skywarden.functions.documents import json_list, json_text, with_xml_page, xpath_list, xpath_text
+from skywarden.functions.documents import json_list, json_text, with_xml_page, xpath_list, xpath_text, xpath_texts
 from skywarden.functions.text import full_match, key_values, last_value
 from skywarden.schema import (
     BEHAVIOR_CODES, BOOK_SCHEMA, FLIGHT_CODES, QUERY_SCHEMA, TRAVEL_CODES, ParseRule, code_of,
 )
 
 QUERY_FIELDS = ("depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country")
+BOOK_TEXTS = ("bookUserId", "bookUnUserId", "contractName", "contractPhone")
 BOOK_LISTS = ("psgName", "psgType", "idType", "idCard", "depCity", "arrCity", "flightDate", "cabin")
 
 
@@ -86,8 +87,10 @@ def json_fields(document: Column, rule: ParseRule) -> dict[str, Column]:
     return {f: json_text(document, rule.query.get(f)) for f in QUERY_FIELDS}
 
 
-def xml_query_fields(page: Column, rule: ParseRule) -> dict[str, Column]:
-    return {f: _blank_to_empty(xpath_text(page, rule.query.get(f))) for f in QUERY_FIELDS}
+def xml_query_fields(texts: Column, rule: ParseRule) -> dict[str, Column]:
+    """Query fields out of the texts at the rule's XPaths, in field order."""
+    return {f: _blank_to_empty(F.coalesce(F.get(texts, F.lit(i)), F.lit("")))
+            for i, f in enumerate(QUERY_FIELDS)}
 
 
 def _query_kind(rule: ParseRule) -> str | None:
@@ -127,9 +130,12 @@ def extract_query(df: DataFrame, rules: Sequence[ParseRule], flight_type: str =
         df = with_xml_page(df, F.when(is_xml, body))
     else:
         df = df.withColumn("_page", F.lit(None).cast("string"))
+    df = df.withColumn("_texts", _by_rule(
+        number, {i: xpath_texts(F.col("_page"), [rules[i].query.get(f) for f in QUERY_FIELDS]) for i in of("xml")},
+        F.lit(None).cast("array<string>")))
 
     readers = {"url": ("_pairs", pairs_fields), "form": ("_pairs", pairs_fields), "json": ("_doc", json_fields),
-               "xml": ("_page", xml_query_fields)}
+               "xml": ("_texts", xml_query_fields)}
     per_rule = {i: readers[kind][1](F.col(readers[kind][0]), rules[i]) for i, kind in kinds.items() if kind}
     values = {f: _by_rule(number, {i: v[f] for i, v in per_rule.items()}, F.lit("")) for f in QUERY_FIELDS}
     # A record is filled when its reader found something to read.
@@ -140,7 +146,7 @@ def extract_query(df: DataFrame, rules: Sequence[ParseRule], flight_type: str =
                             else code_of(F.col("flight_type"), FLIGHT_CODES))
     values["travelType"] = code_of(F.col("travel_type"), TRAVEL_CODES)
     return (df.withColumn("query_data", _record(QUERY_SCHEMA, values))
-            .drop("_rule", "_pairs", "_doc", "_page"))
+            .drop("_rule", "_pairs", "_doc", "_page", "_texts"))
 
 
 def form_json(text: Column) -> Column:
@@ -149,13 +155,13 @@ def form_json(text: Column) -> Column:
                   F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(text)
 
 
-def xml_book_fields(page: Column, rule: ParseRule) -> dict[str, Column]:
+def xml_book_fields(page: Column, texts: Column, rule: ParseRule) -> dict[str, Column]:
     """Booking fields by XPath; contact name ends at a bar, contact phone at a slash."""
     out = {name: xpath_list(page, rule.book.get(name)) for name in BOOK_LISTS}
-    for name in ("bookUserId", "bookUnUserId"):
-        out[name] = xpath_text(page, rule.book.get(name))
-    out["contractName"] = F.substring_index(xpath_text(page, rule.book.get("contractName")), "|", 1)
-    out["contractPhone"] = F.substring_index(xpath_text(page, rule.book.get("contractPhone")), "/", 1)
+    for i, name in enumerate(BOOK_TEXTS):
+        out[name] = F.coalesce(F.get(texts, F.lit(i)), F.lit(""))
+    out["contractName"] = F.substring_index(out["contractName"], "|", 1)
+    out["contractPhone"] = F.substring_index(out["contractPhone"], "/", 1)
     return out
 
 
@@ -186,6 +192,9 @@ def extract_book(df: DataFrame, rules: Sequence[ParseRule]) -> DataFrame:
         df = with_xml_page(df, F.when(number.isin(xml) & (content == "text/xml") & (body != ""), body))
     else:
         df = df.withColumn("_page", F.lit(None).cast("string"))
+    df = df.withColumn("_texts", _by_rule(
+        number, {i: xpath_texts(F.col("_page"), [rules[i].book.get(n) for n in BOOK_TEXTS]) for i in xml},
+        F.lit(None).cast("array<string>")))
     document = F.when(number.isin(plain) & (content == "application/json"), body)
     for i in field:
         document = F.when(number == i, form_json(last_value(form_pairs(body), rules[i].form_field))).otherwise(document)
@@ -198,7 +207,7 @@ def extract_book(df: DataFrame, rules: Sequence[ParseRule]) -> DataFrame:
         if i in plain or i in field:
             fields = json_book_fields(F.col("_doc"), rule)
         if i in xml:
-            pages = xml_book_fields(F.col("_page"), rule)
+            pages = xml_book_fields(F.col("_page"), F.col("_texts"), rule)
             fields = {n: F.when(F.col("_page").isNotNull(), v).otherwise(fields[n]) if n in fields else v
                       for n, v in {**fields, **pages}.items()}
         per_rule[i] = fields
@@ -213,7 +222,7 @@ def extract_book(df: DataFrame, rules: Sequence[ParseRule]) -> DataFrame:
     values["flightType"] = _by_rule(number, {i: F.lit(code) for i, code in known.items()}, F.lit(-1))
     values["travelType"] = _by_rule(
         number, {i: code_of(F.col("travel_type"), TRAVEL_CODES) for i in known}, F.lit(-1))
-    return df.withColumn("book_data", _record(BOOK_SCHEMA, values)).drop("_rule", "_page", "_doc")
+    return df.withColumn("book_data", _record(BOOK_SCHEMA, values)).drop("_rule", "_page", "_texts", "_doc")
 
 
 def core_params(df: DataFrame, book_fallback: bool = True) -> DataFrame:

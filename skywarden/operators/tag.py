@@ -56,11 +56,11 @@ def tag_request_type(df: DataFrame, rules: Sequence[ClassifyRule], column: str =
             number = F.when(any_full_match(F.col(column), patterns), F.lit(i)).otherwise(number)
     names = [*classes, ("Other", "Other")]
     found = F.col("_class") + 1
-    # The patterns are tried once; both names are read off the class number.
-    return df.withColumn("_class", number).withColumns({
-        "flight_type": F.element_at(F.array(*[F.lit(f) for f, _ in names]), found),
-        "behavior_type": F.element_at(F.array(*[F.lit(b) for _, b in names]), found),
-    }).drop("_class")
+    both = F.struct(F.element_at(F.array(*[F.lit(f) for f, _ in names]), found).alias("flight_type"),
+                    F.element_at(F.array(*[F.lit(b) for _, b in names]), found).alias("behavior_type"))
+    # The names come out of a generator, so that filters on them read them instead of trying all patterns again.
+    return (df.drop("flight_type", "behavior_type").withColumn("_class", number)
+            .select("*", F.inline(F.array(both))).drop("_class"))
 
 
 def travel_type(referrer: Column) -> Column:

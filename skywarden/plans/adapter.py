@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skywarden.operators.joins import salted_join
 from skywarden.session import work_dir
 
 _K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
@@ -99,20 +100,19 @@ RAW_COLUMNS = {
 }
 
 SPIDER_COLUMNS = {
-    "remote_addr": _IP,
+    "remote_addr": "remote_addr",
     "flow_id": "CASE WHEN user_id % 7 = 3 AND user_id % 3 = 0 THEN 'null' ELSE concat('F', user_id % 3) END",
     "score": "CAST(round(value) AS STRING)",
     "strategic_id": "concat('ST', user_id % 2)",
 }
-SPIDER_WHERE = "event_type = 'error' AND user_id % 7 IN (1, 3, 5)"
 
 
 def _select(columns: dict[str, str]) -> list[str]:
     return [f"{expr} AS {name}" for name, expr in columns.items()]
 
 
-def _sql(columns: dict[str, str], where: str | None = None) -> str:
-    return (f"SELECT {', '.join(_select(columns))} FROM events" + (f" WHERE {where}" if where else ""))
+def _sql(columns: dict[str, str]) -> str:
+    return f"SELECT {', '.join(_select(columns))} FROM events"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,10 +154,22 @@ def staged_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def spiders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed addresses, with repeats as they come."""
-    return read(spark, sf_dir, "events").where(SPIDER_WHERE).selectExpr(*_select(SPIDER_COLUMNS))
+    """Addresses whose errors cost more than the average error does, once per error and so with repeats."""
+    errors = (read(spark, sf_dir, "events").where("event_type = 'error'")
+              .select("user_id", "value", F.expr(_IP).alias("remote_addr"),
+                      F.expr("CAST(round(value * 100) AS BIGINT)").alias("cents")))
+    totals = errors.groupBy("remote_addr").agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
+    mean = totals.agg((F.sum("cents").cast("double") / F.sum("n")).alias("mean"))
+    listed = totals.where(F.col("cents") > F.col("n") * mean.scalar()).select("remote_addr")
+    # The listed addresses are aggregates of the errors; a hot one is spread over the errors' columns.
+    return salted_join(errors, listed, ["remote_addr"], "left_semi", ["user_id", "value"], 4).selectExpr(
+        *_select(SPIDER_COLUMNS))
 
 
 REQUESTS_SQL = _sql(REQUEST_COLUMNS)
 RAW_SQL = _sql(RAW_COLUMNS)
-SPIDERS_SQL = _sql(SPIDER_COLUMNS, SPIDER_WHERE)
+SPIDERS_SQL = f"""SELECT {', '.join(_select(SPIDER_COLUMNS))} FROM (
+ SELECT user_id, value, {_IP} AS remote_addr FROM events WHERE event_type = 'error') WHERE remote_addr IN (
+ SELECT {_IP} FROM events WHERE event_type = 'error' GROUP BY 1
+ HAVING sum(CAST(round(value * 100) AS BIGINT)) > count(*) * (SELECT sum(CAST(round(value * 100) AS BIGINT))::DOUBLE
+  / count(*) FROM events WHERE event_type = 'error'))"""

@@ -586,14 +586,14 @@ def _rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rule_names(spark: SparkSession, sf: str) -> DataFrame:
-    return adapter.read(spark, sf, "part").where("p_partkey < 6").selectExpr(
-        "concat('rule', p_partkey) AS rule_name", "concat('metric', p_partkey) AS rule_real_name")
+    return adapter.read(spark, sf, "part").selectExpr(
+        "concat('rule', p_partkey % 7) AS rule_name", "concat('metric', p_partkey % 7) AS rule_real_name").distinct()
 
 
 cte("named", (), """
 SELECT (l_orderkey * 10 + l_linenumber)::VARCHAR AS id, l_suppkey::VARCHAR AS flow_id,
  concat('metric', l_partkey % 7) AS name, (l_linenumber % 2)::INTEGER AS status, l_quantity AS arg0, l_tax AS arg1
-FROM lineitem WHERE l_orderkey % 2 = 0 AND l_partkey % 7 < 6""")
+FROM lineitem WHERE l_orderkey % 2 = 0""")
 cte("limits", (), """
 SELECT s_suppkey::VARCHAR AS flow_id, s_name AS flow_name, s_acctbal AS flow_limit FROM supplier WHERE s_suppkey % 2 = 0""")
 

@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions that were started without a checkpoint folder, by application.
+_LOCAL: dict[str, str] = {}
+
 
 def build_session(app: str = "skywarden", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings every job relies on; cluster sizing stays with the caller."""
@@ -35,10 +38,12 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
     Only a local master may fall back to a temporary folder: elsewhere the executors would not share it.
     """
-    base = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="skywarden-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="skywarden-")
+        base = _LOCAL[context.applicationId]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
