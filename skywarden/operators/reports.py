@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,20 +13,27 @@ def _blank(value: str | None) -> bool:
     return value is None or value.strip() == "" or value.lower() == "null"
 
 
+def _bound(df: DataFrame, column: str, text: str, days: int = 0) -> Column:
+    """A bound in the column's own type, so that the comparison reaches the scan."""
+    at = datetime.fromisoformat(text) + timedelta(days=days)
+    return F.lit(at.isoformat(sep=" ")).cast(df.schema[column].dataType)
+
+
 def date_range(df: DataFrame, start: str | None = None, end: str | None = None, column: str = "record_time",
                by_day: bool = False) -> DataFrame:
-    """Rows between two bounds, both included; a blank bound is open. ``by_day`` compares days only."""
-    value = F.to_date(column) if by_day else F.col(column)
-    kind = "date" if by_day else "timestamp"
+    """Rows between two bounds, both included; a blank bound is open. ``by_day`` takes in the whole end day."""
     if not _blank(start):
-        df = df.where(value >= F.lit(start).cast(kind))
+        df = df.where(F.col(column) >= _bound(df, column, start[:10] if by_day else start))
     if not _blank(end):
-        df = df.where(value <= F.lit(end).cast(kind))
+        if by_day:
+            df = df.where(F.col(column) < _bound(df, column, end[:10], 1))
+        else:
+            df = df.where(F.col(column) <= _bound(df, column, end))
     return df
 
 
 def same_day(df: DataFrame, day: str | None, column: str = "record_time") -> DataFrame:
-    return df if _blank(day) else df.where(F.to_date(column) == F.lit(day).cast("date"))
+    return df if _blank(day) else date_range(df, day, day, column, by_day=True)
 
 
 def report(df: DataFrame, start: str | None = None, end: str | None = None, order: Sequence[str] = ("record_time",),
