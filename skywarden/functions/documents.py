@@ -19,15 +19,16 @@ def json_text(document: Column, path: str | None) -> Column:
     return F.coalesce(F.get_json_object(document, path), F.lit(""))
 
 
-def json_list(document: Column, path: str | None) -> Column:
-    """Values at a JSON path as a list of strings, empty when there are none."""
-    empty = F.array().cast("array<string>")
-    if not path or not path.strip():
-        return empty
-    found = F.get_json_object(document, path)
+def json_found(document: Column, paths: Sequence[str | None]) -> Column:
+    """What stands at each JSON path, in path order; null for a blank path or a missing value."""
+    return F.array(*[F.get_json_object(document, p) if p and p.strip() else F.lit(None).cast("string") for p in paths])
+
+
+def as_list(found: Column) -> Column:
+    """A found JSON value as a list of strings; null gives an empty list."""
     # A wildcard with a single match comes back as the bare JSON value.
     listed = F.when(found.startswith("["), found).otherwise(F.concat(F.lit("["), found, F.lit("]")))
-    return F.coalesce(F.from_json(listed, "array<string>"), empty)
+    return F.coalesce(F.from_json(listed, "array<string>"), F.array().cast("array<string>"))
 
 
 def with_xml_page(df: DataFrame, body: Column, into: str = "_page") -> DataFrame:

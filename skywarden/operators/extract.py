@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skywarden.functions.codec import md5_upper, url_decode
-from skywarden.functions.documents import json_list, json_text, with_xml_page, xpath_list, xpath_text, xpath_texts
+from skywarden.functions.documents import (
+    as_list, json_found, json_text, with_xml_page, xpath_list, xpath_text, xpath_texts,
+)
 from skywarden.functions.text import full_match, key_values, last_value
 from skywarden.schema import (
     BEHAVIOR_CODES, BOOK_SCHEMA, FLIGHT_CODES, QUERY_SCHEMA, TRAVEL_CODES, ParseRule, code_of,
@@ -17,6 +19,8 @@ from skywarden.schema import (
 
 QUERY_FIELDS = ("depCity", "arrCity", "flightDate", "adultNum", "childNum", "infantNum", "country")
 BOOK_TEXTS = ("bookUserId", "bookUnUserId", "contractName", "contractPhone")
+BOOK_JSON = ("bookUserId", "contractName", "contractPhone", "psgFirName", "psgName", "idType", "idCard", "depCity",
+             "arrCity", "flightDate", "flightNo", "cabin")
 BOOK_LISTS = ("psgName", "psgType", "idType", "idCard", "depCity", "arrCity", "flightDate", "cabin")
 
 
@@ -165,19 +169,17 @@ def xml_book_fields(page: Column, texts: Column, rule: ParseRule) -> dict[str, C
     return out
 
 
-def json_book_fields(doc: Column, rule: ParseRule) -> dict[str, Column]:
-    """Booking fields by JSON path; passenger names are first and last name joined."""
-    out = {name: json_text(doc, rule.book.get(name)) for name in ("bookUserId", "contractName", "contractPhone")}
-    first, last = json_list(doc, rule.book.get("psgFirName")), json_list(doc, rule.book.get("psgName"))
-    both = F.zip_with(first, last, lambda a, b: F.when(
+def json_book_fields(found: Column) -> dict[str, Column]:
+    """Booking fields out of the values at the JSON paths; passenger names are first and last name joined."""
+    at = {name: F.get(found, F.lit(i)) for i, name in enumerate(BOOK_JSON)}
+    out = {name: F.coalesce(at[name], F.lit("")) for name in ("bookUserId", "contractName", "contractPhone")}
+    both = F.zip_with(as_list(at["psgFirName"]), as_list(at["psgName"]), lambda a, b: F.when(
         a.isNotNull(), F.concat(a, F.coalesce(b, F.lit("")))))
     out["psgName"] = F.filter(both, lambda x: x.isNotNull())
     for name in ("idType", "idCard"):
-        out[name] = json_list(doc, rule.book.get(name))
+        out[name] = as_list(at[name])
     for name in ("depCity", "arrCity", "flightDate", "flightNo", "cabin"):
-        path = rule.book.get(name)
-        value = F.get_json_object(doc, path) if path else F.lit(None).cast("string")
-        out[name] = F.filter(F.array(value), lambda x: x.isNotNull())
+        out[name] = F.filter(F.array(at[name]), lambda x: x.isNotNull())
     return out
 
 
@@ -200,12 +202,15 @@ def extract_book(df: DataFrame, rules: Sequence[ParseRule]) -> DataFrame:
         document = F.when(number == i, form_json(last_value(form_pairs(body), rules[i].form_field))).otherwise(document)
     # Quotes that were escaped as \\x22 are dropped.
     df = df.withColumn("_doc", F.trim(F.replace(document, F.lit("\\x22"), F.lit(""))))
+    df = df.withColumn("_found", _by_rule(
+        number, {i: json_found(F.col("_doc"), [rules[i].book.get(n) for n in BOOK_JSON]) for i in [*plain, *field]},
+        F.lit(None).cast("array<string>")))
 
     per_rule = {}
     for i, rule in enumerate(rules):
         fields = {}
         if i in plain or i in field:
-            fields = json_book_fields(F.col("_doc"), rule)
+            fields = json_book_fields(F.col("_found"))
         if i in xml:
             pages = xml_book_fields(F.col("_page"), F.col("_texts"), rule)
             fields = {n: F.when(F.col("_page").isNotNull(), v).otherwise(fields[n]) if n in fields else v
@@ -222,7 +227,7 @@ def extract_book(df: DataFrame, rules: Sequence[ParseRule]) -> DataFrame:
     values["flightType"] = _by_rule(number, {i: F.lit(code) for i, code in known.items()}, F.lit(-1))
     values["travelType"] = _by_rule(
         number, {i: code_of(F.col("travel_type"), TRAVEL_CODES) for i in known}, F.lit(-1))
-    return df.withColumn("book_data", _record(BOOK_SCHEMA, values)).drop("_rule", "_page", "_texts", "_doc")
+    return df.withColumn("book_data", _record(BOOK_SCHEMA, values)).drop("_rule", "_page", "_texts", "_doc", "_found")
 
 
 def core_params(df: DataFrame, book_fallback: bool = True) -> DataFrame:

@@ -139,7 +139,7 @@ def _(spark, sf):
 
 @query("p4_cookie_decode", "SELECT doc_id, upper(md5(text)) AS decoded FROM documents")
 def _(spark, sf):
-    docs = adapter.read(spark, sf, "documents")
+    docs = adapter.spread_scan(adapter.read(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", md5_upper(cookie_decode(js_escape(F.col("text")))).alias("decoded"))
 
 
@@ -153,7 +153,7 @@ def _(spark, sf):
 
 @query("p6_mask_phones", f"SELECT doc_id, {_MASK.format('text', PHONE)} AS masked FROM documents")
 def _(spark, sf):
-    docs = adapter.read(spark, sf, "documents")
+    docs = adapter.spread_scan(adapter.read(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", mask_text(F.col("text"), PHONE).alias("masked"))
 
 
@@ -161,7 +161,8 @@ def _(spark, sf):
 SELECT doc_id, {_MASK.format('t', IDENTITY)} AS masked FROM (
  SELECT doc_id, {_MASK.format('text', PHONE)} AS t FROM documents)""")
 def _(spark, sf):
-    return mask_pii(adapter.read(spark, sf, "documents"), "text").select("doc_id", F.col("text").alias("masked"))
+    docs = adapter.spread_scan(adapter.read(spark, sf, "documents").select("doc_id", "text"))
+    return mask_pii(docs, "text").select("doc_id", F.col("text").alias("masked"))
 
 
 @query("p8_digest", "SELECT doc_id, upper(md5(text)) AS digest FROM documents")

@@ -186,7 +186,7 @@ def test_pages(spark):
     ('{"p":[{"f":"a"},{"f":"c"}]}', ["a", "c"]), ('{"p":[{"f":"a"}]}', ["a"]), ('{"p":[]}', []), ("bad", []),
     ('{"p":[{"f":"[x]"}]}', ["[x]"])])
 def test_json_lists(spark, doc, want):
-    assert one(spark, documents.json_list(F.col("d"), "$.p[*].f"), d=doc) == want
+    assert one(spark, documents.as_list(F.get(documents.json_found(F.col("d"), ["", "$.p[*].f"]), F.lit(1))), d=doc) == want
 
 
 def request(spark, **over):
