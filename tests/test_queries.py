@@ -47,4 +47,4 @@ def test_entry(spark):
 
     rows = entry.entry(spark).collect()
     assert rows and all(r.flow_score > 40 for r in rows)
-    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
