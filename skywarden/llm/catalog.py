@@ -30,9 +30,9 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
         THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.g = y.g AND x.doc_id > y.doc_id
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM s x JOIN s y ON x.g = y.g AND x.doc_id > y.doc_id
       GROUP BY 1, 2),
-l AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * both >= 75 * (m.n + o.n - both)),
+l AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n o ON o.doc_id = b WHERE 100 * n_both >= 75 * (m.n + o.n - n_both)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
 c AS (SELECT a, min(b) AS component_id FROM r GROUP BY 1)
