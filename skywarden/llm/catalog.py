@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import neardup
+from skywarden.llm import neardup, substring
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,23 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.a = d.doc_id"""
 @query("op1_near_duplicates", _NEAR_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_REPEATS_SQL = rf"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws
+           FROM documents),
+s AS (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35),
+h AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h FROM s),
+d AS (SELECT h FROM h GROUP BY 1 HAVING count(*) > 1),
+c AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM h SEMI JOIN d USING (h)),
+g AS (SELECT r, list(i) AS gone FROM c GROUP BY 1),
+k AS (SELECT doc_id, ws, coalesce(len(gone), 0) AS n_removed,
+             CASE WHEN gone IS NULL THEN ws ELSE list_select(ws, list_sort(list_filter(range(1, len(ws) + 1),
+                                                             lambda i: NOT list_contains(gone, i)))) END AS kept
+      FROM w LEFT JOIN g USING (r))
+SELECT doc_id, len(ws) AS n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k"""
+
+
+@query("op8_substring_dedup", _REPEATS_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removed_words(table(spark, sf_dir, "documents"))
