@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import neardup, substring
+from skywarden.llm import language, neardup, substring
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ SELECT doc_id, len(ws) AS n_words, n_removed, sha256(array_to_string(kept, ' '))
 @query("op8_substring_dedup", _REPEATS_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removed_words(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
