@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import language, neardup, substring
+from skywarden.llm import language, neardup, pseudonyms, substring
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Run, str | None]] = {}
 
+# Key of the registered queries; a deployment brings its own secret.
+PSEUDONYM_KEY = b"key of the registered queries"
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -68,3 +71,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op6_pseudonyms")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymous(table(spark, sf_dir, "documents"), PSEUDONYM_KEY).select(
+        "doc_id", "n_replaced", "text")
