@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import language, neardup, pseudonyms, substring
+from skywarden.llm import language, neardup, packing, pseudonyms, substring
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymous(table(spark, sf_dir, "documents"), PSEUDONYM_KEY).select(
         "doc_id", "n_replaced", "text")
+
+
+@query("op3_best_fit_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))

@@ -98,22 +98,20 @@ def fit(rows: DataFrame) -> Model:
         F.sum("n").alias("n"))
     grams = words.mapInArrow(count_grams, "lang string, size int, gram string, n long").groupBy(
         "lang", "size", "gram").agg(F.sum("n").alias("n"))
-    counts = (words.withColumn("size", F.lit(0)).unionByName(grams)
-              .groupBy("size", "gram").agg(F.collect_list(F.struct("lang", "n")).alias("by"), F.sum("n").alias("total"))
-              .where(F.col("total") >= F.when(F.col("size") == 0, MIN_COUNT).otherwise(1))
-              .orderBy("size", "gram").collect())
-    languages = sorted({x.lang for r in counts for x in r.by})
-    place = {lang: i for i, lang in enumerate(languages)}
+    # In an order of its own, so that equal input gives an equal model.
+    counts = words.withColumn("size", F.lit(0)).unionByName(grams).toPandas().sort_values(["size", "gram", "lang"])
+    languages = sorted(counts["lang"].unique())
     tables, logs = [], []
     for size in (0, *range(LONGEST, 0, -1)):
-        mine = [r for r in counts if r["size"] == size]
-        n = np.zeros((len(mine), len(languages)))
-        for i, r in enumerate(mine):
-            for x in r.by:
-                n[i, place[x.lang]] = x.n
+        mine = counts[counts["size"] == size]
+        if not size:
+            mine = mine[mine.groupby("gram")["n"].transform("sum") >= MIN_COUNT]
+        grams_here, row = np.unique(mine["gram"].to_numpy(str), return_inverse=True)
+        n = np.zeros((len(grams_here), len(languages)))
+        n[row, np.searchsorted(languages, mine["lang"].to_numpy(str))] = mine["n"].to_numpy()
         smooth = 0.5
-        logs.append(np.log((n + smooth) / (n.sum(axis=0) + smooth * max(1, len(mine)))).astype(np.float32))
-        tables.append({r.gram: i for i, r in enumerate(mine)})
+        logs.append(np.log((n + smooth) / (n.sum(axis=0) + smooth * max(1, len(n)))).astype(np.float32))
+        tables.append({gram: i for i, gram in enumerate(grams_here.tolist())})
     return Model(languages, tables, logs)
 
 
