@@ -29,8 +29,8 @@ LONGEST = 5
 # Words that count as independent evidence when log frequencies become a confidence.
 EVIDENCE = 25
 UNKNOWN = "und"
-# Results that a scoring task keeps for words it has met.
-_MEMORY = 200_000
+# What a scoring task remembers of runs of characters it has met, and how many it takes up at a time.
+_MEMORY, _CHUNK = 300_000, 50_000
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -50,15 +50,73 @@ class Model:
     tables: list[dict[str, int]]  # words, then n-grams of LONGEST, LONGEST - 1, ... 1 characters
     logs: list[np.ndarray]
 
-    def vector(self, word: str) -> np.ndarray | None:
-        at = self.tables[0].get(word)
-        if at is not None:
-            return self.logs[0][at]
-        for level, n in enumerate(range(LONGEST, 0, -1), 1):
-            known = [i for i in map(self.tables[level].get, grams_of(word, n)) if i is not None]
-            if known:
-                return self.logs[level][known].mean(axis=0)
-        return None
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Log frequencies of each word by language, and in the last column whether the model knows anything of it."""
+        out = np.zeros((len(words), len(self.languages) + 1), np.float32)
+        open_, sizes = list(range(len(words))), (0, *range(LONGEST, 0, -1))
+        for size, table, logs in zip(sizes, self.tables, self.logs, strict=True):
+            known, counts, done, rest = [], [], [], []
+            for i in open_:
+                grams = grams_of(words[i], size) if size else (words[i],)
+                found = [at for g in grams if (at := table.get(g)) is not None]
+                if found:
+                    known += found
+                    counts.append(len(found))
+                    done.append(i)
+                else:
+                    rest.append(i)
+            if done:
+                first = np.concatenate([[0], np.cumsum(counts)[:-1]])
+                out[done, :-1] = np.add.reduceat(logs[known], first) / np.array(counts, np.float32)[:, None]
+                out[done, -1] = 1
+            open_ = rest
+        return out
+
+
+class Scorer:
+    """Sums of log frequencies over texts; remembers what a run of characters between white space adds to them."""
+
+    def __init__(self, model: Model):
+        self.model, self.width = model, len(model.languages)
+        self._forget(_MEMORY)
+
+    def _forget(self, room: int) -> None:
+        self.memory: dict[str, int] = {}
+        # Sums by language, known words, words.
+        self.table = np.zeros((room, self.width + 2), np.float32)
+
+    def _learn(self, tokens: set[str]) -> None:
+        new = [t for t in tokens if t not in self.memory]
+        if len(self.memory) + len(new) > len(self.table):
+            new = list(tokens)
+            self._forget(max(_MEMORY, len(new)))
+        if not new:
+            return
+        words = [_WORD.findall(t) for t in new]
+        rows = self.model.vectors([w for ws in words for w in ws])
+        counts = np.array([len(ws) for ws in words])
+        base = len(self.memory)
+        sums = np.zeros((len(new), self.width + 2), np.float32)
+        np.add.at(sums[:, :-1], np.repeat(np.arange(len(new)), counts), rows)
+        sums[:, -1] = counts
+        self.table[base:base + len(new)] = sums
+        self.memory.update(zip(new, range(base, base + len(new)), strict=True))
+
+    def sums(self, texts: list[str | None]) -> np.ndarray:
+        out = np.zeros((len(texts), self.width + 2))
+        at = 0
+        while at < len(texts):
+            group, size = [], 0
+            while at < len(texts) and size < _CHUNK:
+                group.append((texts[at] or "").lower().split())
+                size += len(group[-1])
+                at += 1
+            self._learn({t for tokens in group for t in tokens})
+            get = self.memory.__getitem__
+            for i, tokens in enumerate(group, at - len(group)):
+                if tokens:
+                    out[i] = self.table[list(map(get, tokens))].sum(axis=0, dtype=np.float64)
+        return out
 
 
 def is_held_out() -> Column:
@@ -125,40 +183,19 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        width = len(model.languages)
-        memory: dict[str, int] = {}
-        table = np.zeros((_MEMORY, width + 1), np.float32)
-
-        def place_of(word: str) -> int:
-            found = model.vector(word)
-            at = len(memory)
-            table[at, :width] = 0 if found is None else found
-            table[at, width] = found is not None
-            memory[word] = at
-            return at
-
+        scorer = Scorer(shared.value)
+        languages = np.array([*scorer.model.languages, UNKNOWN])
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                sums = np.zeros(width + 1)
-                for at in range(0, len(words), _MEMORY // 2):
-                    part = words[at:at + _MEMORY // 2]
-                    if len(memory) + len(part) > _MEMORY:
-                        memory.clear()
-                    get = memory.get
-                    places = [i if (i := get(w)) is not None else place_of(w) for w in part]
-                    sums += table[places].sum(axis=0, dtype=np.float64)
-                if not words or not width:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                mean = sums[:width] / max(1.0, sums[width]) * min(sums[width], EVIDENCE)
-                share = np.exp(mean - mean.max())
-                best = int(mean.argmax())
-                langs.append(model.languages[best])
-                scores.append(float(share[best] / share.sum()))
+            sums = scorer.sums(batch.column("text").to_pylist())
+            known, width = sums[:, -2:-1], scorer.width
+            mean = sums[:, :width] / np.maximum(known, 1) * np.minimum(known, EVIDENCE)
+            lettered = (sums[:, -1] > 0) & (width > 0)
+            best, scores = np.full(len(mean), width), np.zeros(len(mean))
+            if width:
+                share = np.exp(mean - mean.max(axis=1, keepdims=True))
+                best[lettered] = share.argmax(axis=1)[lettered]
+                scores[lettered] = (share.max(axis=1) / share.sum(axis=1))[lettered]
+            langs = languages[best]
             rest = [batch.column(i) for i in range(batch.num_columns)]
             yield pa.record_batch([*rest, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names)
 
