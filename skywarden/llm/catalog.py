@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import language, neardup, packing, pseudonyms, substring
+from skywarden.llm import language, neardup, packing, pseudonyms, quality, substring
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,35 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+_QUALITY_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text
+           FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{WORD}') AS ws FROM d),
+t AS (SELECT r, i, array_to_string(ws[i:i + 2], ' ') AS three
+      FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+tr AS (SELECT r, count(DISTINCT p) AS n_repeat_words
+       FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM t JOIN
+             (SELECT r, three FROM t GROUP BY 1, 2 HAVING count(*) > 1) USING (r, three)) GROUP BY 1),
+l0 AS (SELECT r, host, unnest(string_split(text, chr(10))) AS line FROM d),
+l AS (SELECT r, host, line, regexp_extract_all(line, '{WORD}') AS ws FROM l0),
+ln AS (SELECT r, host, line, len(ws) AS n, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
+              'abcdefghijklmnopqrstuvwxyz000000000') AS norm FROM l WHERE len(ws) > 0),
+du AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln GROUP BY 1),
+h AS (SELECT host, count(*) AS documents FROM d GROUP BY 1),
+c AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT r) AS n_docs FROM ln GROUP BY 1, 2) JOIN h USING (host)
+      WHERE n_docs > 20 AND 100 * n_docs > 2 * documents),
+g AS (SELECT r, count(*) AS n_common_lines, sum(n)::BIGINT AS gone FROM ln SEMI JOIN c USING (host, norm) GROUP BY 1),
+f AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             coalesce(n_common_lines, 0) AS n_common_lines, len(ws) - coalesce(gone, 0) AS n_left_words
+      FROM w LEFT JOIN tr USING (r) LEFT JOIN du USING (r) LEFT JOIN g USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT *, NOT base_failed AND 2 * n_left_words >= n_words AS kept FROM b"""
+
+
+@query("op2_quality_rules", _QUALITY_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))

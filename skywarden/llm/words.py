@@ -26,11 +26,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _byte_values(lower: bool) -> np.ndarray:
+@lru_cache(maxsize=4)
+def _byte_values(lower: bool, one_digit: bool) -> np.ndarray:
     codes = np.arange(256, dtype=np.uint64)
     if lower:
         codes[65:91] += np.uint64(32)
+    if one_digit:
+        codes[48:58] = 48
     return mix((codes + np.uint64(1)) * _BASE)
 
 
@@ -53,9 +55,12 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 class Words:
-    """Words of some texts: ``hashes``, first and last byte (``starts``, ``ends``), and ``first[i]:first[i+1]`` of text i."""
+    """Words of some texts: ``hashes``, first and last byte (``starts``, ``ends``), and ``first[i]:first[i+1]`` of text i.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool):
+    ``lower`` takes A-Z for a-z, ``one_digit`` every digit for 0.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, one_digit: bool = False):
         n = len(data)
         space = _SPACE[data]
         edge = np.zeros(n + 1, bool)
@@ -67,11 +72,11 @@ class Words:
         self.ends = np.flatnonzero(inside & (gap[2:] | edge[1:])) + 1
         power, back = _powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_byte_values(lower)[data] * power[:n], out=sums[1:])
+        np.cumsum(_byte_values(lower, one_digit)[data] * power[:n], out=sums[1:])
         length = (self.ends - self.starts).astype(np.uint64)
         self.hashes = mix((sums[self.ends] - sums[self.starts]) * back[self.starts] + length * _M2)
         self.first = np.searchsorted(self.starts, offsets)
-        self.data = data
+        self.data, self._bytes = data, sums
         self._sums: np.ndarray | None = None
 
     def counts(self) -> np.ndarray:
@@ -79,14 +84,23 @@ class Words:
 
     def windows(self, size: int, at: np.ndarray | None = None) -> np.ndarray:
         """Hash of the ``size`` words that start at each word number in ``at`` (default: wherever as many follow)."""
+        if at is None:
+            at = np.arange(max(0, len(self.hashes) - size + 1))
+        return self.runs(at, at + size)
+
+    def runs(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hash of the words from number ``first`` up to, not including, ``last``."""
         if self._sums is None:
             power, _ = _powers(len(self.hashes) + 1)
             self._sums = np.zeros(len(self.hashes) + 1, np.uint64)
             np.cumsum(self.hashes * power[:len(self.hashes)], out=self._sums[1:])
         back = _powers(len(self.hashes) + 1)[1]
-        if at is None:
-            at = np.arange(max(0, len(self.hashes) - size + 1))
-        return mix((self._sums[at + size] - self._sums[at]) * back[at] + np.uint64(size * int(_M1) % (1 << 64)))
+        return mix((self._sums[last] - self._sums[first]) * back[first] + (last - first).astype(np.uint64) * _M1)
+
+    def spans(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hash of the bytes from ``first`` up to, not including, ``last``."""
+        back = _powers(len(self.data) + 1)[1]
+        return mix((self._bytes[last] - self._bytes[first]) * back[first] + (last - first).astype(np.uint64) * _M2)
 
 
 def _raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
