@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import language, neardup, packing, pseudonyms, quality, substring
+from skywarden.llm import fingerprint, language, neardup, packing, pseudonyms, quality, substring
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,8 @@ SELECT *, NOT base_failed AND 2 * n_left_words >= n_words AS kept FROM b"""
 @query("op2_quality_rules", _QUALITY_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op4_fingerprints")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
