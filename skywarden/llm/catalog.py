@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import fingerprint, language, neardup, packing, pseudonyms, quality, substring
+from skywarden.llm import fingerprint, language, neardup, packing, pseudonyms, quality, substring, warc
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_fingerprints")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS head
+      FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM m"""
+
+
+@query("op5_warc", _WARC_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
