@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skywarden.llm import fingerprint, language, neardup, packing, pseudonyms, quality, substring, warc
+from skywarden.llm import fingerprint, language, neardup, packing, pseudonyms, quality, substring, toxicity, warc
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +134,8 @@ FROM m"""
 @query("op5_warc", _WARC_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
