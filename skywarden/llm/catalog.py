@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skywarden.llm import fingerprint, language, neardup, packing, pseudonyms, quality, substring, toxicity, warc
+from skywarden.llm import fingerprint, language, neardup, packing, pieces, pseudonyms, quality, substring, toxicity, warc
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -139,3 +140,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, how many, and the digest of what they decode to."""
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+                          F.sha2("text", 256).alias("decoded_sha256"))
