@@ -132,10 +132,48 @@ def ip_min_gap(df: DataFrame, critical: Column, window: str | None = None, slide
 
 
 def ip_metrics(df: DataFrame, critical: Column, window: str | None = None, slide: str | None = None,
-               weight: str | None = None) -> DataFrame:
-    """All per-address metrics in one frame."""
-    counts = ip_counts(df, critical, window, slide, weight)
-    return counts.join(ip_min_gap(df, critical, window, slide, weight), _keys(window, ["remote_addr"]), "left")
+               weight: str | None = None, slice_ms: int = SLICE_MS) -> DataFrame:
+    """All per-address metrics in one frame, from one pass over the input.
+
+    A request unfolds to the facts it adds to: itself, its agent, itinerary and session, and the millisecond of a
+    critical page. Equal facts collapse on the map side; what is left is counted, and measured for gaps, in parts that
+    split an address by time slice or by a hash of the value.
+    """
+    keys = _keys(window, ["remote_addr"])
+    w = F.col(weight) if weight else F.lit(1)
+    src = _with_window(df, window, slide).withColumns({"_critical": critical, "_w": w.cast("long")})
+    ms = F.unix_millis("event_time")
+
+    def fact(kind: str, when: Column | None = None, value: Column | None = None, at: Column | None = None) -> Column:
+        made = F.struct(F.lit(kind).alias("kind"), (value if value is not None else F.lit(None)).cast("string").alias("value"),
+                        (at if at is not None else F.lit(None)).cast("long").alias("ms"))
+        return made if when is None else F.when(when, made)
+
+    trip = F.concat("depcity", F.lit("->"), "arrcity")
+    facts = F.array_compact(F.array(
+        fact("other", ~F.coalesce("_critical", F.lit(False))), fact("page", F.col("_critical")),
+        fact("agent", F.col("http_user_agent").isNotNull(), F.col("http_user_agent")), fact("trip", trip.isNotNull(), trip),
+        fact("session", F.col("_critical") & F.col("jsessionid").isNotNull(), F.col("jsessionid")),
+        fact("time", F.col("_critical"), at=ms)))
+    per_fact = (src.select(*keys, "_w", F.explode(facts).alias("_f")).select(*keys, "_w", "_f.*")
+                .groupBy(*keys, "kind", "value", "ms").agg(F.sum("_w").alias("_n")))
+    part = F.coalesce(F.floor(F.col("ms") / slice_ms), F.pmod(F.xxhash64("value"), F.lit(64)))
+    sliced = per_fact.withColumn("_slice", part)
+    gap = F.col("ms") - F.lag("ms").over(Window.partitionBy(*keys, "kind", "_slice").orderBy("ms"))
+    slices = sliced.withColumn("_gap", gap).groupBy(*keys, "kind", "_slice").agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"), F.min("ms").alias("_first"),
+        F.max("ms").alias("_last"),
+        F.min(F.when(F.col("ms").isNotNull() & (F.col("_n") > 1), F.lit(0).cast("long")).otherwise(F.col("_gap"))).alias("_min"))
+    border = F.col("_first") - F.lag("_last").over(Window.partitionBy(*keys, "kind").orderBy("_slice"))
+
+    def total(column: str, *kinds: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col(column))), F.lit(0)).cast("long")
+
+    return slices.withColumn("_border", border).groupBy(*keys).agg(
+        total("_rows", "other", "page").alias("ip_count"), total("_rows", "page").alias("critical_count"),
+        total("_values", "agent").alias("ua_count"), total("_values", "trip").alias("trip_count"),
+        total("_values", "session").alias("session_count"),
+        F.min(F.when(F.col("kind") == "time", F.least("_min", "_border"))).alias("min_gap_ms"))
 
 
 def url_profile(df: DataFrame, critical: Column, threshold_ms: int = GAP_LIMIT_MS, window: str | None = None,
@@ -173,10 +211,10 @@ def metric_vectors(df: DataFrame, critical: Column, window: str | None = None, s
     """
     src = _with_window(df, window, slide)
     by_ip = _keys(window, ["remote_addr"])
-    per_ip = (ip_counts(src, critical, window, weight=weight)
-              .withColumn("ip_block", ip_block(F.col("remote_addr")))
-              .join(block_metrics(src, window, weight=weight), _keys(window, ["ip_block"]), "left")
-              .join(ip_min_gap(src, critical, window, weight=weight), by_ip, "left"))
+    # A block has a bounded number of addresses, and its requests are the sum of theirs.
+    of_block = Window.partitionBy(*_keys(window, ["ip_block"]))
+    per_ip = (ip_metrics(src, critical, window, weight=weight).withColumn("ip_block", ip_block(F.col("remote_addr")))
+              .withColumn("ip_block_count", F.sum("ip_count").over(of_block)))
     vectors = salted_join(url_profile(src, critical, threshold_ms, window, weight=weight), per_ip, by_ip, "left",
                           ["request"], URL_SALTS)
     zero = [c for c in METRICS.values() if c != "min_gap_ms"]

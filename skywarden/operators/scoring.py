@@ -16,8 +16,6 @@ from skywarden.schema import Flow, ScoreRule
 CRAWLER_PREFIX = "CSANTI_ANTI_BLACK"
 OCCUPY_PREFIX = "CSANTI_OCP_BLACK"
 BLACKLIST_TTL_S = 120
-# Flows times rules up to which rules are compiled to columns instead of being joined.
-COMPILE_LIMIT = 500
 
 _FLOW_TYPE = ("struct<flow_id:string,flow_score:double,flow_limit:double,is_up_limited:boolean,"
               "strategy_code:string,hit_rules:array<string>,hit_time:timestamp>")
@@ -78,28 +76,42 @@ def score(df: DataFrame, flows: Sequence[Flow], hit_time: Column | None = None)
     return df.withColumn("flows_score", results.cast(f"array<{_FLOW_TYPE}>"))
 
 
-def score_by_join(df: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same for rule sets too large to compile: one row per key and flow.
+def score_by_join(df: DataFrame, rules: DataFrame, keys: Sequence[str], hit_time: str = "last_seen") -> DataFrame:
+    """The same for rule sets too large to compile: one row per key and flow, equal to ``flow_rows`` of ``score``.
 
-    ``rules`` has flow_id, flow_limit, rule_order, name, status, limit and score. Each vector unfolds to its eight
-    metrics, which meet their rules in an equi-join on the metric name; a flow without any hit scores zero and is
-    left out.
+    ``rules`` has flow_id, flow_limit, rule_order, name, status, limit, score and, unless all are ``>``, comparator.
+    Each vector unfolds to its eight metrics, which meet their rules in an equi-join on the metric name; a rule on an
+    unknown metric sees zero. Flows without a hit come from the list of flows and score zero.
     """
-    metrics = F.array(*[F.struct(F.lit(name).alias("name"), F.col(col).cast("double").alias("value"))
-                        for name, col in METRICS.items()])
-    unfolded = df.select(*keys, F.explode(metrics).alias("m")).select(*keys, "m.name", "m.value")
-    hits = sized_join(unfolded, rules, ["name"], "inner", spread=keys).where(F.col("value") > F.col("limit"))
+    if "comparator" not in rules.columns:
+        rules = rules.withColumn("comparator", F.lit(">"))
+    rules = rules.withColumn("metric", F.when(F.col("name").isin(*METRICS), F.col("name")).otherwise(""))
+    metrics = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(col).cast("double").alias("value"))
+                        for name, col in METRICS.items()],
+                      F.struct(F.lit("").alias("metric"), F.lit(0.0).alias("value")))
+    unfolded = df.select(*keys, F.explode(metrics).alias("m")).select(*keys, "m.metric", "m.value")
+    below = (F.col("comparator") == "<") & (F.col("value") < F.col("limit"))
+    above = (F.col("comparator") != "<") & (F.col("value") > F.col("limit"))
+    hits = sized_join(unfolded, rules, ["metric"], "inner", spread=keys).where(below | above)
     on = F.col("status") == 0
     named = F.transform(
         F.array_sort(F.collect_list(F.when(on, F.struct("rule_order", "name")))), lambda x: x["name"])
-    out = hits.groupBy(*keys, "flow_id", "flow_limit").agg(
+    out = hits.groupBy(*keys, "flow_id").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col("score").cast("double")).alias("_all"),
         F.coalesce(F.sum(F.when(on, F.col("score").cast("double"))), F.lit(0.0)).alias("_on"),
         F.coalesce(F.max(F.when(on, F.col("score").cast("double"))), F.lit(0.0)).alias("_max"),
         named.alias("hit_rules"))
-    return (out.withColumn("flow_score", flow_score_from(F.col("_n"), F.col("_all"), F.col("_on"), F.col("_max")))
-            .withColumn("is_up_limited", F.col("flow_score") > F.col("flow_limit"))
-            .drop("_n", "_all", "_on", "_max"))
+    out = out.withColumn("_score", flow_score_from(F.col("_n"), F.col("_all"), F.col("_on"), F.col("_max")))
+    # The result has a row for every flow, so the list of flows goes along with every key.
+    flows = rules.groupBy("flow_id").agg(F.first("flow_limit").alias("flow_limit")).agg(
+        F.collect_list(F.struct("flow_id", "flow_limit"))).scalar()
+    every = df.select(*keys, F.col(hit_time).alias("hit_time"), F.explode(flows).alias("_f")).select(
+        *keys, "hit_time", "_f.*")
+    score = F.coalesce("_score", F.lit(0.0))
+    return every.join(out, [*keys, "flow_id"], "left").select(
+        *keys, "flow_id", score.alias("flow_score"), "flow_limit", (score > F.col("flow_limit")).alias("is_up_limited"),
+        F.col("flow_id").alias("strategy_code"),
+        F.coalesce("hit_rules", F.array().cast("array<string>")).alias("hit_rules"), "hit_time")
 
 
 def flow_rows(scored: DataFrame) -> DataFrame:

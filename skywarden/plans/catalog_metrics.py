@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -210,19 +209,21 @@ def _(spark, sf):
 
 
 def _rule_table(spark: SparkSession) -> DataFrame:
-    rows = [(f.flow_id, float(f.limit), i, r.name, r.status, float(r.limit), r.score)
+    rows = [(f.flow_id, float(f.limit), i, r.name, r.status, float(r.limit), r.score, r.comparator)
             for f in rules.FLOWS for i, r in enumerate(f.rules)]
-    return spark.createDataFrame(
-        rows, "flow_id string, flow_limit double, rule_order int, name string, status int, limit double, score int")
+    return spark.createDataFrame(rows, "flow_id string, flow_limit double, rule_order int, name string, status int, "
+                                       "limit double, score int, comparator string")
 
 
 @query("j7_rules_by_join", f"""
-SELECT {_FR}, round(flow_score, 9) AS flow_score, hit_rules FROM flow_rows WHERE n_hits > 0""", "flow_rows")
+SELECT {_FR}, round(flow_score, 9) AS flow_score, flow_limit, flow_score > flow_limit AS is_up_limited, hit_rules,
+ last_ms AS hit_ms FROM flow_rows""", "flow_rows")
 def _(spark, sf):
     vectors = mt.metric_vectors(_requests(spark, sf), critical(rules.CRITICAL), rules.WINDOW, threshold_ms=rules.GAP_MS)
     rows = sc.score_by_join(_day(vectors), _rule_table(spark), ["day", "remote_addr", "request"])
     return rows.select("day", "remote_addr", "request", "flow_id", F.round("flow_score", 9).alias("flow_score"),
-                       F.array_join("hit_rules", ",").alias("hit_rules"))
+                       "flow_limit", "is_up_limited", F.array_join("hit_rules", ",").alias("hit_rules"),
+                       F.unix_millis("hit_time").alias("hit_ms"))
 
 
 @query("g2_five_minute_metrics", f"""
@@ -274,9 +275,10 @@ def _per_key_sql(where: str) -> str:
 def _per_key(df: DataFrame) -> DataFrame:
     src = df.withColumns({"ip_block": mt.ip_block(F.col("remote_addr")),
                           "name_phone": F.concat_ws("/", "contact_name", "contact_phone")})
-    parts = [_day(mt.key_counts(src, [col], "1 day")).select(
-        F.lit(kind).alias("kind"), "day", F.col(col).alias("key_value"), "n") for kind, col in _KEYS.items()]
-    return reduce(DataFrame.unionByName, parts)
+    keys = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(col).cast("string").alias("key_value"))
+                     for kind, col in _KEYS.items()])
+    unfolded = src.select("event_time", F.explode(keys).alias("k")).select("event_time", "k.*")
+    return _day(mt.key_counts(unfolded, ["kind", "key_value"], "1 day")).select("kind", "day", "key_value", "n")
 
 
 @query("n2_bookings_per_key", _per_key_sql("behavior_type = 'Book'"), "m")

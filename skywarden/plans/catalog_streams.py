@@ -251,19 +251,18 @@ def _(spark, sf):
     """The odd events arrive after the even ones; those whose window is closed by then are dropped and counted."""
     out = work_dir(spark, "g3")
     rows = _requests(spark, sf).select("event_id", "event_time")
-    dropped = 0
+    log = jobs.BatchLog(spark, f"{out}/log", every=3)
+    spark.streams.addListener(log)
     for half in (0, 1):
-        rows.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{out}/in")
+        rows.where(F.col("event_id") % 2 == half).repartition(4).write.mode("append").parquet(f"{out}/in")
         stream = jobs.read_file_stream(spark, f"{out}/in", "event_id long, event_time timestamp")
         # Every row is a group of its own, so that rows dropped by the watermark count one by one.
         counts = (stream.withWatermark("event_time", "10 minutes")
                   .groupBy(F.window("event_time", "5 minutes"), "event_id").count())
-        q = (counts.writeStream.outputMode("append").format("noop").option("checkpointLocation", f"{out}/cp")
-             .trigger(availableNow=True).start())
-        _finish(q)
-        dropped += jobs.late_rows(q)
-    # The figure comes from the progress reports of the stream, not from a table.
-    return spark.range(1).select(F.lit(dropped).cast("long").alias("late_rows"))
+        _finish(counts.writeStream.outputMode("append").format("noop").option("checkpointLocation", f"{out}/cp")
+                .trigger(availableNow=True).start())
+    log.close()
+    return jobs.late_rows(jobs.read_batch_log(spark, f"{out}/log"))
 
 
 def _score_stream(spark: SparkSession, sf: str, out: str, watermark: str | None) -> jobs.ScoringSinks:
@@ -303,6 +302,26 @@ def _(spark, sf):
         F.array_join("hit_rules", ",").alias("hit_rules"), F.unix_millis("hit_time").alias("hit_ms"))
 
 
+@query("g4_live_blacklist", f"""
+SELECT concat('CSANTI_ANTI_BLACK', remote_addr, ':', flow_id) AS key, 120 AS life_s, live
+FROM (SELECT remote_addr, flow_id FROM ({_by_second('flow_rows')}) WHERE flow_score > flow_limit AND w < DATE '2024-01-30'
+QUALIFY row_number() OVER (PARTITION BY remote_addr ORDER BY last_ms DESC, request DESC, flow_order) = 1),
+(VALUES ('when written'), ('two minutes later')) t(live) WHERE live = 'when written'""")
+def _(spark, sf):
+    """The live blacklist at the time it was written, and none of it when its life is over."""
+    sinks = _score_stream(spark, sf, work_dir(spark, "g4l"), "1 minute")
+    stored = keyed.stored(spark, sinks.live)
+    # One row: the write time of the last batch.
+    at = stored.agg(F.max("written_at").alias("at"), F.max("expire_at").alias("end")).first()
+
+    def seen(now, what: str) -> DataFrame:
+        return keyed.live(spark, sinks.live, f"{now:%Y-%m-%d %H:%M:%S.%f}").select(
+            "key", (F.unix_seconds("expire_at") - F.unix_seconds("written_at")).cast("int").alias("life_s"),
+            F.lit(what).alias("live"))
+
+    return seen(at["at"], "when written").unionByName(seen(at["end"], "two minutes later"))
+
+
 @query("g4_batch_scoped_blacklist", f"""
 SELECT DISTINCT concat('CSANTI_ANTI_BLACK', remote_addr, ':') AS key_start FROM ({_by_second('m')})
 WHERE remote_addr IN (SELECT remote_addr FROM ({_by_second('m')}) GROUP BY 1 HAVING count(*) > 18)""")

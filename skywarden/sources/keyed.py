@@ -16,13 +16,18 @@ from skywarden.operators.blacklist import latest_row
 from skywarden.schema import KEYED_SCHEMA
 from skywarden.sources.writers import by_folder
 
+NEVER = "9999-12-31 00:00:00"
 _COLUMNS = ["key", "value", "expire_at", "written_at"]
 
 
 def put(df: DataFrame, root: str, batch_id: int) -> None:
-    """Write entries of one batch; repeating the batch replaces its rows."""
+    """Write entries of one batch; repeating the batch replaces its rows.
+
+    An entry that never expires has a folder of its own that the next one of its key replaces.
+    """
     rows = df.select(*_COLUMNS).withColumn("expire_hour", F.date_format("expire_at", "yyyy-MM-dd-HH"))
-    (by_folder(rows, "expire_hour").withColumn("batch", F.lit(batch_id))
+    own = F.when(F.col("expire_at") >= F.lit(NEVER).cast("timestamp"), F.pmod(F.xxhash64("key"), F.lit(1 << 40)))
+    (by_folder(rows, "expire_hour").withColumn("batch", F.coalesce(own, F.lit(batch_id).cast("long")))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("expire_hour", "batch").parquet(root))
 
@@ -62,7 +67,7 @@ def with_last(df: DataFrame, prefix: str, suffix: str = "_LAST") -> DataFrame:
     newest = own.agg(F.max_by("value", F.struct("written_at", "key")).alias("value"),
                      F.max("written_at").alias("written_at")).where(F.col("value").isNotNull())
     last = newest.select(F.lit(prefix + suffix).alias("key"), "value",
-                         F.lit("9999-12-31 00:00:00").cast("timestamp").alias("expire_at"), "written_at")
+                         F.lit(NEVER).cast("timestamp").alias("expire_at"), "written_at")
     return df.select(*_COLUMNS).unionByName(last)
 
 

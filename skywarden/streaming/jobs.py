@@ -6,16 +6,19 @@ repeated after a loss replaces what it wrote and nothing is counted twice.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from skywarden.operators import monitor as mon
+from skywarden.operators.blacklist import latest_row
 from skywarden.operators.line import from_line
 from skywarden.operators.metrics import GAP_LIMIT_MS, cells
 from skywarden.operators.scoring import BLACKLIST_TTL_S, blacklist
@@ -28,6 +31,9 @@ from skywarden.sources.writers import route, write_hourly_batch
 # Fixed value: length of a micro-batch.
 BATCH_INTERVAL = "2 seconds"
 
+BATCH_LOG_SCHEMA = ("query_id string, run_id string, name string, batch long, start_ms long, end_ms long, "
+                    "source_count long, late_rows long")
+
 
 def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
           interval: str | None = BATCH_INTERVAL, mode: str = "append") -> StreamingQuery:
@@ -47,26 +53,72 @@ def stop_gracefully(query: StreamingQuery, poll_s: float = 0.2) -> None:
     query.stop()
 
 
-def batch_log(query: StreamingQuery) -> list[dict]:
-    """Start, end and size of the batches a query reports, newest last."""
-    out = []
-    for p in query.recentProgress:
-        begin = int(p.timestamp and _millis(p.timestamp))
-        cost = int(p.durationMs.get("triggerExecution", 0))
-        out.append({"batch": int(p.batchId), "start_ms": begin, "end_ms": begin + cost,
-                    "source_count": int(p.numInputRows)})
-    return out
+class BatchLog(StreamingQueryListener):
+    """Writes what every micro-batch of the watched queries reports to a table, whatever the session keeps of it.
 
+    Rows go out in files of ``every`` batches, and when a query ends; a batch that ran again has the later row.
+    Register with ``spark.streams.addListener`` and call ``close`` before the table is read.
+    """
 
-def _millis(iso: str) -> int:
-    from datetime import datetime
+    def __init__(self, spark: SparkSession, root: str, every: int = 100):
+        self.spark, self.root, self.every = spark, root, every
+        self.rows: list[tuple] = []
+        self.files = 0
+        self.lock = threading.Lock()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        begin = _millis(p.timestamp)
+        late = sum(int(op.numRowsDroppedByWatermark) for op in p.stateOperators)
+        with self.lock:
+            self.rows.append((str(p.id), str(p.runId), p.name, int(p.batchId), begin,
+                              begin + int(p.durationMs.get("triggerExecution", 0)), int(p.numInputRows), late))
+            if len(self.rows) >= self.every:
+                self._flush()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.lock:
+            self._flush()
+
+    def close(self) -> None:
+        """Wait for reports on their way, stop listening and write the rest."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self.spark.streams.removeListener(self)
+        with self.lock:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.rows:
+            # The rows of one file are as few as ``every``.
+            self.spark.createDataFrame(self.rows, BATCH_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.root)
+            self.rows, self.files = [], self.files + 1
+
+
+def read_batch_log(spark: SparkSession, root: str) -> DataFrame:
+    """Start, end, size and late rows of every batch; of a batch that ran again, the latest run."""
+    rows = spark.read.schema(BATCH_LOG_SCHEMA).parquet(root)
+    return latest_row(rows, ["query_id", "batch"], ["start_ms", "end_ms", "run_id"])
 
+
+def _millis(iso: str) -> int:
     return int(datetime.fromisoformat(iso.replace("Z", "+00:00")).timestamp() * 1000)
 
 
-def late_rows(query: StreamingQuery) -> int:
+def late_rows(log: DataFrame) -> DataFrame:
     """Rows that came after their window was closed and were dropped."""
-    return sum(int(op.numRowsDroppedByWatermark) for p in query.recentProgress for op in p.stateOperators)
+    return log.agg(F.coalesce(F.sum("late_rows"), F.lit(0)).cast("long").alias("late_rows"))
+
+
+def batch_time(batch: DataFrame) -> tuple[DataFrame, datetime | None]:
+    """The batch without its ``batch_time``, and that time: it comes from the offset log, so a batch that is repeated
+    after a loss has the time it had before. None for an empty batch."""
+    return batch.drop("batch_time"), batch.agg(F.max("batch_time")).first()[0]
 
 
 @dataclass
@@ -78,9 +130,13 @@ class EtlSinks:
 
 
 def etl_batch(batch: DataFrame, batch_id: int, site: Site, sinks: EtlSinks, name: str,
-              order: Sequence[str] = ("time_hint",)) -> None:
-    """One batch of the ETL job: routed lines, link snapshot and throughput snapshot."""
-    begin = int(time.time() * 1000)
+              order: Sequence[str] = ("time_hint", "value"), begin_ms: int | None = None) -> None:
+    """One batch of the ETL job: routed lines, link snapshot and throughput snapshot.
+
+    Snapshots are keyed by ``begin_ms``, the time of the batch, so that a repeated batch replaces its own.
+    """
+    started = int(time.time() * 1000)
+    begin = started if begin_ms is None else begin_ms
     lines = batch.withColumn("time_hint", F.get(F.split("value", "#CS#"), F.lit(8)))
     # Three outputs read the batch; it may spill to disk and is rebuilt from the source if a worker is lost.
     lines.persist(StorageLevel.MEMORY_AND_DISK)
@@ -100,7 +156,7 @@ def etl_batch(batch: DataFrame, batch_id: int, site: Site, sinks: EtlSinks, name
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("server_addr", F.col("n").cast("int")))))
             .alias("servers_count_map"))
         log = mon.throughput(total.withColumns({
-            "start_ms": F.lit(begin), "end_ms": F.lit(int(time.time() * 1000)),
+            "start_ms": F.lit(begin), "end_ms": F.lit(begin + int(time.time() * 1000) - started),
             "application_id": F.lit(batch.sparkSession.sparkContext.applicationId),
             "application_unique_name": F.lit(name)}))
         process = keyed.entries(log, mon.MONITOR_PREFIXES["process"], at, mon.throughput_snapshot(log),
@@ -115,8 +171,9 @@ def run_etl(raw: DataFrame, site: Callable[[], Site], sinks: EtlSinks, checkpoin
             interval: str | None = BATCH_INTERVAL, name: str = "etl") -> StreamingQuery:
     """Raw line stream to routed lines and snapshots. ``site`` is asked anew for every batch."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        etl_batch(batch, batch_id, site(), sinks, name)
-    return start(raw, each, checkpoint, interval)
+        rows, at = batch_time(batch)
+        etl_batch(rows, batch_id, site(), sinks, name, begin_ms=at and int(at.timestamp() * 1000))
+    return start(raw.withColumn("batch_time", F.current_timestamp()), each, checkpoint, interval)
 
 
 @dataclass
@@ -132,24 +189,28 @@ class ScoringConfig:
 
 @dataclass
 class ScoringSinks:
-    """Folders of the scoring job: live blacklist, its hourly backup, scored vectors."""
+    """Folders of the scoring job: live blacklist, its hourly backup, scored vectors and throughput snapshots."""
 
     live: str
     backup: str
     scored: str | None = None
-    extra: dict[str, str] = field(default_factory=dict)
+    monitor: str | None = None
 
 
 def score_batch(requests: DataFrame, batch_id: int, config: ScoringConfig, sinks: ScoringSinks,
-                weight: str | None = None, window: str | None = None) -> None:
-    """Metrics, scores and blacklist entries of one batch of requests or finished windows."""
+                weight: str | None = None, window: str | None = None, written_at: datetime | None = None) -> None:
+    """Metrics, scores and blacklist entries of one batch of requests or finished windows.
+
+    Entries live from ``written_at``, the time of the batch; without it, from the request that was seen last.
+    """
     scored = scored_vectors(requests, config.flows, config.critical_pages, window, config.threshold_ms, weight)
     scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if sinks.scored:
             (scored.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(sinks.scored))
-        found = blacklist(scored, config.ttl_s, config.flow_pick)
+        found = blacklist(scored, config.ttl_s, config.flow_pick,
+                          written_at=None if written_at is None else F.lit(written_at))
         keyed.put(found, sinks.live, batch_id)
         write_hourly_batch(found.select("key_exp_time", "key", "value", "written_at"), sinks.backup, "written_at",
                            batch_id)
@@ -166,16 +227,41 @@ def run_scoring(lines: DataFrame, config: Callable[[], ScoringConfig], sinks: Sc
     """
     first = config()
     requests = from_line(lines)
-    if first.watermark is None:
-        def each(batch: DataFrame, batch_id: int) -> None:
-            score_batch(batch, batch_id, config(), sinks)
-        return start(requests, each, checkpoint, interval)
+    windowed = first.watermark is not None
+    rows = cells(requests.withWatermark("event_time", first.watermark), first.window) if windowed else requests
 
-    finished = cells(requests.withWatermark("event_time", first.watermark), first.window)
-
-    def each_window(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, config(), sinks, weight="n", window=first.window)
-    return start(finished, each_window, checkpoint, interval)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        begin = time.time()
+        # Time, count and scores read the batch; it may spill to disk and is rebuilt from the source if a worker is lost.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            found, at = batch_time(batch)
+            if at is None:
+                return
+            if windowed:
+                score_batch(found, batch_id, config(), sinks, weight="n", window=first.window, written_at=at)
+            else:
+                score_batch(found, batch_id, config(), sinks, written_at=at)
+            if sinks.monitor:
+                query_snapshot(found, batch_id, at, int((time.time() - begin) * 1000), sinks.monitor,
+                               "n" if windowed else None)
+        finally:
+            batch.unpersist()
+    return start(rows.withColumn("batch_time", F.current_timestamp()), each, checkpoint, interval)
+
+
+def query_snapshot(rows: DataFrame, batch_id: int, at: datetime, cost_ms: int, root: str,
+                   weight: str | None = None) -> None:
+    """Throughput snapshot of a batch of the scoring job, under the key prefix of queries."""
+    begin = int(at.timestamp() * 1000)
+    count = F.sum(weight) if weight else F.count(F.lit(1))
+    log = mon.throughput(rows.agg(count.cast("long").alias("source_count")).withColumns({
+        "start_ms": F.lit(begin), "end_ms": F.lit(begin + cost_ms),
+        "application_id": F.lit(rows.sparkSession.sparkContext.applicationId),
+        "application_unique_name": F.lit("scoring"), "servers_count_map": F.lit(None).cast("map<string,int>")}))
+    prefix = mon.MONITOR_PREFIXES["query"]
+    entries = keyed.entries(log, prefix, F.lit(at), mon.throughput_snapshot(log), mon.MONITOR_TTL_S)
+    keyed.put(keyed.with_last(entries, prefix), root, batch_id)
 
 
 def run_archive(lines: DataFrame, root: str, time_col: str, checkpoint: str,

@@ -59,8 +59,12 @@ def test_windows_in_stream_equal_batch(spark):
     got = spark.read.parquet(sinks.scored).select(*cols)
     assert sorted(got.collect()) == sorted(done.select(*cols).collect()) and got.count() > 10
     # The newest stored entry of an address is the one the batch form finds over the same windows.
-    live = {r.key: r.value for r in keyed.live(spark, sinks.live, "2024-01-01 00:00:00").collect()}
+    # Entries live from the time their batch was written, and no longer than that.
+    times = keyed.stored(spark, sinks.live).agg(F.max("written_at").alias("at"), F.max("expire_at").alias("end")).first()
+    assert (times.end - times.at).total_seconds() == 120
+    live = {r.key: r.value for r in keyed.live(spark, sinks.live, str(times["at"])).collect()}
     assert live == {r.key: r.value for r in blacklist(done).collect()} and live
+    assert keyed.live(spark, sinks.live, str(times.end)).count() == 0
     backup = spark.read.parquet(sinks.backup)
     assert {r.key for r in backup.collect()} == set(live)
 
@@ -86,7 +90,10 @@ def test_etl_stream_equals_batch_and_repeats_cleanly(spark):
     want = processed_lines(lines, Site()).select("value").collect()
     assert spark.read.parquet(sinks.routed).select("value").collect() == want and len(want) == 1
     # The batch is worked off a second time, as after a loss: the routed lines stay as they were.
-    jobs.etl_batch(spark.read.parquet(folder), 0, Site(), sinks, "etl")
+    key = keyed.with_prefix(keyed.stored(spark, sinks.monitor), MONITOR_PREFIXES["link"]).first().key
+    jobs.etl_batch(spark.read.parquet(folder), 0, Site(), sinks, "etl",
+                   begin_ms=int(key.removeprefix(MONITOR_PREFIXES["link"])))
+    assert keyed.with_prefix(keyed.stored(spark, sinks.monitor), MONITOR_PREFIXES["link"]).count() == 1
     assert spark.read.parquet(sinks.routed).select("value").collect() == want
     stored = keyed.stored(spark, sinks.monitor)
     speed = decode_throughput(keyed.with_prefix(stored, MONITOR_PREFIXES["process"]).where(~F.col("key").endswith("_LAST")))
@@ -110,14 +117,37 @@ def test_refresh_flags(spark):
     assert lookups.refresh() == ["b"]
 
 
-def test_batch_log(spark):
+def test_batch_log_holds_more_batches_than_the_session(spark):
+    """The session keeps two progress reports here; the log has all batches."""
     folder, out = work_dir(spark, "log"), work_dir(spark, "logout")
-    spark.range(10).write.parquet(folder)
-    query = jobs.start(jobs.read_file_stream(spark, folder, "id long"), lambda b, i: b.write.mode("append").parquet(out),
-                       f"{out}-cp", interval=None)
-    finish(query)
-    log = jobs.batch_log(query)
-    assert sum(r["source_count"] for r in log) == 10 and all(r["end_ms"] >= r["start_ms"] for r in log)
+    spark.range(30).repartition(12).write.parquet(folder)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    log = jobs.BatchLog(spark, f"{out}-log", every=5)
+    spark.streams.addListener(log)
+    try:
+        query = jobs.start(jobs.read_file_stream(spark, folder, "id long", max_files=1),
+                           lambda b, i: b.write.mode("append").parquet(out), f"{out}-cp", interval=None)
+        finish(query)
+        log.close()
+        assert len(query.recentProgress) <= 2
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    rows = jobs.read_batch_log(spark, f"{out}-log").collect()
+    assert sum(r.source_count for r in rows) == 30 and len(rows) >= 12 and log.files > 1
+    assert all(r.end_ms >= r.start_ms for r in rows)
+
+
+def test_scoring_job_writes_its_throughput(spark):
+    folder, df = line_folder(spark)
+    out = work_dir(spark, "speed")
+    sinks = jobs.ScoringSinks(f"{out}/live", f"{out}/backup", monitor=f"{out}/monitor")
+    stream = read_raw(spark, "parquet", path=folder, streaming=True, schema="value string")
+    finish(jobs.run_scoring(stream, config(None), sinks, f"{out}/cp", interval=None))
+    stored = keyed.stored(spark, sinks.monitor)
+    counted = decode_throughput(keyed.with_prefix(stored, MONITOR_PREFIXES["query"]).where(~F.col("key").endswith("_LAST")))
+    assert sum(int(r.source_count) for r in counted.collect()) == df.count()
+    assert stored.where(F.col("key").endswith("_LAST")).count() == 1
 
 
 def test_forward_uses_one_writer(spark):
