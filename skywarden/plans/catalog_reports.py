@@ -14,6 +14,7 @@ from skywarden.operators.tag import optional_equal, search
 from skywarden.plans import adapter
 from skywarden.plans.catalog_metrics import _RATIO, _conv, _counts, _requests, _scored
 from skywarden.plans.registry import cte, query
+from skywarden.session import work_dir
 from skywarden.sources import keyed
 from skywarden.sources.readers import classify_rules, flow_limits, flow_rows_view, flow_rules, named_rules, parse_rules
 
@@ -59,8 +60,28 @@ def _entries(spark: SparkSession, sf: str) -> DataFrame:
                          mon.MONITOR_TTL_S)
 
 
-def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    return mon.decode_throughput(keyed.with_prefix(_entries(spark, sf), mon.MONITOR_PREFIXES["process"]))
+_MONITORS: dict[tuple[str, str], str] = {}
+
+
+def _monitor_root(spark: SparkSession, sf: str) -> str:
+    """Folder of the stored snapshots, written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MONITORS:
+        root = work_dir(spark, "monitor")
+        keyed.put(_entries(spark, sf), root, 0)
+        _MONITORS[key] = root
+    return _MONITORS[key]
+
+
+def _snapshots(spark: SparkSession, sf: str, low: str | None = None, high: str | None = None) -> DataFrame:
+    """Stored snapshots, or those written between two times."""
+    root = _monitor_root(spark, sf)
+    rows = keyed.between(spark, root, low, high, mon.MONITOR_TTL_S) if low and high else keyed.stored(spark, root)
+    return mon.decode_throughput(keyed.with_prefix(rows, mon.MONITOR_PREFIXES["process"]))
+
+
+def _newest(spark: SparkSession, sf: str) -> DataFrame:
+    return mon.newest_snapshot(mon.decode_throughput(keyed.newest_hour(spark, _monitor_root(spark, sf))))
 
 
 @query("s16_decoded_snapshots", """
@@ -225,10 +246,14 @@ UNION ALL SELECT 'default', key FROM snaps WHERE end_time > '2024-01-14 00:00:00
 UNION ALL SELECT 'minutes', key FROM snaps WHERE end_time > '2024-01-19 20:00:00' AND end_time < '2024-01-20 00:00:00'""",
        "snaps")
 def _(spark, sf):
-    snaps = _snapshots(spark, sf)
-    given = mon.in_time_range(snaps, "2024-01-05 00:00:00", "2024-01-09 12:00:00")
-    default = mon.in_time_range(snaps, "", None, today="2024-01-15")
-    minutes = mon.last_minutes(snaps, 240, _HOUR_NOW)
+    def written(low: str, high: str) -> DataFrame:
+        return _snapshots(spark, sf, low, high)
+
+    # A snapshot is written at the start of its hour and ends within it, so each range begins an hour early.
+    given = mon.in_time_range(written("2024-01-04 23:00:00", "2024-01-09 12:00:00"), "2024-01-05 00:00:00",
+                              "2024-01-09 12:00:00")
+    default = mon.in_time_range(written("2024-01-13 23:00:00", "2024-01-15 00:00:00"), "", None, today="2024-01-15")
+    minutes = mon.last_minutes(written("2024-01-19 19:00:00", _HOUR_NOW), 240, _HOUR_NOW)
     parts = [df.select(F.lit(kind).alias("kind"), "key")
              for kind, df in (("given", given), ("default", default), ("minutes", minutes))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -447,15 +472,46 @@ def _(spark, sf):
     return out.select("id", "line", F.date_format("date", "yyyy-MM-dd").alias("date"), "accuracy")
 
 
+cte("kind_speeds", ("requests",), """
+SELECT behavior_type, h, CASE WHEN end_ms = start_ms THEN 0.0::DOUBLE ELSE n::DOUBLE / (end_ms - start_ms) END AS speed
+FROM (SELECT behavior_type, date_trunc('hour', ts) AS h, count(*) AS n, min(epoch_us(ts) // 1000) AS start_ms,
+ max(epoch_us(ts) // 1000) AS end_ms FROM requests WHERE behavior_type IN ('Query', 'Book') GROUP BY 1, 2)""")
+
+
+def _kind_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Throughput snapshots of query and booking requests, one per hour under the prefix of their kind."""
+    ms = F.unix_millis("event_time")
+    kind = F.when(F.col("behavior_type") == "Query", mon.MONITOR_PREFIXES["query"]).otherwise(mon.MONITOR_PREFIXES["book"])
+    hours = (_requests(spark, sf).where(F.col("behavior_type").isin("Query", "Book"))
+             .groupBy(kind.alias("prefix"), F.date_trunc("hour", "event_time").alias("hour"))
+             .agg(F.count(F.lit(1)).alias("source_count"), F.min(ms).alias("start_ms"), F.max(ms).alias("end_ms")))
+    log = mon.throughput(hours.withColumns({
+        "application_id": F.lit("app-2"), "application_unique_name": F.lit("scoring"),
+        "servers_count_map": F.lit(None).cast("map<string,int>")}))
+    return log.select(F.concat("prefix", F.unix_millis("hour").cast("string")).alias("key"),
+                      mon.throughput_snapshot(log).alias("value"),
+                      (F.col("hour") + F.make_dt_interval(secs=F.lit(mon.MONITOR_TTL_S))).alias("expire_at"),
+                      F.col("hour").alias("written_at"))
+
+
 @query("r9_speeds", """
-SELECT printf('%.3f', (SELECT count_per_millis FROM snaps ORDER BY end_time DESC, key DESC LIMIT 1)) AS realtime,
- '0' AS near_realtime, '0' AS offline""", "snaps")
+SELECT printf('%.3f', (SELECT speed FROM kind_speeds WHERE behavior_type = 'Query' ORDER BY h DESC LIMIT 1)) AS realtime,
+ printf('%.3f', (SELECT speed FROM kind_speeds WHERE behavior_type = 'Book' ORDER BY h DESC LIMIT 1)) AS near_realtime,
+ '0' AS offline""", "kind_speeds")
 def _(spark, sf):
-    newest = mon.newest_snapshot(_snapshots(spark, sf))
-    speed = newest.agg(F.max(F.col("count_per_millis").try_cast("double")).alias("s"))
-    return speed.select(rp.three_decimals(F.col("s")).alias("realtime"),
-                        rp.three_decimals(F.lit(None).cast("double")).alias("near_realtime"),
-                        F.lit("0").alias("offline"))
+    """Real time from the newest query snapshot, near real time from the newest booking snapshot."""
+    root = work_dir(spark, "kinds")
+    keyed.put(_kind_entries(spark, sf), root, 0)
+    stored = keyed.stored(spark, root)
+
+    snaps = mon.decode_throughput(stored).withColumn("kind", F.when(
+        F.col("key").startswith(mon.MONITOR_PREFIXES["query"]), "query").otherwise("book"))
+    newest = mon.newest_snapshot(snaps, ["kind"])
+
+    def speed(kind: str):
+        return rp.three_decimals(F.max(F.when(F.col("kind") == kind, F.col("count_per_millis").try_cast("double"))))
+
+    return newest.agg(speed("query").alias("realtime"), speed("book").alias("near_realtime"), F.lit("0").alias("offline"))
 
 
 @query("r10_pipeline_health", """
@@ -464,8 +520,11 @@ WHERE end_time > '2024-01-19 23:00:00' AND end_time < '2024-01-20 00:00:00'
 UNION ALL SELECT 'idle', CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM snaps WHERE end_time > '2025-01-01 00:00:00'""",
        "snaps")
 def _(spark, sf):
-    busy = rp.pipeline_health(mon.last_minutes(_snapshots(spark, sf), 60, _HOUR_NOW))
-    idle = rp.pipeline_health(mon.last_minutes(_snapshots(spark, sf), 60, "2025-06-01 00:00:00"))
+    def health(now: str, low: str) -> DataFrame:
+        # A snapshot is written at the start of its hour and ends within it.
+        return rp.pipeline_health(mon.last_minutes(_snapshots(spark, sf, low, now), 60, now))
+
+    busy, idle = health(_HOUR_NOW, "2024-01-19 22:00:00"), health("2025-06-01 00:00:00", "2025-05-31 22:00:00")
     return busy.withColumn("part", F.lit("busy")).unionByName(idle.withColumn("part", F.lit("idle")))
 
 
@@ -473,7 +532,7 @@ def _(spark, sf):
 SELECT server_addr, n::INTEGER AS n FROM hourly_servers WHERE h = (SELECT arg_max(h, (end_time, key)) FROM snaps)""",
        "hourly_servers", "snaps")
 def _(spark, sf):
-    return mon.server_traffic(mon.newest_snapshot(_snapshots(spark, sf))).select("server_addr", "n")
+    return mon.server_traffic(_newest(spark, sf)).select("server_addr", "n")
 
 
 @query("r12_yesterday", """
@@ -482,7 +541,7 @@ SELECT f.flow_num, s.numspider FROM (SELECT sum(source_count)::DOUBLE AS flow_nu
 (SELECT count(DISTINCT remote_addr) AS numspider FROM requests WHERE ts >= DATE '2024-01-10' AND ts < DATE '2024-01-11'
  AND remote_addr IN (SELECT remote_addr FROM spiders)) s""", "snaps", "requests", "spiders")
 def _(spark, sf):
-    parent, _, _ = mon.drain(_snapshots(spark, sf), _HOUR_NOW)
+    parent, _, _ = mon.drain(_snapshots(spark, sf, "2024-01-10 00:00:00", "2024-01-10 23:59:59"), _HOUR_NOW)
     flow = mon.daily_flow(parent, "2024-01-10").select("day", "flow_num")
     reqs = rp.same_day(_requests(spark, sf), "2024-01-10", "event_time").select("remote_addr").distinct()
     found = (reqs.join(adapter.spiders(spark, sf).select("remote_addr").distinct(), "remote_addr", "left_semi")
@@ -540,7 +599,7 @@ def _(spark, sf):
 @query("t6_newest_snapshot", """
 SELECT key, end_time FROM snaps ORDER BY end_time DESC, key DESC LIMIT 1""", "snaps")
 def _(spark, sf):
-    return mon.newest_snapshot(_snapshots(spark, sf)).select("key", "end_time")
+    return _newest(spark, sf).select("key", "end_time")
 
 
 @query("u1_bag_union", """

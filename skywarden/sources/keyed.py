@@ -36,6 +36,21 @@ def stored(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(f"{KEYED_SCHEMA}, expire_hour string, batch long").parquet(root)
 
 
+def between(spark: SparkSession, root: str, low: str, high: str, ttl_s: int) -> DataFrame:
+    """Entries written from ``low`` to ``high`` that live for ``ttl_s``; opens the hours in which those expire."""
+    first, last = (F.to_timestamp(F.lit(x)) for x in (low, high))
+    life = F.make_dt_interval(secs=F.lit(ttl_s))
+    hours = [F.date_format(x + life, "yyyy-MM-dd-HH") for x in (first, last)]
+    return stored(spark, root).where(F.col("expire_hour").between(*hours)).where(F.col("written_at").between(first, last))
+
+
+def newest_hour(spark: SparkSession, root: str) -> DataFrame:
+    """Entries of the latest hour that holds any which expire."""
+    rows = stored(spark, root)
+    hours = rows.where(F.col("expire_hour") < NEVER[:4]).agg(F.max("expire_hour").alias("h"))
+    return rows.where(F.col("expire_hour") == hours.scalar())
+
+
 def live(spark: SparkSession, root: str, now: str) -> DataFrame:
     """Newest unexpired entry per key."""
     at = F.to_timestamp(F.lit(now))
