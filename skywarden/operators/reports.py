@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,20 +116,22 @@ def pipeline_health(snapshots: DataFrame) -> DataFrame:
     return snapshots.limit(1).agg((F.count(F.lit(1)) == 0).cast("int").alias("sign"))
 
 
-# Data kinds of the rule form and the flags they stand for.
+# Data kinds of the rule form and the flags they stand for, named as in the table the readers load.
 PARSE_KINDS = {
-    "0": {"is_json": "true", "is_application_json": "true"},
-    "1": {"is_json": "true", "is_application_json": "false"},
-    "2": {"is_xml": "true", "is_text_xml": "true"},
-    "3": {"is_xml": "true", "is_normal_form": "true"},
-    "4": {"is_xml": "false", "is_json": "false", "is_normal_form": "true"},
-    "5": {"is_normal_get": "true"},
+    "0": {"isJson": "true", "isApplicationJson": "true"},
+    "1": {"isJson": "true", "isApplicationJson": "false"},
+    "2": {"isXML": "true", "isTextXml": "true"},
+    "3": {"isXML": "true", "isNormalForm": "true"},
+    "4": {"isXML": "false", "isJson": "false", "isNormalForm": "true"},
+    "5": {"isNormalGet": "true"},
 }
 
 
-def parse_rules_of_kind(rules: DataFrame, kind: str, flight_type: int, behavior_type: int) -> DataFrame:
-    """Parse rules of one data kind, flight type and behavior."""
-    out = rules.where((F.col("flight_type") == flight_type) & (F.col("behavior_type") == behavior_type))
-    for name, value in PARSE_KINDS[kind].items():
-        out = out.where(F.col(name) == value)
-    return out
+def parse_rules_by_kind(rules: DataFrame, flight_type: int, behavior_type: int) -> DataFrame:
+    """Every parse rule of a flight type and behavior once for each ``kind`` it is of, in one pass."""
+    def is_kind(flags: dict[str, str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(name) == value for name, value in flags.items()])
+
+    kinds = F.array_compact(F.array(*[F.when(is_kind(flags), F.lit(kind)) for kind, flags in PARSE_KINDS.items()]))
+    mine = rules.where((F.col("flight_type") == flight_type) & (F.col("behavior_type") == behavior_type))
+    return mine.withColumn("kind", F.explode(kinds))

@@ -690,10 +690,10 @@ def _(spark, sf):
 
 
 _PARSE = """CAST(p_partkey AS STRING) AS id, CAST(p_size % 2 AS INT) AS flight_type,
-CAST(p_partkey % 3 AS INT) AS behavior_type, CAST(p_partkey % 2 = 0 AS STRING) AS is_json,
-CAST(p_size % 3 = 0 AS STRING) AS is_application_json, CAST(p_partkey % 2 = 1 AS STRING) AS is_xml,
-CAST(p_size % 3 = 1 AS STRING) AS is_text_xml, CAST(p_size % 3 = 2 AS STRING) AS is_normal_form,
-CAST(p_size % 5 = 0 AS STRING) AS is_normal_get"""
+CAST(p_partkey % 3 AS INT) AS behavior_type, CAST(p_partkey % 2 = 0 AS STRING) AS isJson,
+CAST(p_size % 3 = 0 AS STRING) AS isApplicationJson, CAST(p_partkey % 2 = 1 AS STRING) AS isXML,
+CAST(p_size % 3 = 1 AS STRING) AS isTextXml, CAST(p_size % 3 = 2 AS STRING) AS isNormalForm,
+CAST(p_size % 5 = 0 AS STRING) AS isNormalGet"""
 
 
 def _parse_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -708,20 +708,15 @@ def _(spark, sf):
 
 @query("f12_rules_of_kind", f"""
 WITH p AS (SELECT {_PARSE} FROM part)
-SELECT '0' AS kind, id FROM p WHERE is_json = 'true' AND is_application_json = 'true' AND flight_type = 0 AND behavior_type = 1
-UNION ALL SELECT '1', id FROM p WHERE is_json = 'true' AND is_application_json = 'false' AND flight_type = 0 AND behavior_type = 1
-UNION ALL SELECT '2', id FROM p WHERE is_xml = 'true' AND is_text_xml = 'true' AND flight_type = 0 AND behavior_type = 1
-UNION ALL SELECT '3', id FROM p WHERE is_xml = 'true' AND is_normal_form = 'true' AND flight_type = 0 AND behavior_type = 1
-UNION ALL SELECT '4', id FROM p WHERE is_xml = 'false' AND is_json = 'false' AND is_normal_form = 'true' AND flight_type = 0
+SELECT '0' AS kind, id FROM p WHERE isJson = 'true' AND isApplicationJson = 'true' AND flight_type = 0 AND behavior_type = 1
+UNION ALL SELECT '1', id FROM p WHERE isJson = 'true' AND isApplicationJson = 'false' AND flight_type = 0 AND behavior_type = 1
+UNION ALL SELECT '2', id FROM p WHERE isXML = 'true' AND isTextXml = 'true' AND flight_type = 0 AND behavior_type = 1
+UNION ALL SELECT '3', id FROM p WHERE isXML = 'true' AND isNormalForm = 'true' AND flight_type = 0 AND behavior_type = 1
+UNION ALL SELECT '4', id FROM p WHERE isXML = 'false' AND isJson = 'false' AND isNormalForm = 'true' AND flight_type = 0
  AND behavior_type = 1
-UNION ALL SELECT '5', id FROM p WHERE is_normal_get = 'true' AND flight_type = 0 AND behavior_type = 1""")
-def _(spark, sf):
-    table = _parse_table(spark, sf)
-    parts = [rp.parse_rules_of_kind(table, k, 0, 1).select(F.lit(k).alias("kind"), "id") for k in rp.PARSE_KINDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+UNION ALL SELECT '5', id FROM p WHERE isNormalGet = 'true' AND flight_type = 0 AND behavior_type = 1""")
+def _(spark, sf):
+    return rp.parse_rules_by_kind(_parse_table(spark, sf), 0, 1).select("kind", "id")
 
 
 @query("s7_classify_rules", """
