@@ -8,8 +8,9 @@ such pair. At J = 0.75 the chance of more errors than that is below 1 in 900,000
 What the index finds is confirmed on the full shingle sets.
 
 Sizes: equal sets are one node throughout. Within an index bucket each node first meets the smallest one only; after
-those links are joined to components, the nodes of a bucket that still are in different components meet in blocks of
-bounded size. Nothing is capped, and no bucket is listed pair by pair.
+those links are joined to components, nodes of small buckets that still are in different components are paired, and
+those of large buckets meet in blocks of bounded size, two a task, which yields links and no candidates. Nothing is
+capped, and no large bucket is listed pair by pair.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ MAX_DISTANCE = 2 * (SLOTS // CHUNK) - 1
 PERCENT = 75
 # Buckets up to this size are paired by a join, larger ones in blocks of BLOCK signatures.
 SMALL, BLOCK = 32, 1024
+BLOCK_SHINGLES = 2_000_000
+# Columns of a strip of a membership matrix.
+STRIP = 4096
 # Members that meet one head's text in one group while links are confirmed.
 SHARE = 64
 
@@ -128,7 +133,7 @@ def _within(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .select("a", "b", "signature_a", "signature_b").mapInArrow(run, "a long, b long, distance int"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are similar enough.
 
     Groups have one text of node ``b`` and up to about SHARE texts to compare it with; a ``b`` with many partners is
@@ -137,7 +142,6 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("parts"))
     dealt = pairs.join(sizes, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
     groups = dealt.select("b", "part").distinct()
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
     heads = groups.join(texts, groups.b == texts.node).select("b", "part", F.lit(None).cast("long").alias("a"), "text")
     others = dealt.join(texts, dealt.a == texts.node).select("b", "part", "a", "text")
 
@@ -164,43 +168,94 @@ def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             .sortWithinPartitions("b", "part", F.col("a").asc_nulls_first()).mapInArrow(run, "a long, b long"))
 
 
-def _in_blocks(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components in the large buckets of ``rows`` (key, node, label, head_label, inside, outside).
-
-    Nodes of the head's component need not meet each other. They and the others are dealt into blocks; every block of
-    others meets every block, and a task holds two blocks.
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of bounded strips of the membership matrices."""
+    sets = [*one, *two]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    keep = times[column] > 1
+    row, column = row[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(one), len(two)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, STRIP):
+        low, high = np.searchsorted(column, [at, at + STRIP])
+        strip = np.zeros((len(sets), STRIP), np.float32)
+        strip[row[low:high], column[low:high] - at] = 1
+        out += strip[:len(one)] @ strip[len(one):].T
+    return out
+
+
+def _links_of_blocks(one: pa.Table, two: pa.Table | None) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two blocks (or within one) of texts in different components."""
+    within = two is None
+    two = one if within else two
+    mark_a, mark_b = (np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint16).reshape(-1, SLOTS) for t in (one, two))
+    node_a, node_b, label_a, label_b, size_a, size_b = (
+        t[c].to_numpy() for c in ("node", "label", "n_shingles") for t in (one, two))
+    maybe = np.zeros((len(node_a), len(node_b)), bool)
+    for i in range(len(node_a)):
+        maybe[i] = (mark_b != mark_a[i]).sum(axis=1) <= MAX_DISTANCE
+    maybe &= label_a[:, None] != label_b
+    maybe &= 100 * np.minimum(size_a[:, None], size_b) >= PERCENT * np.maximum(size_a[:, None], size_b)
+    if within:
+        maybe &= np.arange(len(node_a))[:, None] < np.arange(len(node_a))
+    rows, columns = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+    if not len(rows):
+        return node_a[:0], node_a[:0]
+    sets_a = list(shingle_sets(one["text"].take(pa.array(rows)).combine_chunks()))
+    sets_b = list(shingle_sets(two["text"].take(pa.array(columns)).combine_chunks()))
+    both = _common(sets_a, sets_b)
+    union = size_a[rows][:, None] + size_b[columns] - both
+    i, j = np.nonzero(maybe[np.ix_(rows, columns)] & (100 * both >= PERCENT * union))
+    return node_a[rows[i]], node_b[columns[j]]
+
+
+def _in_blocks(rows: DataFrame, nodes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links across components among the nodes of the large buckets ``rows`` (key, head, node, label), and the cluster
+    of each such node.
+
+    A node's cluster is the smallest head of its buckets. Clusters are dealt into blocks of a bounded number of nodes
+    and shingles, those of the cluster's most frequent component apart. Every two blocks of a cluster, and every two
+    that share a bucket, meet in one task, unless all their nodes are in one component.
     """
-    is_out = F.col("label") != F.col("head_label")
-    n_in, n_out = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("inside", "outside"))
-    mine = F.pmod(F.xxhash64("node", "key"), F.when(is_out, n_out).otherwise(n_in)).cast("int")
-    dealt = rows.select("key", "node", "label", is_out.alias("out"), n_in.alias("n_in"), n_out.alias("n_out"),
-                        mine.alias("mine"))
-    # A meeting is named by its lower and higher block; blocks of the head's component have negative numbers.
-    to = F.when(~F.col("out"), F.transform(F.sequence(F.lit(0), F.col("n_out") - 1),
-                                           lambda o: F.struct((-1 - F.col("mine")).alias("low"), o.alias("high")))
-                ).otherwise(F.concat(
-                    F.transform(F.sequence(F.lit(0), F.col("n_out") - 1),
-                                lambda o: F.struct(F.least(o, F.col("mine")).alias("low"),
-                                                   F.greatest(o, F.col("mine")).alias("high"))),
-                    F.transform(F.sequence(F.lit(1), F.col("n_in")),
-                                lambda i: F.struct((-i).alias("low"), F.col("mine").alias("high")))))
-    meets = (dealt.withColumn("meet", F.explode(to)).select("key", "meet.low", "meet.high", "node", "label")
-             .join(nodes.select("node", "n_shingles", "signature"), "node"))
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SLOTS)
-        node, label, size = (table.column(c).to_numpy() for c in ("node", "label", "n_shingles"))
-        one, two = [], []
-        for i in range(len(node) - 1):
-            far = (marks[i + 1:] != marks[i]).sum(axis=1)
-            small, large = np.minimum(size[i + 1:], size[i]), np.maximum(size[i + 1:], size[i])
-            hit = np.flatnonzero((far <= MAX_DISTANCE) & (label[i + 1:] != label[i]) & (100 * small >= PERCENT * large))
-            one.append(np.maximum(node[i], node[i + 1 + hit]))
-            two.append(np.minimum(node[i], node[i + 1 + hit]))
-        one, two = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (one, two))
-        return pa.table({"a": one, "b": two})
-
-    return meets.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
+    # A node is in at most SLOTS buckets.
+    members = rows.groupBy("node", "label").agg(
+        F.min("head").alias("cluster"), F.collect_list("key").alias("keys")).join(nodes, "node")
+    members = stored(members, "clusters")
+    by_label = members.groupBy("cluster", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    main = by_label.groupBy("cluster").agg(F.max_by(F.struct("label", "n", "shingles"), F.struct("n", "label")).alias("m"),
+                                           F.sum("n").alias("n"), F.sum("shingles").alias("shingles")).select(
+        "cluster", F.col("m.label").alias("main"), F.col("m.n").alias("n_main"), F.col("m.shingles").alias("s_main"),
+        (F.col("n") - F.col("m.n")).alias("n_rest"), (F.col("shingles") - F.col("m.shingles")).alias("s_rest"))
+    apart = F.col("label") == F.col("main")
+    parts = F.ceil(F.greatest(F.when(apart, F.col("n_main")).otherwise(F.col("n_rest")) / BLOCK,
+                              F.when(apart, F.col("s_main")).otherwise(F.col("s_rest")) / BLOCK_SHINGLES)).cast("int")
+    dealt = members.join(main, "cluster").select(
+        "node", "label", "n_shingles", "signature", "cluster", "keys", F.when(apart, F.col("label")).alias("single"),
+        F.xxhash64("cluster", apart, F.pmod(F.xxhash64("node"), parts)).alias("block"))
+    dealt = stored(dealt, "blocks")
+    at_key = stored(dealt.select(F.explode("keys").alias("key"), "block", "single").distinct(), "blocks-of-buckets")
+    in_cluster = stored(dealt.select(F.col("cluster").alias("key"), "block", "single").distinct(), "blocks-of-clusters")
+
+    def meetings(places: DataFrame) -> DataFrame:
+        return (places.select("key", F.col("block").alias("one"), F.col("single").alias("s1"))
+                .join(places.select("key", F.col("block").alias("two"), F.col("single").alias("s2")), "key")
+                .where("one <= two AND NOT coalesce(s1 = s2, false)").select("one", "two"))
+
+    meet = meetings(at_key).unionByName(meetings(in_cluster)).distinct()
+    sides = meet.select("one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("block"))
+    tables = sides.join(dealt.drop("cluster", "single", "keys"), "block").join(texts, "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        first = pc.equal(table["block"], table["one"])
+        one, two = table.filter(first), table.filter(pc.invert(first))
+        a, b = _links_of_blocks(one, two if len(two) else None)
+        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    links = tables.groupBy("one", "two").applyInArrow(run, "a long, b long")
+    return links, dealt.select("node", "cluster").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -223,34 +278,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                      F.count("*").alias("size")).where("head != last")
     buckets = stored(index.join(heads.select("key", "head", "size"), "key"), "buckets")
 
+    texts = stored(docs.select(F.col("doc_id").alias("node"), "text")
+                   .join(buckets.select("node").distinct(), "node", "left_semi"), "texts")
     first = _within(buckets.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(),
                     nodes)
     first = stored(first, "head-pairs")
     nearest = first.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
-    links = stored(_confirm(nearest, docs), "links-nearest")
+    links = stored(_confirm(nearest, texts), "links-nearest")
     labels = stored(components(links), "labels-nearest")
 
-    def labelled(df: DataFrame, node: str, label: str) -> DataFrame:
-        return df.join(labels.select(F.col("node").alias(node), F.col("label").alias("_l")), node, "left").withColumn(
-            label, F.coalesce("_l", node)).drop("_l")
-
-    across = labelled(labelled(first.join(nearest, ["a", "b"], "left_anti").select("a", "b"), "a", "la"), "b", "lb")
-    across = across.where("la != lb").select("a", "b")
-    rows = labelled(buckets, "node", "label")
-    mixed = rows.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("label", "node").alias("head_label"),
-        F.count("*").alias("size")).where("low != high AND size > 2")
-    rows = stored(rows.drop("size").join(mixed.select("key", "head_label", "size"), "key"), "mixed-buckets")
-    small = rows.where(F.col("size") <= SMALL).where("node != head").select("key", "node", "label")
-    left = small.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = small.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    met = left.join(right, "key").where("a > b AND la != lb").select("a", "b").distinct()
-    large = rows.where(F.col("size") > SMALL)
-    inside = large.groupBy("key").agg(F.count_if(F.col("label") == F.col("head_label")).alias("inside"),
-                                      F.count_if(F.col("label") != F.col("head_label")).alias("outside"))
-    blocks = _in_blocks(large.join(inside, "key"), nodes)
-    rest = across.unionByName(_within(met, nodes).select("a", "b")).unionByName(blocks).distinct()
-    more = stored(_confirm(stored(rest, "other-pairs"), docs), "links-rest")
+    rows = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
+        "low != high").select("key")
+    rows = stored(rows.join(mixed, "key"), "mixed-buckets")
+    in_blocks, clusters = _in_blocks(rows.where(F.col("size") > SMALL).select("key", "head", "node", "label"), nodes, texts)
+    in_blocks = stored(in_blocks, "links-blocks")
+
+    # Pairs of small buckets, but for those that have met in a cluster.
+    placed = rows.where(F.col("size") <= SMALL).join(clusters, "node", "left").select("key", "node", "label", "cluster")
+    left, right = (placed.select("key", F.col("node").alias(s), F.col("label").alias(f"label_{s}"),
+                                 F.col("cluster").alias(f"cluster_{s}")) for s in "ab")
+    apart = "a > b AND label_a != label_b AND NOT coalesce(cluster_a = cluster_b, false)"
+    met = left.join(right, "key").where(apart).select("a", "b").distinct()
+    rest = _within(met, nodes).select("a", "b").join(nearest, ["a", "b"], "left_anti")
+    more = stored(_confirm(stored(rest, "other-pairs"), texts), "links-rest").unionByName(in_blocks)
 
     final = components(links.unionByName(more))
     found = (sets.select("set_id", "node").join(final, "node", "left")
