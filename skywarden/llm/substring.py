@@ -7,8 +7,8 @@ the extension that lies within it is repeated. Last come the whole windows of wh
 35-word window: 9, 18, 35 words.
 
 Texts with the same bytes are one text with a number of copies (a 64-bit hash names it), so a large group of exact
-copies costs one text. Occurrence counts combine on the map side; positions meet them in a semi-join that adaptive
-execution can split. Hashes have 64 bits: two different windows are taken for equal with a chance of about 5e-20 a pair.
+copies costs one text. Occurrence counts combine on the map side and are stored; positions meet them in a semi-join that
+adaptive execution can split. Hashes have 64 bits: two different windows are taken for equal with a chance of about 5e-20 a pair.
 """
 
 from __future__ import annotations
@@ -86,8 +86,10 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, key: list[str], weight: str | None = None) -> DataFrame:
+    """Keys that occur more than once. They are stored: a join right behind the counting could not be split where a key
+    is hot."""
     times = F.sum(weight) if weight else F.count("*")
-    return rows.groupBy(*key).agg(times.alias("_times")).where("_times > 1").select(*key)
+    return stored(rows.groupBy(*key).agg(times.alias("_times")).where("_times > 1").select(*key), "repeated")
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
