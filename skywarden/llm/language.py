@@ -1,8 +1,8 @@
 """Language identification: known words first, shorter and shorter character n-grams for the rest.
 
 A word is a run of letters (with their combining marks), lower-cased. The model holds, per language, the smoothed log
-frequency of every word seen at least ``MIN_COUNT`` times in the training sample, and of the n-grams of 1 to 5
-characters of all its words (with marks at the word's ends). A known word counts with its log frequencies; an unknown
+frequency of every word that a language has at least ``MIN_COUNT`` times in the training sample, and of the n-grams of 1
+to 5 characters of all its words (with marks at the word's ends; those of 3 and more if a language has them twice). A known word counts with its log frequencies; an unknown
 one with the mean of its known 5-grams, else 4-grams, and so on down to single letters.
 
 The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` of each language, drawn by a hash of the
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-SAMPLE = 1500
+SAMPLE = 600
 LANGUAGES = 200
 MIN_COUNT = 3
 LONGEST = 5
@@ -157,13 +157,13 @@ def fit(rows: DataFrame) -> Model:
     grams = words.mapInArrow(count_grams, "lang string, size int, gram string, n long").groupBy(
         "lang", "size", "gram").agg(F.sum("n").alias("n"))
     # In an order of its own, so that equal input gives an equal model.
-    counts = words.withColumn("size", F.lit(0)).unionByName(grams).toPandas().sort_values(["size", "gram", "lang"])
+    counts = (words.withColumn("size", F.lit(0)).where(F.col("n") >= MIN_COUNT)
+              .unionByName(grams.where((F.col("n") >= 2) | (F.col("size") < 3)))
+              .toPandas().sort_values(["size", "gram", "lang"]))
     languages = sorted(counts["lang"].unique())
     tables, logs = [], []
     for size in (0, *range(LONGEST, 0, -1)):
         mine = counts[counts["size"] == size]
-        if not size:
-            mine = mine[mine.groupby("gram")["n"].transform("sum") >= MIN_COUNT]
         grams_here, row = np.unique(mine["gram"].to_numpy(str), return_inverse=True)
         n = np.zeros((len(grams_here), len(languages)))
         n[row, np.searchsorted(languages, mine["lang"].to_numpy(str))] = mine["n"].to_numpy()
