@@ -10,7 +10,8 @@ text has none. Witness words and machine are chosen in turn. Being linear in the
 table of triples, by which every word of every text is scored; a text counts as its worst word, calibrated to 0 .. 1.
 Runs of single letters form one word, and characters other than letters are dropped within a word.
 
-Fitted on a bounded sample: at most about ``SAMPLE`` labelled texts of either kind, drawn by a hash of the doc_id.
+Fitted on a bounded sample: about ``SAMPLE`` toxic and ``CLEAN_SAMPLE`` clean labelled texts at most, drawn by a hash of
+the doc_id.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 2500
+SAMPLE, CLEAN_SAMPLE = 1000, 2500
 LANDMARKS = 256
 DECAY, SPAN = 0.75, 6
 # Words are scored in pieces of at most so many letters that overlap by half.
@@ -33,8 +34,10 @@ LONGEST = 24
 ROUNDS = 4
 # Share of the toxic texts, copies apart, that a word needs to be taken for a witness.
 MIN_SUPPORT = 0.02
+# Logarithm of how much more often it has to be in toxic texts than in clean ones.
+MIN_ODDS = 3.0
 # Words of clean texts that the machine sees at most, about.
-NEGATIVES = 20_000
+NEGATIVES = 8_000
 _MEMORY, _CHUNK = 300_000, 50_000
 
 _OTHER = regex.compile(r"[^\p{L}]+")
@@ -110,8 +113,8 @@ def kernel(one: list[str], two: list[str]) -> np.ndarray:
     basis[0] = 0
     out = np.zeros((len(one), len(two)), np.float32)
     for places in _by_length(one):
-        for at in range(0, len(places), 256):
-            part = places[at:at + 256]
+        for at in range(0, len(places), 64):
+            part = places[at:at + 64]
             ids, weights = _triples([one[i] for i in part])
             out[part] = np.einsum("nf,nfm->nm", weights.astype(np.float32), basis[ids], optimize=False)
     return out
@@ -160,8 +163,8 @@ def _words_of(text: str | None) -> list[str]:
     return [w for w in words if len(w) > 1] + joined
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``toxic, weight, words`` (distinct) of about ``sample`` labelled training texts of either kind.
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, clean: int = CLEAN_SAMPLE) -> DataFrame:
+    """``toxic, place, weight, words`` (distinct) of about ``sample`` toxic and ``clean`` other labelled training texts.
 
     A text labelled both ways counts as toxic. ``weight`` is how many texts a sampled one stands for.
     """
@@ -170,17 +173,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     sizes = marked.groupBy("toxic").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # At most two rows of sizes per label value; the sample is bounded by its parameter.
-    chosen = marked.join(F.broadcast(sizes.where("toxic IN (0, 1)")), "toxic").where(
-        place * F.col("n") < sample).select("doc_id", "toxic", F.greatest(F.lit(1.0), F.col("n") / sample).alias("weight"))
+    most = F.when(F.col("toxic") == 1, sample).otherwise(clean)
+    chosen = marked.join(F.broadcast(sizes.where("toxic IN (0, 1)")), "toxic").where(place * F.col("n") < most).select(
+        "doc_id", "toxic", place.alias("place"), F.greatest(F.lit(1.0), F.col("n") / most).alias("weight"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [sorted({w[:LONGEST] for w in _words_of(t)}) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("toxic").cast(pa.int32()), batch.column("weight"),
-                                   pa.array(words, pa.list_(pa.string()))], ["toxic", "weight", "words"])
+            yield pa.record_batch([batch.column("toxic").cast(pa.int32()), batch.column("place"), batch.column("weight"),
+                                   pa.array(words, pa.list_(pa.string()))], ["toxic", "place", "weight", "words"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "weight", "text")
-    return rows.mapInArrow(run, "toxic int, weight double, words array<string>")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "toxic", "place", "weight", "text")
+    return rows.mapInArrow(run, "toxic int, place double, weight double, words array<string>")
 
 
 def _machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
@@ -233,20 +238,19 @@ def _witnesses(word: np.ndarray, doc: np.ndarray, toxic: np.ndarray, odds: np.nd
     """
     weight = np.where(toxic, 1 / _copies(word, doc, len(toxic)), 0.0)
     support = np.bincount(word, weight[doc], minlength=len(odds))
-    support[odds < 2] = 0
+    support[odds < MIN_ODDS] = 0
     found = np.flatnonzero(support >= max(2.0, MIN_SUPPORT * weight.sum()))
     return found[np.argsort(-support[found], kind="stable")]
 
 
 def fit(rows: pd.DataFrame, landmarks: int = LANDMARKS) -> Model | None:
-    """Model of the sampled texts (toxic, weight, words); None unless both kinds are there."""
-    rows = rows.sort_values(["toxic", "words"], key=lambda c: c.map(str)).reset_index(drop=True)
+    """Model of the sampled texts (toxic, place, weight, words); None unless both kinds are there."""
+    rows = rows.sort_values("place").reset_index(drop=True)
     toxic = rows["toxic"].to_numpy() == 1
     if not toxic.any() or toxic.all():
         return None
     doc = np.repeat(np.arange(len(rows)), rows["words"].map(len))
-    every = np.array([w for ws in rows["words"] for w in ws], dtype=str)
-    vocabulary, word = np.unique(every, return_inverse=True)
+    word, vocabulary = pd.factorize(np.array([w for ws in rows["words"] for w in ws], dtype=object), sort=True)
     bad, good = (np.bincount(word[side[doc]], minlength=len(vocabulary)) for side in (toxic, ~toxic))
     odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
     ordinary = np.flatnonzero((good > 0) & (odds < 1.5))
