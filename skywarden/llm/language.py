@@ -30,7 +30,7 @@ LONGEST = 5
 EVIDENCE = 25
 UNKNOWN = "und"
 # What a scoring task remembers of runs of characters it has met, and how many it takes up at a time.
-_MEMORY, _CHUNK = 300_000, 50_000
+_MEMORY, _CHUNK = 150_000, 30_000
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -102,13 +102,13 @@ class Scorer:
         self.table[base:base + len(new)] = sums
         self.memory.update(zip(new, range(base, base + len(new)), strict=True))
 
-    def sums(self, texts: list[str | None]) -> np.ndarray:
+    def sums(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros((len(texts), self.width + 2))
         at = 0
         while at < len(texts):
             group, size = [], 0
             while at < len(texts) and size < _CHUNK:
-                group.append((texts[at] or "").lower().split())
+                group.append((texts[at].as_py() or "").lower().split())
                 size += len(group[-1])
                 at += 1
             self._learn({t for tokens in group for t in tokens})
@@ -186,7 +186,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         scorer = Scorer(shared.value)
         languages = np.array([*scorer.model.languages, UNKNOWN])
         for batch in batches:
-            sums = scorer.sums(batch.column("text").to_pylist())
+            sums = scorer.sums(batch.column("text"))
             known, width = sums[:, -2:-1], scorer.width
             mean = sums[:, :width] / np.maximum(known, 1) * np.minimum(known, EVIDENCE)
             lettered = (sums[:, -1] > 0) & (width > 0)
@@ -219,7 +219,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def in_known_language(docs: DataFrame, least: float = 0.35) -> DataFrame:
     """``docs`` without the rows whose text is in no language (``und``) or in none with a score of at least ``least``."""
-    model = fit(training_rows(docs))
-    columns = [F.col(c) for c in docs.columns]
-    rows = docs.select(F.struct(*columns).alias("row"), "text")
-    return predict(rows, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = predict(docs.withColumnsRenamed(own), fit(training_rows(docs)))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(
+        *(F.col(own.get(c, c)).alias(c) for c in docs.columns))

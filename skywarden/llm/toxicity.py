@@ -38,7 +38,7 @@ MIN_SUPPORT = 0.02
 MIN_ODDS = 3.0
 # Words of clean texts that the machine sees at most, about.
 NEGATIVES = 8_000
-_MEMORY, _CHUNK = 300_000, 50_000
+_MEMORY, _CHUNK = 150_000, 30_000
 
 _OTHER = regex.compile(r"[^\p{L}]+")
 _SYMBOLS = 32
@@ -323,13 +323,13 @@ class Scorer:
             self.letter += [w if len(w) == 1 else "" for w in words]
             self.memory.update(zip(new, range(base, base + len(new)), strict=True))
 
-    def worst(self, texts: list[str | None]) -> np.ndarray:
+    def worst(self, texts: pa.Array) -> np.ndarray:
         out = np.full(len(texts), self.model.bias)
         at = 0
         while at < len(texts):
             group, size = [], 0
             while at < len(texts) and size < _CHUNK:
-                group.append((texts[at] or "").lower().split())
+                group.append((texts[at].as_py() or "").lower().split())
                 size += len(group[-1])
                 at += 1
             self._learn({t for tokens in group for t in tokens})
@@ -358,7 +358,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            scores = scorer.model.score(scorer.worst(batch.column("text").to_pylist()))
+            scores = scorer.model.score(scorer.worst(batch.column("text")))
             yield pa.record_batch([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
