@@ -5,10 +5,13 @@ The kernel of two words sums over all triples of letters that both contain in or
 letters inserted, left out or put apart stays close to the original. Landmarks are words of the training sample that
 set toxic documents apart, and words that do not; ``K(w, L) K(L, L)^-1/2`` are a word's features.
 
-Labels belong to whole texts, so training is by multiple instances: a toxic text has a word that makes it so, a clean
-text has none. Witness words and machine are chosen in turn. Being linear in the landmarks, the machine folds into one
-table of triples, by which every word of every text is scored; a text counts as its worst word, calibrated to 0 .. 1.
-Runs of single letters form one word, and characters other than letters are dropped within a word.
+Labels belong to whole texts, so training is by multiple instances. Witnesses are words that toxic texts have far more
+often than clean ones. Some make a text toxic by themselves: words like them are as rare in clean texts. Others come with
+stems that clean texts have as well, and tell only together. One machine learns the words that stand alone, in turns,
+another all witnesses. Being linear in the landmarks, each folds into a table of triples, by which every word of every
+text is scored. A logistic curve over texts weighs the worst word of the first kind, the number and share of distinct
+words of the second, and the second and third worst of them. Runs of single letters form one word, and characters other
+than letters are dropped within a word.
 
 Fitted on a bounded sample: about ``SAMPLE`` toxic and ``CLEAN_SAMPLE`` clean labelled texts at most, drawn by a hash of
 the doc_id.
@@ -32,10 +35,12 @@ DECAY, SPAN = 0.75, 6
 # Words are scored in pieces of at most so many letters that overlap by half.
 LONGEST = 24
 ROUNDS = 4
-# Share of the toxic texts, copies apart, that a word needs to be taken for a witness.
-MIN_SUPPORT = 0.02
+# Toxic texts, copies apart, that a word needs to be taken for a witness.
+MIN_SUPPORT = 2.0
 # Logarithm of how much more often it has to be in toxic texts than in clean ones.
 MIN_ODDS = 3.0
+# Words with at least this kernel are alike.
+ALIKE = 0.5
 # Words of clean texts that the machine sees at most, about.
 NEGATIVES = 8_000
 _MEMORY, _CHUNK = 150_000, 30_000
@@ -122,27 +127,37 @@ def kernel(one: list[str], two: list[str]) -> np.ndarray:
 
 @dataclass
 class Model:
-    table: np.ndarray  # weight of each triple
-    bias: float
-    scale: float
-    shift: float
+    table: np.ndarray  # weight of each triple, for words that stand alone and for all witnesses
+    bias: np.ndarray
+    weights: np.ndarray  # of the figures of a text, the constant last
 
     def words(self, words: list[str]) -> np.ndarray:
-        """Decision values of words (of letters only); a word without a triple gets the bias."""
-        out = np.full(len(words), self.bias)
+        """Both decision values of words (of letters only); a word without a triple gets the biases."""
+        out = np.tile(self.bias, (len(words), 1))
         long = [i for i, w in enumerate(words) if len(w) > LONGEST]
         for i in long:
             w = words[i]
             step = LONGEST // 2
-            out[i] = self.words([w[a:a + LONGEST] for a in range(0, len(w) - step, step)]).max()
+            out[i] = self.words([w[a:a + LONGEST] for a in range(0, len(w) - step, step)]).max(axis=0)
         for places in _by_length(words):
             if places:
                 ids, weights = _triples([words[i] for i in places])
-                out[places] = (self.table[ids] * weights).sum(axis=1) + self.bias
+                out[places] = np.einsum("nfm,nf->nm", self.table[ids], weights) + self.bias
         return out
 
-    def score(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * worst + self.shift, -30, 30)))
+    def text(self, values: np.ndarray) -> np.ndarray:
+        """Figures of a text from the decision values of its distinct words."""
+        if not len(values):
+            values = self.bias[None]
+        worst = np.clip(values[:, 0].max(), -2, 2)
+        # How far beyond the margin of the second machine each word is, at most 1.
+        beyond = np.clip(values[:, 1], 0, 1)
+        top = np.sort(np.append(beyond, [0, 0, 0]))
+        return np.array([max(min(max(worst, 0), 1), top[-3]), worst, top[-2], np.log1p(beyond.sum()),
+                         10 * beyond.mean(), 1.0])
+
+    def score(self, figures: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(figures @ self.weights, -30, 30)))
 
 
 def is_held_out() -> Column:
@@ -204,43 +219,66 @@ def _machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, cost: f
     return w[:-1], float(w[-1])
 
 
-def _calibrated(worst: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic curve through the texts' decision values."""
-    x = np.stack([worst, np.ones(len(worst))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - toxic)) + 1e-3 * w
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -2, 2)
-    return (float(max(w[0], 1e-3)), float(w[1]))
+def _calibrated(figures: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of a logistic curve through the texts' figures (the last is constant)."""
+    w = np.zeros(figures.shape[1])
+    ridge = np.full(len(w), 1e-1)
+    ridge[-1] = 1e-3
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(figures @ w, -30, 30)))
+        slope = figures.T @ (weight * (p - toxic)) + ridge * w
+        curve = (figures * (weight * p * (1 - p))[:, None]).T @ figures + np.diag(ridge)
+        w -= np.clip(np.linalg.solve(curve, slope), -2, 2)
+    return w
 
 
 def _copies(word: np.ndarray, doc: np.ndarray, texts: int) -> np.ndarray:
-    """About how many texts are near-copies of each text, itself included: those that share a smallest hash of rare words."""
+    """About how many texts are near-copies of each text, itself included: those that share smallest hashes of rare words.
+
+    The median over the hashes counts, as texts that share one rare word have the smallest in common only now and then.
+    """
     frequency = np.bincount(word)
     rare = frequency[word] <= max(2, texts // 50)
-    size = np.ones(texts)
+    size = np.ones((8, texts))
     for turn in range(8):
         hashes = ((word + 1) * 2654435761 + (turn + 1) * 40503 * (word + 7)) % (1 << 32)
         least = np.full(texts, 1 << 32)
         np.minimum.at(least, doc[rare], hashes[rare])
         _, group, sizes = np.unique(least, return_inverse=True, return_counts=True)
-        size = np.maximum(size, np.where(least < 1 << 32, sizes[group], 1))
-    return size
+        size[turn] = np.where(least < 1 << 32, sizes[group], 1)
+    return np.median(size, axis=0)
 
 
-def _witnesses(word: np.ndarray, doc: np.ndarray, toxic: np.ndarray, odds: np.ndarray) -> np.ndarray:
-    """Words that many toxic texts and hardly any clean ones have, most frequent first.
+def _witnesses(word: np.ndarray, doc: np.ndarray, toxic: np.ndarray, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words that several toxic texts and hardly any clean ones have, most frequent first, and their support.
 
     Near-copies of a text count as one, or all their words would look telling.
     """
     weight = np.where(toxic, 1 / _copies(word, doc, len(toxic)), 0.0)
     support = np.bincount(word, weight[doc], minlength=len(odds))
     support[odds < MIN_ODDS] = 0
-    found = np.flatnonzero(support >= max(2.0, MIN_SUPPORT * weight.sum()))
-    return found[np.argsort(-support[found], kind="stable")]
+    found = np.flatnonzero(support >= MIN_SUPPORT)
+    found = found[np.argsort(-support[found], kind="stable")]
+    return found, support[found]
+
+
+def _odds(bad: np.ndarray, good: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    return np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
+
+
+def _alone(vocabulary: np.ndarray, positive: np.ndarray, word: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Which witnesses stand alone: texts with any word like them are toxic as often as those with the witness itself."""
+    words = vocabulary[positive].tolist()
+    out = np.zeros(len(words), bool)
+    for at in range(0, len(words), 256):
+        part = words[at:at + 256]
+        like = np.concatenate([kernel(vocabulary[a:a + 8192].tolist(), part) >= ALIKE
+                               for a in range(0, len(vocabulary), 8192)])
+        for i in range(len(part)):
+            texts = np.zeros(len(toxic), bool)
+            texts[doc[like[word, i]]] = True
+            out[at + i] = _odds((texts & toxic).sum(), (texts & ~toxic).sum(), toxic) >= MIN_ODDS
+    return out
 
 
 def fit(rows: pd.DataFrame, landmarks: int = LANDMARKS) -> Model | None:
@@ -249,66 +287,85 @@ def fit(rows: pd.DataFrame, landmarks: int = LANDMARKS) -> Model | None:
     toxic = rows["toxic"].to_numpy() == 1
     if not toxic.any() or toxic.all():
         return None
-    doc = np.repeat(np.arange(len(rows)), rows["words"].map(len))
+    sizes = rows["words"].map(len).to_numpy()
+    doc = np.repeat(np.arange(len(rows)), sizes)
     word, vocabulary = pd.factorize(np.array([w for ws in rows["words"] for w in ws], dtype=object), sort=True)
     bad, good = (np.bincount(word[side[doc]], minlength=len(vocabulary)) for side in (toxic, ~toxic))
-    odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
+    odds = _odds(bad, good, toxic)
     ordinary = np.flatnonzero((good > 0) & (odds < 1.5))
-    positive = _witnesses(word, doc, toxic, odds)
-    if not len(positive) or not len(ordinary):
+    witnesses, support = _witnesses(word, doc, toxic, odds)
+    if not len(witnesses) or not len(ordinary):
         return None
     common = ordinary[np.argsort(-good[ordinary], kind="stable")[:landmarks // 4]]
     spread = ordinary[:: max(1, len(ordinary) // (landmarks // 2))]
-    telling = positive[:landmarks // 4]
+    telling = witnesses[:landmarks // 2]
     marks = vocabulary[np.unique(np.concatenate([telling, common, spread]))].tolist()
 
     inner = kernel(marks, marks).astype(np.float64)
     values, vectors = np.linalg.eigh(inner)
     keep = values > 1e-4 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-
-    used = np.unique(np.concatenate([positive, common, ordinary[:: max(1, len(ordinary) // NEGATIVES)]]))
     ids, weights = _triples(marks)
+
+    def folded(v: np.ndarray) -> np.ndarray:
+        table = np.zeros(_SYMBOLS ** 3)
+        np.add.at(table, (ids.ravel(),), (weights * (root @ v)[:, None]).ravel())
+        table[0] = 0
+        return table
+
+    some = ordinary[:: max(1, len(ordinary) // NEGATIVES)]
+    # A clean word weighs by how many clean texts have it: those with a telling stem are in few.
+    plain_words = np.union1d(common, some)
+    used = np.concatenate([witnesses, plain_words])
+    sign = np.repeat([1.0, -1.0], [len(witnesses), len(plain_words)])
+    having = np.sqrt(good[plain_words])
+    weight = np.concatenate([support / support.sum(), 2 * having / having.sum()])
+    v, joint_bias = _machine(kernel(vocabulary[used].tolist(), marks) @ root, sign, weight * len(sign) / 20)
+    joint = folded(v)
+
+    # Without a word that stands alone, the first machine says no to every word.
+    table, bias = np.zeros(_SYMBOLS ** 3), -1.0
+    positive = witnesses[_alone(vocabulary, witnesses, word, doc, toxic)]
+    used = np.unique(np.concatenate([positive, common, some]))
     # Witnesses with a letter put in between are to be found as well.
     altered = sorted({w[:i] + c + w[i:] for w in vocabulary[positive].tolist() if len(w) > 3
                       for i in range(1, len(w)) for c in (w[i], "x")} - set(vocabulary[ordinary].tolist()))
     altered_features = kernel([w[:LONGEST] for w in altered], marks) @ root
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS if len(positive) else 0):
         sign = np.concatenate([np.where(np.isin(used, positive), 1.0, -1.0), np.ones(len(altered))])
         weight = np.concatenate([
             np.where(sign[:len(used)] > 0, 1 / len(positive), 2 / max(1, len(used) - len(positive))),
             np.full(len(altered), 1 / max(1, len(altered)))])
         features = np.concatenate([kernel(vocabulary[used].tolist(), marks) @ root, altered_features])
         v, bias = _machine(features, sign, weight * len(sign) / 20)
-        table = np.zeros(_SYMBOLS ** 3)
-        np.add.at(table, (ids.ravel(),), (weights * (root @ v)[:, None]).ravel())
-        table[0] = 0
+        table = folded(v)
         # Ordinary words that come too close to the margin are negatives of the next turn.
         rest = np.setdiff1d(ordinary, used)
-        value = Model(table, bias, 1.0, 0.0).words(vocabulary[rest].tolist())
+        value = Model(table[:, None], np.array([bias]), np.zeros(0)).words(vocabulary[rest].tolist())[:, 0]
         close = rest[value > -0.3]
         if not len(close):
             break
         used = np.union1d(used, close[np.argsort(-value[value > -0.3], kind="stable")[:NEGATIVES // 4]])
-    model = Model(table, bias, 1.0, 0.0)
-    worst = np.full(len(rows), bias)
-    np.maximum.at(worst, doc, model.words(vocabulary.tolist())[word])
-    model.scale, model.shift = _calibrated(worst, toxic.astype(float), rows["weight"].to_numpy())
+    model = Model(np.stack([table, joint], axis=1), np.array([bias, joint_bias]), np.zeros(0))
+    value = model.words(vocabulary.tolist())[word]
+    figures = np.array([model.text(x) for x in np.split(value, np.cumsum(sizes)[:-1])])
+    model.weights = _calibrated(figures, toxic.astype(float), rows["weight"].to_numpy())
     return model
 
 
 class Scorer:
-    """Decision value of each text's worst word; remembers runs of characters between white space."""
+    """Figures of texts from the decision values of their words; remembers runs of characters between white space."""
 
     def __init__(self, model: Model):
         self.model = model
         self._forget(_MEMORY)
 
     def _forget(self, room: int) -> None:
-        self.memory: dict[str, int] = {}
-        self.values = np.zeros(room)
-        self.single = np.zeros(room, bool)
-        self.letter: list[str] = []  # what a run comes to if that is a single letter, else nothing
+        self.memory: dict[str, int] = {}  # place of a run's word; runs of the same word share it
+        self.places: dict[str, int] = {}
+        self.values = np.zeros((room, 2))
+        self.short = np.zeros(room, bool)
+        self.letter: list[str] = []  # the word if it is a single letter, else nothing
 
     def _learn(self, tokens: set[str]) -> None:
         new = [t for t in tokens if t not in self.memory]
@@ -316,15 +373,19 @@ class Scorer:
             new = list(tokens)
             self._forget(max(_MEMORY, len(new)))
         if new:
-            base = len(self.memory)
-            words = [plain(t) for t in new]
-            self.values[base:base + len(new)] = self.model.words(words)
-            self.single[base:base + len(new)] = [len(w) == 1 for w in words]
-            self.letter += [w if len(w) == 1 else "" for w in words]
-            self.memory.update(zip(new, range(base, base + len(new)), strict=True))
-
-    def worst(self, texts: pa.Array) -> np.ndarray:
-        out = np.full(len(texts), self.model.bias)
+            plains = [plain(t) for t in new]
+            words = list({w for w in plains if w not in self.places})
+            base = len(self.places)
+            if words:
+                self.values[base:base + len(words)] = self.model.words(words)
+                self.short[base:base + len(words)] = [len(w) < 2 for w in words]
+                self.letter += [w if len(w) == 1 else "" for w in words]
+                self.places.update(zip(words, range(base, base + len(words)), strict=True))
+            self.memory.update(zip(new, map(self.places.__getitem__, plains), strict=True))
+
+    def figures(self, texts: pa.Array) -> np.ndarray:
+        nothing = self.model.text(np.zeros((0, 2)))
+        out = np.tile(nothing, (len(texts), 1))
         at = 0
         while at < len(texts):
             group, size = [], 0
@@ -336,17 +397,18 @@ class Scorer:
             get = self.memory.__getitem__
             for i, tokens in enumerate(group, at - len(group)):
                 if tokens:
-                    places = list(map(get, tokens))
-                    out[i] = max(out[i], self.values[places].max())
-                    if self.single[places].sum() > 2:
-                        out[i] = max(out[i], self._spelled(places))
+                    places = np.array(list(map(get, tokens)))
+                    distinct = np.unique(places)
+                    values = self.values[distinct[~self.short[distinct]]]
+                    if self.short[places].sum() > 2:
+                        values = np.concatenate([values, self._spelled(places)])
+                    out[i] = self.model.text(values)
         return out
 
-    def _spelled(self, places: list[int]) -> float:
-        """Worst of the words that are spelled out in single letters."""
+    def _spelled(self, places: np.ndarray) -> np.ndarray:
+        """Values of the words that are spelled out in single letters."""
         line = "".join([self.letter[p] or " " for p in places])
-        runs = [r for r in line.split() if len(r) > 2]
-        return float(self.model.words(runs).max()) if runs else self.model.bias
+        return self.model.words(sorted({r for r in line.split() if len(r) > 2}))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -358,7 +420,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            scores = scorer.model.score(scorer.worst(batch.column("text")))
+            scores = scorer.model.score(scorer.figures(batch.column("text")))
             yield pa.record_batch([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")

@@ -69,3 +69,24 @@ def test_labels_of_one_kind_or_none(spark, tables, no_docs):
     assert {r.score for r in judge(docs, labels.where("toxic = 0")).collect()} == {0.0}
     assert {r.score for r in judge(docs, labels.limit(0)).collect()} == {0.0}
     assert judge(no_docs, labels).count() == 0
+
+
+def test_words_that_tell_only_together(spark):
+    """One stem with ever other endings: one such word is in clean texts, too, several make a text toxic."""
+    rng = random.Random(8)
+    ends = ["".join(rng.choice("klmnoprstuv") for _ in range(3)) for _ in range(60)]
+    docs, labels = [], []
+    for i in range(1200):
+        text = words(rng, rng.randint(30, 60)).split()
+        n = rng.randint(4, 7) if i % 12 == 0 else int(i % 8 == 1)
+        for end in rng.sample(ends, n):
+            text.insert(rng.randrange(len(text)), "zwyrx" + end)
+        if i % 12 == 6:
+            text.insert(rng.randrange(len(text)), "grobnik")
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 6 == 0)))
+    rows = judge(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                 spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    found = {kind: [r.predicted for r in rows if r.doc_id % 12 == kind] for kind in (0, 6)}
+    clean = [r.predicted for r in rows if r.doc_id % 6]
+    assert sum(found[0]) > 0.8 * len(found[0]) and sum(found[6]) > 0.8 * len(found[6]) and sum(clean) < 0.05 * len(clean)
