@@ -202,6 +202,14 @@ KINDS: tuple[tuple[str, re.Pattern, Callable[[str, Permute], str | None]], ...]
     ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
                          r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([.-])\d{3}\1\d{4})(?![\w-])"), _phone),
 )
+# Card numbers as they are grouped: what may begin amid other groups of digits.
+_CARD_LAYOUT = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{4,5}")
+_CARD_AGAIN = re.compile(r"\d(?:[ -]?\d){12,18}(?!\d)")
+_IBAN_LENGTH = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
 _HOST = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})(?:\.[A-Za-z0-9-]{1,63}){1,8}")
 _NAME = re.compile(r"[\w.%+\-]{1,64}\Z")
 
@@ -220,6 +228,37 @@ class Pseudonyms:
             self.known[kind, text] = make(text, lambda tweak, size, x: self.network(tweak, size)(x))
         return self.known[kind, text]
 
+    def grouped(self, kind: str, pattern: re.Pattern, make: Callable, text: str, spans: list[tuple[int, int, str]]) -> None:
+        """Add the cards or IBANs of a text, which may have other groups before and behind them, to ``spans``.
+
+        An IBAN of its country's length comes first, then the longest span, then those that end at a separator. Where none
+        passes its check, the next group may begin one; a card only in a usual layout, as any row of groups has spans that
+        pass by chance.
+        """
+        found, amid = pattern.search(text), False
+        while found:
+            start, stop = found.span()
+            breaks = [i for i in range(start, stop) if text[i] in " -"]
+            ends = [stop, *reversed(breaks)]
+            if kind == "iban":
+                usual = _IBAN_LENGTH.get(text[start:start + 2])
+                ends.sort(key=lambda end: len(text[start:end].replace(" ", "")) != usual)
+            elif amid:
+                ends = [end for end in ends if _CARD_LAYOUT.fullmatch(text, start, end)]
+            for end in ends:
+                if any(start < e and s < end for s, e, _ in spans):
+                    continue
+                new = self.value(kind, make, text[start:end])
+                if new is not None:
+                    spans.append((start, end, new))
+                    found, amid = pattern.search(text, end), False
+                    break
+            else:
+                at = breaks[0] + 1 if breaks else stop
+                # Behind a hyphen only amid a span.
+                again = _CARD_AGAIN.match(text, at) if kind == "card" and breaks else None
+                found, amid = again or pattern.search(text, at), bool(again)
+
     def text(self, text: str) -> tuple[str, int]:
         """The text under pseudonyms, as long as before, and how many values were replaced."""
         spans: list[tuple[int, int, str]] = []
@@ -232,6 +271,9 @@ class Pseudonyms:
             at = text.find("@", at + 1)
         if _DIGIT.search(text):
             for kind, pattern, make in KINDS:
+                if kind in ("iban", "card"):
+                    self.grouped(kind, pattern, make, text, spans)
+                    continue
                 for found in pattern.finditer(text):
                     start, end = found.span(1) if kind == "secret" else found.span()
                     if any(start < e and s < end for s, e, _ in spans):

@@ -67,6 +67,20 @@ def test_iban_keeps_its_check(made):
     assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
 
 
+@pytest.mark.parametrize("text,value", [
+    ("card 4111 1111 1111 1111 12/28", "4111 1111 1111 1111"), ("card 4111 1111 1111 1111 123 cvv", "4111 1111 1111 1111"),
+    ("4111111111111111 12/28", "4111111111111111"), ("4111-1111-1111-1111-12/28", "4111-1111-1111-1111"),
+    ("no 12 4111 1111 1111 1111", "4111 1111 1111 1111"), ("no 17-4111-1111-1111-1111", "4111-1111-1111-1111"),
+    ("1235 4111 1111 1111 1111 12/28", "4111 1111 1111 1111"),
+    ("BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034"), ("BE68539007547034 EUR 5", "BE68539007547034"),
+    ("AT61 1904 3002 3457 3201 EUR", "AT61 1904 3002 3457 3201"), ("BE68 5390 0754 7034 PAID", "BE68 5390 0754 7034"),
+    ("ES91 2100 0418 4502 0005 1332 BIC", "ES91 2100 0418 4502 0005 1332"),
+    ("AB13 BE68 5390 0754 7034 EUR", "BE68 5390 0754 7034")])
+def test_other_groups_beside_a_number(made, text, value):
+    alone, _ = made.text(value)
+    assert alone != value and made.text(text) == (text.replace(value, alone), 1)
+
+
 def test_rows(spark, edge_docs, no_docs):
     docs = spark.createDataFrame([(1, "mail a.b@c.de now", 5), (2, None, 5), (None, "", 5), (1, "mail a.b@c.de now", 5)],
                                  "doc_id long, text string, n_replaced int")
