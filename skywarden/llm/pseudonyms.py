@@ -165,11 +165,19 @@ def _phone(text: str, permute: Permute) -> str | None:
     return _refill(text, code + str(permute("phone", 10 ** 10, int(rest))).zfill(10))
 
 
+# Longer secrets are replaced in pieces: a half of a Feistel round must not have more bits than its function (192).
+_PIECE = 64
+
+
 def _letters(kind: str) -> Callable[[str, Permute], str | None]:
     """Replace letters by letters, digits by digits, hexadecimal digits by such; the rest of the layout stays."""
     sets = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
     def new(text: str, permute: Permute) -> str | None:
+        if len(text) > _PIECE:
+            # Even pieces, each under a permutation of its own range.
+            size = -(-len(text) // -(-len(text) // _PIECE))
+            return "".join(new(text[at:at + size], permute) for at in range(0, len(text), size))
         hexed = next((h for h in ("0123456789abcdef", "0123456789ABCDEF") if set(text) <= set(h)), None) if (
             kind == "secret") else None
         own = [hexed or next((s for s in sets if c in s), "") for c in text]
@@ -193,7 +201,7 @@ def _letters(kind: str) -> Callable[[str, Permute], str | None]:
 # Tried in this order; what one has replaced is not looked at by the next. Group 1, if there, is the part to replace.
 KINDS: tuple[tuple[str, re.Pattern, Callable[[str, Permute], str | None]], ...] = (
     ("secret", re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b\s{0,3}[=:]\s{0,3}"
-                          r"[\"']?([A-Za-z0-9_\-]{8,200})"), _letters("secret")),
+                          r"[\"']?([A-Za-z0-9_\-]{8,})"), _letters("secret")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), _iban),
     ("card", re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?![\d])"), _card),
     ("date", re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d\d\1\d\d|\d\d([-/.])\d\d\2\d{4})(?![\d/-]|\.\d)"), _date),
@@ -269,8 +277,11 @@ class Pseudonyms:
                 new = self.value("mail", _letters("mail"), name.group())
                 spans.append((name.start(), at, _foreign(new, name.group(), self)))
             at = text.find("@", at + 1)
-        if _DIGIT.search(text):
+        digit, named = _DIGIT.search(text), "=" in text or ":" in text
+        if digit or named:
             for kind, pattern, make in KINDS:
+                if not (named if kind == "secret" else digit):
+                    continue
                 if kind in ("iban", "card"):
                     self.grouped(kind, pattern, make, text, spans)
                     continue

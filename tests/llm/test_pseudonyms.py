@@ -81,6 +81,16 @@ def test_other_groups_beside_a_number(made, text, value):
     assert alone != value and made.text(text) == (text.replace(value, alone), 1)
 
 
+def test_secrets_without_digits_and_long_ones(made):
+    bare, n = made.text("say password=correcthorse twice")
+    assert n == 1 and "correcthorse" not in bare and made.text("say password=correcthorse twice 1")[0] == bare + " 1"
+    secret = "".join(chr(97 + i * i % 26) + str(i % 10) + "K" for i in range(167))
+    for long in (secret, "5" + "ab9" * 70, secret * 200):
+        new, n = made.text(f"token: {long}.")
+        assert n == 1 and len(new) == len(long) + 8
+        assert all(new[i:i + 20] != long[i - 7:i + 13] for i in range(7, len(long) - 13, 20))
+
+
 def test_rows(spark, edge_docs, no_docs):
     docs = spark.createDataFrame([(1, "mail a.b@c.de now", 5), (2, None, 5), (None, "", 5), (1, "mail a.b@c.de now", 5)],
                                  "doc_id long, text string, n_replaced int")
