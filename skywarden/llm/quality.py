@@ -3,15 +3,17 @@
 A line is normalised to its words, lower-cased, with every digit as 0. A line that more than ``LEAST_DOCS`` documents
 and more than ``SHARE`` of all documents of a host (``source``) have is boilerplate there. A document is rejected as
 depleted when boilerplate lines hold more than half of its words, or when it fails the base rules.
+``without_common_lines`` takes the boilerplate lines out of the texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skywarden.llm.store import stored
@@ -31,6 +33,20 @@ def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return sums[first[1:]] - sums[first[:-1]]
 
 
+def _lines(words: Words, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """First and past the last byte, first and past the last word, and text of every line that has words."""
+    # Lines begin with a text or behind a line feed.
+    feeds = np.flatnonzero(data == 10)
+    begin = np.union1d(offsets[:-1], feeds + 1)
+    begin = begin[begin < len(data)]
+    end = np.append(begin[1:], len(data))
+    end = end - (data[end - 1] == 10) if len(end) else end
+    line_doc = np.searchsorted(offsets, begin, "right") - 1
+    low, high = np.searchsorted(words.starts, begin), np.searchsorted(words.starts, end)
+    has = high > low
+    return [x[has] for x in (begin, end, low, high, line_doc)]
+
+
 def _figures(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], pa.Array]:
     """The figures of each text of a slice, and its distinct normalised lines with their number and words."""
     words = Words(data, offsets, lower=False)
@@ -58,16 +74,7 @@ def _figures(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], p
             covered[again + shift] = True
     repeated = _per_text(covered[:n], words.first)
 
-    # Lines begin with a text or behind a line feed.
-    feeds = np.flatnonzero(data == 10)
-    begin = np.union1d(offsets[:-1], feeds + 1)
-    begin = begin[begin < len(data)]
-    end = np.append(begin[1:], len(data))
-    end = end - (data[end - 1] == 10) if len(end) else end
-    line_doc = np.searchsorted(offsets, begin, "right") - 1
-    low, high = np.searchsorted(words.starts, begin), np.searchsorted(words.starts, end)
-    has = high > low
-    begin, end, low, high, line_doc = (x[has] for x in (begin, end, low, high, line_doc))
+    begin, end, low, high, line_doc = _lines(words, data, offsets)
     line_first = np.searchsorted(line_doc, np.arange(texts + 1))
     _, first_of = np.unique(words.spans(begin, end) ^ (line_doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)),
                             return_index=True)
@@ -105,6 +112,19 @@ def figures(docs: DataFrame) -> DataFrame:
                                 "lines array<struct<hash:long,lines:long,words:long>>")
 
 
+def _common(rows: DataFrame, least_docs: int, percent: int) -> DataFrame:
+    """``id, hash, lines, words`` of the boilerplate lines of ``rows`` (id, host, lines)."""
+    lines = rows.select("id", "host", F.explode("lines").alias("line")).select("id", "host", "line.*")
+    hosts = rows.groupBy("host").agg(F.count("*").alias("documents"))
+    common = lines.groupBy("host", "hash").agg(F.count("*").alias("having")).where(F.col("having") > least_docs).join(
+        hosts, "host").where(100 * F.col("having") > percent * F.col("documents")).select("host", "hash")
+    return lines.join(common, ["host", "hash"])
+
+
+def _failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def judged(docs: DataFrame, least_docs: int = LEAST_DOCS, percent: int = PERCENT_OF_HOST) -> DataFrame:
     """Base figures, ``base_failed``, ``n_common_lines``, ``n_left_words`` and ``kept`` for every row of ``docs``.
 
@@ -114,15 +134,62 @@ def judged(docs: DataFrame, least_docs: int = LEAST_DOCS, percent: int = PERCENT
     """
     rows = stored(figures(docs).withColumn("id", F.monotonically_increasing_id())
                   .withColumn("host", F.coalesce("source", F.lit(""))), "figures")
-    lines = rows.select("id", "host", F.explode("lines").alias("line")).select("id", "host", "line.*")
-    hosts = rows.groupBy("host").agg(F.count("*").alias("documents"))
-    common = lines.groupBy("host", "hash").agg(F.count("*").alias("having")).where(F.col("having") > least_docs).join(
-        hosts, "host").where(100 * F.col("having") > percent * F.col("documents")).select("host", "hash")
-    gone = lines.join(common, ["host", "hash"]).groupBy("id").agg(
+    gone = _common(rows, least_docs, percent).groupBy("id").agg(
         F.sum("lines").alias("n_common_lines"), F.sum("words").alias("gone_words"))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = _failed()
     left = F.col("n_words") - F.coalesce("gone_words", F.lit(0))
     return rows.join(gone, "id", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         F.coalesce("n_common_lines", F.lit(0)).alias("n_common_lines"), left.alias("n_left_words"),
         (~failed & (2 * left >= F.col("n_words"))).alias("kept"))
+
+
+def _cut(texts: DataFrame) -> DataFrame:
+    """``id, text, n_left_words`` of ``texts`` (id, text, hashes) without the lines that have one of the hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, offsets in slices(batch.column("text")):
+                part = batch.slice(at, to - at)
+                words = Words(data, offsets, lower=True, one_digit=True)
+                begin, _, low, high, line_doc = _lines(words, data, offsets)
+                hashes, feeds = words.runs(low, high).view(np.int64), np.flatnonzero(data == 10)
+                number = np.searchsorted(feeds, begin) - np.searchsorted(feeds, offsets[line_doc])
+                first, left = np.searchsorted(line_doc, np.arange(to - at + 1)), words.counts().astype(np.int64)
+                cut = []
+                for i, (text, common) in enumerate(zip(part.column("text"), part.column("hashes"), strict=True)):
+                    mine = np.arange(first[i], first[i + 1])
+                    out = mine[np.isin(hashes[mine], common.values.to_numpy())]
+                    lines = text.as_py().split("\n")
+                    keep = np.ones(len(lines), bool)
+                    keep[number[out]] = False
+                    left[i] -= (high[out] - low[out]).sum()
+                    cut.append("\n".join(compress(lines, keep)))
+                yield pa.record_batch([part.column("id"), pa.array(cut, pa.string()), pa.array(left)],
+                                      ["id", "text", "n_left_words"])
+
+    return texts.mapInArrow(run, "id long, text string, n_left_words long")
+
+
+def without_common_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, percent: int = PERCENT_OF_HOST) -> DataFrame:
+    """``docs`` with the boilerplate lines cut out of ``text``, ``n_left_words`` of what is left, and ``kept`` by it.
+
+    All columns stay, those two replaced; ``n_chars`` (if there) follows a text that loses lines, and other texts stay as
+    they are. Lines that stay keep their order, line feeds between them. Base rules look at the whole text, as in
+    ``judged``, whose ``n_left_words`` and ``kept`` are the same. Rows that are not kept stay, for the caller to drop.
+    """
+    names = [c for c in docs.columns if c not in ("n_left_words", "kept")]
+    texts = stored(docs.select(F.struct(*names).alias("row")).withColumn("id", F.monotonically_increasing_id()), "texts")
+    rows = stored(figures(texts.select(F.col("id").alias("doc_id"), "row.source", "row.text"))
+                  .withColumnRenamed("doc_id", "id").withColumn("host", F.coalesce("source", F.lit(""))), "figures")
+    hashes = _common(rows, least_docs, percent).groupBy("id").agg(F.collect_list("hash").alias("hashes"))
+    cut = _cut(texts.select("id", "row.text").join(hashes, "id")).select(
+        "id", F.col("text").alias("cut"), F.col("n_left_words").alias("left"))
+    both = texts.join(rows.select("id", "n_words", _failed().alias("failed")), "id").join(cut, "id", "left")
+    left = F.coalesce("left", "n_words")
+    columns = {c: F.col("row")[c] for c in names}
+    columns["text"] = F.coalesce("cut", columns["text"])
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("cut").isNull(), columns["n_chars"]).otherwise(
+            F.char_length("cut").cast(docs.schema["n_chars"].dataType))
+    return both.select(*(c.alias(name) for name, c in columns.items()), left.alias("n_left_words"),
+                       (~F.col("failed") & (2 * left >= F.col("n_words"))).alias("kept"))
