@@ -226,7 +226,7 @@ SELECT strftime(i.w, '%Y-%m-%d %H:%M') AS window_at, remote_addr, ip_count, crit
 LEFT JOIN ({_gap_sql(_FIVE, 'remote_addr', 5000)}) g USING (w, remote_addr)
 WHERE i.w + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM m)""", "m")
 def _(spark, sf):
-    """The eight metrics over event-time windows, each emitted once it is complete."""
+    """Six of the eight metrics over event-time windows, each emitted once it is complete."""
     out = work_dir(spark, "g2")
     stream = _request_stream(spark, sf, out)
 
