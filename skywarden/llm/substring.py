@@ -47,7 +47,8 @@ def _anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return starts, starts
     hashes = words.windows(piece)
-    place = np.uint64((1 << _PLACE_BITS) - 1)
+    # A single long text may have more words than the usual bits can number.
+    place = np.uint64((1 << max(_PLACE_BITS, len(hashes).bit_length())) - 1)
     least = (hashes & ~place) | np.arange(len(hashes), dtype=np.uint64)
     width, have = window - piece + 1, 1
     while have < width:

@@ -4,8 +4,12 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from skywarden.llm import substring
 from skywarden.llm.substring import removed_words, without_repeats
+from skywarden.llm.words import word_slices
 from tests.llm.rows import WORD, words
 
 
@@ -47,6 +51,14 @@ def test_planted_passages(spark, window):
     assert got(removed_words(spark.createDataFrame(rows, "doc_id long, text string"), window)) == brute(rows, window)
 
 
+def test_anchors_of_a_text_with_more_words_than_place_bits_number(monkeypatch):
+    (_, _, text), = word_slices(pa.array([words(random.Random(4), 500)]))
+    starts, anchor = substring._anchors(text, 8)
+    monkeypatch.setattr(substring, "_PLACE_BITS", 4)
+    again, few = substring._anchors(text, 8)
+    assert (again == starts).all() and (few >= starts).all() and (few <= starts + 6).all() and np.array_equal(few, anchor)
+
+
 def test_without_repeats_keeps_columns_and_the_rest(spark):
     rng = random.Random(1)
     common = words(rng, 60)
