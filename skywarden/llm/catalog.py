@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skywarden.llm import fingerprint, language, neardup, packing, pieces, pseudonyms, quality, substring, toxicity, warc
+from skywarden.llm import (fingerprint, hardneg, language, neardup, packing, pieces, pseudonyms, quality, substring, toxicity,
+                           warc)
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +149,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
                           F.sha2("text", 256).alias("decoded_sha256"))
+
+
+_HARD_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+             list_inner_product(a.v, c.v)::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.r <> c.r),
+p AS (SELECT r, anchor_id, other_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) AS k
+      FROM s WHERE same QUALIFY k <= 5),
+n AS (SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+      FROM p JOIN s ON s.r = p.r AND NOT s.same
+      WHERE 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
+
+@query("op11_hard_negatives", _HARD_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
