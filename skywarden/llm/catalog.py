@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skywarden.llm import (fingerprint, hardneg, language, neardup, packing, pieces, pseudonyms, quality, substring, toxicity,
-                           warc)
+from skywarden.llm import (fingerprint, hardneg, interaction, language, maintext, neardup, packing, pieces, pseudonyms, quality,
+                           substring, toxicity, warc)
 from skywarden.llm.store import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -174,3 +174,57 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+_AUDIT_SQL = rf"""
+WITH j AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{WORD}') AS ws, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+      FROM t),
+d AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text)
+                     THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN e THEN 'E' ELSE '' END AS fails
+      FROM w LEFT JOIN j USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+      FROM d GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT part, fails, n, n_good, n_toxic, filter_order, unnest(range(1, 6))::INTEGER AS step,
+             coalesce(list_min(list_transform(string_split(nullif(fails, ''), ''),
+                                              lambda f: instr(filter_order, f))), 6) AS gone
+      FROM c, o),
+r AS (SELECT part, filter_order, step, filter_order[step] AS f,
+             coalesce(sum(n) FILTER (gone > step), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (gone = step), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (gone < step AND contains(fails, filter_order[step])), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (fails = filter_order[step]), 0)::BIGINT AS unique_fails,
+             coalesce(sum(n_good) FILTER (gone = step), 0)::BIGINT AS good_lost,
+             coalesce(sum(n_toxic) FILTER (gone = step), 0)::BIGINT AS toxic_lost
+      FROM s GROUP BY 1, 2, 3)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r"""
+
+
+@query("op12_filter_interactions", _AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# The given pages mark their article and have plain blocks in it; what the operator does beyond that is tested by hand.
+_TEXT_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS x FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split(regexp_replace(x, '</?(?:p|h1)>', chr(1), 'g'), chr(1)), lambda s:
+        trim(regexp_replace(regexp_replace(replace(s, '<br>', ' '), '<[^>]*>', '', 'g'), '\s+', ' ', 'g'))) AS blocks FROM a),
+t AS (SELECT page_id, url, regexp_replace(replace(replace(replace(
+        array_to_string(list_filter(blocks, lambda s: s <> ''), chr(10) || chr(10)), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+        '&amp;?', '&', 'g') AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM t"""
+
+
+@query("op13_main_text", _TEXT_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_texts(table(spark, sf_dir, "pages"))
