@@ -6,7 +6,7 @@ to 5 characters of all its words (with marks at the word's ends; those of 3 and
 one with the mean of its known 5-grams, else 4-grams, and so on down to single letters.
 
 The model is fitted on a bounded sample of labelled rows: about ``SAMPLE`` of each language, drawn by a hash of the
-doc_id, of the ``LANGUAGES`` most frequent languages at most. Everything is scored.
+doc_id, or fewer where more than ``SAMPLE_OF_ALL`` would come together. Every language is learned. Everything is scored.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-SAMPLE = 600
-LANGUAGES = 200
+from skywarden.llm.workers import tidy
+
+# Labelled rows to learn from: of each language, and of all together where there are very many languages.
+SAMPLE, SAMPLE_OF_ALL = 600, 60_000
 MIN_COUNT = 3
 LONGEST = 5
 # Words that count as independent evidence when log frequencies become a confidence.
@@ -124,11 +125,14 @@ def is_held_out() -> Column:
 
 
 def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``lang, text`` of about ``sample`` labelled training rows of each language."""
+    """``lang, text`` of about ``sample`` labelled training rows of each language, SAMPLE_OF_ALL of all together."""
     rows = docs.where(F.col("lang").isNotNull() & ~is_held_out()).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    place = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(F.broadcast(sizes), "lang").where(place * F.col("n") < sample).select("lang", "text")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    each = F.least(F.lit(float(sample)), F.lit(float(SAMPLE_OF_ALL)) / sizes.agg(F.count("*")).scalar())
+    # Rows without a doc_id are drawn by their text.
+    at = F.xxhash64("doc_id", F.lit(9), F.when(F.col("doc_id").isNull(), F.col("text")))
+    place = F.pmod(at, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.join(sizes.withColumn("each", each), "lang").where(place * F.col("n") < F.col("each")).select("lang", "text")
 
 
 def fit(rows: DataFrame) -> Model:
@@ -182,11 +186,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the text goes to Python, and only the verdict comes back.
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def verdict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from tidy(run)(columns)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         languages = np.array([*scorer.model.languages, UNKNOWN])
-        for batch in batches:
-            sums = scorer.sums(batch.column("text"))
+        for texts in columns:
+            sums = scorer.sums(texts)
             known, width = sums[:, -2:-1], scorer.width
             mean = sums[:, :width] / np.maximum(known, 1) * np.minimum(known, EVIDENCE)
             lettered = (sums[:, -1] > 0) & (width > 0)
@@ -195,15 +204,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 share = np.exp(mean - mean.max(axis=1, keepdims=True))
                 best[lettered] = share.argmax(axis=1)[lettered]
                 scores[lettered] = (share.max(axis=1) / share.sum(axis=1))[lettered]
-            langs = languages[best]
-            rest = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.record_batch([*rest, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names)
+            yield pa.StructArray.from_arrays([pa.array(languages[best], pa.string()), pa.array(scores, pa.float64())],
+                                             ["lang_pred", "score"])
 
+    own = {c: f"_own_{c}" for c in docs.columns if c.startswith("_verdict")}
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    names = [*kept, "lang_pred", "score"]
-    rows = docs.select(*kept)
-    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(run, schema)
+    rows = docs.select(*[F.col(c).alias(own.get(c, c)) for c in kept], verdict("text").alias("_verdict"))
+    return rows.select(*[F.col(own.get(c, c)).alias(c) for c in kept], "_verdict.lang_pred", "_verdict.score")
 
 
 def identify(docs: DataFrame) -> DataFrame:

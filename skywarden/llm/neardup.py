@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from skywarden.llm.store import components, stored
 from skywarden.llm.words import mix, word_slices
+from skywarden.llm.workers import tidy
 
 SHINGLE = 5
 SLOTS, CHUNK, BITS = 80, 4, 16
@@ -87,7 +88,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                                   ["doc_id", "n_shingles", "set_id", "signature"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_id binary, signature binary")
+        tidy(run), "doc_id long, n_shingles long, set_id binary, signature binary")
 
 
 def _index(nodes: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def _index(nodes: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column("node"), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
                                   ["node", "keys"])
 
-    return (nodes.select("node", "signature").mapInArrow(run, "node long, keys array<long>")
+    return (nodes.select("node", "signature").mapInArrow(tidy(run), "node long, keys array<long>")
             .select(F.explode("keys").alias("key"), "node"))
 
 
@@ -130,7 +131,7 @@ def _within(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                           F.col("n_shingles").alias(f"n_{s}")) for s in "ab"]
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     return (pairs.join(sides[0], "a").join(sides[1], "b").where(100 * small >= PERCENT * large)
-            .select("a", "b", "signature_a", "signature_b").mapInArrow(run, "a long, b long, distance int"))
+            .select("a", "b", "signature_a", "signature_b").mapInArrow(tidy(run), "a long, b long, distance int"))
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -165,7 +166,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             found = []
 
     return (heads.unionByName(others).repartition("b", "part")
-            .sortWithinPartitions("b", "part", F.col("a").asc_nulls_first()).mapInArrow(run, "a long, b long"))
+            .sortWithinPartitions("b", "part", F.col("a").asc_nulls_first()).mapInArrow(tidy(run), "a long, b long"))
 
 
 def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from skywarden.llm.store import stored
 from skywarden.llm.words import Words, slices
+from skywarden.llm.workers import tidy
 
 LENGTH = 1024
 END = 2
@@ -171,7 +172,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, ranks_path: str | None = None,
                                   ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(tidy(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def sum_of_squares(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

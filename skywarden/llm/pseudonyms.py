@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from skywarden.llm.workers import tidy
+
 ROUNDS = 10
 
 
@@ -335,4 +337,4 @@ def pseudonymous(docs: DataFrame, key: bytes) -> DataFrame:
     rows = docs.select(*names)
     schema = StructType([*(StructField("text", StringType()) if f.name == "text" else f for f in rows.schema.fields),
                          StructField("n_replaced", LongType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from skywarden.llm.store import stored
 from skywarden.llm.words import Words, slices
+from skywarden.llm.workers import tidy
 
 # A line needs to be in more than so many documents of its host, and in more than this share of them (in percent).
 LEAST_DOCS, PERCENT_OF_HOST = 20, 2
@@ -108,7 +109,7 @@ def figures(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "source", *(f.split()[0] for f in _FIGURES.split(", ")), "lines"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
-    return rows.mapInArrow(run, f"doc_id long, source string, {_FIGURES}, "
+    return rows.mapInArrow(tidy(run), f"doc_id long, source string, {_FIGURES}, "
                                 "lines array<struct<hash:long,lines:long,words:long>>")
 
 
@@ -167,7 +168,7 @@ def _cut(texts: DataFrame) -> DataFrame:
                 yield pa.record_batch([part.column("id"), pa.array(cut, pa.string()), pa.array(left)],
                                       ["id", "text", "n_left_words"])
 
-    return texts.mapInArrow(run, "id long, text string, n_left_words long")
+    return texts.mapInArrow(tidy(run), "id long, text string, n_left_words long")
 
 
 def without_common_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, percent: int = PERCENT_OF_HOST) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from skywarden.llm.store import stored
 from skywarden.llm.words import Words, word_slices
+from skywarden.llm.workers import tidy
 
 WINDOW = 35
 _SPACE = "[\\x20\\x09-\\x0D]+"
@@ -83,7 +84,7 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
                                       ["node", "at", "piece", "right", "left"])
 
     return docs.select(_node().alias("node"), "text").mapInArrow(
-        run, "node long, at int, piece long, right long, left long")
+        tidy(run), "node long, at int, piece long, right long, left long")
 
 
 def _repeated(rows: DataFrame, key: list[str], weight: str | None = None) -> DataFrame:
@@ -117,7 +118,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array((left - words.first[doc]).astype(np.int32)))],
                     ["node", "text", "copies", "windows", "starts"])
 
-    return texts.mapInArrow(run, "node long, text string, copies long, windows array<long>, starts array<int>")
+    return texts.mapInArrow(tidy(run), "node long, text string, copies long, windows array<long>, starts array<int>")
 
 
 def changed_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -160,7 +161,7 @@ def changed_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                                   ["node", "n_removed", "kept_text"])
 
     single = (left.where("copies = 1").select("node", "text").join(starts, "node")
-              .mapInArrow(run, "node long, n_removed long, kept_text string"))
+              .mapInArrow(tidy(run), "node long, n_removed long, kept_text string"))
     # Every window of a text that has copies starts elsewhere, too.
     n = _n_words(_plain("text"))
     whole = left.where("copies > 1").select("node", n.alias("n_removed"), F.lit("").alias("kept_text"))

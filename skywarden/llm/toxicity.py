@@ -29,6 +29,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skywarden.llm.workers import tidy
+
 SAMPLE, CLEAN_SAMPLE = 1000, 2500
 LANDMARKS = 256
 DECAY, SPAN = 0.75, 6
@@ -200,7 +202,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, clea
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
         "toxic", "place", "weight", "text")
-    return rows.mapInArrow(run, "toxic int, place double, weight double, words array<string>")
+    return rows.mapInArrow(tidy(run), "toxic int, place double, weight double, words array<string>")
 
 
 def _machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
@@ -423,7 +425,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             scores = scorer.model.score(scorer.figures(batch.column("text")))
             yield pa.record_batch([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
