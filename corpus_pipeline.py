@@ -24,10 +24,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates: the one with the smallest doc_id. Of rows that share it, one."""
+    """One document of every group of near-duplicates: the one with the smallest doc_id. Of its rows, one of each text."""
     # Rows without a doc_id are in no group and stay.
     kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    text = next(f"_text{'_' * n}" for n in range(len(docs.columns) + 1) if f"_text{'_' * n}" not in docs.columns)
+    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn(
+        text, F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", text])
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
