@@ -39,6 +39,22 @@ def _gap_sql(window: str, keys: str, limit: int) -> str:
 
 _FIVE = "time_bucket(INTERVAL 5 MINUTES, ts)"
 _HOUR = "date_trunc('hour', ts)"
+_DAY = "date_trunc('day', ts)"
+
+
+def _vectors_sql(window: str, limit: int) -> str:
+    """All eight metrics by window, address and URL."""
+    return f"""SELECT s.w, s.remote_addr, s.request, s.requests, b.ip_block_count, i.ip_count, i.critical_count, i.ua_count,
+ i.trip_count, i.session_count, coalesce(g.min_gap_ms, 2147483647) AS min_gap_ms, coalesce(u.short_gaps, 0) AS short_gaps
+FROM (SELECT {window} AS w, remote_addr, ip_block, request, count(*) AS requests FROM m GROUP BY ALL) s
+JOIN ({_ip_sql(window)}) i ON i.w = s.w AND i.remote_addr = s.remote_addr
+JOIN (SELECT {window} AS w, ip_block, count(*) AS ip_block_count FROM m GROUP BY ALL) b
+ ON b.w = s.w AND b.ip_block = s.ip_block
+LEFT JOIN ({_gap_sql(window, 'remote_addr', limit)}) g ON g.w = s.w AND g.remote_addr = s.remote_addr
+LEFT JOIN ({_gap_sql(window, 'remote_addr, request', limit)}) u
+ ON u.w = s.w AND u.remote_addr = s.remote_addr AND u.request = s.request"""
+
+
 cte("ipm", ("m",), _ip_sql("w"))
 cte("gaps", ("m",), _gap_sql("w", "remote_addr", rules.GAP_MS))
 cte("ugaps", ("m",), _gap_sql("w", "remote_addr, request", rules.GAP_MS))
@@ -235,6 +251,17 @@ def _(spark, sf):
     return out.withColumn("window_at", F.date_format("window_start", "yyyy-MM-dd HH:mm")).drop("window_start")
 
 
+@query("g2_five_minute_vectors", f"""
+SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_at, * EXCLUDE (w) FROM ({_vectors_sql(_FIVE, 5000)})""", "m")
+def _(spark, sf):
+    """All eight metrics, merged from slice states."""
+    from skywarden.operators import slices
+
+    parts = slices.partials(slices.slice_states(_requests(spark, sf), "5 minutes"), critical(rules.CRITICAL))
+    return slices.vectors_of(parts).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_at"), "remote_addr", "request", "requests", *_VEC)
+
+
 @query("g2_sliding_counts", """
 SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_at, remote_addr, count(*) AS ip_count FROM (
  SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS w, remote_addr FROM m
@@ -254,11 +281,11 @@ def _(spark, sf):
 
 
 @query("n1_hourly_metrics", f"""
-SELECT strftime(i.w, '%Y-%m-%d %H') AS hour, remote_addr, ip_count, critical_count, ua_count, trip_count, session_count
-FROM ({_ip_sql(_HOUR)}) i""", "m")
+SELECT strftime(w, '%Y-%m-%d %H') AS hour, * EXCLUDE (w) FROM ({_vectors_sql(_HOUR, rules.GAP_MS)})""", "m")
 def _(spark, sf):
-    return _day(mt.ip_counts(_requests(spark, sf), critical(rules.CRITICAL), "1 hour"), "yyyy-MM-dd HH"
-                ).withColumnRenamed("day", "hour")
+    vectors = mt.metric_vectors(_requests(spark, sf), critical(rules.CRITICAL), "1 hour", threshold_ms=rules.GAP_MS)
+    return _day(vectors, "yyyy-MM-dd HH").withColumnRenamed("day", "hour").select(
+        "hour", "remote_addr", "request", "requests", *_VEC)
 
 
 _KEYS = {"block": "ip_block", "purchaser": "userid", "name": "contact_name", "phone": "contact_phone",

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywarden.operators.line import to_line
-from skywarden.operators.metrics import cells, ip_metrics
+from skywarden.operators.slices import slice_states
 from skywarden.operators.tag import critical
 from skywarden.plans import adapter, rules
-from skywarden.plans.catalog_metrics import _FIVE, _gap_sql, _ip_sql, _requests
+from skywarden.plans.catalog_metrics import _DAY, _FIVE, _HOUR, _VEC, _requests, _vectors_sql
 from skywarden.plans.catalog_records import with_ctes
 from skywarden.plans.catalog_reports import _entries, flow_info
 from skywarden.plans.etl import Site, processed_lines
@@ -18,8 +18,10 @@ from skywarden.schema import BACKUP_SCHEMA
 from skywarden.session import work_dir
 from skywarden.sources import keyed, writers
 from skywarden.sources.readers import read_processed, read_raw, read_spider_list
-from skywarden.streaming import jobs
-from skywarden.streaming.lookups import ChangeFlags, Lookups
+from skywarden.streaming import jobs, live
+from skywarden.streaming.lookups import (SCORING_TABLES, BatchTables, ChangeFlags, Lookups, VersionedTables,
+                                         scoring_config)
+from skywarden.streaming.windows import WindowTables, metric_batches
 
 _RAW_SCHEMA = "event_id long, ts timestamp_ntz, value string"
 
@@ -220,27 +222,43 @@ def _request_stream(spark: SparkSession, sf: str, out: str) -> DataFrame:
     return jobs.read_file_stream(spark, f"{out}/in", _REQ_SCHEMA)
 
 
+_VECTORS = ("window_start timestamp, remote_addr string, request string, requests long, last_seen timestamp, "
+            + ", ".join(f"{c} long" for c in _VEC) + ", window_length string, batch int")
+# End of the newest slice that the watermark lets finish.
+_NEWEST = f"""(SELECT max({_FIVE}) + INTERVAL 5 MINUTES FROM m
+ WHERE {_FIVE} + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM m))"""
+
+
+def _window_stream(spark: SparkSession, sf: str, out: str, longer: tuple[str, ...], threshold_ms: int) -> DataFrame:
+    """Vectors of every finished window, out of a stream of five-minute slices."""
+    slices = slice_states(_request_stream(spark, sf, out).withWatermark("event_time", "1 minute"), "5 minutes")
+    tables = WindowTables(spark, f"{out}/partials", "5 minutes", longer, threshold_ms)
+    _finish(jobs.start(slices, metric_batches(tables, lambda: critical(rules.CRITICAL), f"{out}/rows"), f"{out}/cp",
+                       interval=None))
+    return spark.read.schema(_VECTORS).parquet(f"{out}/rows")
+
+
 @query("g2_streamed_metrics", f"""
-SELECT strftime(i.w, '%Y-%m-%d %H:%M') AS window_at, remote_addr, ip_count, critical_count, ua_count, trip_count,
- session_count, min_gap_ms FROM ({_ip_sql(_FIVE)}) i
-LEFT JOIN ({_gap_sql(_FIVE, 'remote_addr', 5000)}) g USING (w, remote_addr)
-WHERE i.w + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM m)""", "m")
+SELECT strftime(w, '%Y-%m-%d %H:%M') AS window_at, * EXCLUDE (w) FROM ({_vectors_sql(_FIVE, 5000)})
+WHERE w + INTERVAL 5 MINUTES <= {_NEWEST}""", "m")
 def _(spark, sf):
-    """Six of the eight metrics over event-time windows, each emitted once it is complete."""
-    out = work_dir(spark, "g2")
-    stream = _request_stream(spark, sf, out)
+    """All eight metrics over event-time windows, each emitted once it is complete."""
+    rows = _window_stream(spark, sf, work_dir(spark, "g2"), (), 5000)
+    return rows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_at"), "remote_addr", "request",
+                       "requests", *_VEC)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        done = ip_metrics(batch, critical(rules.CRITICAL), "5 minutes", weight="n").withColumn("batch", F.lit(batch_id))
-        (done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-         .parquet(f"{out}/rows"))
 
-    finished = cells(stream.withWatermark("event_time", "1 minute"), "5 minutes")
-    _finish(jobs.start(finished, each, f"{out}/cp", interval=None))
-    rows = spark.read.schema("window_start timestamp, remote_addr string, ip_count long, critical_count long, "
-                             "ua_count long, trip_count long, session_count long, min_gap_ms long, batch int"
-                             ).parquet(f"{out}/rows").drop("batch")
-    return rows.withColumn("window_at", F.date_format("window_start", "yyyy-MM-dd HH:mm")).drop("window_start")
+@query("n1_rolled_metrics", f"""
+SELECT '1 hour' AS window_length, strftime(w, '%Y-%m-%d %H:%M') AS window_at, * EXCLUDE (w)
+FROM ({_vectors_sql(_HOUR, rules.GAP_MS)}) WHERE w + INTERVAL 1 HOUR <= {_NEWEST}
+UNION ALL SELECT '1 day', strftime(w, '%Y-%m-%d %H:%M'), * EXCLUDE (w)
+FROM ({_vectors_sql(_DAY, rules.GAP_MS)}) WHERE w + INTERVAL 1 DAY <= {_NEWEST}""", "m")
+def _(spark, sf):
+    """The same over hours and days, merged from the slices of one stream."""
+    rows = _window_stream(spark, sf, work_dir(spark, "n1"), ("1 hour", "1 day"), rules.GAP_MS)
+    return rows.where(F.col("window_length") != "5 minutes").select(
+        "window_length", F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_at"), "remote_addr", "request",
+        "requests", *_VEC)
 
 
 @query("g3_late_rows", """
@@ -302,17 +320,21 @@ def _(spark, sf):
         F.array_join("hit_rules", ",").alias("hit_rules"), F.unix_millis("hit_time").alias("hit_ms"))
 
 
-@query("g4_live_blacklist", f"""
+_LIVE_SQL = f"""
 SELECT concat('CSANTI_ANTI_BLACK', remote_addr, ':', flow_id) AS key, 120 AS life_s, live
 FROM (SELECT remote_addr, flow_id FROM ({_by_second('flow_rows')}) WHERE flow_score > flow_limit AND w < DATE '2024-01-30'
 QUALIFY row_number() OVER (PARTITION BY remote_addr ORDER BY last_ms DESC, request DESC, flow_order) = 1),
-(VALUES ('when written'), ('two minutes later')) t(live) WHERE live = 'when written'""")
+(VALUES ('when written'), ('two minutes later')) t(live) WHERE live = 'when written'"""
+
+
+@query("g4_live_blacklist", _LIVE_SQL)
 def _(spark, sf):
     """The live blacklist at the time it was written, and none of it when its life is over."""
     sinks = _score_stream(spark, sf, work_dir(spark, "g4l"), "1 minute")
     stored = keyed.stored(spark, sinks.live)
-    # One row: the write time of the last batch.
-    at = stored.agg(F.max("written_at").alias("at"), F.max("expire_at").alias("end")).first()
+    # One row: the write time of the last batch. Where nothing was listed, any time shows the empty list.
+    at = stored.agg(F.coalesce(F.max("written_at"), F.current_timestamp()).alias("at"),
+                    F.coalesce(F.max("expire_at"), F.current_timestamp()).alias("end")).first()
 
     def seen(now, what: str) -> DataFrame:
         return keyed.live(spark, sinks.live, f"{now:%Y-%m-%d %H:%M:%S.%f}").select(
@@ -322,6 +344,25 @@ def _(spark, sf):
     return seen(at["at"], "when written").unionByName(seen(at["end"], "two minutes later"))
 
 
+@query("g4_state_view", _LIVE_SQL)
+def _(spark, sf):
+    """The same out of the state of a stream over the live table."""
+    out = work_dir(spark, "g4s")
+    sinks = _score_stream(spark, sf, out, "1 minute")
+    at = keyed.stored(spark, sinks.live).agg(
+        F.coalesce(F.max("written_at"), F.current_timestamp()).alias("at"),
+        F.coalesce(F.max("expire_at"), F.current_timestamp()).alias("end")).first()
+    _finish(live.run_live_view(live.entry_stream(spark, sinks.live), lambda changes, _: changes.write.format("noop").mode(
+        "overwrite").save(), f"{out}/view", interval=None))
+
+    def seen(now, what: str) -> DataFrame:
+        return live.live_entries(spark, f"{out}/view", f"{now:%Y-%m-%d %H:%M:%S.%f}").select(
+            "key", (F.unix_seconds("expire_at") - F.unix_seconds("written_at")).cast("int").alias("life_s"),
+            F.lit(what).alias("live"))
+
+    return seen(at["at"], "when written").unionByName(seen(at["end"], "two minutes later"))
+
+
 @query("g4_batch_scoped_blacklist", f"""
 SELECT DISTINCT concat('CSANTI_ANTI_BLACK', remote_addr, ':') AS key_start FROM ({_by_second('m')})
 WHERE remote_addr IN (SELECT remote_addr FROM ({_by_second('m')}) GROUP BY 1 HAVING count(*) > 18)""")
@@ -371,3 +412,77 @@ def _(spark, sf):
     counted = decode_throughput(keyed.with_prefix(stored, MONITOR_PREFIXES["process"]))
     lines = counted.agg(F.sum(F.col("source_count").cast("long")).alias("n")).select(F.lit("lines").alias("output"), "n")
     return routed.unionByName(lines)
+
+
+_SPLIT = "2024-01-15"
+
+
+@query("g7_scoring_outputs", f"""
+SELECT DISTINCT 'live' AS output, concat('CSANTI_ANTI_BLACK', remote_addr, ':', flow_id) AS key, 1::BIGINT AS n FROM (
+ SELECT *, w + INTERVAL 1 DAY > (SELECT max(ts) - INTERVAL 1 MINUTE FROM ({_by_second('m')}) WHERE ts < DATE '{_SPLIT}') AS late
+ FROM ({_by_second('flow_rows')}) WHERE flow_score > flow_limit AND w < DATE '2024-01-30'
+ QUALIFY row_number() OVER (PARTITION BY remote_addr, late ORDER BY last_ms DESC, request DESC, flow_order) = 1)
+UNION ALL SELECT 'archive', NULL, count(*) FROM events""")
+def _(spark, sf):
+    """The scoring job loses its live table half way; the entries of the first half come back from the backup, and the
+    archive has every line."""
+    out = work_dir(spark, "g7s")
+    lines = to_line(_requests(spark, sf).withColumn("high_freq_ip", F.lit(False))).select("value", "event_time")
+    sinks = jobs.ScoringSinks(f"{out}/live", f"{out}/backup", archive=f"{out}/archive")
+    config = jobs.ScoringConfig(rules.FLOWS, rules.CRITICAL, rules.WINDOW, "1 minute", rules.GAP_MS, ttl_s=3600)
+    split = F.lit(_SPLIT).cast("timestamp")
+    for part, half in enumerate((F.col("event_time") < split, F.col("event_time") >= split)):
+        lines.where(half).select("value").write.mode("append").parquet(f"{out}/in")
+        stream = read_raw(spark, "parquet", path=f"{out}/in", streaming=True, schema="value string")
+        if part:
+            writers.move(spark, sinks.live, f"{out}/lost")
+        for job in jobs.run_scoring_job(stream, lambda: config, sinks, f"{out}/cp", interval=None):
+            _finish(job)
+    at = keyed.stored(spark, sinks.live).agg(F.coalesce(F.max("written_at"), F.current_timestamp()).alias("at")).first()["at"]
+    listed = keyed.live(spark, sinks.live, f"{at:%Y-%m-%d %H:%M:%S.%f}").select(
+        F.lit("live").alias("output"), "key", F.lit(1).cast("long").alias("n"))
+    archived = spark.read.schema("value string, dt string, hh string, batch int").parquet(sinks.archive)
+    return listed.unionByName(archived.agg(F.count("value").alias("n")).select(
+        F.lit("archive").alias("output"), F.lit(None).cast("string").alias("key"), "n"))
+
+
+@query("s10_reloaded_flows", """
+SELECT 'f1' AS flow_id, remote_addr, count(*) AS ip_count FROM requests WHERE event_id % 2 = 0 GROUP BY 2
+HAVING count(*) > 22
+UNION ALL SELECT 'f9', remote_addr, count(*) FROM requests WHERE event_id % 2 = 1 GROUP BY 2 HAVING count(*) > 25""",
+       "requests")
+def _(spark, sf):
+    """Flows are edited while the scoring job runs; the next batch scores by the new ones."""
+    out = work_dir(spark, "s10f")
+    versions = VersionedTables(spark, f"{out}/tables")
+
+    def publish(flow_id: str, limit: float) -> None:
+        versions.publish("process", spark.sql(f"SELECT '{flow_id}' AS id, 'busy' AS process_name, 0 AS status"))
+        versions.publish("strategy", spark.sql(f"SELECT '{flow_id}' AS id, 30.0D AS crawler_blacklist_thresholds"))
+        versions.publish("rules", spark.sql(
+            f"SELECT 1 AS id, '{flow_id}' AS process_id, 'requests' AS rule_name, 0 AS rule_type, 0 AS status, "
+            f"0 AS crawler_type, {limit}D AS arg0, 0.0D AS arg1, 6 AS score"))
+        versions.publish("rule_names", spark.sql("SELECT 'requests' AS rule_name, 'ip' AS rule_real_name"))
+        versions.publish("critical_pages", spark.createDataFrame(
+            [(p,) for p in rules.CRITICAL], "criticalPageMatchExpression string"))
+
+    lines = to_line(_requests(spark, sf).withColumn("high_freq_ip", F.lit(False)))
+    for half in (0, 1):
+        lines.where(F.col("event_id") % 2 == half).select("value").write.parquet(f"{out}/staged/half{half}")
+    sinks = jobs.ScoringSinks(f"{out}/live", f"{out}/backup", f"{out}/scored")
+    publish("f1", 22)
+    config = scoring_config(BatchTables(versions, SCORING_TABLES, f"{out}/pins"), watermark=None)
+    stream = read_raw(spark, "parquet", path=f"{out}/in/*", streaming=True, schema="value string")
+    job = jobs.run_scoring(stream, config, sinks, f"{out}/cp", interval="0 seconds")
+    try:
+        for half in (0, 1):
+            if half:
+                publish("f9", 25)
+            writers.move(spark, f"{out}/staged/half{half}", f"{out}/in/half{half}")
+            job.processAllAvailable()
+    finally:
+        job.stop()
+    flow = "flow_id string, is_up_limited boolean"
+    rows = spark.read.schema(f"remote_addr string, ip_count long, flows_score array<struct<{flow}>>").parquet(sinks.scored)
+    return rows.select("remote_addr", "ip_count", F.explode("flows_score").alias("f")).where("f.is_up_limited").select(
+        "f.flow_id", "remote_addr", "ip_count").distinct()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,14 @@ def put(df: DataFrame, root: str, batch_id: int) -> None:
 
 
 def stored(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(f"{KEYED_SCHEMA}, expire_hour string, batch long").parquet(root)
+    """All entries; a table that was never written, or is lost, has none."""
+    schema = f"{KEYED_SCHEMA}, expire_hour string, batch long"
+    try:
+        return spark.read.schema(schema).parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def between(spark: SparkSession, root: str, low: str, high: str, ttl_s: int) -> DataFrame:

@@ -6,10 +6,11 @@ repeated after a loss replaces what it wrote and nothing is counted twice.
 
 from __future__ import annotations
 
+import inspect
 import threading
 import time
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -18,15 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from skywarden.operators import monitor as mon
-from skywarden.operators.blacklist import latest_row
+from skywarden.operators.blacklist import latest_row, restore_blacklist
 from skywarden.operators.line import from_line
-from skywarden.operators.metrics import GAP_LIMIT_MS, cells
-from skywarden.operators.scoring import BLACKLIST_TTL_S, blacklist
+from skywarden.operators.metrics import GAP_LIMIT_MS
+from skywarden.operators.scoring import BLACKLIST_TTL_S, blacklist, score
+from skywarden.operators.slices import partials, slice_states, vectors_of
+from skywarden.operators.tag import critical
 from skywarden.plans.etl import Site, processed_lines
 from skywarden.plans.scoring import scored_vectors
-from skywarden.schema import Flow
+from skywarden.schema import BACKUP_SCHEMA, Flow
 from skywarden.sources import keyed
-from skywarden.sources.writers import route, write_hourly_batch
+from skywarden.sources.writers import read_recent_hours, route, write_hourly_batch
+from skywarden.streaming.windows import WindowTables
 
 # Fixed value: length of a micro-batch.
 BATCH_INTERVAL = "2 seconds"
@@ -178,6 +182,9 @@ def run_etl(raw: DataFrame, site: Callable[[], Site], sinks: EtlSinks, checkpoin
 
 @dataclass
 class ScoringConfig:
+    """Rules of the scoring job. ``longer`` has the flows of windows longer than ``window``, by length, shortest first;
+    each a multiple of the one before. ``restore`` says whether a lost blacklist is put back from its backup."""
+
     flows: Sequence[Flow]
     critical_pages: Sequence[str]
     window: str = "5 minutes"
@@ -185,25 +192,32 @@ class ScoringConfig:
     threshold_ms: int = GAP_LIMIT_MS
     ttl_s: int = BLACKLIST_TTL_S
     flow_pick: str = "triggered"
+    longer: Mapping[str, Sequence[Flow]] = field(default_factory=dict)
+    restore: bool = True
+
+    def flows_of(self, length: str | None) -> Sequence[Flow]:
+        return self.longer.get(length, ()) if length and length != self.window else self.flows
 
 
 @dataclass
 class ScoringSinks:
-    """Folders of the scoring job: live blacklist, its hourly backup, scored vectors and throughput snapshots."""
+    """Folders of the scoring job: live blacklist, its hourly backup, scored vectors, throughput snapshots, partial
+    results of the windows (needed for longer ones), and the archive of the lines."""
 
     live: str
     backup: str
     scored: str | None = None
     monitor: str | None = None
+    partials: str | None = None
+    archive: str | None = None
 
 
-def score_batch(requests: DataFrame, batch_id: int, config: ScoringConfig, sinks: ScoringSinks,
-                weight: str | None = None, window: str | None = None, written_at: datetime | None = None) -> None:
-    """Metrics, scores and blacklist entries of one batch of requests or finished windows.
+def write_scored(scored: DataFrame, batch_id: int, config: ScoringConfig, sinks: ScoringSinks,
+                 written_at: datetime | None = None) -> None:
+    """Scores and blacklist entries of one batch.
 
     Entries live from ``written_at``, the time of the batch; without it, from the request that was seen last.
     """
-    scored = scored_vectors(requests, config.flows, config.critical_pages, window, config.threshold_ms, weight)
     scored.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if sinks.scored:
@@ -218,17 +232,66 @@ def score_batch(requests: DataFrame, batch_id: int, config: ScoringConfig, sinks
         scored.unpersist()
 
 
-def run_scoring(lines: DataFrame, config: Callable[[], ScoringConfig], sinks: ScoringSinks, checkpoint: str,
+def scored_windows(states: DataFrame, batch_id: int, config: ScoringConfig, sinks: ScoringSinks) -> DataFrame:
+    """Scored vectors, with ``window_length``, of the finished slices of a batch and of the longer windows they complete."""
+    pages = critical(config.critical_pages)
+    if config.longer:
+        tables = WindowTables(states.sparkSession, sinks.partials, config.window, list(config.longer), config.threshold_ms)
+        found = list(tables.add(states, pages, batch_id))
+    else:
+        found = [(config.window, vectors_of(partials(states, pages, config.threshold_ms)))]
+    out = [score(vectors, config.flows_of(length)).withColumn("window_length", F.lit(length)) for length, vectors in found]
+    whole = out[0]
+    for more in out[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def restore_if_lost(spark: SparkSession, sinks: ScoringSinks, batch_id: int, at: datetime, restore: bool = True) -> bool:
+    """Put the backed-up entries that still live into a live table that lacks the mark of an earlier restore.
+
+    The mark lies inside the live table, so it goes when the table goes. It is set after the entries are written, and
+    these have a folder of their own that a repeated batch replaces; what is live already stays. Says whether it was done.
+    """
+    mark = f"{sinks.live}/_restored"
+    if not restore or _exists(spark, f"{mark}/_SUCCESS"):
+        return False
+    now = F.lit(at)
+    live = keyed.live(spark, sinks.live, f"{at:%Y-%m-%d %H:%M:%S.%f}").select("key")
+    rows = read_recent_hours(spark, sinks.backup, at.isoformat(), f"{BACKUP_SCHEMA}, written_at timestamp, batch long")
+    back = restore_blacklist(rows, live, F.unix_millis(now)).select(
+        "key", "value", F.timestamp_millis(F.col("key_exp_time").cast("long")).alias("expire_at"), now.alias("written_at"))
+    # Batches count up from zero: the numbers below are free.
+    keyed.put(back, sinks.live, -1 - batch_id)
+    spark.range(1).select(F.lit(batch_id).alias("batch")).coalesce(1).write.mode("overwrite").json(mark)
+    return True
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def of_batch(config: Callable[..., ScoringConfig]) -> Callable[[int], ScoringConfig]:
+    """The configuration as a function of the batch number, whether or not it asks for one."""
+    return config if inspect.signature(config).parameters else lambda batch_id: config()
+
+
+def run_scoring(lines: DataFrame, config: Callable[..., ScoringConfig], sinks: ScoringSinks, checkpoint: str,
                 interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
     """Processed line stream to blacklist.
 
-    With a watermark the metrics cover event-time windows, scored once when a window is complete. Without one they
-    cover a micro-batch each, in order of arrival.
+    With a watermark the metrics cover event-time windows, scored once when a window is complete; the state is one row
+    per open slice, address and URL. Without one they cover a micro-batch each, in order of arrival. ``config`` is asked
+    anew for every batch, with the batch's number if it takes one; window lengths and watermark hold from the start.
     """
-    first = config()
+    settings = of_batch(config)
+    first = settings(0)
     requests = from_line(lines)
     windowed = first.watermark is not None
-    rows = cells(requests.withWatermark("event_time", first.watermark), first.window) if windowed else requests
+    if first.longer and not (windowed and sinks.partials):
+        raise ValueError("longer windows need a watermark and a folder for partial results")
+    rows = slice_states(requests.withWatermark("event_time", first.watermark), first.window) if windowed else requests
 
     def each(batch: DataFrame, batch_id: int) -> None:
         begin = time.time()
@@ -238,10 +301,13 @@ def run_scoring(lines: DataFrame, config: Callable[[], ScoringConfig], sinks: Sc
             found, at = batch_time(batch)
             if at is None:
                 return
+            now = settings(batch_id)
+            restore_if_lost(batch.sparkSession, sinks, batch_id, at, now.restore)
             if windowed:
-                score_batch(found, batch_id, config(), sinks, weight="n", window=first.window, written_at=at)
+                scored = scored_windows(found, batch_id, now, sinks)
             else:
-                score_batch(found, batch_id, config(), sinks, written_at=at)
+                scored = scored_vectors(found, now.flows, now.critical_pages, None, now.threshold_ms)
+            write_scored(scored, batch_id, now, sinks, at)
             if sinks.monitor:
                 query_snapshot(found, batch_id, at, int((time.time() - begin) * 1000), sinks.monitor,
                                "n" if windowed else None)
@@ -250,6 +316,19 @@ def run_scoring(lines: DataFrame, config: Callable[[], ScoringConfig], sinks: Sc
     return start(rows.withColumn("batch_time", F.current_timestamp()), each, checkpoint, interval)
 
 
+def run_scoring_job(lines: DataFrame, config: Callable[..., ScoringConfig], sinks: ScoringSinks, checkpoint: str,
+                    interval: str | None = BATCH_INTERVAL) -> list[StreamingQuery]:
+    """The whole scoring job: blacklist, and the lines as they came in the archive's hourly folders.
+
+    The archive has a checkpoint of its own, so neither output waits for the other or is written twice.
+    """
+    scoring = run_scoring(lines, config, sinks, f"{checkpoint}/scoring", interval)
+    if not sinks.archive:
+        return [scoring]
+    arrived = lines.select("value", F.current_timestamp().alias("arrived_at"))
+    return [scoring, run_archive(arrived, sinks.archive, "arrived_at", f"{checkpoint}/archive", interval)]
+
+
 def query_snapshot(rows: DataFrame, batch_id: int, at: datetime, cost_ms: int, root: str,
                    weight: str | None = None) -> None:
     """Throughput snapshot of a batch of the scoring job, under the key prefix of queries."""

@@ -1,36 +1,41 @@
-"""Lookup tables that a running job reloads when their change flag is raised."""
+"""Lookup tables that a running job reloads: by change flags, or by versions that are stored with each batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_FLAG_SCHEMA = "name string, value string, at timestamp"
+from skywarden.operators.metrics import GAP_LIMIT_MS
+from skywarden.operators.scoring import BLACKLIST_TTL_S
+from skywarden.sources.readers import flow_rules, load_flows, load_lookup
+from skywarden.streaming.jobs import ScoringConfig
+
+_FLAG_SCHEMA = "value string, at timestamp"
 
 
 class ChangeFlags:
-    """Change flags kept as an append-only table of a few rows; the newest row of a name counts."""
+    """Change flags, a folder of one row each: a new value replaces the one before."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
 
     def put(self, name: str, value: str) -> None:
-        (self.spark.range(1).select(F.lit(name).alias("name"), F.lit(value).alias("value"),
-                                    F.current_timestamp().alias("at"))
-         .write.mode("append").json(self.path))
+        (self.spark.range(1).select(F.lit(value).alias("value"), F.current_timestamp().alias("at"))
+         .coalesce(1).write.mode("overwrite").json(f"{self.path}/{name}"))
 
     def get(self, name: str) -> str | None:
-        """Newest value of a flag. Reads one row."""
+        """Value of a flag; none if it was never set or is being set just now."""
         try:
-            rows = self.spark.read.schema(_FLAG_SCHEMA).json(self.path)
-        except Exception as e:  # the table appears with the first write
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-        row = rows.where(F.col("name") == name).agg(F.max_by("value", "at").alias("value")).first()
-        return row.value
+            row = self.spark.read.schema(_FLAG_SCHEMA).json(f"{self.path}/{name}").first()
+        except AnalysisException as e:  # the folder appears with the first write
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return row and row.value
 
 
 class Lookups:
@@ -66,6 +71,87 @@ class Lookups:
         return self.values[name]
 
 
-def table_loader(read: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
-    """Loader that reads its table anew each time."""
-    return read
+class VersionedTables:
+    """Small configuration tables kept by version: an edit publishes a whole new one and leaves the others as they are."""
+
+    def __init__(self, spark: SparkSession, root: str, keep: int = 20) -> None:
+        self.spark, self.root, self.keep = spark, root, keep
+
+    def _versions(self, name: str) -> list[int]:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(where):
+            return []
+        paths = [s.getPath() for s in fs.listStatus(where)]
+        done = [p for p in paths if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return sorted(int(p.getName().removeprefix("version=")) for p in done)
+
+    def publish(self, name: str, rows: DataFrame) -> int:
+        """Store a new version and say its number. Versions beyond the ``keep`` newest go."""
+        versions = self._versions(name)
+        number = versions[-1] + 1 if versions else 1
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{name}/version={number}")
+        for old in versions[:max(0, len(versions) + 1 - self.keep)]:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/version={old}")
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        return number
+
+    def newest(self, name: str) -> int:
+        """Number of the newest whole version."""
+        versions = self._versions(name)
+        if not versions:
+            raise ValueError(f"no version of {name} was published")
+        return versions[-1]
+
+    def read(self, name: str, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}/version={version}")
+
+
+class BatchTables:
+    """Which version of each table a batch uses: the newest when it first runs, the same one when it is repeated.
+
+    The numbers are stored before the batch does any work, in one of ``slots`` folders that take turns, so they do not
+    grow with the age of the job.
+    """
+
+    def __init__(self, tables: VersionedTables, names: Sequence[str], pins: str, slots: int = 100) -> None:
+        self.tables, self.names, self.pins, self.slots = tables, list(names), pins, slots
+
+    def versions(self, batch_id: int) -> dict[str, int]:
+        spark, path = self.tables.spark, f"{self.pins}/slot={batch_id % self.slots}"
+        try:
+            row = spark.read.schema("batch long, versions string").json(path).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None
+        if row is not None and row.batch == batch_id:
+            return json.loads(row.versions)
+        found = {name: self.tables.newest(name) for name in self.names}
+        (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch"), F.lit(json.dumps(found)).alias("versions"))
+         .coalesce(1).write.mode("overwrite").json(path))
+        return found
+
+    def at(self, batch_id: int) -> dict[str, DataFrame]:
+        return {name: self.tables.read(name, v) for name, v in self.versions(batch_id).items()}
+
+
+# Tables a scoring configuration is read from.
+SCORING_TABLES = ("process", "strategy", "rules", "rule_names", "critical_pages")
+
+
+def scoring_config(tables: BatchTables, window: str = "5 minutes", watermark: str | None = "1 minute",
+                   threshold_ms: int = GAP_LIMIT_MS, ttl_s: int = BLACKLIST_TTL_S, crawler_type: int = 0,
+                   ) -> Callable[[int], ScoringConfig]:
+    """Flows and critical pages of a batch out of their tables, read again only when a version has changed."""
+    last: dict[str, object] = {}
+
+    def config(batch_id: int) -> ScoringConfig:
+        versions = tables.versions(batch_id)
+        if last.get("versions") != versions:
+            t = {name: tables.tables.read(name, v) for name, v in versions.items()}
+            rows = flow_rules(t["process"], t["strategy"], t["rules"], t["rule_names"], crawler_type=crawler_type)
+            pages = [r[0] for r in load_lookup(t["critical_pages"], "criticalPageMatchExpression", "page").collect()]
+            last.update(versions=versions, flows=load_flows(rows), pages=sorted(pages))
+        return ScoringConfig(last["flows"], last["pages"], window, watermark, threshold_ms, ttl_s)
+    return config
