@@ -21,7 +21,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skywarden.llm.store import stored
 from skywarden.llm.workers import tidy
+from skywarden.operators.joins import is_small
 
 # Labelled rows to learn from: of each language, and of all together where there are very many languages.
 SAMPLE, SAMPLE_OF_ALL = 600, 60_000
@@ -127,12 +129,14 @@ def is_held_out() -> Column:
 def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``lang, text`` of about ``sample`` labelled training rows of each language, SAMPLE_OF_ALL of all together."""
     rows = docs.where(F.col("lang").isNotNull() & ~is_held_out()).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     each = F.least(F.lit(float(sample)), F.lit(float(SAMPLE_OF_ALL)) / sizes.agg(F.count("*")).scalar())
     # Rows without a doc_id are drawn by their text.
     at = F.xxhash64("doc_id", F.lit(9), F.when(F.col("doc_id").isNull(), F.col("text")))
     place = F.pmod(at, F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(sizes.withColumn("each", each), "lang").where(place * F.col("n") < F.col("each")).select("lang", "text")
+    sizes = sizes.withColumn("each", each)
+    # One language may hold most rows: the list of languages goes to them, if its count allows.
+    return rows.join(F.broadcast(sizes) if is_small(sizes) else sizes, "lang").where(place * F.col("n") < F.col("each")).select("lang", "text")
 
 
 def fit(rows: DataFrame) -> Model:
