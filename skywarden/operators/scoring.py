@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skywarden.functions.times import second_text
-from skywarden.operators.joins import sized_join
+from skywarden.operators.joins import is_small, salted_join
 from skywarden.operators.metrics import METRICS
 from skywarden.schema import Flow, ScoreRule
 
@@ -76,31 +76,93 @@ def score(df: DataFrame, flows: Sequence[Flow], hit_time: Column | None = None)
     return df.withColumn("flows_score", results.cast(f"array<{_FLOW_TYPE}>"))
 
 
-def score_by_join(df: DataFrame, rules: DataFrame, keys: Sequence[str], hit_time: str = "last_seen") -> DataFrame:
+_STEP = "struct<limit:double,n:bigint,all:double,on:double,top:double,rule_order:int,name:string,enabled:boolean>"
+
+
+def _thresholds(rules: DataFrame) -> DataFrame:
+    """``metric, flows``: for each flow the limits of its rules on the metric in order, each with what it and the ones
+    below it add up to, so that one lookup stands for all of a flow's rules on the metric."""
+    signed = rules.select(
+        F.when(F.col("name").isin(*METRICS), F.col("name")).otherwise("").alias("metric"), "flow_id", "rule_order", "name",
+        (F.col("comparator") == "<").alias("below"), F.col("score").cast("double").alias("score"),
+        (F.col("status") == 0).alias("enabled"), F.col("limit").cast("double").alias("limit"))
+    # A rule that asks for less is one that asks for more of the negative.
+    signed = signed.withColumn("limit", F.when(F.col("below"), -F.col("limit")).otherwise(F.col("limit")))
+    order = Window.partitionBy("metric", "flow_id", "below").orderBy("limit", "rule_order").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    on = F.when(F.col("enabled"), F.col("score")).otherwise(0.0)
+    steps = signed.select(
+        "metric", "flow_id", "below", F.struct(
+            "limit", F.count(F.lit(1)).over(order).alias("n"), F.sum("score").over(order).alias("all"),
+            F.sum(on).over(order).alias("on"), F.max(on).over(order).alias("top"), "rule_order", "name", "enabled"
+        ).cast(_STEP).alias("step"))
+    per_flow = steps.groupBy("metric", "flow_id").agg(*[
+        F.array_sort(F.collect_list(F.when(which, F.col("step"))), lambda x, y: (x["n"] - y["n"]).cast("int")).alias(name)
+        for name, which in (("above", ~F.col("below")), ("beneath", F.col("below")))])
+    return per_flow.groupBy("metric").agg(F.collect_list(F.struct("flow_id", "above", "beneath")).alias("flows"))
+
+
+def _below(steps: Column, value: Column) -> Column:
+    """How many limits are below a value, by halving."""
+    start = F.struct(F.lit(0).alias("low"), F.size(steps).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        less = F.get(steps, middle)["limit"] < value
+        return F.when(at["low"] >= at["high"], at).otherwise(F.struct(
+            F.when(less, middle + 1).otherwise(at["low"]).alias("low"),
+            F.when(less, at["high"]).otherwise(middle).alias("high")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(steps).cast("long")))), start, halve, lambda x: x["low"])
+
+
+def score_by_join(df: DataFrame, rules: DataFrame, keys: Sequence[str], hit_time: str = "last_seen",
+                  lists: str = "all") -> DataFrame:
     """The same for rule sets too large to compile: one row per key and flow, equal to ``flow_rows`` of ``score``.
 
     ``rules`` has flow_id, flow_limit, rule_order, name, status, limit, score and, unless all are ``>``, comparator.
-    Each vector unfolds to its eight metrics, which meet their rules in an equi-join on the metric name; a rule on an
-    unknown metric sees zero. Flows without a hit come from the list of flows and score zero.
+    Each vector unfolds to its eight metrics, which meet the sorted limits of their metric and look up what those below
+    the value add up to: the rows grow with metrics and flows, not with rules. A rule on an unknown metric sees zero.
+    Flows without a hit come from the list of flows and score zero. ``lists="triggered"`` makes the list of hit rules
+    for results above their limit only; others get an empty one.
     """
+    if lists not in ("all", "triggered"):
+        raise ValueError(f"lists are made for all or for triggered results: {lists}")
     if "comparator" not in rules.columns:
         rules = rules.withColumn("comparator", F.lit(">"))
-    rules = rules.withColumn("metric", F.when(F.col("name").isin(*METRICS), F.col("name")).otherwise(""))
     metrics = F.array(*[F.struct(F.lit(name).alias("metric"), F.col(col).cast("double").alias("value"))
                         for name, col in METRICS.items()],
                       F.struct(F.lit("").alias("metric"), F.lit(0.0).alias("value")))
-    unfolded = df.select(*keys, F.explode(metrics).alias("m")).select(*keys, "m.metric", "m.value")
-    below = (F.col("comparator") == "<") & (F.col("value") < F.col("limit"))
-    above = (F.col("comparator") != "<") & (F.col("value") > F.col("limit"))
-    hits = sized_join(unfolded, rules, ["metric"], "inner", spread=keys).where(below | above)
-    on = F.col("status") == 0
-    named = F.transform(
-        F.array_sort(F.collect_list(F.when(on, F.struct("rule_order", "name")))), lambda x: x["name"])
-    out = hits.groupBy(*keys, "flow_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col("score").cast("double")).alias("_all"),
-        F.coalesce(F.sum(F.when(on, F.col("score").cast("double"))), F.lit(0.0)).alias("_on"),
-        F.coalesce(F.max(F.when(on, F.col("score").cast("double"))), F.lit(0.0)).alias("_max"),
-        named.alias("hit_rules"))
+    limits = _thresholds(rules)
+    few = is_small(rules)
+
+    def looked_up(vectors: DataFrame) -> DataFrame:
+        """``keys, flow_id, above, beneath`` and the numbers of limits met, a row for each metric and flow."""
+        unfolded = vectors.select(*keys, F.explode(metrics).alias("m")).select(*keys, "m.metric", "m.value")
+        # A row of limits holds all rules of its metric: their number decides, not that of the rows.
+        met = (unfolded.join(F.broadcast(limits), "metric") if few
+               else salted_join(unfolded, limits, ["metric"], "inner", keys))
+        return met.select(*keys, "value", F.explode("flows").alias("f")).select(
+            *keys, "f.*", _below(F.col("f.above"), F.col("value")).alias("_up"),
+            _below(F.col("f.beneath"), -F.col("value")).alias("_down"))
+
+    def hits() -> Column:
+        both = F.concat(F.slice("above", F.lit(1), F.col("_up")), F.slice("beneath", F.lit(1), F.col("_down")))
+        return F.transform(F.filter(both, lambda s: s["enabled"]), lambda s: F.struct(s["rule_order"], s["name"]))
+
+    def names(found: Column) -> Column:
+        return F.transform(F.array_sort(F.flatten(F.collect_list(found))), lambda x: x["name"])
+
+    rows = looked_up(df)
+    up, down = F.get("above", F.col("_up") - 1), F.get("beneath", F.col("_down") - 1)
+
+    def both(name: str) -> Column:
+        return F.coalesce(up[name], F.lit(0)) + F.coalesce(down[name], F.lit(0))
+
+    listed = [names(hits()).alias("hit_rules")] if lists == "all" else []
+    out = rows.groupBy(*keys, "flow_id").agg(
+        F.sum(both("n")).alias("_n"), F.sum(both("all")).alias("_all"), F.sum(both("on")).alias("_on"),
+        F.max(F.greatest(F.coalesce(up["top"], F.lit(0.0)), F.coalesce(down["top"], F.lit(0.0)))).alias("_max"), *listed)
     out = out.withColumn("_score", flow_score_from(F.col("_n"), F.col("_all"), F.col("_on"), F.col("_max")))
     # The result has a row for every flow, so the list of flows goes along with every key.
     flows = rules.groupBy("flow_id").agg(F.first("flow_limit").alias("flow_limit")).agg(
@@ -108,8 +170,15 @@ def score_by_join(df: DataFrame, rules: DataFrame, keys: Sequence[str], hit_time
     every = df.select(*keys, F.col(hit_time).alias("hit_time"), F.explode(flows).alias("_f")).select(
         *keys, "hit_time", "_f.*")
     score = F.coalesce("_score", F.lit(0.0))
-    return every.join(out, [*keys, "flow_id"], "left").select(
-        *keys, "flow_id", score.alias("flow_score"), "flow_limit", (score > F.col("flow_limit")).alias("is_up_limited"),
+    found = every.join(out, [*keys, "flow_id"], "left").withColumn("_up", score > F.col("flow_limit"))
+    if lists == "triggered":
+        over = found.where("_up").select(*keys, "flow_id")
+        lookups = looked_up(df.join(over.select(*keys).distinct(), list(keys), "left_semi"))
+        some = lookups.join(over, [*keys, "flow_id"], "left_semi").groupBy(*keys, "flow_id").agg(
+            names(hits()).alias("hit_rules"))
+        found = found.join(some, [*keys, "flow_id"], "left")
+    return found.select(
+        *keys, "flow_id", score.alias("flow_score"), "flow_limit", F.col("_up").alias("is_up_limited"),
         F.col("flow_id").alias("strategy_code"),
         F.coalesce("hit_rules", F.array().cast("array<string>")).alias("hit_rules"), "hit_time")
 

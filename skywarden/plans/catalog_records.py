@@ -12,12 +12,13 @@ from skywarden.operators import extract as ex
 from skywarden.operators.line import from_line, to_line
 from skywarden.operators.mask import IDENTITY, PHONE, mask_pii, mask_text
 from skywarden.operators.parse import clean_cookies, cookie_map, parse_requests, request_url, slot
+from skywarden.operators.patterns import match_parse_rule_by_join, tag_request_type_by_join
 from skywarden.operators.tag import (
     flag_known_ip, spider_tag, stage_tag, tag_request_type, tag_travel_type,
 )
 from skywarden.plans import adapter, rules
 from skywarden.plans.etl import Site, process_lines, processed_lines, tagged_requests
-from skywarden.plans.registry import cte, query, with_ctes  # noqa: F401
+from skywarden.plans.registry import QUERIES, cte, query, with_ctes  # noqa: F401
 from skywarden.schema import ParseRule
 
 # --- building blocks of the checking SQL ---
@@ -175,6 +176,16 @@ def _(spark, sf):
     return _tagged(spark, sf).select("event_id", "flight_type", "behavior_type")
 
 
+@query("p9_rules_by_join", "SELECT event_id, flight_type, behavior_type FROM typed", "typed")
+def _(spark, sf):
+    """The same with the rules as a table that meets the URLs in a join."""
+    table = spark.createDataFrame(
+        [(r.flight_type, r.operation_type, r.expression, r.flight_type * 2 + r.operation_type) for r in rules.CLASSIFY],
+        "flight_type int, operation_type int, expression string, priority int")
+    return tag_request_type_by_join(_tagged(spark, sf), table, spread=["event_id"]).select(
+        "event_id", "flight_type", "behavior_type")
+
+
 @query("p10_travel_type", f"""
 SELECT event_id, CASE len(regexp_extract_all(http_referrer, '{_DATE_RE}')) WHEN 1 THEN 'OneWay'
  WHEN 2 THEN 'RoundTrip' ELSE 'Unknown' END AS travel_type FROM parsed""", "parsed")
@@ -199,6 +210,14 @@ def _(spark, sf):
         "event_id", F.coalesce(ex.matched_rule(rules.QUERY_RULES), F.lit(-1)).alias("rule_no"))
 
 
+@query("p12_rules_by_join", QUERIES["p12_matched_rule"].sql)
+def _(spark, sf):
+    table = spark.createDataFrame([(i, r.expression, r.method, r.behavior_type) for i, r in enumerate(rules.QUERY_RULES)],
+                                  "rule_no int, requestMatchExpression string, requestMethod string, behavior_type int")
+    return match_parse_rule_by_join(_tagged(spark, sf), table, spread=["event_id"]).select(
+        "event_id", F.coalesce("rule_no", F.lit(-1)).alias("rule_no"))
+
+
 def _fields(df: DataFrame, source: str = "query_data") -> DataFrame:
     q = F.col(source)
     return df.select("event_id", q["depCity"].alias("dep"), q["arrCity"].alias("arr"), q["flightDate"].alias("date"),

@@ -12,6 +12,7 @@ from skywarden.operators.extract import core_params, extract_book, extract_query
 from skywarden.operators.line import to_line
 from skywarden.operators.mask import mask_pii
 from skywarden.operators.parse import parse_requests
+from skywarden.operators.patterns import tag_request_type_by_join
 from skywarden.operators.tag import drop_noise_lines, flag_known_ip, tag_request_type, tag_travel_type
 from skywarden.plans import rules as site_rules
 from skywarden.schema import ClassifyRule, ParseRule
@@ -19,10 +20,11 @@ from skywarden.schema import ClassifyRule, ParseRule
 
 @dataclass
 class Site:
-    """What a site configures; the known addresses are a table, the rest are short lists."""
+    """What a site configures; the known addresses are a table, classify rules may be one (``readers.classify_rules``),
+    the rest are short lists."""
 
     noise: Sequence[str] = field(default_factory=lambda: site_rules.NOISE)
-    classify: Sequence[ClassifyRule] = field(default_factory=lambda: site_rules.CLASSIFY)
+    classify: Sequence[ClassifyRule] | DataFrame = field(default_factory=lambda: site_rules.CLASSIFY)
     query_rules: Sequence[ParseRule] = field(default_factory=lambda: site_rules.QUERY_RULES)
     book_rules: Sequence[ParseRule] = field(default_factory=lambda: site_rules.BOOK_RULES)
     known: DataFrame | None = None
@@ -31,10 +33,15 @@ class Site:
 def tagged_requests(lines: DataFrame, site: Site) -> DataFrame:
     """Filtered, masked, split and tagged requests."""
     df = parse_requests(mask_pii(drop_noise_lines(lines, site.noise)))
-    df = tag_travel_type(tag_request_type(df, site.classify))
+    spread = ["time_iso8601", "http_user_agent", "jsessionid", "userid"]
+    if isinstance(site.classify, DataFrame):
+        df = tag_request_type_by_join(df, site.classify, spread=spread)
+    else:
+        df = tag_request_type(df, site.classify)
+    df = tag_travel_type(df)
     if site.known is None:
         return df.withColumn("high_freq_ip", F.lit(False))
-    return flag_known_ip(df, site.known, spread=["time_iso8601", "http_user_agent", "jsessionid", "userid"])
+    return flag_known_ip(df, site.known, spread=spread)
 
 
 def process_lines(lines: DataFrame, site: Site) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skywarden.operators.joins import is_small
 from skywarden.schema import LINE_SLOTS, SEPARATOR, SPIDER_SCHEMA, ClassifyRule, Flow, ParseRule, ScoreRule
 
-# Most rows of a rule table that are turned into column expressions.
+# Most rows of a rule table that are turned into column expressions; larger ones are joined.
 RULE_ROWS = 10_000
 
 
@@ -50,9 +50,9 @@ def load_lookup(df: DataFrame, column: str, into: str | None = None) -> DataFram
 
 
 def _rule_rows(df: DataFrame) -> list:
-    """Rule rows on the driver, after a check that they are as few as rules are meant to be."""
+    """Rule rows on the driver, after a check that they are few enough to become expressions of a plan."""
     if not is_small(df, RULE_ROWS):
-        raise ValueError(f"more than {RULE_ROWS} rules: use the join form")
+        raise ValueError(f"more than {RULE_ROWS} rules: match_parse_rule_by_join and score_by_join take them as a table")
     return df.collect()
 
 
@@ -63,9 +63,12 @@ def classify_rules(df: DataFrame) -> DataFrame:
                         (F.col("flight_type") * 2 + F.col("operation_type")).alias("priority"))
 
 
-def load_classify_rules(df: DataFrame) -> list[ClassifyRule]:
-    rows = _rule_rows(classify_rules(df).orderBy("priority"))
-    return [ClassifyRule(r.flight_type, r.operation_type, r.expression) for r in rows]
+def load_classify_rules(df: DataFrame) -> list[ClassifyRule] | DataFrame:
+    """Classify rules as a site takes them: a list, or the table itself where it is long."""
+    rules = classify_rules(df)
+    if not is_small(rules, RULE_ROWS):
+        return rules
+    return [ClassifyRule(r.flight_type, r.operation_type, r.expression) for r in rules.orderBy("priority").collect()]
 
 
 def parse_rules(df: DataFrame, behavior: int) -> DataFrame:

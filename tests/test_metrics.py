@@ -267,3 +267,32 @@ def test_keys_without_follow_up(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "userid string, d int")
     paid = spark.createDataFrame([("b", 1)], "userid string, d int")
     assert [(r.userid, r.n) for r in mt.without_follow_up(df, paid, ["userid"]).collect()] == [("a", 2)]
+
+
+def test_many_rules_by_join_look_up_sorted_limits(spark):
+    """3,000 rules of 3 flows with repeated limits of both kinds, one by one and by sorted limits."""
+    rnd = random.Random(8)
+    _, df = sample(spark, 200)
+    vectors = mt.metric_vectors(df, critical(rules.CRITICAL), "5 minutes").cache()
+    names = [*mt.METRICS, "unknown"]
+    table = [(f"f{i % 3}", 20.0 + 3 * (i % 3), i, rnd.choice(names), rnd.choice([0, 0, 1]), float(rnd.randrange(0, 60)),
+              rnd.randrange(0, 9), rnd.choice("><")) for i in range(3000)]
+    keys = ["window_start", "remote_addr", "request"]
+    want = {}
+    for v in vectors.collect():
+        for flow in ("f0", "f1", "f2"):
+            hit = [r for r in table if r[0] == flow and (
+                (lambda x: x < r[5] if r[7] == "<" else x > r[5])(v[mt.METRICS[r[3]]] if r[3] in mt.METRICS else 0))]
+            total, on = sum(r[6] for r in hit), [r[6] for r in hit if r[4] == 0]
+            score = total / (10 * len(hit)) * ((60 if max(on) > 6 else max(on) * 10) + 40 * sum(on) / total) if total and on else 0
+            want[(*[v[k] for k in keys], flow)] = (round(score, 6), [r[3] for r in hit if r[4] == 0])
+    rows = spark.createDataFrame(table, "flow_id string, flow_limit double, rule_order int, name string, status int, "
+                                        "limit double, score int, comparator string")
+    out = sc.score_by_join(vectors, rows, keys)
+    assert {(*[r[k] for k in keys], r.flow_id): (round(r.flow_score, 6), r.hit_rules) for r in out.collect()} == want
+    some = sc.score_by_join(vectors, rows, keys, lists="triggered").collect()
+    assert {(*[r[k] for k in keys], r.flow_id): r.hit_rules for r in some} == {
+        k: names if score > 20 + 3 * int(k[-1][1]) else [] for k, (score, names) in want.items()}
+    # What is looked up has a row for each vector, metric and flow, however many rules there are.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
