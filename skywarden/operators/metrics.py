@@ -105,17 +105,21 @@ def with_previous_time(df: DataFrame, keys: Sequence[str], time: str = "event_ti
     The predecessor is looked up among the distinct milliseconds of the key, slice by slice. Rows that share a
     millisecond share one predecessor: the first gets the gap to it, the rest zero.
     """
-    base = df.withColumn("_ms", F.unix_millis(time)).withColumn("_slice", F.floor(F.col("_ms") / slice_ms))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(F.col("_ms"), *[c for c in ("event_id",) if c in df.columns])
-    local = base.withColumn("_before", F.lag("_ms").over(inside))
-    borders = (base.groupBy(*keys, "_slice").agg(F.max("_ms").alias("_last"))
+    base = df.withColumn("_ms", F.unix_millis(time))
+    times = base.groupBy(*keys, "_ms").agg(F.count(F.lit(1)).alias("_n")).withColumn("_slice", F.floor(F.col("_ms") / slice_ms))
+    local = times.withColumn("_before", F.lag("_ms").over(Window.partitionBy(*keys, "_slice").orderBy("_ms")))
+    borders = (times.groupBy(*keys, "_slice").agg(F.max("_ms").alias("_last"))
                .withColumn("_prev_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")))
                .select(*keys, "_slice", "_prev_last"))
-    previous = F.coalesce(F.col("_before"), F.col("_prev_last"))
-    return (local.join(borders, [*keys, "_slice"], "left")
-            .withColumn("previous_ms", previous)
+    before = local.join(borders, [*keys, "_slice"], "left").select(
+        *keys, "_ms", F.coalesce("_before", "_prev_last").alias("_before"))
+    # Of the rows within a millisecond, which are few, the first has the time before it, the others have their own.
+    ties = [F.col(c) for c in ("event_id",) if c in df.columns] or [F.lit(1)]
+    place = F.row_number().over(Window.partitionBy(*keys, "_ms").orderBy(*ties))
+    return (base.join(before, [*keys, "_ms"], "left").withColumn("_place", place)
+            .withColumn("previous_ms", F.when(F.col("_place") == 1, F.col("_before")).otherwise(F.col("_ms")))
             .withColumn("gap_ms", F.col("_ms") - F.col("previous_ms"))
-            .drop("_ms", "_slice", "_before", "_prev_last"))
+            .drop("_ms", "_before", "_place"))
 
 
 def url_gap_counts(df: DataFrame, critical: Column, threshold_ms: int = GAP_LIMIT_MS, window: str | None = None,

@@ -9,6 +9,7 @@ from skywarden.functions import codec, text, times
 from skywarden.operators import funnel as fn
 from skywarden.operators import monitor as mon
 from skywarden.operators import reports as rp
+from skywarden.operators.blacklist import latest_row
 from skywarden.operators.scoring import rule_hits_per_period
 from skywarden.operators.tag import optional_equal, search
 from skywarden.plans import adapter
@@ -16,6 +17,9 @@ from skywarden.plans.catalog_metrics import _RATIO, _conv, _counts, _requests, _
 from skywarden.plans.registry import cte, query
 from skywarden.session import work_dir
 from skywarden.sources import keyed
+from skywarden.sources.daily import DailyTotals
+from skywarden.sources.moves import SnapshotDrain
+from skywarden.sources.paging import PagedTable
 from skywarden.sources.readers import classify_rules, flow_limits, flow_rows_view, flow_rules, named_rules, parse_rules
 
 _HOUR_NOW = "2024-01-20 00:00:00"
@@ -113,6 +117,32 @@ def _(spark, sf):
     return stays.select("key")
 
 
+@query("s17_moved_rows", f"""
+SELECT 'parent' AS kind, key AS id, NULL AS ip_address FROM snaps WHERE end_time < '2024-01-19 23:30:00'
+UNION ALL SELECT 'child', key, server_addr FROM snaps JOIN hourly_servers USING (h) WHERE end_time < '2024-01-19 23:30:00'
+UNION ALL SELECT 'stays', key, NULL FROM snaps WHERE end_time >= '2024-01-19 23:30:00'""", "snaps", "hourly_servers")
+def _(spark, sf):
+    """The move out of the stored snapshots; it stops half way and is taken up again."""
+    out = work_dir(spark, "s17")
+    keyed.put(_entries(spark, sf), f"{out}/store", 0)
+    drain = SnapshotDrain(spark, f"{out}/store", f"{out}/reports", mon.MONITOR_PREFIXES["process"])
+
+    def stop(step: str) -> None:
+        if step == "parents":
+            raise InterruptedError(step)
+
+    try:
+        drain.run(_HOUR_NOW, stop)
+    except InterruptedError:
+        drain.run(_HOUR_NOW)
+    none = F.lit(None).cast("string")
+    newest = latest_row(keyed.stored(spark, f"{out}/store").select("key", "value", "expire_at", "written_at"), ["key"],
+                        ["written_at", "expire_at", "value"]).where("value != ''")
+    return (drain.table("parents").select(F.lit("parent").alias("kind"), "id", none.alias("ip_address"))
+            .unionByName(drain.table("children").select(F.lit("child").alias("kind"), F.col("parent_id").alias("id"), "ip_address"))
+            .unionByName(newest.select(F.lit("stays").alias("kind"), F.col("key").alias("id"), none.alias("ip_address"))))
+
+
 @query("a13_server_counts", """
 SELECT strftime(h, '%Y-%m-%d %H') AS hour, server_addr, n FROM hourly_servers""", "hourly_servers")
 def _(spark, sf):
@@ -296,6 +326,16 @@ def _(spark, sf):
     return mon.roll_server_totals(*_history_and_today(spark, sf))
 
 
+@query("j9_stored_totals", "SELECT * FROM rolled", "rolled")
+def _(spark, sf):
+    """The same from totals stored by day: the day's run reads the day before it and its own lines."""
+    history, _ = _history_and_today(spark, sf)
+    totals = DailyTotals(spark, work_dir(spark, "totals"))
+    totals.start("2024-01-20", history)
+    lines = _day_lines(spark, sf).where("ts >= TIMESTAMP_NTZ '2024-01-21' AND ts < TIMESTAMP_NTZ '2024-01-22'")
+    return totals.roll("2024-01-21", mon.server_counts(lines, ["day"]).where("server_addr <> 'SRV1'"))
+
+
 _VIEW_SQL = """
 SELECT server_name, active_num, yesterday_num, before_yesterday_num, last_three_days_num FROM rolled
 JOIN (SELECT server_addr AS server_name, active_num FROM active WHERE d = (SELECT max(d) FROM active)) USING (server_name)"""
@@ -582,6 +622,17 @@ def _(spark, sf):
                    ["o_totalprice", "o_orderkey"], 2, 50)
 
 
+@query("t3_deep_page", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
+ l_partkey LIMIT 50 OFFSET 4950""")
+def _(spark, sf):
+    """The hundredth page of a table that was sorted into ranges: only the ranges it lies in are opened."""
+    items = adapter.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    table = PagedTable(spark, work_dir(spark, "pages"), [F.col("l_extendedprice").desc(), "l_orderkey", "l_linenumber", "l_partkey"])
+    table.store(items)
+    return table.page(100, 50).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
 @query("t4_first_row", "SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 1")
 def _(spark, sf):
     return rp.first_row(adapter.read(spark, sf, "orders"), [F.col("o_orderdate").desc(), "o_orderkey"]).select(

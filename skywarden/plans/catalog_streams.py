@@ -16,7 +16,8 @@ from skywarden.plans.etl import Site, processed_lines
 from skywarden.plans.registry import cte, query
 from skywarden.schema import BACKUP_SCHEMA
 from skywarden.session import work_dir
-from skywarden.sources import keyed, writers
+from skywarden.sources import folders, keyed, writers
+from skywarden.sources.archive import HourArchive
 from skywarden.sources.readers import read_processed, read_raw, read_spider_list
 from skywarden.streaming import jobs, live
 from skywarden.streaming.lookups import (SCORING_TABLES, BatchTables, ChangeFlags, Lookups, VersionedTables,
@@ -184,6 +185,41 @@ def _(spark, sf):
     return rows.select("event_id", F.md5("value").alias("digest"), "dt", "hh")
 
 
+@query("s14_compacted_archive", """
+SELECT event_id, md5(value) AS digest FROM raw WHERE strftime(ts, '%Y-%m-%d') IN ('2024-01-10', '2024-01-11')""", "raw")
+def _(spark, sf):
+    """Two days of the archive, written in three batches; compacted between the second and the third, and again after."""
+    out = work_dir(spark, "s14c")
+    days = ("2024-01-10", "2024-01-11")
+    lines = adapter.raw_lines(spark, sf).where(F.date_format("ts", "yyyy-MM-dd").isin(*days))
+    archive = HourArchive(spark, f"{out}/rows", _RAW_SCHEMA)
+    hours = [(day, f"{hour:02d}") for day in days for hour in (0, 6, 12, 18)]
+
+    def add(part: int) -> None:
+        lines.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{out}/in")
+        stream = read_raw(spark, "parquet", path=f"{out}/in", streaming=True, schema=_RAW_SCHEMA)
+        # Folders of six hours each keep their number low here.
+        slot = F.date_trunc("day", "ts") + F.make_dt_interval(hours=F.floor(F.hour("ts") / 6).cast("int") * 6)
+        _finish(jobs.run_archive(stream.withColumn("at", slot), f"{out}/rows", "at", f"{out}/cp", interval=None))
+
+    def compact() -> None:
+        upto = folders.committed_batch(spark, f"{out}/cp")
+        for day, hour in hours:
+            archive.compact(day, hour, upto)
+
+    add(0)
+    add(1)
+    compact()
+    add(2)
+    compact()
+    for day, hour in hours[:4]:
+        archive.clean(day, hour)
+    found = archive.read(*hours[0])
+    for day, hour in hours[1:]:
+        found = found.unionByName(archive.read(day, hour))
+    return found.select("event_id", F.md5("value").alias("digest"))
+
+
 @query("s15_keyed_live_view", """
 SELECT key FROM snaps WHERE h + INTERVAL 120 SECONDS > TIMESTAMP '2024-01-18 07:00:30'
 UNION ALL SELECT 'CSANTI_MONITOR_DP_LAST'""", "snaps")
@@ -435,7 +471,7 @@ def _(spark, sf):
         lines.where(half).select("value").write.mode("append").parquet(f"{out}/in")
         stream = read_raw(spark, "parquet", path=f"{out}/in", streaming=True, schema="value string")
         if part:
-            writers.move(spark, sinks.live, f"{out}/lost")
+            folders.move(spark, sinks.live, f"{out}/lost")
         for job in jobs.run_scoring_job(stream, lambda: config, sinks, f"{out}/cp", interval=None):
             _finish(job)
     at = keyed.stored(spark, sinks.live).agg(F.coalesce(F.max("written_at"), F.current_timestamp()).alias("at")).first()["at"]
@@ -478,7 +514,7 @@ def _(spark, sf):
         for half in (0, 1):
             if half:
                 publish("f9", 25)
-            writers.move(spark, f"{out}/staged/half{half}", f"{out}/in/half{half}")
+            folders.move(spark, f"{out}/staged/half{half}", f"{out}/in/half{half}")
             job.processAllAvailable()
     finally:
         job.stop()

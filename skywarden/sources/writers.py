@@ -67,16 +67,6 @@ def read_recent_hours(spark: SparkSession, root: str, now: str, schema: str, hou
         return spark.createDataFrame([], full)
 
 
-def move(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a folder in one step; a missing one stays missing. Says whether it was there."""
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (source, target))
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(old):
-        return False
-    fs.mkdirs(new.getParent())
-    return bool(fs.rename(old, new))
-
-
 def route(df: DataFrame, topics: dict[str, str] | None = None) -> DataFrame:
     """Rows that have a topic by their behavior, with ``topic`` and ``value`` in one pass."""
     names = topics or TOPICS

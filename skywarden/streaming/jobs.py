@@ -28,7 +28,7 @@ from skywarden.operators.tag import critical
 from skywarden.plans.etl import Site, processed_lines
 from skywarden.plans.scoring import scored_vectors
 from skywarden.schema import BACKUP_SCHEMA, Flow
-from skywarden.sources import keyed
+from skywarden.sources import folders, keyed
 from skywarden.sources.writers import read_recent_hours, route, write_hourly_batch
 from skywarden.streaming.windows import WindowTables
 
@@ -254,7 +254,7 @@ def restore_if_lost(spark: SparkSession, sinks: ScoringSinks, batch_id: int, at:
     these have a folder of their own that a repeated batch replaces; what is live already stays. Says whether it was done.
     """
     mark = f"{sinks.live}/_restored"
-    if not restore or _exists(spark, f"{mark}/_SUCCESS"):
+    if not restore or folders.whole(spark, mark):
         return False
     now = F.lit(at)
     live = keyed.live(spark, sinks.live, f"{at:%Y-%m-%d %H:%M:%S.%f}").select("key")
@@ -267,11 +267,6 @@ def restore_if_lost(spark: SparkSession, sinks: ScoringSinks, batch_id: int, at:
     return True
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def of_batch(config: Callable[..., ScoringConfig]) -> Callable[[int], ScoringConfig]:
     """The configuration as a function of the batch number, whether or not it asks for one."""
     return config if inspect.signature(config).parameters else lambda batch_id: config()

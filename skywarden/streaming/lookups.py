@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skywarden.operators.metrics import GAP_LIMIT_MS
 from skywarden.operators.scoring import BLACKLIST_TTL_S
+from skywarden.sources import folders
 from skywarden.sources.readers import flow_rules, load_flows, load_lookup
 from skywarden.streaming.jobs import ScoringConfig
 
@@ -78,13 +79,9 @@ class VersionedTables:
         self.spark, self.root, self.keep = spark, root, keep
 
     def _versions(self, name: str) -> list[int]:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        fs = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(where):
-            return []
-        paths = [s.getPath() for s in fs.listStatus(where)]
-        done = [p for p in paths if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().removeprefix("version=")) for p in done)
+        at = f"{self.root}/{name}"
+        return sorted(int(n.removeprefix("version=")) for n in folders.names(self.spark, at)
+                      if folders.whole(self.spark, f"{at}/{n}"))
 
     def publish(self, name: str, rows: DataFrame) -> int:
         """Store a new version and say its number. Versions beyond the ``keep`` newest go."""
@@ -92,8 +89,7 @@ class VersionedTables:
         number = versions[-1] + 1 if versions else 1
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/{name}/version={number}")
         for old in versions[:max(0, len(versions) + 1 - self.keep)]:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/version={old}")
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            folders.remove(self.spark, f"{self.root}/{name}/version={old}")
         return number
 
     def newest(self, name: str) -> int:

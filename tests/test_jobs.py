@@ -15,7 +15,8 @@ from skywarden.plans.scoring import scored_vectors
 from skywarden.session import work_dir
 from skywarden.sources import keyed
 from skywarden.sources.readers import read_raw
-from skywarden.sources.writers import move, write_hourly_batch
+from skywarden.sources.folders import move
+from skywarden.sources.writers import write_hourly_batch
 from skywarden.streaming import jobs, live
 from skywarden.streaming.lookups import SCORING_TABLES, BatchTables, VersionedTables, scoring_config
 from skywarden.streaming.windows import WindowTables, metric_batches
