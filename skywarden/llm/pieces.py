@@ -1,13 +1,15 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 Texts fall into units: a run of blanks (written as U+2581) with the characters up to the next one; no piece of the
-vocabulary goes across. Texts are dealt into buckets of a bounded size. Per bucket, each distinct unit is exploded to
-its substrings of up to the longest piece's length, these are equi-joined to the piece table (its size is fixed by the
-model and checked), and the edges that are left are grouped by unit. A fold over the edges (``aggregate``) finds the
-segmentation: for a vocabulary of the BPE kind the best-scored edge that covers exactly two symbols is applied as long
-as there is one; for one of the unigram kind the state is the best score and way to each position. The folds work on
-units of at most ``LONGEST`` characters; longer ones are merged from a heap, to the same result. A bucket's texts then
-take their ids from its units. Characters without a piece become their bytes' pieces.
+vocabulary goes across. Each distinct unit of the whole table is exploded once to its substrings of up to the longest
+piece's length, these are equi-joined to the piece table (its size is fixed by the model and checked), and the edges
+that are left are grouped by unit. A fold over the edges (``aggregate``) finds the segmentation: for a vocabulary of the
+BPE kind the best-scored edge that covers exactly two symbols is applied as long as there is one; for one of the unigram
+kind the state is the best score and way to each position. The folds work on units of at most ``LONGEST`` characters;
+longer ones are merged from a heap, to the same result. Characters without a piece become their bytes' pieces.
+
+The ids of the ``FREQUENT`` most frequent units go to every task, which encodes its texts with them; the units that are
+left over are few in a text and get their ids in a join, by text and place.
 """
 
 from __future__ import annotations
@@ -19,12 +21,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skywarden.llm.store import stored
+from skywarden.llm.workers import tidy
+
 MARK = "▁"
 LONGEST = 60
-BUCKET_CHARS = 24_000_000
+# Units whose ids are sent to every task: at most 61 characters and as many ids each.
+FREQUENT = 400_000
+# Texts that are encoded together, and odd units that a task remembers.
+ROWS, REMEMBERED = 512, 100_000
 # Rows of a piece table that may be sent to every executor.
 TABLE_ROWS = 1_000_000
 
@@ -173,54 +182,125 @@ def _ids(model_path: str | None) -> Ids:
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 
-def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """``doc_id, ids`` of every row of ``docs`` (doc_id, text and any other columns), for a vocabulary of the BPE kind.
-
-    Null and empty texts have no ids. Repeated rows give repeated results, rows without doc_id are encoded like any
-    other, an empty table gives an empty result.
-    """
-    spark = docs.sparkSession
+def unit_ids(units: DataFrame, model_path: str | None = None) -> DataFrame:
+    """``unit, n, ids`` of distinct units (unit, n) of 2 to ``LONGEST`` characters, by lattice and fold."""
+    spark = units.sparkSession
     table = table_of(model_path)
     longest = max(len(p) for p, _, _ in table)
     if len(table) > TABLE_ROWS:
         raise ValueError(f"{len(table)} pieces are too many to send to every executor")
     pieces = spark.createDataFrame([(p, s) for p, _, s in table if len(p) > 1], "piece string, score double")
+    # Dealt by unit once: neither the explosion nor the join with the pieces moves a unit again. Counts go along, so that
+    # units without an edge come back too.
+    dealt = units.repartition("unit")
+    ways = _edges(dealt, ["n"], pieces, longest).select(
+        "unit", "n", merged(F.col("edges"), F.char_length("unit")).alias("mask"))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    buckets = max(1, -(-chars // BUCKET_CHARS))
-    # One shuffle of the texts; both sides below start from it.
-    dealt = texts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")).repartition("bucket")
-    units = dealt.select("bucket", F.explode(units_of(F.col("text"))).alias("unit")).where(
-        F.char_length("unit").between(2, LONGEST)).groupBy("bucket", "unit").agg(F.lit(1).alias("_")).drop("_")
-    ways = _edges(units, ["bucket"], pieces, longest).select(
-        F.col("bucket").alias("of"), "unit", merged(F.col("edges"), F.char_length("unit")).alias("mask"))
-
-    def run(texts: pa.Table, ways: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(model_path)
-        known = {unit: ids.split(unit, mask) for unit, mask in
-                 zip(ways["unit"].to_pylist(), ways["mask"].to_pylist(), strict=True)}
+        for batch in batches:
+            found = [ids.split(unit, mask) for unit, mask in
+                     zip(batch.column("unit").to_pylist(), batch.column("mask").to_pylist(), strict=True)]
+            yield pa.record_batch([batch.column("unit"), batch.column("n"), pa.array(found, pa.list_(pa.int32()))],
+                                  ["unit", "n", "ids"])
 
-        def of(unit: str) -> list[int]:
-            # Units without an edge and long ones are not among the ways.
-            known[unit] = found = ids.long(unit) if len(unit) > LONGEST else ids.of(list(unit))
-            return found
+    return ways.mapInArrow(tidy(run), "unit string, n long, ids array<int>")
+
+
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in few bytes, for the way to another task."""
+    return zstandard.ZstdCompressor(level=1).compress(ids.astype(np.int32).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int32)
 
-        flat, offsets = [], [0]
-        size = 0
-        for text in texts["text"]:
-            out: list[int] = []
-            value = text.as_py()
-            if value:
-                for unit in _UNIT.findall(MARK + value.replace(" ", MARK)):
-                    out += known[unit] if unit in known else of(unit)
-            flat.append(np.array(out, np.int32))
-            size += len(out)
-            offsets.append(size)
-        values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
-        return pa.table({"doc_id": texts["doc_id"], "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)})
 
-    return dealt.groupBy("bucket").cogroup(ways.groupBy("of")).applyInArrow(run, "doc_id long, ids array<int>")
+def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
+    """``doc_id, ids`` of every row of ``docs`` (doc_id, text and any other columns), for a vocabulary of the BPE kind.
+
+    Null and empty texts have no ids. Texts of any length are encoded whole. Repeated rows give repeated results, rows
+    without doc_id are encoded like any other, an empty table gives an empty result. Extra columns are not read.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = texts.select(F.explode(units_of(F.col("text"))).alias("unit")).where(
+        F.char_length("unit").between(2, LONGEST)).groupBy("unit").agg(F.count("*").alias("n"))
+    known = stored(unit_ids(counted, model_path), "units")
+    frequent = known.orderBy(F.desc("n"), "unit").limit(FREQUENT).select("unit", "ids")
+    table = frequent.toArrow()
+    sent = spark.sparkContext.broadcast((table["unit"].to_pylist(), [np.array(x, np.int32).tobytes() for x in table["ids"].to_pylist()]))
+    del table
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _ids(model_path)
+        get = dict(zip(*sent.value, strict=True)).get
+        here: dict[str, bytes] = {}
+
+        def of(unit: str) -> bytes | None:
+            # Single characters and long units are not among the ways; units without an edge are not, either, but they
+            # come back from the join empty-handed, and are spelled out there.
+            found = here.get(unit)
+            if found is None and (len(unit) == 1 or len(unit) > LONGEST):
+                found = np.array(ids.of(list(unit)) if len(unit) == 1 else ids.long(unit), np.int32).tobytes()
+                if len(here) < REMEMBERED:
+                    here[unit] = found
+            return found
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                packed, left = [], []
+                for text in part["text"]:
+                    value, out, rest, size = text.as_py(), [], [], 0
+                    if value:
+                        for unit in _UNIT.findall(MARK + value.replace(" ", MARK)):
+                            found = get(unit) or of(unit)
+                            if found is None:
+                                rest.append((size, unit))
+                            else:
+                                out.append(found)
+                                size += len(found) >> 2
+                    packed.append(_packed(np.frombuffer(b"".join(out), np.int32)))
+                    left.append(rest)
+                sizes = np.array([len(x) for x in left], np.int64)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                places = pa.StructArray.from_arrays(
+                    [pa.array(np.array([p for rest in left for p, _ in rest], np.int32)),
+                     pa.array([u for rest in left for _, u in rest], pa.string())], ["place", "unit"])
+                yield pa.record_batch([part.column("row"), part.column("doc_id"), pa.array(packed, pa.binary()),
+                                       pa.ListArray.from_arrays(offsets, places)], ["row", "doc_id", "packed", "left"])
+
+    numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    half = stored(numbered.mapInArrow(
+        tidy(run), "row long, doc_id long, packed binary, left array<struct<place:int,unit:string>>"), "half-encoded")
+    # The rest of a text's units: its number in the text keeps the order of those at one place.
+    rest = half.select("row", F.posexplode("left").alias("number", "u")).select("row", "number", "u.place", "u.unit")
+    joined = rest.join(known.select("unit", "ids"), "unit", "left")
+    found = joined.groupBy("row").agg(F.collect_list(F.struct("number", "place", "unit", "ids")).alias("found"))
+    whole = half.select("row", "doc_id", "packed").join(found, "row", "left")
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _ids(model_path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                out, offsets, size = [], [0], 0
+                for packed, more in zip(part["packed"], part["found"], strict=True):
+                    flat = _unpacked(packed.as_py())
+                    if more.is_valid:
+                        units = sorted((u["number"], u["place"], u["ids"] if u["ids"] is not None else ids.of(list(u["unit"])))
+                                       for u in more.as_py())
+                        at = np.repeat([u[1] for u in units], [len(u[2]) for u in units])
+                        flat = np.insert(flat, at, [i for u in units for i in u[2]])
+                    out.append(flat)
+                    size += len(flat)
+                    offsets.append(size)
+                values = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32))
+                yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
+                                      ["doc_id", "ids"])
+
+    return whole.select("doc_id", "packed", "found").mapInArrow(tidy(fill), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -232,4 +312,4 @@ def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
                                   ["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, ids array<int>, text string")

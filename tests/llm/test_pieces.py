@@ -18,9 +18,10 @@ def test_edge_rows_against_the_library(edge_docs, no_docs):
     assert encode(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("buckets", [200, 10 ** 9])
-def test_long_units_and_odd_blanks(spark, monkeypatch, buckets):
-    monkeypatch.setattr(pieces, "BUCKET_CHARS", buckets)
+@pytest.mark.parametrize("frequent", [0, 3, 10 ** 6])
+def test_long_units_and_odd_blanks(spark, monkeypatch, frequent):
+    """However few units are sent to the tasks, the others come from the join."""
+    monkeypatch.setattr(pieces, "FREQUENT", frequent)
     texts = ["  two  blanks ", "http://www.example.com/a/very/long/path?with=many&parts=that_go_on_and_on_and_on",
              "aaaaaaaaaabbbbbbbbbbb" * 8, "\x00\x01 é😀", "▁mark ▁", "the" * 40, "x\ny\tz", "1234567890" * 7]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
