@@ -8,6 +8,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 
 @dataclass
@@ -32,7 +33,7 @@ class PagedTable:
 
     def _rows(self) -> DataFrame:
         columns = self.spark.read.parquet(f"{self.root}/columns").schema
-        return self.spark.read.schema(columns.add("_range", "int")).parquet(f"{self.root}/rows")
+        return self.spark.read.schema(columns.add("_range", IntegerType())).parquet(f"{self.root}/rows")
 
     def _counts(self) -> list[tuple[int, int]]:
         rows = self.spark.read.schema("_range int, n long").parquet(f"{self.root}/counts").collect()
