@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skywarden.sources import folders
 from skywarden.sources.writers import FILE_ROWS
@@ -23,7 +24,7 @@ class HourArchive:
 
     spark: SparkSession
     root: str
-    schema: str
+    schema: str | StructType
 
     def _hour(self, day: str, hour: str) -> str:
         return f"{self.root}/dt={day}/hh={hour}"

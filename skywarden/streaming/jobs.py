@@ -29,7 +29,8 @@ from skywarden.plans.etl import Site, processed_lines
 from skywarden.plans.scoring import scored_vectors
 from skywarden.schema import BACKUP_SCHEMA, Flow
 from skywarden.sources import folders, keyed
-from skywarden.sources.writers import read_recent_hours, route, write_hourly_batch
+from skywarden.sources.archive import HourArchive
+from skywarden.sources.writers import hour_columns, read_recent_hours, route, write_hourly_batch
 from skywarden.streaming.windows import WindowTables
 
 # Fixed value: length of a micro-batch.
@@ -183,7 +184,8 @@ def run_etl(raw: DataFrame, site: Callable[[], Site], sinks: EtlSinks, checkpoin
 @dataclass
 class ScoringConfig:
     """Rules of the scoring job. ``longer`` has the flows of windows longer than ``window``, by length, shortest first;
-    each a multiple of the one before. ``restore`` says whether a lost blacklist is put back from its backup."""
+    each a multiple of the one before. ``restore`` says whether a lost blacklist is put back from its backup, and
+    ``expire_every`` after how many batches folders of entries that are over are dropped (0: never)."""
 
     flows: Sequence[Flow]
     critical_pages: Sequence[str]
@@ -194,6 +196,7 @@ class ScoringConfig:
     flow_pick: str = "triggered"
     longer: Mapping[str, Sequence[Flow]] = field(default_factory=dict)
     restore: bool = True
+    expire_every: int = 100
 
     def flows_of(self, length: str | None) -> Sequence[Flow]:
         return self.longer.get(length, ()) if length and length != self.window else self.flows
@@ -306,13 +309,15 @@ def run_scoring(lines: DataFrame, config: Callable[..., ScoringConfig], sinks: S
             if sinks.monitor:
                 query_snapshot(found, batch_id, at, int((time.time() - begin) * 1000), sinks.monitor,
                                "n" if windowed else None)
+            if now.expire_every and batch_id % now.expire_every == 0:
+                keyed.drop_expired(batch.sparkSession, sinks.live, at.isoformat())
         finally:
             batch.unpersist()
     return start(rows.withColumn("batch_time", F.current_timestamp()), each, checkpoint, interval)
 
 
 def run_scoring_job(lines: DataFrame, config: Callable[..., ScoringConfig], sinks: ScoringSinks, checkpoint: str,
-                    interval: str | None = BATCH_INTERVAL) -> list[StreamingQuery]:
+                    interval: str | None = BATCH_INTERVAL, compact_every: int = 100) -> list[StreamingQuery]:
     """The whole scoring job: blacklist, and the lines as they came in the archive's hourly folders.
 
     The archive has a checkpoint of its own, so neither output waits for the other or is written twice.
@@ -321,7 +326,7 @@ def run_scoring_job(lines: DataFrame, config: Callable[..., ScoringConfig], sink
     if not sinks.archive:
         return [scoring]
     arrived = lines.select("value", F.current_timestamp().alias("arrived_at"))
-    return [scoring, run_archive(arrived, sinks.archive, "arrived_at", f"{checkpoint}/archive", interval)]
+    return [scoring, run_archive(arrived, sinks.archive, "arrived_at", f"{checkpoint}/archive", interval, compact_every)]
 
 
 def query_snapshot(rows: DataFrame, batch_id: int, at: datetime, cost_ms: int, root: str,
@@ -339,10 +344,18 @@ def query_snapshot(rows: DataFrame, batch_id: int, at: datetime, cost_ms: int, r
 
 
 def run_archive(lines: DataFrame, root: str, time_col: str, checkpoint: str,
-                interval: str | None = BATCH_INTERVAL) -> StreamingQuery:
-    """Append raw lines to hourly folders; ``compact_hour`` merges the files of an hour later."""
+                interval: str | None = BATCH_INTERVAL, compact_every: int = 0) -> StreamingQuery:
+    """Append raw lines to hourly folders. Every ``compact_every`` batches (0: never) the finished batches of the hours
+    at hand are merged; ``HourArchive`` reads the hours either way."""
+    archive = HourArchive(lines.sparkSession, root, lines.schema)
+
     def each(batch: DataFrame, batch_id: int) -> None:
         write_hourly_batch(batch, root, time_col, batch_id)
+        if compact_every and batch_id % compact_every == 0:
+            # As many as the hours that one batch reaches into.
+            for row in batch.select(*[c.alias(n) for n, c in hour_columns(F.col(time_col)).items()]).distinct().collect():
+                # This batch may still be repeated; the ones before it are done.
+                archive.compact(row.dt, row.hh, batch_id - 1)
     return start(lines, each, checkpoint, interval)
 
 

@@ -13,6 +13,7 @@ from skywarden.sources.daily import DailyTotals
 from skywarden.sources.moves import SnapshotDrain
 from skywarden.sources.paging import PagedTable
 from skywarden.sources.writers import write_hourly_batch
+from skywarden.streaming import jobs
 
 DAY, HOUR = "2024-01-01", "05"
 
@@ -55,6 +56,21 @@ def test_archive_is_whole_at_every_step(spark):
     assert spark.read.schema("value string, dt string, hh string, batch int").parquet(root).count() == 0
 
 
+def test_archive_job_compacts_as_it_goes(spark):
+    out = work_dir(spark, "compacting")
+    for part in range(5):
+        spark.range(part * 4, part * 4 + 4).withColumn("at", F.lit(f"{DAY} {HOUR}:00:00").cast("timestamp")).coalesce(1).write.mode(
+            "append").parquet(f"{out}/in")
+    stream = jobs.read_file_stream(spark, f"{out}/in", "id long, at timestamp", max_files=1)
+    jobs.run_archive(stream, f"{out}/rows", "at", f"{out}/cp", None, compact_every=2).awaitTermination()
+    archive = HourArchive(spark, f"{out}/rows", "id long, at timestamp")
+    # Batches 2 and 4 merged what was finished before them.
+    assert archive.manifest(DAY, HOUR) == (2, [0, 1, 2, 3])
+    assert sorted(r.id for r in archive.read(DAY, HOUR).collect()) == list(range(20))
+    archive.clean(DAY, HOUR)
+    assert archive.batches(DAY, HOUR) == [4] and archive.read(DAY, HOUR).count() == 20
+
+
 def test_last_finished_batch(spark):
     out = work_dir(spark, "commits")
     assert folders.committed_batch(spark, f"{out}/cp") == -1
