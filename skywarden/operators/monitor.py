@@ -222,11 +222,12 @@ def host_status(metrics: DataFrame) -> DataFrame:
     ``metrics`` has kind (system or filesystem), ts, host, cpu_system, cpu_user, mem_total, mem_used, mem_used_p,
     device, mount, fs_total and fs_used.
     """
+    # Rows of one time are told apart by their values, so that every run picks the same.
+    usage, size = ("cpu_system", "cpu_user", "mem_total", "mem_used", "mem_used_p"), ("fs_total", "fs_used")
     system = (metrics.where("kind = 'system'").groupBy("host").agg(
-        F.max_by(F.struct("cpu_system", "cpu_user", "mem_total", "mem_used", "mem_used_p"), "ts").alias("_s"),
-        F.max("ts").alias("state_time")))
+        F.max_by(F.struct(*usage), F.struct("ts", *usage)).alias("_s"), F.max("ts").alias("state_time")))
     disks = (metrics.where("kind = 'filesystem'").groupBy("host", "device", "mount")
-             .agg(F.max_by(F.struct("fs_total", "fs_used"), "ts").alias("_f"))
+             .agg(F.max_by(F.struct(*size), F.struct("ts", *size)).alias("_f"))
              .groupBy("host").agg(F.sum("_f.fs_total").alias("fs_total"), F.sum("_f.fs_used").alias("fs_used")))
 
     def unit(value: Column, size: int) -> Column:

@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skywarden.functions.text import ip_block
-from skywarden.operators.joins import salted_join
-from skywarden.operators.metrics import GAP_LIMIT_MS, MAX_INT, METRICS, URL_SALTS
+from skywarden.operators.metrics import GAP_LIMIT_MS, MAX_INT, METRICS
 
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
 
@@ -149,5 +148,5 @@ def vectors_of(parts: Partials) -> DataFrame:
     urls = parts.urls.select(*keys, "request", F.col("n").alias("requests"),
                              F.timestamp_millis("seen_ms").alias("last_seen"), "short_gaps")
     zero = [c for c in METRICS.values() if c != "min_gap_ms"]
-    return (salted_join(urls, per_ip, keys, "left", ["request"], URL_SALTS)
-            .fillna(0, zero).fillna(MAX_INT, ["min_gap_ms"]))
+    # An address with very many URLs makes a skewed partition of one side, which adaptive execution splits.
+    return urls.join(per_ip, keys, "left").fillna(0, zero).fillna(MAX_INT, ["min_gap_ms"])

@@ -23,7 +23,7 @@ from skywarden.operators.blacklist import latest_row, restore_blacklist
 from skywarden.operators.line import from_line
 from skywarden.operators.metrics import GAP_LIMIT_MS
 from skywarden.operators.scoring import BLACKLIST_TTL_S, blacklist, score
-from skywarden.operators.slices import partials, slice_states, vectors_of
+from skywarden.operators.slices import slice_states
 from skywarden.operators.tag import critical
 from skywarden.plans.etl import Site, processed_lines
 from skywarden.plans.scoring import scored_vectors
@@ -237,12 +237,8 @@ def write_scored(scored: DataFrame, batch_id: int, config: ScoringConfig, sinks:
 
 def scored_windows(states: DataFrame, batch_id: int, config: ScoringConfig, sinks: ScoringSinks) -> DataFrame:
     """Scored vectors, with ``window_length``, of the finished slices of a batch and of the longer windows they complete."""
-    pages = critical(config.critical_pages)
-    if config.longer:
-        tables = WindowTables(states.sparkSession, sinks.partials, config.window, list(config.longer), config.threshold_ms)
-        found = list(tables.add(states, pages, batch_id))
-    else:
-        found = [(config.window, vectors_of(partials(states, pages, config.threshold_ms)))]
+    tables = WindowTables(states.sparkSession, sinks.partials or "", config.window, list(config.longer), config.threshold_ms)
+    found = tables.add(states, critical(config.critical_pages), batch_id)
     out = [score(vectors, config.flows_of(length)).withColumn("window_length", F.lit(length)) for length, vectors in found]
     whole = out[0]
     for more in out[1:]:

@@ -86,6 +86,10 @@ class WindowTables:
         ``states`` is read several times and best persisted. Slices finish in the order of their ends, so a window is
         complete once a slice that ends with it or later is there.
         """
+        if not self.longer:
+            # Nothing is to be merged later, so nothing is stored.
+            yield self.length, vectors_of(partials(states, critical, self.threshold_ms))
+            return
         oldest, newest = states.agg(F.min(F.unix_seconds("window_start")), F.max(F.unix_seconds("window_end"))).first()
         if newest is None:
             return
