@@ -4,16 +4,19 @@ Numbers and dates that pass their check (Luhn, IBAN remainder, social security r
 numbers, e-mail names and quoted secrets are replaced by others of the same format. Each format counts its valid values
 from 0; a keyed Feistel network permutes that range (walking on while it leaves it), and the result is written in the
 layout of the original. So equal values get equal pseudonyms in all documents, whatever their separators, different
-values different ones, and whoever has the key can go back.
+values different ones, and whoever has the key can go back (``back=True``). Dates keep to their half, days up to 12 or
+after, so that one written month first or day first is read back the way it was written. Country codes stay.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import re
+from bisect import bisect_right
+from calendar import monthrange
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from itertools import accumulate
 from math import isqrt
 
 import pyarrow as pa
@@ -36,7 +39,7 @@ class Feistel:
 
     def _f(self, step: int, value: int) -> int:
         data = step.to_bytes(1, "big") + value.to_bytes((value.bit_length() + 7) // 8, "big")
-        return int.from_bytes(blake2b(data, key=self.key, digest_size=24).digest(), "big")
+        return int.from_bytes(blake2b(data, key=self.key, digest_size=48).digest(), "big")
 
     def _once(self, x: int, forward: bool) -> int:
         l, r = divmod(x, self.right)
@@ -118,7 +121,9 @@ def _social(text: str, permute: Permute) -> str | None:
     return _refill(text, f"{place + 1 + (place >= 665):03}{group + 1:02}{serial + 1:04}")
 
 
-_FIRST, _LAST = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
+_YEARS = range(1900, 2100)
+# Days after the 12th that months before each month have, in all.
+_LATE = [0, *accumulate(monthrange(year, month)[1] - 12 for year in _YEARS for month in range(1, 13))]
 
 
 def _date(text: str, permute: Permute) -> str | None:
@@ -128,14 +133,21 @@ def _date(text: str, permute: Permute) -> str | None:
     else:
         orders = ((2, 0, 1), (2, 1, 0)) if text[2] == "/" else ((2, 1, 0),)
     for order in orders:
-        try:
-            day = dt.date(*(parts[i] for i in order)).toordinal()
-        except ValueError:
+        year, month, day = (parts[i] for i in order)
+        if not 1 <= month <= 12 or year < 1 or not 1 <= day <= monthrange(year, month)[1]:
             continue
-        if not _FIRST <= day <= _LAST:
+        if year not in _YEARS:
             return None
-        new = dt.date.fromordinal(_FIRST + permute("date", _LAST - _FIRST + 1, day - _FIRST))
-        digits = {order[0]: f"{new.year:04}", order[1]: f"{new.month:02}", order[2]: f"{new.day:02}"}
+        at = (year - _YEARS[0]) * 12 + month - 1
+        if day <= 12:
+            at, day = divmod(permute("date", len(_YEARS) * 144, at * 12 + day - 1), 12)
+            day += 1
+        else:
+            place = permute("late date", _LATE[-1], _LATE[at] + day - 13)
+            at = bisect_right(_LATE, place) - 1
+            day = place - _LATE[at] + 13
+        year, month = divmod(at, 12)
+        digits = {order[0]: f"{year + _YEARS[0]:04}", order[1]: f"{month + 1:02}", order[2]: f"{day:02}"}
         return _refill(text, digits[0] + digits[1] + digits[2])
     return None
 
@@ -159,22 +171,46 @@ def _address(text: str, permute: Permute) -> str | None:
     return ".".join(reversed(out))
 
 
+# Country codes of one and of two digits; all others have three.
+_ONE_DIGIT = {"1", "7"}
+_TWO_DIGITS = {"20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+               "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84",
+               "86", "90", "91", "92", "93", "94", "95", "98"}
+
+
 def _phone(text: str, permute: Permute) -> str | None:
     digits = re.sub(r"\D", "", text)
     if not 10 <= len(digits) <= 15 or not re.search(r"[^\d]", text):
         return None
-    code, rest = digits[:-10], digits[-10:]
-    return _refill(text, code + str(permute("phone", 10 ** 10, int(rest))).zfill(10))
+    code = ""
+    if text.startswith("+"):
+        code = next((digits[:n] for n, known in ((1, _ONE_DIGIT), (2, _TWO_DIGITS)) if digits[:n] in known), digits[:3])
+    rest = digits[len(code):]
+    return _refill(text, code + str(permute(f"phone{len(rest)}", 10 ** len(rest), int(rest))).zfill(len(rest)))
 
 
-# Longer secrets are replaced in pieces: a half of a Feistel round must not have more bits than its function (192).
+# Longer secrets are replaced in pieces: a half of a Feistel round must not have more bits than its function (384).
 _PIECE = 64
 
 
+@lru_cache(4096)
+def _alphabet(c: str) -> str:
+    """The letters that one may become: digits, a-z, A-Z, or those of its kind in its stretch of 256 code points."""
+    for letters in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        if c in letters:
+            return letters
+    if c.isascii() or not c.isalpha():
+        return ""
+    start = ord(c) >> 8 << 8
+    return "".join(x for x in map(chr, range(max(start, 128), start + 256))
+                   if x.isalpha() and (x.islower(), x.isupper()) == (c.islower(), c.isupper()))
+
+
 def _letters(kind: str) -> Callable[[str, Permute], str | None]:
-    """Replace letters by letters, digits by digits, hexadecimal digits by such; the rest of the layout stays."""
-    sets = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    """Replace letters by letters, digits by digits, hexadecimal digits by such; the rest of the layout stays.
 
+    A secret of other letters that comes out as hexadecimal by chance is the one thing that cannot be read back.
+    """
     def new(text: str, permute: Permute) -> str | None:
         if len(text) > _PIECE:
             # Even pieces, each under a permutation of its own range.
@@ -182,7 +218,7 @@ def _letters(kind: str) -> Callable[[str, Permute], str | None]:
             return "".join(new(text[at:at + size], permute) for at in range(0, len(text), size))
         hexed = next((h for h in ("0123456789abcdef", "0123456789ABCDEF") if set(text) <= set(h)), None) if (
             kind == "secret") else None
-        own = [hexed or next((s for s in sets if c in s), "") for c in text]
+        own = [hexed or _alphabet(c) for c in text]
         size, place = 1, 0
         for c, letters in zip(text, own, strict=True):
             if letters:
@@ -209,7 +245,7 @@ KINDS: tuple[tuple[str, re.Pattern, Callable[[str, Permute], str | None]], ...]
     ("date", re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d\d\1\d\d|\d\d([-/.])\d\d\2\d{4})(?![\d/-]|\.\d)"), _date),
     ("social", re.compile(r"(?<![\d-])\d{3}([- ])\d\d\1\d{4}(?![\d-])"), _social),
     ("address", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"), _address),
-    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}"
+    ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}"
                          r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([.-])\d{3}\1\d{4})(?![\w-])"), _phone),
 )
 # Card numbers as they are grouped: what may begin amid other groups of digits.
@@ -225,9 +261,10 @@ _NAME = re.compile(r"[\w.%+\-]{1,64}\Z")
 
 
 class Pseudonyms:
-    """Finds and replaces values in texts, and remembers some."""
+    """Finds and replaces values in texts, and remembers some. ``back`` replaces pseudonyms by what they stand for."""
 
-    def __init__(self, key: bytes):
+    def __init__(self, key: bytes, back: bool = False):
+        self.back = back
         self.network = lru_cache(4096)(lambda tweak, size: Feistel(key, tweak, size))
         self.known: dict[tuple[str, str], str | None] = {}
 
@@ -235,7 +272,7 @@ class Pseudonyms:
         if (kind, text) not in self.known:
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[kind, text] = make(text, lambda tweak, size, x: self.network(tweak, size)(x))
+            self.known[kind, text] = make(text, lambda tweak, size, x: self.network(tweak, size)(x, not self.back))
         return self.known[kind, text]
 
     def grouped(self, kind: str, pattern: re.Pattern, make: Callable, text: str, spans: list[tuple[int, int, str]]) -> None:
@@ -277,7 +314,7 @@ class Pseudonyms:
             name = _NAME.search(text, max(0, at - 64), at)
             if name and _HOST.match(text, at + 1) and any(c.isalnum() for c in name.group()):
                 new = self.value("mail", _letters("mail"), name.group())
-                spans.append((name.start(), at, _foreign(new, name.group(), self)))
+                spans.append((name.start(), at, new))
             at = text.find("@", at + 1)
         digit, named = _DIGIT.search(text), "=" in text or ":" in text
         if digit or named:
@@ -303,20 +340,11 @@ class Pseudonyms:
         return "".join([*out, text[last:]]), len(spans)
 
 
-def _foreign(new: str, old: str, made: Pseudonyms) -> str:
-    """Letters outside A-Z of an e-mail name become letters a-z, drawn from the whole name."""
-    if old.isascii():
-        return new
-    net = made.network("foreign", 1 << 64)
-    draw = net(int.from_bytes(blake2b(old.encode(), digest_size=8).digest(), "big"))
-    return "".join(c if c.isascii() else chr(97 + (draw >> (i % 13 * 4)) % 26) for i, c in enumerate(new))
-
-
 def pseudonymous(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_replaced`` (0 for null and empty texts).
 
-    All columns stay; a column called ``n_replaced`` is replaced. Texts keep their length in code points. Repeated rows
-    give repeated results, an empty table an empty one.
+    All columns stay; a column called ``n_replaced`` is replaced. Texts keep their length in code points, and are looked
+    at whole, however long. Repeated rows give repeated results, an empty table an empty one.
     """
     if not key:
         raise ValueError("pseudonyms need a key")

@@ -62,6 +62,63 @@ def test_found_and_replaced_in_place(made, text):
     assert made.text(f"see {text} here") == (new, n) and Pseudonyms(KEY).text(f"see {text} here") == (new, n)
 
 
+LAYOUTS = ["%Y-%m-%d", "%Y/%m/%d", "%Y.%m.%d", "%d.%m.%Y", "%d-%m-%Y", "%d/%m/%Y", "%m/%d/%Y"]
+
+
+def test_every_date_in_every_layout_and_back(made):
+    """No two texts of a layout share a pseudonym, a date has one pseudonym in all layouts, and the key leads back."""
+    from skywarden.llm.pseudonyms import _date
+
+    def forth(kind, size, x):
+        return made.network(kind, size)(x)
+
+    def back(kind, size, x):
+        return made.network(kind, size)(x, False)
+
+    days = [dt.date(1900, 1, 1) + dt.timedelta(n) for n in range(73_049)]
+    assert days[-1] == dt.date(2099, 12, 31)
+    of_day = {d: _date(d.isoformat(), forth) for d in days}
+    assert len(set(of_day.values())) == len(days)
+    for layout in LAYOUTS[1:]:
+        texts = {d.strftime(layout).zfill(10): d for d in days[::7]}
+        for text, d in texts.items():
+            new = _date(text, forth)
+            assert _date(new, back) == text
+            if layout == "%d/%m/%Y" and d.day <= 12:
+                # Written day first, but read month first, like every text of this kind.
+                d = dt.date(d.year, d.day, d.month)
+            assert dt.datetime.strptime(new, "%m/%d/%Y" if layout == "%d/%m/%Y" and d.day <= 12 else layout).date(
+                ).isoformat() == of_day[d]
+
+
+@pytest.mark.parametrize("text", [
+    "+33 1 23 45 67 89", "+33 6 11 22 33 44", "+33123456789", "+49 30 12345678", "+353 1 234 5678", "+7 495 123 4567",
+    "+44 20 7946 0958"])
+def test_country_codes_stay(made, text):
+    from skywarden.llm.pseudonyms import _ONE_DIGIT, _TWO_DIGITS
+
+    new, n = made.text(f"call {text} now")
+    digits = re.sub(r"\D", "", text)
+    code = 1 if digits[0] in _ONE_DIGIT else 2 if digits[:2] in _TWO_DIGITS else 3
+    assert n == 1 and re.sub(r"\D", "", new)[:code] == digits[:code] and re.sub(r"\D", "", new) != digits
+    assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"call {text} now")
+
+
+@pytest.mark.parametrize("text", [
+    "DE89 3704 0044 0532 0130 00", "4111-1111-1111-1111", "123-45-6789", "192.168.10.254", "+49 30 1234567", "(415) 555-0199",
+    "jürgen.müller@firma.de", "Жанна.д@pochta.example.org", "31.12.1999", 'token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"'])
+def test_the_key_leads_back(made, text):
+    new, n = made.text(f"see {text} here")
+    assert n == 1 and new != f"see {text} here"
+    assert Pseudonyms(KEY, back=True).text(new) == (f"see {text} here", 1)
+
+
+def test_letters_of_other_alphabets_are_permuted(made):
+    names = [f"{a}{b}x" for a in "àéîöûß" for b in "жщю"]
+    new = {made.text(f"{n}@firma.de")[0] for n in names}
+    assert len(new) == len(names) and all(len(n) == 12 for n in new)
+
+
 def test_iban_keeps_its_check(made):
     new = made.text("DE89 3704 0044 0532 0130 00")[0].replace(" ", "")
     assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
