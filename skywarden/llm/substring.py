@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skywarden.llm.store import stored
+from skywarden.llm.store import free_name, stored
 from skywarden.llm.words import Words, word_slices
 from skywarden.llm.workers import tidy
 
@@ -197,11 +197,12 @@ def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without its repeated passages, all columns kept: texts that lose words become what is left of them,
     joined by single spaces, ``n_chars`` (if there) follows the text, and texts of which nothing is left go."""
-    rows = docs.withColumn("_node", _node()).join(
-        changed_texts(docs, window).select(F.col("node").alias("_node"), F.col("kept_text").alias("_kept")), "_node",
-        "left").where("_kept IS NULL OR _kept != ''")
-    changes = {"text": F.coalesce("_kept", "text")}
+    node, kept = free_name(docs, "_node"), free_name(docs, "_kept")
+    rows = docs.withColumn(node, _node()).join(
+        changed_texts(docs, window).select(F.col("node").alias(node), F.col("kept_text").alias(kept)), node,
+        "left").where(F.col(kept).isNull() | (F.col(kept) != ""))
+    changes = {"text": F.coalesce(kept, "text")}
     if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(
-            F.char_length("_kept").cast(docs.schema["n_chars"].dataType))
+        changes["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(
+            F.char_length(kept).cast(docs.schema["n_chars"].dataType))
     return rows.withColumns(changes).select(*docs.columns)

@@ -63,3 +63,25 @@ def test_stage_keeps_rows_with_a_language(docs):
     assert kept.columns == docs.columns
     gone = {r.doc_id for r in docs.collect()} - {r.doc_id for r in kept.collect()}
     assert {900, 901, 902} <= gone and len(gone) <= 5
+
+
+def test_hundreds_of_languages_are_learned(spark, monkeypatch):
+    """Each language has a word of its own; none is left out, however many there are."""
+    monkeypatch.setattr(language, "SAMPLE_OF_ALL", 1500)
+    rows = [(i, f"w{chr(97 + n // 26 % 26)}{chr(97 + n % 26)}{chr(97 + n // 676)}q and the rest", f"l{n:03}", 0)
+            for i, n in enumerate(n for n in range(300) for _ in range(8))]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert 900 < language.training_rows(docs).count() < 2100
+    got = {r.doc_id: r.lang_pred for r in identify(docs).collect()}
+    assert sum(got[r[0]] == r[2] for r in rows) / len(rows) > 0.95
+
+
+def test_rows_without_doc_id_are_drawn_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}", "xx", 0) for i in range(2000)], SCHEMA)
+    assert 400 < language.training_rows(docs).count() < 800
+
+
+def test_very_long_texts(spark, docs):
+    long = " ".join(["bec ad da"] * 200_000)
+    both = docs.unionByName(spark.createDataFrame([(5000, long, None, 1)], SCHEMA))
+    assert identify(both).where("doc_id = 5000").first().lang_pred == "xx"

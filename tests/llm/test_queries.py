@@ -80,3 +80,37 @@ def test_the_rest_works_without_these_folders(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; n = e.queries(); assert 'a1_block_count' in n and not any(k.startswith('op') for k in n)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+CLASHES = ["node", "label", "key", "kept", "score", "id", "row", "unit", "_kept", "_node", "_text", "_verdict", "lang_pred",
+           "piece", "component_id", "n_replaced"]
+
+
+def test_pipeline_takes_odd_rows(spark, edge_docs):
+    """Shared and missing doc_ids, repeated rows, null texts, and columns that the operators use themselves."""
+    from pyspark.sql import functions as F
+
+    docs = edge_docs.drop(*[c for c in edge_docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")])
+    docs = docs.unionByName(table(spark, SF, "documents").limit(60).withColumn("doc_id", F.col("doc_id") + 100))
+    docs = docs.withColumns({c: F.lit("x") for c in CLASHES})
+    before = docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = stored(stage(spark, before, SF), name)
+        if name == "packing":
+            break
+        assert after.columns == docs.columns and all(r == "x" for r in after.select("_node").distinct().toPandas()["_node"])
+        if name == "near_duplicates":
+            # A document that stays keeps each of its texts once; rows without a doc_id stay.
+            rows = before.where("doc_id IS NOT NULL").join(after.select("doc_id").distinct(), "doc_id", "left_semi")
+            assert sorted(map(str, after.where("doc_id IS NOT NULL").select("doc_id", "text").collect())) == sorted(
+                map(str, rows.select("doc_id", "text").distinct().collect()))
+            assert after.where("doc_id IS NULL").count() == before.where("doc_id IS NULL").count()
+        before = after
+    assert after.where("piece = 0").count() == before.count() > 40
+
+
+def test_pipeline_takes_an_empty_table(spark, no_docs):
+    docs = no_docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF), name)
+        assert docs.count() == 0
