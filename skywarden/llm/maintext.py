@@ -22,11 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skywarden.llm.workers import tidy
-
 # Lines of a window, characters that a stretch needs in some window, and lines without text that end a stretch.
 WINDOW, SURGE = 3, 80
-# Rows of one batch are taken up to so many bytes of html in one go.
+# Pages that are worked on together.
 BATCH_ROWS = 256
 
 # Elements by what they mean for the lines of a page (fixed values: names of HTML).
@@ -253,5 +251,5 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     read = pages.select("page_id", "url", "html")
     types = dict(read.dtypes)
-    out = read.mapInArrow(tidy(run), f"page_id {types['page_id']}, url {types['url']}, text string")
+    out = read.mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
