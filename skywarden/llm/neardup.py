@@ -4,7 +4,7 @@ A document is the set of its 5-word shingles. ``SLOTS`` minima of that set, ``BI
 documents with Jaccard similarity J differ in about ``(1 - J) * SLOTS`` slots. Signatures are cut into chunks of
 ``CHUNK`` slots. By the pigeonhole principle two signatures that differ in at most ``MAX_DISTANCE = 2 * chunks - 1``
 slots have a chunk with at most one error, so indexing every chunk with each of its slots left out in turn meets every
-such pair. At J = 0.75 the chance of more errors than that is below 1 in 900,000 for a pair, and falls steeply above.
+such pair. At J = 0.75 the chance of more errors than that is 1 in 762,000 for a pair, and falls steeply above.
 What the index finds is confirmed on the full shingle sets.
 
 Sizes: equal sets are one node throughout. Within an index bucket each node first meets the smallest one only; after
