@@ -9,8 +9,10 @@ from skywarden.functions import text, times
 from skywarden.operators import monitor as mon
 from skywarden.operators import reports as rp
 from skywarden.operators.tag import search
+from skywarden.plans.etl import Site, tagged_requests
 from skywarden.session import work_dir
 from skywarden.sources import keyed, readers, writers
+from tests.test_records import SAMPLE
 
 
 def line(server="s1", active="3", n=12):
@@ -217,11 +219,26 @@ def test_rule_loading(spark):
     assert [r.expression for r in readers.load_classify_rules(classify)] == ["a", "b"]
 
 
-def test_too_many_rules(spark, monkeypatch):
+def test_many_rules_stay_a_table(spark, monkeypatch):
+    """Beyond the bound classify rules come as the table that is joined; a site takes either form. Rules that have to be
+    compiled are refused."""
     monkeypatch.setattr(readers, "RULE_ROWS", 1)
-    table = spark.createDataFrame([(0, 0, "a"), (0, 1, "b")], "flight_type int, operation_type int, expression string")
+    table = spark.createDataFrame([(0, 0, "^.*/query/.*$"), (0, 1, "^.*/new/.*$")],
+                                  "flight_type int, operation_type int, expression string")
+    many = readers.load_classify_rules(table)
+    assert sorted(map(tuple, many.collect())) == [(0, 0, "^.*/query/.*$", 0), (0, 1, "^.*/new/.*$", 1)]
+    monkeypatch.setattr(readers, "RULE_ROWS", 2)
+    few = readers.load_classify_rules(table)
+    assert [r.expression for r in few] == ["^.*/query/.*$", "^.*/new/.*$"]
+    lines = spark.createDataFrame([(SAMPLE,), (SAMPLE.replace("query", "new"),)], "value string")
+    tagged = [sorted(tagged_requests(lines, Site(classify=c)).select("request", "flight_type", "behavior_type").collect())
+              for c in (many, few)]
+    assert tagged[0] == tagged[1] and {r.behavior_type for r in tagged[0]} >= {"Query"}
+    monkeypatch.setattr(readers, "RULE_ROWS", 0)
+    flows = spark.createDataFrame([("f", "n", 1.0, 1, "ip", 0, 1.0, 0.0, 5)], "flow_id string, flow_name string, flow_limit "
+                                  "double, id int, name string, status int, arg0 double, arg1 double, score int")
     with pytest.raises(ValueError):
-        readers.load_classify_rules(table)
+        readers.load_flows(flows)
 
 
 def test_host_status(spark):
