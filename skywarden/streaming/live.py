@@ -7,6 +7,7 @@ state itself, without touching the running query.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -20,6 +21,9 @@ from skywarden.streaming.jobs import BATCH_INTERVAL, start
 
 _STATE = "value string, expire_ms long, written_ms long"
 _OUT = "key string, value string, expire_ms long, written_ms long, event string"
+# Timers stand beside the entries, which only this provider can store.
+_PROVIDER = ("spark.sql.streaming.stateStore.providerClass",
+             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 class NewestEntry(StatefulProcessor):
@@ -70,10 +74,24 @@ def live_changes(entries: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return rows.groupBy("key").transformWithState(NewestEntry(), _OUT, "Append", "EventTime")
 
 
+@contextmanager
+def _state_provider(spark: SparkSession) -> Iterator[None]:
+    """Queries started meanwhile keep their state with ``_PROVIDER``, whatever the session says; a query takes its settings
+    over when it starts, and its checkpoint and readers of its state go on with them."""
+    key, provider = _PROVIDER
+    before = spark.conf.get(key)
+    spark.conf.set(key, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_live_view(entries: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
                   interval: str | None = BATCH_INTERVAL, delay: str = "10 minutes") -> StreamingQuery:
     """Keep the live blacklist as state; ``each`` gets the changes of every batch."""
-    return start(live_changes(entries, delay), each, checkpoint, interval)
+    with _state_provider(entries.sparkSession):
+        return start(live_changes(entries, delay), each, checkpoint, interval)
 
 
 def live_entries(spark: SparkSession, checkpoint: str, now: str, batch_id: int | None = None) -> DataFrame:

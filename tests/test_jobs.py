@@ -161,6 +161,21 @@ def test_live_state_follows_entries_and_drops_them(spark):
     assert listed("2024-01-01 00:00:00") == {("c", "1")}
 
 
+def test_live_state_in_a_session_with_the_default_state_provider(spark):
+    out, key = work_dir(spark, "default-state"), "spark.sql.streaming.stateStore.providerClass"
+    root, view, before = f"{out}/live", f"{out}/view", spark.conf.get(key)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, default)
+    try:
+        for batch, written in enumerate(("00:00", "00:01")):
+            keyed.put(entry_rows(spark, [(f"k{batch}", "v", "2024-01-01 00:03:00", f"2024-01-01 {written}:00")]), root, batch)
+            finish(live.run_live_view(live.entry_stream(spark, root), lambda rows, _: rows.collect(), view, interval=None))
+            assert spark.conf.get(key) == default
+        assert {r.key for r in live.live_entries(spark, view, "2024-01-01 00:02:00").collect()} == {"k0", "k1"}
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_a_repeated_batch_uses_the_rules_it_had(spark):
     out = work_dir(spark, "versions")
     tables = VersionedTables(spark, f"{out}/tables", keep=3)
