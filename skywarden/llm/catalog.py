@@ -146,7 +146,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, how many, and the digest of what they decode to."""
-    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    decoded = pieces.encode(table(spark, sf_dir, "documents"), back=True)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
                           F.sha2("text", 256).alias("decoded_sha256"))
 

@@ -1,12 +1,13 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts fall into units: a run of blanks (written as U+2581) with the characters up to the next one; no piece of the
-vocabulary goes across. Each distinct unit of the whole table is exploded once to its substrings of up to the longest
-piece's length, these are equi-joined to the piece table (its size is fixed by the model and checked), and the edges
-that are left are grouped by unit. A fold over the edges (``aggregate``) finds the segmentation: for a vocabulary of the
-BPE kind the best-scored edge that covers exactly two symbols is applied as long as there is one; for one of the unigram
-kind the state is the best score and way to each position. The folds work on units of at most ``LONGEST`` characters;
-longer ones are merged from a heap, to the same result. Characters without a piece become their bytes' pieces.
+Blanks are written as U+2581. A text is cut between any two characters that stand side by side in no piece of the
+vocabulary: no merge goes across such a place, so every unit between two cuts is segmented by itself, once for the whole
+table. Each distinct unit is exploded to its substrings of up to the longest piece's length, these are equi-joined to
+the piece table (its size is fixed by the model and checked), and the edges that are left are grouped by unit. A fold
+over the edges (``aggregate``) finds the segmentation: for a vocabulary of the BPE kind the best-scored edge that covers
+exactly two symbols is applied as long as there is one; for one of the unigram kind the state is the best score and way
+to each position. The folds work on units of at most ``LONGEST`` characters; longer ones are merged from a heap, to the
+same result. Characters without a piece become their bytes' pieces.
 
 The ids of the ``FREQUENT`` most frequent units go to every task, which encodes its texts with them; the units that are
 left over are few in a text and get their ids in a join, by text and place.
@@ -15,12 +16,12 @@ left over are few in a text and get their ids in a join, by text and place.
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +31,14 @@ from skywarden.llm.workers import tidy
 
 MARK = "▁"
 LONGEST = 60
-# Units whose ids are sent to every task: at most 61 characters and as many ids each.
-FREQUENT = 400_000
-# Texts that are encoded together, and odd units that a task remembers.
-ROWS, REMEMBERED = 512, 100_000
+# Units whose ids are sent to every task: at most 60 characters and as many ids each.
+FREQUENT = 800_000
+# Bytes of texts that are cut together, and distinct units that a task counts before it hands them on.
+SLICE_BYTES, COUNTED = 1 << 22, 500_000
+# Texts that are cut, and filled in or decoded, together.
+TOGETHER, ROWS = 32, 128
+# Frequent units that are looked up together.
+LOOKED_UP = 250_000
 # Rows of a piece table that may be sent to every executor.
 TABLE_ROWS = 1_000_000
 
@@ -57,23 +62,18 @@ def table_of(model_path: str | None = None) -> list[tuple[str, int, float]]:
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
 
 
-def units_of(text: Column) -> Column:
-    """Units of a text; an empty or null one has none."""
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(f"({MARK}+[^{MARK}]*)"), 1)).otherwise(
-        F.array().cast("array<string>"))
-
-
-def _edges(units: DataFrame, keys: list[str], pieces: DataFrame, longest: int) -> DataFrame:
-    """``keys, unit, edges``: the substrings of each unit that are pieces, best score first, then leftmost."""
+def _edges(units: DataFrame, keys: list[str], pieces: DataFrame, longest: int, edge: Column) -> DataFrame:
+    """``keys, unit, edges``: the substrings of each unit that are pieces, as sorted structs ``edge`` of ``start``,
+    ``length`` and the columns of ``pieces``."""
     size = F.char_length("unit")
     starts = units.select(*keys, "unit", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
     spans = starts.select(*keys, "unit", "start", F.explode(F.sequence(F.lit(1), F.least(
         F.lit(longest), size - F.col("start")))).alias("length")).withColumn(
         "piece", F.substring("unit", F.col("start") + 1, F.col("length")))
-    met = spans.join(F.broadcast(pieces), "piece").select(
-        *keys, "unit", F.struct((-F.col("score")).alias("cost"), "start", (F.col("start") + F.col("length")).alias("end")
-                                ).alias("edge"))
+    # Joined by a number, as lookups of strings take most of the time; each prefix test holds for equal strings alone.
+    known = pieces.withColumnRenamed("piece", "known").withColumn("number", F.xxhash64("known"))
+    met = spans.withColumn("number", F.xxhash64("piece")).join(F.broadcast(known), "number").where(
+        F.startswith("piece", "known") & F.startswith("known", "piece")).select(*keys, "unit", edge.alias("edge"))
     return met.groupBy(*keys, "unit").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
@@ -81,20 +81,42 @@ def _bit(at: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
+def merge_edge() -> Column:
+    """Edge of a merge, the best score first, then leftmost: its ends and the places between them as bits."""
+    low, high = _bit(F.col("start")), _bit(F.col("start") + F.col("length"))
+    return F.struct((F.col("rank") * 64 + F.col("start")).alias("place"), low.bitwiseOR(high).alias("ends"),
+                    (high - low * 2).alias("inner"), "risky")
+
+
+def _applies(edge: Column, mask: Column) -> Column:
+    """Whether an edge covers exactly two symbols."""
+    return (mask.bitwiseAND(edge["ends"]) == edge["ends"]) & (F.bit_count(mask.bitwiseAND(edge["inner"])) == 1)
+
+
 def merged(edges: Column, size: Column) -> Column:
-    """Starts of the symbols after all merges, as bits (bit ``size`` is set as well)."""
-    def applies(edge: Column, mask: Column) -> Column:
-        inner = (_bit(edge["end"]) - _bit(edge["start"] + 1)).bitwiseAND(mask)
-        ends = _bit(edge["start"]).bitwiseOR(_bit(edge["end"]))
-        return (mask.bitwiseAND(ends) == ends) & (F.bit_count(inner) == 1)
+    """Starts of the symbols after all merges, as bits (bit ``size`` is set as well).
 
+    One pass over the edges, best first, is enough unless a merge makes room for an edge that was passed already. Only a
+    ``risky`` piece can: one that is half of a piece of a better score. Where that happens, ``merged_in_turns`` decides.
+    """
+    late = _bit(F.lit(62))
+
+    def step(mask: Column, edge: Column) -> Column:
+        new = mask.bitwiseXOR(mask.bitwiseAND(edge["inner"]))
+        passed = edge["risky"] & F.exists(edges, lambda e: (e["place"] < edge["place"]) & _applies(e, new))
+        return F.when(_applies(edge, mask), F.when(passed, new.bitwiseOR(late)).otherwise(new)).otherwise(mask)
+
+    once = F.aggregate(edges, _bit(size + 1) - 1, step, lambda mask: F.when(mask < late, mask))
+    return F.coalesce(once, merged_in_turns(edges, size))
+
+
+def merged_in_turns(edges: Column, size: Column) -> Column:
+    """The same for any order of scores: in every turn the best edge that covers two symbols."""
     def step(mask: Column, _: Column) -> Column:
-        best = F.get(F.filter(edges, lambda e: applies(e, mask)), 0)
-        inner = (_bit(best["end"]) - _bit(best["start"] + 1)).bitwiseAND(mask)
-        return F.when(best.isNull(), mask).otherwise(mask.bitwiseXOR(inner))
+        best = F.get(F.filter(edges, lambda e: _applies(e, mask)), 0)
+        return F.when(best.isNull(), mask).otherwise(mask.bitwiseXOR(mask.bitwiseAND(best["inner"])))
 
-    every = _bit(size + 1) - 1
-    return F.aggregate(F.sequence(F.lit(1), F.least(F.size(edges), size)), every, step)
+    return F.aggregate(F.sequence(F.lit(1), F.least(F.size(edges), size)), _bit(size + 1) - 1, step)
 
 
 def best_path(edges: Column, size: Column, unknown: float) -> Column:
@@ -128,6 +150,36 @@ class Ids:
         self.texts = [bytes([self.bytes.index(i)]) if model.is_byte(i) else
                       b"" if model.is_control(i) else model.id_to_piece(i).replace(MARK, " ").encode()
                       for i in range(model.get_piece_size())]
+        # Characters that stand in pieces of two or more, numbered from 1, and which of them stand side by side.
+        letters = sorted({c for p in self.ids if len(p) > 1 for c in p})
+        number = {c: i for i, c in enumerate(letters, 1)}
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.beside = np.zeros((len(letters) + 1, len(letters) + 1), bool)
+        for p in self.ids:
+            for a, b in zip(p, p[1:]):
+                self.beside[number[a], number[b]] = True
+        self.raw = pa.array(self.texts, pa.large_binary())
+        self.names = pa.array(list(self.ids), pa.large_string())
+        self.numbers = np.array(list(self.ids.values()), np.int32)
+
+    def units(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Units of some texts, in order, and the number of each text's first one (and of the one past the last)."""
+        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts.to_pylist()]
+        # A few texts at a time, so that the arrays stay small.
+        parts, counts = [], []
+        for a in range(0, len(marked), TOGETHER):
+            line = "".join(marked[a:a + TOGETHER])
+            letter = self.letter[np.frombuffer(line.encode("utf-32-le"), np.uint32)]
+            starts = np.concatenate([[0], np.cumsum([len(t) for t in marked[a:a + TOGETHER]])])
+            cut = np.ones(len(letter) + 1, bool)
+            cut[1:-1] = ~self.beside[letter[:-1], letter[1:]]
+            cut[starts] = True
+            at = np.flatnonzero(cut) if len(letter) else np.zeros(1, np.int64)
+            parts.append(self._strings(line, at))
+            counts.append(np.diff(np.searchsorted(at, starts)))
+        units = pa.concat_arrays(parts) if parts else pa.array([], pa.large_string())
+        return units, np.concatenate([[0], np.cumsum(np.concatenate([[0], *counts])[1:])]).astype(np.int64)
 
     def of(self, symbols: list[str]) -> list[int]:
         out: list[int] = []
@@ -139,9 +191,37 @@ class Ids:
                 out += [self.bytes[b] for b in s.encode()]
         return out
 
-    def split(self, unit: str, mask: int) -> list[int]:
-        cuts = [i for i in range(len(unit) + 1) if mask >> i & 1]
-        return self.of([unit[a:b] for a, b in zip(cuts, cuts[1:])])
+    def split(self, units: pa.Array, masks: np.ndarray) -> pa.ListArray:
+        """Ids of units that are cut at the bits of ``masks``."""
+        texts = units.to_pylist()
+        line = "".join(texts)
+        sizes = np.array([len(u) for u in texts], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        place = np.arange(len(line)) - np.repeat(begins, sizes)
+        at = np.append(np.flatnonzero(np.repeat(masks, sizes) >> place & 1), len(line))
+        symbols = self._strings(line, at)
+        found = pc.index_in(symbols, self.names)
+        first = np.searchsorted(at, np.append(begins, len(line)))
+        if found.null_count:
+            lost = np.flatnonzero(np.asarray(found.is_null()))
+            spelled = [[self.bytes[b] for b in s.encode()] for s in symbols.take(pa.array(lost)).to_pylist()]
+            lengths = np.ones(len(symbols), np.int64)
+            lengths[lost] = [len(x) for x in spelled]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            out = np.repeat(self.numbers[np.asarray(found.fill_null(0))], lengths)
+            out[_spread(lengths[lost], ends[lost])] = [i for x in spelled for i in x]
+            first = ends[first]
+        else:
+            out = self.numbers[np.asarray(found)]
+        return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(out))
+
+    @staticmethod
+    def _strings(line: str, at: np.ndarray) -> pa.LargeStringArray:
+        """The parts of a string between the characters ``at``, its first and its end among them."""
+        codes = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+        width = 1 + (codes > 0x7F).astype(np.int8) + (codes > 0x7FF) + (codes > 0xFFFF)
+        offsets = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[at]
+        return pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(offsets), pa.py_buffer(line.encode()))
 
     def long(self, unit: str) -> list[int]:
         """Merges of a long unit, best score and then leftmost first, from a heap."""
@@ -169,17 +249,71 @@ class Ids:
                 offer(before[a])
         return self.of([unit[a:end[a]] for a in range(len(unit)) if alive[a]])
 
-    def text(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.texts.__getitem__, ids))
-        return raw.decode("utf-8", "replace")[1:]
-
-
 @lru_cache(maxsize=2)
 def _ids(model_path: str | None) -> Ids:
     return Ids(model_path)
 
 
-_UNIT = re.compile(f"{MARK}+[^{MARK}]*")
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``SLICE_BYTES`` of text, or one longer text."""
+    for batch in batches:
+        sizes = np.cumsum(np.array(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = sizes[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _spread(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places of runs of items one behind the other: ``starts[i]`` and the following, ``lengths[i]`` of them."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def unit_counts(texts: DataFrame, model_path: str | None = None) -> DataFrame:
+    """``unit, n``: how often the units of 2 to ``LONGEST`` characters come in ``texts`` (text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _ids(model_path)
+        held: list[pa.Table] = []
+
+        def counted() -> pa.Table:
+            whole = pa.concat_tables(held).group_by("unit").aggregate([("n", "sum")])
+            held[:] = [pa.table({"unit": whole["unit"], "n": whole["n_sum"]})]
+            return held[0]
+
+        def sorted_(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            # Neighbours that begin alike take less room in the shuffle.
+            yield from table.cast(_COUNTS).sort_by("unit").combine_chunks().to_batches(65_536)
+
+        for batch in _slices(batches):
+            found = ids.units(batch.column("text"))[0].value_counts()
+            table = pa.table({"unit": found.field("values"), "n": found.field("counts")})
+            size = pc.utf8_length(table["unit"])
+            held.append(table.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, LONGEST))))
+            if sum(t.num_rows for t in held) > COUNTED and counted().num_rows > COUNTED // 2:
+                yield from sorted_(held.pop())
+        if held:
+            yield from sorted_(counted())
+
+    return texts.select("text").mapInArrow(tidy(run), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+_COUNTS = pa.schema([("unit", pa.string()), ("n", pa.int64())])
+
+
+def _ranked(scores: dict[str, float]) -> list[tuple[str, int, bool]]:
+    """``piece, rank, risky`` of the pieces of two or more characters: rank by score, the best first; risky if another
+    piece consists of it and one more symbol and its own score is not the better one."""
+    ranks = {s: i for i, s in enumerate(sorted({s for s in scores.values()}, reverse=True))}
+    risky = set()
+    for piece, score in scores.items():
+        for m in range(1, len(piece)):
+            halves = piece[:m], piece[m:]
+            if all(len(h) == 1 or h in scores for h in halves):
+                risky.update(h for h in halves if len(h) > 1 and scores[h] <= score)
+    return [(p, ranks[s], p in risky) for p, s in scores.items() if len(p) > 1]
 
 
 def unit_ids(units: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -189,127 +323,195 @@ def unit_ids(units: DataFrame, model_path: str | None = None) -> DataFrame:
     longest = max(len(p) for p, _, _ in table)
     if len(table) > TABLE_ROWS:
         raise ValueError(f"{len(table)} pieces are too many to send to every executor")
-    pieces = spark.createDataFrame([(p, s) for p, _, s in table if len(p) > 1], "piece string, score double")
-    # Dealt by unit once: neither the explosion nor the join with the pieces moves a unit again. Counts go along, so that
-    # units without an edge come back too.
+    rows = _ranked({p: s for p, _, s in table})
+    pieces = spark.createDataFrame(pa.table(dict(zip(["piece", "rank", "risky"], map(list, zip(*rows)), strict=True))))
+    # Dealt by unit once: neither the explosion nor the join with the pieces moves a unit again.
     dealt = units.repartition("unit")
-    ways = _edges(dealt, ["n"], pieces, longest).select(
+    ways = _edges(dealt, ["n"], pieces, longest, merge_edge()).select(
         "unit", "n", merged(F.col("edges"), F.char_length("unit")).alias("mask"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(model_path)
         for batch in batches:
-            found = [ids.split(unit, mask) for unit, mask in
-                     zip(batch.column("unit").to_pylist(), batch.column("mask").to_pylist(), strict=True)]
-            yield pa.record_batch([batch.column("unit"), batch.column("n"), pa.array(found, pa.list_(pa.int32()))],
-                                  ["unit", "n", "ids"])
+            found = ids.split(batch.column("unit"), np.asarray(batch.column("mask")))
+            yield pa.record_batch([batch.column("unit"), batch.column("n"), found], ["unit", "n", "ids"])
 
     return ways.mapInArrow(tidy(run), "unit string, n long, ids array<int>")
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    """Ids in few bytes, for the way to another task."""
-    return zstandard.ZstdCompressor(level=1).compress(ids.astype(np.int32).tobytes())
+class Packing:
+    """Ids in few bytes, for the way to another task: frequent ids as small numbers, and of all numbers the first bytes, then
+    the second ones and so on."""
+
+    def __init__(self, counts: np.ndarray):
+        self.by_rank = np.argsort(-counts, kind="stable").astype(np.int32)
+        self.kind = np.uint16 if len(counts) <= 1 << 16 else np.uint32
+        self.rank = np.empty(len(counts), self.kind)
+        self.rank[self.by_rank] = np.arange(len(counts))
+
+    def pack(self, ids: np.ndarray) -> bytes:
+        ranks = self.rank[ids]
+        return zstandard.ZstdCompressor(level=1).compress(
+            ranks.view(np.uint8).reshape(len(ids), ranks.itemsize).T.tobytes())
+
+    def unpack(self, raw: bytes) -> np.ndarray:
+        flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+        return self.by_rank[flat.reshape(self.rank.itemsize, -1).T.copy().view(self.kind)[:, 0]]
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.int32)
+def _table_bytes(units: pa.Table) -> bytes:
+    """Units and their ids in one piece."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, units.schema) as out:
+        out.write_table(units.combine_chunks(), max_chunksize=max(1, len(units)))
+    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
 
 
-def encode(docs: DataFrame, model_path: str | None = None) -> DataFrame:
+def _table_of(raw: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(raw)).read_all().combine_chunks()
+
+
+def _index_in(values: pa.Array, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value is among ``names``, and where; some names at a time, as each call builds a hash table of them."""
+    met, place = np.zeros(len(values), bool), np.zeros(len(values), np.int64)
+    for a in range(0, len(names), LOOKED_UP):
+        found = pc.index_in(values, names.slice(a, LOOKED_UP))
+        here = np.asarray(found.is_valid())
+        place[here] = np.asarray(found.drop_null()) + a
+        met |= here
+    pa.default_memory_pool().release_unused()
+    return met, place
+
+
+def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -> DataFrame:
     """``doc_id, ids`` of every row of ``docs`` (doc_id, text and any other columns), for a vocabulary of the BPE kind.
 
     Null and empty texts have no ids. Texts of any length are encoded whole. Repeated rows give repeated results, rows
-    without doc_id are encoded like any other, an empty table gives an empty result. Extra columns are not read.
+    without doc_id are encoded like any other, an empty table gives an empty result. Extra columns are not read. With
+    ``back`` the ids are decoded in the same tasks, as by ``decode`` (column ``text``): that takes fewer Python workers.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = texts.select(F.explode(units_of(F.col("text"))).alias("unit")).where(
-        F.char_length("unit").between(2, LONGEST)).groupBy("unit").agg(F.count("*").alias("n"))
-    known = stored(unit_ids(counted, model_path), "units")
-    frequent = known.orderBy(F.desc("n"), "unit").limit(FREQUENT).select("unit", "ids")
-    table = frequent.toArrow()
-    sent = spark.sparkContext.broadcast((table["unit"].to_pylist(), [np.array(x, np.int32).tobytes() for x in table["ids"].to_pylist()]))
-    del table
+    known = stored(unit_ids(unit_counts(texts, model_path), model_path), "units")
+    often = F.floor(F.log2("n") * 16)
+    # At most 1,024 rows: how many units come about so often.
+    sizes = known.groupBy(often.alias("often")).count().orderBy(F.desc("often")).collect()
+    least, room = 1024, FREQUENT
+    for size in sizes:
+        room -= size["count"]
+        if room < 0:
+            break
+        least = size["often"]
+    frequent = known.where(often >= least).select("unit", "n", "ids").toArrow()
+    lists = frequent["ids"].combine_chunks()
+    packing = Packing(np.bincount(np.asarray(pc.list_flatten(lists)), np.repeat(
+        np.asarray(frequent["n"]), np.asarray(pc.list_value_length(lists))), len(_ids(model_path).texts)))
+    sent = spark.sparkContext.broadcast((_table_bytes(frequent.select(["unit", "ids"])), packing))
+    del frequent, lists
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _ids(model_path)
-        get = dict(zip(*sent.value, strict=True)).get
-        here: dict[str, bytes] = {}
-
-        def of(unit: str) -> bytes | None:
+        ids, (raw, packing) = _ids(model_path), sent.value
+        table = _table_of(raw)
+        names, lists = (table[c].chunk(0) if len(table) else pa.array([], table.schema.field(c).type) for c in ("unit", "ids"))
+        first, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+        for batch in _slices(batches):
+            units, begins = ids.units(batch.column("text"))
+            units = units.cast(names.type).dictionary_encode()
+            distinct, code = units.dictionary, np.asarray(units.indices)
+            met, place = _index_in(distinct, names)
             # Single characters and long units are not among the ways; units without an edge are not, either, but they
             # come back from the join empty-handed, and are spelled out there.
-            found = here.get(unit)
-            if found is None and (len(unit) == 1 or len(unit) > LONGEST):
-                found = np.array(ids.of(list(unit)) if len(unit) == 1 else ids.long(unit), np.int32).tobytes()
-                if len(here) < REMEMBERED:
-                    here[unit] = found
-            return found
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
-                packed, left = [], []
-                for text in part["text"]:
-                    value, out, rest, size = text.as_py(), [], [], 0
-                    if value:
-                        for unit in _UNIT.findall(MARK + value.replace(" ", MARK)):
-                            found = get(unit) or of(unit)
-                            if found is None:
-                                rest.append((size, unit))
-                            else:
-                                out.append(found)
-                                size += len(found) >> 2
-                    packed.append(_packed(np.frombuffer(b"".join(out), np.int32)))
-                    left.append(rest)
-                sizes = np.array([len(x) for x in left], np.int64)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                places = pa.StructArray.from_arrays(
-                    [pa.array(np.array([p for rest in left for p, _ in rest], np.int32)),
-                     pa.array([u for rest in left for _, u in rest], pa.string())], ["place", "unit"])
-                yield pa.record_batch([part.column("row"), part.column("doc_id"), pa.array(packed, pa.binary()),
-                                       pa.ListArray.from_arrays(offsets, places)], ["row", "doc_id", "packed", "left"])
+            length = np.asarray(pc.utf8_length(distinct))
+            here = np.flatnonzero(~met & ((length == 1) | (length > LONGEST)))
+            spelled = [ids.of([u]) if len(u) == 1 else ids.long(u) for u in distinct.take(pa.array(here)).to_pylist()]
+            size = np.where(met, first[np.minimum(place + 1, len(first) - 1)] - first[place], 0).astype(np.int64)
+            size[here] = [len(x) for x in spelled]
+            start = np.cumsum(size) - size
+            values = np.empty(size.sum(), np.int32)
+            values[_spread(size[met], start[met])] = flat[_spread(size[met], first[place[met]])]
+            values[_spread(size[here], start[here])] = [i for x in spelled for i in x]
+            open_ = ~met
+            open_[here] = False
+            behind = np.concatenate([[0], np.cumsum(size[code])])
+            bounds = behind[begins]
+            packed = []
+            for a in range(0, batch.num_rows, TOGETHER):
+                b = min(a + TOGETHER, batch.num_rows)
+                some = code[begins[a]:begins[b]]
+                out = values[_spread(size[some], start[some])]
+                packed += [packing.pack(out[x:y]) for x, y in zip(bounds[a:b] - bounds[a], bounds[a + 1:b + 1] - bounds[a])]
+            rest = np.flatnonzero(open_[code])
+            text = np.searchsorted(begins, rest, "right") - 1
+            left = pa.StructArray.from_arrays(
+                [pa.array((behind[rest] - bounds[text]).astype(np.int32)),
+                 distinct.take(pa.array(code[rest])).cast(pa.string())], ["place", "unit"])
+            offsets = np.searchsorted(rest, begins).astype(np.int32)
+            yield pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array(packed, pa.binary()),
+                                   pa.ListArray.from_arrays(pa.array(offsets), left)], ["row", "doc_id", "packed", "left"])
 
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    half = stored(numbered.mapInArrow(
-        tidy(run), "row long, doc_id long, packed binary, left array<struct<place:int,unit:string>>"), "half-encoded")
-    # The rest of a text's units: its number in the text keeps the order of those at one place.
-    rest = half.select("row", F.posexplode("left").alias("number", "u")).select("row", "number", "u.place", "u.unit")
-    joined = rest.join(known.select("unit", "ids"), "unit", "left")
-    found = joined.groupBy("row").agg(F.collect_list(F.struct("number", "place", "unit", "ids")).alias("found"))
-    whole = half.select("row", "doc_id", "packed").join(found, "row", "left")
+    # Moved once: both uses below take all columns, so that they share the exchange.
+    half = numbered.mapInArrow(
+        tidy(run), "row long, doc_id long, packed binary, left array<struct<place:int,unit:string>>").repartition("row")
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = batch.column("left")
+            sizes = np.asarray(pc.list_value_length(left), np.int64)
+            units = pc.list_flatten(left)
+            # A unit's number in its text keeps the order of those at one place.
+            yield pa.record_batch([
+                pa.array(np.repeat(np.asarray(batch.column("row")), sizes)),
+                pa.array(_spread(sizes, np.zeros(len(sizes), np.int64)).astype(np.int32)),
+                units.field("place"), units.field("unit")], ["row", "number", "place", "unit"])
+
+    rest = half.mapInArrow(unfold, "row long, number int, place int, unit string")
+    joined = rest.join(known.where(often < least).select("unit", "ids"), "unit", "left")
+    found = joined.groupBy("row").agg(F.collect_list(F.struct(
+        "number", "place", "ids", F.when(F.col("ids").isNull(), F.col("unit")).alias("unit"))).alias("found"))
+    whole = half.join(found, "row", "left")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(model_path)
+        packing = sent.value[1]
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                out, offsets, size = [], [0], 0
-                for packed, more in zip(part["packed"], part["found"], strict=True):
-                    flat = _unpacked(packed.as_py())
-                    if more.is_valid:
-                        units = sorted((u["number"], u["place"], u["ids"] if u["ids"] is not None else ids.of(list(u["unit"])))
-                                       for u in more.as_py())
-                        at = np.repeat([u[1] for u in units], [len(u[2]) for u in units])
-                        flat = np.insert(flat, at, [i for u in units for i in u[2]])
-                    out.append(flat)
-                    size += len(flat)
-                    offsets.append(size)
-                values = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32))
-                yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
+                out = [packing.unpack(x.as_py()) for x in part["packed"]]
+                found = part["found"]
+                for i in np.flatnonzero(np.asarray(found.is_valid())):
+                    units = sorted((u["number"], u["place"], u["ids"] if u["ids"] is not None else ids.of(list(u["unit"])))
+                                   for u in found[int(i)].as_py())
+                    at = np.repeat([u[1] for u in units], [len(u[2]) for u in units])
+                    out[i] = np.insert(out[i], at, [x for u in units for x in u[2]])
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+                values = pa.array(np.concatenate(out))
+                yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)],
                                       ["doc_id", "ids"])
 
-    return whole.select("doc_id", "packed", "found").mapInArrow(tidy(fill), "doc_id long, ids array<int>")
+    if back:
+        return whole.mapInArrow(tidy(lambda batches: _decoded(fill(batches), model_path)),
+                                "doc_id long, ids array<int>, text string")
+    return whole.mapInArrow(tidy(fill), "doc_id long, ids array<int>")
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], model_path: str | None) -> Iterator[pa.RecordBatch]:
+    raw = _ids(model_path).raw
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            part = batch.slice(start, ROWS)
+            lists = part.column("ids")
+            values = pc.list_flatten(lists)
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+            _, offsets, data = raw.take(values).buffers()
+            data = data.to_pybytes() if data is not None else b""
+            places = np.frombuffer(offsets, np.int64)[np.concatenate([[0], ends])] if len(values) else (
+                np.zeros(part.num_rows + 1, np.int64))
+            texts = [data[a:b].decode("utf-8", "replace")[1:] for a, b in zip(places, places[1:])]
+            yield pa.record_batch([part.column("doc_id"), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
 
 def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
     """``doc_id, ids, text`` of rows of ids; bytes that are no UTF-8 become replacement characters."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _ids(model_path)
-        for batch in batches:
-            texts = [ids.text(x or []) for x in batch.column("ids").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
-                                  ["doc_id", "ids", "text"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, ids array<int>, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(
+        tidy(lambda batches: _decoded(batches, model_path)), "doc_id long, ids array<int>, text string")

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from skywarden.llm import pieces
-from skywarden.llm.pieces import best_path, decode, encode, load
+from skywarden.llm.pieces import best_path, decode, encode, load, merged, merged_in_turns, unit_counts, unit_ids
 
 
 def test_edge_rows_against_the_library(edge_docs, no_docs):
@@ -15,7 +16,42 @@ def test_edge_rows_against_the_library(edge_docs, no_docs):
     rows = decode(encode(edge_docs)).collect()
     assert sorted((str(r.doc_id), r.ids) for r in rows) == want
     assert sorted((str(r.doc_id), r.text) for r in rows) == sorted((str(d), t or "") for d, t in texts)
-    assert encode(no_docs).count() == 0
+    assert encode(no_docs).count() == 0 and encode(no_docs, back=True).count() == 0
+    assert sorted((str(r.doc_id), r.ids, r.text) for r in encode(edge_docs, back=True).collect()) == sorted(
+        (str(r.doc_id), r.ids, r.text) for r in rows)
+
+
+def test_distinct_units_are_few(spark):
+    """What follows a word is no part of its unit unless some piece goes across."""
+    words, ends = ["inspector", "lantern", "gather"], [",", ".", "$", ")", "!?", "\n", "###"]
+    docs = spark.createDataFrame([(" ".join(w + e for w in words for e in ends),)], "text string")
+    assert unit_counts(docs).count() < 15
+    rows = unit_ids(unit_counts(docs)).collect()
+    assert {r.n for r in rows if "inspector" in r.unit} == {len(ends)}
+
+
+def test_one_pass_over_the_merges_equals_merging_in_turns(spark):
+    """With scores in random order many merges make room for edges that were passed already."""
+    rng = random.Random(4)
+    names = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(2, 4))) for _ in range(60)})
+    scores = {c: 0.0 for c in "abc"} | {p: -float(i) for i, p in enumerate(rng.sample(names, len(names)), 1)}
+    table = spark.createDataFrame(pieces._ranked(scores), "piece string, rank long, risky boolean")
+    units = spark.createDataFrame([("".join(rng.choice("abc") for _ in range(rng.randint(2, 60))),) for _ in range(300)], "unit string")
+    rows = pieces._edges(units.distinct(), [], table, 4, pieces.merge_edge())
+    size = F.char_length("unit")
+
+    def plain(unit):
+        parts = list(unit)
+        while True:
+            best = max(((scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in scores), default=None)
+            if best is None:
+                return parts
+            i = -best[1]
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+    for unit, once, turns in rows.select("unit", merged(F.col("edges"), size), merged_in_turns(F.col("edges"), size)).collect():
+        cuts = [i for i in range(len(unit) + 1) if once >> i & 1]
+        assert once == turns and [unit[a:b] for a, b in zip(cuts, cuts[1:])] == plain(unit)
 
 
 @pytest.mark.parametrize("frequent", [0, 3, 10 ** 6])
