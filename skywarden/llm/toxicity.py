@@ -43,7 +43,7 @@ MIN_ODDS = 3.0
 ALIKE = 0.5
 # Words of clean texts that the machine sees at most, about.
 NEGATIVES = 8_000
-_MEMORY, _CHUNK = 150_000, 30_000
+_MEMORY, _CHUNK = 500_000, 100_000
 
 _OTHER = regex.compile(r"[^\p{L}]+")
 _SYMBOLS = 32
@@ -365,6 +365,7 @@ class Scorer:
         self.places: dict[str, int] = {}
         self.values = np.zeros((room, 2))
         self.short = np.zeros(room, bool)
+        self.single = np.zeros(room, bool)
         self.letter: list[str] = []  # the word if it is a single letter, else nothing
 
     def _learn(self, tokens: set[str]) -> None:
@@ -379,6 +380,7 @@ class Scorer:
             if words:
                 self.values[base:base + len(words)] = self.model.words(words)
                 self.short[base:base + len(words)] = [len(w) < 2 for w in words]
+                self.single[base:base + len(words)] = [len(w) == 1 for w in words]
                 self.letter += [w if len(w) == 1 else "" for w in words]
                 self.places.update(zip(words, range(base, base + len(words)), strict=True))
             self.memory.update(zip(new, map(self.places.__getitem__, plains), strict=True))
@@ -397,10 +399,12 @@ class Scorer:
             get = self.memory.__getitem__
             for i, tokens in enumerate(group, at - len(group)):
                 if tokens:
-                    places = np.array(list(map(get, tokens)))
+                    places = np.fromiter(map(get, tokens), np.int64, len(tokens))
                     distinct = np.unique(places)
                     values = self.values[distinct[~self.short[distinct]]]
-                    if self.short[places].sum() > 2:
+                    single = self.single[places]
+                    # Only three letters in a row spell a word.
+                    if (single[:-2] & single[1:-1] & single[2:]).any():
                         values = np.concatenate([values, self._spelled(places)])
                     out[i] = self.model.text(values)
         return out
