@@ -16,9 +16,14 @@ def test_edge_rows_against_the_library(edge_docs, no_docs):
     rows = decode(encode(edge_docs)).collect()
     assert sorted((str(r.doc_id), r.ids) for r in rows) == want
     assert sorted((str(r.doc_id), r.text) for r in rows) == sorted((str(d), t or "") for d, t in texts)
-    assert encode(no_docs).count() == 0 and encode(no_docs, back=True).count() == 0
+    assert encode(no_docs).count() == 0
+
+
+def test_decoding_in_the_same_tasks(edge_docs, no_docs):
+    rows = decode(encode(edge_docs)).collect()
     assert sorted((str(r.doc_id), r.ids, r.text) for r in encode(edge_docs, back=True).collect()) == sorted(
         (str(r.doc_id), r.ids, r.text) for r in rows)
+    assert encode(no_docs, back=True).count() == 0
 
 
 def test_distinct_units_are_few(spark):
