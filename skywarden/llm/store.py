@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywarden.session import work_dir
 
+# Numbers that a filter of hashes tells apart; its bitmap has 8 MB, whatever the number of hashes.
+FILTER_BITS = 26
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows below ``spark.checkpoint.dir`` and read them back: lineage ends here, and nothing runs twice."""
@@ -27,6 +30,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spot(hash_: Column) -> Column:
+    return F.pmod(hash_, F.lit(1 << FILTER_BITS)) + 1
+
+
+def hash_filter(hashes: DataFrame) -> DataFrame:
+    """``part, bits``: a stored bitmap of the numbers that the hashes (the one column, long, not null) fall on."""
+    spot = _spot(F.col(hashes.columns[0]))
+    dealt = hashes.select(F.bitmap_bucket_number(spot).alias("part"), F.bitmap_bit_position(spot).alias("at"))
+    # Dealt first, so that bits travel, not the bitmaps of every task.
+    return stored(dealt.repartition("part").groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits")), "filter")
+
+
+def possible(rows: DataFrame, hash_: str, known: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with the boolean column ``flag``: false where the long column ``hash_`` is certainly none of those in
+    ``known`` (a ``hash_filter``), so that such rows need not be moved to a join with them. Others may be true as well."""
+    part, bits = free_name(rows, "_part"), free_name(rows, "_bits")
+    at = F.bitmap_bit_position(_spot(F.col(hash_)))
+    byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return rows.withColumn(part, F.bitmap_bucket_number(_spot(F.col(hash_)))).join(
+        F.broadcast(known.select(F.col("part").alias(part), F.col("bits").alias(bits))), part, "left").withColumn(
+        flag, F.coalesce(F.bit_get(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop(part, bits)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest node reachable from every node of ``links`` (a, b), as ``node, label``; nodes without links are left out.
 

@@ -7,8 +7,9 @@ the extension that lies within it is repeated. Last come the whole windows of wh
 35-word window: 9, 18, 35 words.
 
 Texts with the same bytes are one text with a number of copies (a 64-bit hash names it), so a large group of exact
-copies costs one text. Occurrence counts combine on the map side and are stored; positions meet them in a semi-join that
-adaptive execution can split. Hashes have 64 bits: two different windows are taken for equal with a chance of about 5e-20 a pair.
+copies costs one text. Only texts that may hold such a piece are moved, as told by a bitmap of 8 MB over their hashes; the
+others stay where they are. Occurrence counts combine on the map side and are stored; positions meet them in a semi-join
+that adaptive execution can split. Hashes have 64 bits: two different windows are taken for equal with a chance of about 5e-20 a pair.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skywarden.llm.store import free_name, stored
+from skywarden.llm.store import free_name, hash_filter, possible, stored
 from skywarden.llm.words import Words, word_slices
 from skywarden.llm.workers import tidy
 
@@ -121,8 +122,9 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(tidy(run), "node long, text string, copies long, windows array<long>, starts array<int>")
 
 
-def changed_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``node, n_removed, kept_text`` of the texts that lose words; ``node`` is ``xxhash64(coalesce(text, ''))``."""
+def changed_texts(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """``node, n_removed, kept_text`` of the texts that lose words, and a filter (``store.possible``) that tells most other
+    texts from them; ``node`` is ``xxhash64(coalesce(text, ''))``."""
     if window < 4:
         raise ValueError("a window needs at least 4 words")
     pieces = _pieces(docs, window)
@@ -133,9 +135,10 @@ def changed_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.struct(F.lit(2).alias("kind"), F.col("left").alias("double")))).alias("s")).select("node", "at", "s.*").where(
         "double IS NOT NULL")
     two = sides.join(_repeated(sides, ["kind", "double"]), ["kind", "double"], "left_semi").distinct()
-    spots = (two.groupBy("node", "at").agg(F.sum("kind").cast("tinyint").alias("kind"))
-             .groupBy("node").agg(F.collect_list("at").alias("spots"), F.collect_list("kind").alias("kinds")))
-    texts = docs.select(_node().alias("node"), "text").groupBy("node").agg(
+    spots = stored(two.groupBy("node", "at").agg(F.sum("kind").cast("tinyint").alias("kind"))
+                   .groupBy("node").agg(F.collect_list("at").alias("spots"), F.collect_list("kind").alias("kinds")), "spots")
+    known = hash_filter(spots.select("node"))
+    texts = possible(docs.select(_node().alias("node"), "text"), "node", known, "met").where("met").groupBy("node").agg(
         F.first("text").alias("text"), F.count("*").alias("copies"))
     left = stored(_windows(texts.join(spots, "node"), window), "windows")
 
@@ -165,7 +168,7 @@ def changed_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Every window of a text that has copies starts elsewhere, too.
     n = _n_words(_plain("text"))
     whole = left.where("copies > 1").select("node", n.alias("n_removed"), F.lit("").alias("kept_text"))
-    return single.unionByName(whole)
+    return single.unionByName(whole), known
 
 
 def _plain(text: str) -> F.Column:
@@ -186,7 +189,7 @@ def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     count. Null and empty texts, and texts shorter than a window, lose nothing. Repeated rows count as copies of each
     other, rows without doc_id like any other. An empty table gives an empty result.
     """
-    changed = changed_texts(docs, window).select("node", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    changed = changed_texts(docs, window)[0].select("node", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
     mine = docs.select("doc_id", _node().alias("node"), _plain("text").alias("plain")).select(
         "doc_id", "node", _n_words(F.col("plain")).alias("n_words"), F.sha2("plain", 256).alias("all_sha256"))
     return mine.join(changed, "node", "left").select(
@@ -197,10 +200,12 @@ def removed_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without its repeated passages, all columns kept: texts that lose words become what is left of them,
     joined by single spaces, ``n_chars`` (if there) follows the text, and texts of which nothing is left go."""
-    node, kept = free_name(docs, "_node"), free_name(docs, "_kept")
-    rows = docs.withColumn(node, _node()).join(
-        changed_texts(docs, window).select(F.col("node").alias(node), F.col("kept_text").alias(kept)), node,
-        "left").where(F.col(kept).isNull() | (F.col(kept) != ""))
+    node, kept, met = (free_name(docs, name) for name in ("_node", "_kept", "_met"))
+    changed, known = changed_texts(docs, window)
+    marked = possible(docs.withColumn(node, _node()), node, known, met)
+    joined = marked.where(met).join(changed.select(F.col("node").alias(node), F.col("kept_text").alias(kept)), node, "left")
+    rows = joined.where(F.col(kept).isNull() | (F.col(kept) != "")).unionByName(
+        marked.where(~F.col(met)).withColumn(kept, F.lit(None).cast("string")))
     changes = {"text": F.coalesce(kept, "text")}
     if "n_chars" in docs.columns:
         changes["n_chars"] = F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(

@@ -7,7 +7,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from skywarden.llm import substring
+from pyspark.sql import functions as F
+from skywarden.llm import store, substring
 from skywarden.llm.substring import removed_words, without_repeats
 from skywarden.llm.words import word_slices
 from tests.llm.rows import WORD, words
@@ -71,3 +72,31 @@ def test_without_repeats_keeps_columns_and_the_rest(spark):
 
 def test_empty_table(no_docs):
     assert removed_words(no_docs).count() == 0 and without_repeats(no_docs).columns == no_docs.columns
+
+
+def test_only_texts_that_may_lose_words_are_moved(spark):
+    rng = random.Random(6)
+    common = words(rng, 50)
+    rows = [(i, words(rng, 120) + (" " + common if i < 3 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, known = substring.changed_texts(docs)
+    met = store.possible(docs.withColumn("_part", F.xxhash64("text")), "_part", known, "met").where("met").collect()
+    assert {0, 1, 2} <= {r.doc_id for r in met} and len(met) < 20
+
+
+def test_filter_of_hashes_loses_none_even_when_full(spark, monkeypatch):
+    monkeypatch.setattr(store, "FILTER_BITS", 2)
+    rng = random.Random(8)
+    common = words(rng, 20)
+    rows = [(i, words(rng, 30) + " " + common * (i % 3)) for i in range(40)] + [(40, None), (41, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(removed_words(docs, 12)) == brute(rows, 12)
+    assert docs.count() >= without_repeats(docs, 12).count() >= 15
+    hashes = [0, 1, -1, 32767, 32768, 2 ** 63 - 1, -2 ** 63]
+    for bits in (2, 15, 26):
+        monkeypatch.setattr(store, "FILTER_BITS", bits)
+        ids = spark.createDataFrame([(h,) for h in hashes], "hash long")
+        known = store.hash_filter(ids.where("hash NOT IN (-1, 32767)"))
+        near = {h % 2 ** bits for h in hashes if h not in (-1, 32767)}
+        assert {r.hash: r.met for r in store.possible(ids, "hash", known, "met").collect()} == {
+            h: h % 2 ** bits in near for h in hashes}
