@@ -351,7 +351,7 @@ class Packing:
 
     def pack(self, ids: np.ndarray) -> bytes:
         ranks = self.rank[ids]
-        return zstandard.ZstdCompressor(level=1).compress(
+        return zstandard.ZstdCompressor(level=6).compress(
             ranks.view(np.uint8).reshape(len(ids), ranks.itemsize).T.tobytes())
 
     def unpack(self, raw: bytes) -> np.ndarray:
@@ -359,6 +359,28 @@ class Packing:
         return self.by_rank[flat.reshape(self.rank.itemsize, -1).T.copy().view(self.kind)[:, 0]]
 
 
+def pack_units(places: np.ndarray, units: pa.StringArray, ends: np.ndarray) -> list[bytes | None]:
+    """Units that are left over in some texts, ``ends[i]:ends[i + 1]`` in text i, in few bytes a text (none: null): how many,
+    the first bytes of their places and lengths, then the second ones and so on, and the units one behind the other."""
+    if not len(units):
+        return [None] * (len(ends) - 1)
+    _, offsets, data = units.buffers()
+    at = np.frombuffer(offsets, np.int32)[units.offset:units.offset + len(units) + 1]
+    data = data.to_pybytes() if data is not None else b""
+    numbers = np.stack([places, np.diff(at)]).astype(np.uint32)
+    packer = zstandard.ZstdCompressor(level=3, write_checksum=False)
+    return [packer.compress((b - a).to_bytes(4, "little") + numbers[:, a:b].copy().view(np.uint8).reshape(-1, 4).T.tobytes()
+                            + data[at[a]:at[b]]) if b > a else None for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
+
+def unpack_units(raw: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Places, lengths and bytes of the units of one text."""
+    raw = zstandard.ZstdDecompressor().decompress(raw)
+    n = int.from_bytes(raw[:4], "little")
+    numbers = np.frombuffer(raw, np.uint8, 8 * n, 4).reshape(4, -1).T.copy().view(np.uint32)[:, 0].astype(np.int64)
+    return numbers[:n], numbers[n:], raw[4 + 8 * n:]
+
+
 def _table_bytes(units: pa.Table) -> bytes:
     """Units and their ids in one piece."""
     sink = pa.BufferOutputStream()
@@ -392,7 +414,7 @@ def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = stored(unit_ids(unit_counts(texts, model_path), model_path), "units")
+    known = stored(unit_ids(unit_counts(texts, model_path), model_path), "units", compression="zstd")
     often = F.floor(F.log2("n") * 16)
     # At most 1,024 rows: how many units come about so often.
     sizes = known.groupBy(often.alias("often")).count().orderBy(F.desc("often")).collect()
@@ -419,8 +441,8 @@ def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -
             units = units.cast(names.type).dictionary_encode()
             distinct, code = units.dictionary, np.asarray(units.indices)
             met, place = _index_in(distinct, names)
-            # Single characters and long units are not among the ways; units without an edge are not, either, but they
-            # come back from the join empty-handed, and are spelled out there.
+            # Single characters and long units are not among the ways; units without an edge are not, either: the join
+            # has no ids of them, and they are spelled out behind it.
             length = np.asarray(pc.utf8_length(distinct))
             here = np.flatnonzero(~met & ((length == 1) | (length > LONGEST)))
             spelled = [ids.of([u]) if len(u) == 1 else ids.long(u) for u in distinct.take(pa.array(here)).to_pylist()]
@@ -442,33 +464,34 @@ def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -
                 packed += [packing.pack(out[x:y]) for x, y in zip(bounds[a:b] - bounds[a], bounds[a + 1:b + 1] - bounds[a])]
             rest = np.flatnonzero(open_[code])
             text = np.searchsorted(begins, rest, "right") - 1
-            left = pa.StructArray.from_arrays(
-                [pa.array((behind[rest] - bounds[text]).astype(np.int32)),
-                 distinct.take(pa.array(code[rest])).cast(pa.string())], ["place", "unit"])
-            offsets = np.searchsorted(rest, begins).astype(np.int32)
+            left = pack_units(behind[rest] - bounds[text], distinct.take(pa.array(code[rest])).cast(pa.string()),
+                              np.searchsorted(rest, begins))
             yield pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array(packed, pa.binary()),
-                                   pa.ListArray.from_arrays(pa.array(offsets), left)], ["row", "doc_id", "packed", "left"])
+                                   pa.array(left, pa.binary())], ["row", "doc_id", "packed", "left"])
 
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     # Moved once: both uses below take all columns, so that they share the exchange.
     half = numbered.mapInArrow(
-        tidy(run), "row long, doc_id long, packed binary, left array<struct<place:int,unit:string>>").repartition("row")
+        tidy(run), "row long, doc_id long, packed binary, left binary").repartition("row")
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = batch.column("left")
-            sizes = np.asarray(pc.list_value_length(left), np.int64)
-            units = pc.list_flatten(left)
+            batch = batch.filter(batch.column("left").is_valid())
+            left = [unpack_units(x)[1:] for x in batch.column("left").to_pylist()]
+            sizes = np.array([len(lengths) for lengths, _ in left], np.int64)
+            ends = np.cumsum(np.concatenate([[0], *(lengths for lengths, _ in left)])).astype(np.int32)
             # A unit's number in its text keeps the order of those at one place.
             yield pa.record_batch([
                 pa.array(np.repeat(np.asarray(batch.column("row")), sizes)),
                 pa.array(_spread(sizes, np.zeros(len(sizes), np.int64)).astype(np.int32)),
-                units.field("place"), units.field("unit")], ["row", "number", "place", "unit"])
-
-    rest = half.mapInArrow(unfold, "row long, number int, place int, unit string")
-    joined = rest.join(known.where(often < least).select("unit", "ids"), "unit", "left")
-    found = joined.groupBy("row").agg(F.collect_list(F.struct(
-        "number", "place", "ids", F.when(F.col("ids").isNull(), F.col("unit")).alias("unit"))).alias("found"))
+                pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(b"".join(x for _, x in left)))],
+                ["row", "number", "unit"])
+
+    rest = half.mapInArrow(unfold, "row long, number int, unit string")
+    small = "smallint" if len(_ids(model_path).texts) <= 1 << 15 else "int"
+    rare = known.where(often < least).select("unit", F.col("ids").cast(f"array<{small}>").alias("ids"))
+    # Only numbers and ids go back to the texts, which still hold places and units.
+    found = rest.join(rare, "unit").groupBy("row").agg(F.collect_list(F.struct("number", "ids")).alias("found"))
     whole = half.join(found, "row", "left")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -478,12 +501,14 @@ def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 out = [packing.unpack(x.as_py()) for x in part["packed"]]
-                found = part["found"]
-                for i in np.flatnonzero(np.asarray(found.is_valid())):
-                    units = sorted((u["number"], u["place"], u["ids"] if u["ids"] is not None else ids.of(list(u["unit"])))
-                                   for u in found[int(i)].as_py())
-                    at = np.repeat([u[1] for u in units], [len(u[2]) for u in units])
-                    out[i] = np.insert(out[i], at, [x for u in units for x in u[2]])
+                left, found = part["left"], part["found"]
+                for i in np.flatnonzero(np.asarray(left.is_valid())):
+                    places, lengths, raw = unpack_units(left[int(i)].as_py())
+                    ends = np.cumsum(lengths)
+                    met = {u["number"]: u["ids"] for u in found[int(i)].as_py() or ()}
+                    new = [met[k] if k in met else ids.of(list(raw[end - size:end].decode()))
+                           for k, (size, end) in enumerate(zip(lengths.tolist(), ends.tolist()))]
+                    out[i] = np.insert(out[i], np.repeat(places, [len(x) for x in new]), [x for u in new for x in u])
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
                 values = pa.array(np.concatenate(out))
                 yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)],

@@ -11,11 +11,12 @@ from skywarden.session import work_dir
 FILTER_BITS = 26
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write the rows below ``spark.checkpoint.dir`` and read them back: lineage ends here, and nothing runs twice."""
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write the rows below ``spark.checkpoint.dir`` and read them back: lineage ends here, and nothing runs twice.
+    ``options`` are those of the writer."""
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

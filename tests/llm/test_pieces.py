@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from skywarden.llm import pieces
@@ -89,3 +91,20 @@ def test_best_path_is_the_best_of_all(spark):
         cuts = [i for i in range(len(unit) + 1) if mask >> i & 1]
         way = [unit[a:b] for a, b in zip(cuts, cuts[1:])]
         assert math.isclose(sum(table.get(w, -20.0) for w in way), max(s for s, _ in every(unit)))
+
+
+def test_left_over_units_travel_in_few_bytes_and_come_back():
+    rng = random.Random(3)
+    units = ["".join(rng.choice("abéß語\n▁😀") for _ in range(rng.randint(2, 60))) for _ in range(300)]
+    places = np.sort(np.array([rng.randrange(1 << 20) for _ in units]))
+    ends = np.array([0, 0, 1, 40, 40, 300, 300])
+    packed = pieces.pack_units(places, pa.array(["x", *units])[1:], ends)
+    assert [x is None for x in packed] == [True, False, False, True, False, True]
+    for a, b, raw in zip(ends, ends[1:], packed):
+        if raw is not None:
+            at, lengths, data = pieces.unpack_units(raw)
+            stops = np.cumsum(lengths)
+            assert at.tolist() == places[a:b].tolist()
+            assert [data[e - n:e].decode() for n, e in zip(lengths, stops)] == units[a:b]
+    assert sum(len(x) for x in packed if x) < sum(len(u.encode()) for u in units) + 8 * len(units)
+    assert pieces.pack_units(np.array([], np.int64), pa.array([], pa.string()), np.array([0, 0])) == [None]
