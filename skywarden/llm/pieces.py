@@ -9,8 +9,9 @@ exactly two symbols is applied as long as there is one; for one of the unigram k
 to each position. The folds work on units of at most ``LONGEST`` characters; longer ones are merged from a heap, to the
 same result. Characters without a piece become their bytes' pieces.
 
-The ids of the ``FREQUENT`` most frequent units go to every task, which encodes its texts with them; the units that are
-left over are few in a text and get their ids in a join, by text and place.
+The ids of the ``FREQUENT`` most frequent units go to every task, which encodes its texts with them. Texts travel from there
+``GROUP`` together, as few bytes; the units that are left over in a group are looked up in a join, each once a group, which
+sends back nothing but their numbers and cuts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,8 @@ LONGEST = 60
 FREQUENT = 800_000
 # Bytes of texts that are cut together, and distinct units that a task counts before it hands them on.
 SLICE_BYTES, COUNTED = 1 << 22, 500_000
-# Texts that are cut, and filled in or decoded, together.
-TOGETHER, ROWS = 32, 128
+# Texts that are cut together, that travel together, and that are decoded together.
+TOGETHER, GROUP, ROWS = 32, 64, 128
 # Frequent units that are looked up together.
 LOOKED_UP = 250_000
 # Rows of a piece table that may be sent to every executor.
@@ -272,6 +274,27 @@ def _spread(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _laid_out(n: int, *parts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, starts and values of ``n`` lists, out of parts of their numbers, sizes and values (the others: empty)."""
+    size = np.zeros(n, np.int64)
+    for which, sizes, _ in parts:
+        size[which] = sizes
+    start = np.cumsum(size) - size
+    values = np.empty(size.sum(), np.int32)
+    for which, sizes, flat in parts:
+        values[_spread(sizes, start[which])] = flat
+    return size, start, values
+
+
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    """0 and the sums up to each size."""
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _part_of(which: np.ndarray, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return which, np.array([len(x) for x in lists], np.int64), np.array([i for x in lists for i in x], np.int32)
+
+
 def unit_counts(texts: DataFrame, model_path: str | None = None) -> DataFrame:
     """``unit, n``: how often the units of 2 to ``LONGEST`` characters come in ``texts`` (text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,8 +339,9 @@ def _ranked(scores: dict[str, float]) -> list[tuple[str, int, bool]]:
     return [(p, ranks[s], p in risky) for p, s in scores.items() if len(p) > 1]
 
 
-def unit_ids(units: DataFrame, model_path: str | None = None) -> DataFrame:
-    """``unit, n, ids`` of distinct units (unit, n) of 2 to ``LONGEST`` characters, by lattice and fold."""
+def unit_cuts(units: DataFrame, model_path: str | None = None) -> DataFrame:
+    """``unit, n, mask`` of distinct units (unit, n) of 2 to ``LONGEST`` characters, by lattice and fold: the starts of its
+    pieces as bits. Units without an edge are left out."""
     spark = units.sparkSession
     table = table_of(model_path)
     longest = max(len(p) for p, _, _ in table)
@@ -327,21 +351,28 @@ def unit_ids(units: DataFrame, model_path: str | None = None) -> DataFrame:
     pieces = spark.createDataFrame(pa.table(dict(zip(["piece", "rank", "risky"], map(list, zip(*rows)), strict=True))))
     # Dealt by unit once: neither the explosion nor the join with the pieces moves a unit again.
     dealt = units.repartition("unit")
-    ways = _edges(dealt, ["n"], pieces, longest, merge_edge()).select(
+    return _edges(dealt, ["n"], pieces, longest, merge_edge()).select(
         "unit", "n", merged(F.col("edges"), F.char_length("unit")).alias("mask"))
 
+
+def cut_ids(cuts: DataFrame, model_path: str | None = None) -> DataFrame:
+    """``unit, n, ids`` of units that are cut (unit, n, mask)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(model_path)
         for batch in batches:
             found = ids.split(batch.column("unit"), np.asarray(batch.column("mask")))
             yield pa.record_batch([batch.column("unit"), batch.column("n"), found], ["unit", "n", "ids"])
 
-    return ways.mapInArrow(tidy(run), "unit string, n long, ids array<int>")
+    return cuts.select("unit", "n", "mask").mapInArrow(tidy(run), "unit string, n long, ids array<int>")
+
+
+def unit_ids(units: DataFrame, model_path: str | None = None) -> DataFrame:
+    """``unit, n, ids`` of distinct units (unit, n) of 2 to ``LONGEST`` characters, by lattice and fold."""
+    return cut_ids(unit_cuts(units, model_path), model_path)
 
 
 class Packing:
-    """Ids in few bytes, for the way to another task: frequent ids as small numbers, and of all numbers the first bytes, then
-    the second ones and so on."""
+    """Ids in few bytes, for the way to another task: frequent ids as small numbers."""
 
     def __init__(self, counts: np.ndarray):
         self.by_rank = np.argsort(-counts, kind="stable").astype(np.int32)
@@ -350,13 +381,10 @@ class Packing:
         self.rank[self.by_rank] = np.arange(len(counts))
 
     def pack(self, ids: np.ndarray) -> bytes:
-        ranks = self.rank[ids]
-        return zstandard.ZstdCompressor(level=6).compress(
-            ranks.view(np.uint8).reshape(len(ids), ranks.itemsize).T.tobytes())
+        return zstandard.ZstdCompressor(level=6).compress(self.rank[ids].tobytes())
 
     def unpack(self, raw: bytes) -> np.ndarray:
-        flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-        return self.by_rank[flat.reshape(self.rank.itemsize, -1).T.copy().view(self.kind)[:, 0]]
+        return self.by_rank[np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), self.kind)]
 
 
 def pack_units(places: np.ndarray, units: pa.StringArray, ends: np.ndarray) -> list[bytes | None]:
@@ -381,6 +409,13 @@ def unpack_units(raw: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     return numbers[:n], numbers[n:], raw[4 + 8 * n:]
 
 
+def _left_over(raw: bytes) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Places of units, and the units: each distinct one has a number, in the order of their first places."""
+    places, lengths, data = unpack_units(raw)
+    units = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(_ends(lengths).astype(np.int32)), pa.py_buffer(data))
+    return places, units.dictionary_encode()
+
+
 def _table_bytes(units: pa.Table) -> bytes:
     """Units and their ids in one piece."""
     sink = pa.BufferOutputStream()
@@ -405,32 +440,13 @@ def _index_in(values: pa.Array, names: pa.Array) -> tuple[np.ndarray, np.ndarray
     return met, place
 
 
-def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -> DataFrame:
-    """``doc_id, ids`` of every row of ``docs`` (doc_id, text and any other columns), for a vocabulary of the BPE kind.
+def half_encoded(texts: DataFrame, sent: Broadcast, model_path: str | None = None) -> DataFrame:
+    """Groups of up to ``GROUP`` neighbouring texts (doc_id, text), encoded but for the units that ``sent`` does not hold.
 
-    Null and empty texts have no ids. Texts of any length are encoded whole. Repeated rows give repeated results, rows
-    without doc_id are encoded like any other, an empty table gives an empty result. Extra columns are not read. With
-    ``back`` the ids are decoded in the same tasks, as by ``decode`` (column ``text``): that takes fewer Python workers.
+    ``row`` is the group's number, ``doc_ids``, ``sizes`` (how many ids) and ``lefts`` (how many units without) have an
+    item per text, ``packed`` are the ids one text behind the other, ``left`` the units left over and their places among
+    these ids (none: null). ``sent`` has the table of units and ids as bytes, and a ``Packing``.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = stored(unit_ids(unit_counts(texts, model_path), model_path), "units", compression="zstd")
-    often = F.floor(F.log2("n") * 16)
-    # At most 1,024 rows: how many units come about so often.
-    sizes = known.groupBy(often.alias("often")).count().orderBy(F.desc("often")).collect()
-    least, room = 1024, FREQUENT
-    for size in sizes:
-        room -= size["count"]
-        if room < 0:
-            break
-        least = size["often"]
-    frequent = known.where(often >= least).select("unit", "n", "ids").toArrow()
-    lists = frequent["ids"].combine_chunks()
-    packing = Packing(np.bincount(np.asarray(pc.list_flatten(lists)), np.repeat(
-        np.asarray(frequent["n"]), np.asarray(pc.list_value_length(lists))), len(_ids(model_path).texts)))
-    sent = spark.sparkContext.broadcast((_table_bytes(frequent.select(["unit", "ids"])), packing))
-    del frequent, lists
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, (raw, packing) = _ids(model_path), sent.value
         table = _table_of(raw)
@@ -442,77 +458,112 @@ def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -
             distinct, code = units.dictionary, np.asarray(units.indices)
             met, place = _index_in(distinct, names)
             # Single characters and long units are not among the ways; units without an edge are not, either: the join
-            # has no ids of them, and they are spelled out behind it.
+            # has no cuts of them, and they are spelled out behind it.
             length = np.asarray(pc.utf8_length(distinct))
             here = np.flatnonzero(~met & ((length == 1) | (length > LONGEST)))
             spelled = [ids.of([u]) if len(u) == 1 else ids.long(u) for u in distinct.take(pa.array(here)).to_pylist()]
-            size = np.where(met, first[np.minimum(place + 1, len(first) - 1)] - first[place], 0).astype(np.int64)
-            size[here] = [len(x) for x in spelled]
-            start = np.cumsum(size) - size
-            values = np.empty(size.sum(), np.int32)
-            values[_spread(size[met], start[met])] = flat[_spread(size[met], first[place[met]])]
-            values[_spread(size[here], start[here])] = [i for x in spelled for i in x]
+            there = np.flatnonzero(met)
+            sizes = (first[place[there] + 1] - first[place[there]]).astype(np.int64)
+            size, start, values = _laid_out(
+                len(distinct), (there, sizes, flat[_spread(sizes, first[place[there]])]), _part_of(here, spelled))
             open_ = ~met
             open_[here] = False
-            behind = np.concatenate([[0], np.cumsum(size[code])])
-            bounds = behind[begins]
-            packed = []
-            for a in range(0, batch.num_rows, TOGETHER):
-                b = min(a + TOGETHER, batch.num_rows)
-                some = code[begins[a]:begins[b]]
-                out = values[_spread(size[some], start[some])]
-                packed += [packing.pack(out[x:y]) for x, y in zip(bounds[a:b] - bounds[a], bounds[a + 1:b + 1] - bounds[a])]
+            behind = _ends(size[code])
             rest = np.flatnonzero(open_[code])
-            text = np.searchsorted(begins, rest, "right") - 1
-            left = pack_units(behind[rest] - bounds[text], distinct.take(pa.array(code[rest])).cast(pa.string()),
-                              np.searchsorted(rest, begins))
-            yield pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array(packed, pa.binary()),
-                                   pa.array(left, pa.binary())], ["row", "doc_id", "packed", "left"])
+            heads = np.append(np.arange(0, batch.num_rows, GROUP), batch.num_rows)
+            packed = []
+            for a, b in zip(begins[heads], begins[heads[1:]]):
+                some = code[a:b]
+                packed.append(packing.pack(values[_spread(size[some], start[some])]))
+            group = np.searchsorted(begins[heads], rest, "right") - 1
+            left = pack_units(behind[rest] - behind[begins[heads]][group],
+                              distinct.take(pa.array(code[rest])).cast(pa.string()), np.searchsorted(rest, begins[heads]))
+            items = pa.array(heads.astype(np.int32))
+            yield pa.record_batch([
+                batch.column("row").take(pa.array(heads[:-1])),
+                pa.ListArray.from_arrays(items, batch.column("doc_id")),
+                pa.ListArray.from_arrays(items, pa.array(np.diff(behind[begins]).astype(np.int32))),
+                pa.ListArray.from_arrays(items, pa.array(np.diff(np.searchsorted(rest, begins)).astype(np.int32))),
+                pa.array(packed, pa.binary()), pa.array(left, pa.binary())],
+                ["row", "doc_ids", "sizes", "lefts", "packed", "left"])
+
+    return texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+        tidy(run), "row long, doc_ids array<long>, sizes array<int>, lefts array<int>, packed binary, left binary")
 
-    numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    # Moved once: both uses below take all columns, so that they share the exchange.
-    half = numbered.mapInArrow(
-        tidy(run), "row long, doc_id long, packed binary, left binary").repartition("row")
 
+def left_over(half: DataFrame) -> DataFrame:
+    """``row, number, unit``: the distinct units that are left over in each group of ``half``."""
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(batch.column("left").is_valid())
-            left = [unpack_units(x)[1:] for x in batch.column("left").to_pylist()]
-            sizes = np.array([len(lengths) for lengths, _ in left], np.int64)
-            ends = np.cumsum(np.concatenate([[0], *(lengths for lengths, _ in left)])).astype(np.int32)
-            # A unit's number in its text keeps the order of those at one place.
+            units = [_left_over(x)[1].dictionary for x in batch.column("left").to_pylist()]
+            sizes = np.array([len(u) for u in units], np.int64)
             yield pa.record_batch([
                 pa.array(np.repeat(np.asarray(batch.column("row")), sizes)),
                 pa.array(_spread(sizes, np.zeros(len(sizes), np.int64)).astype(np.int32)),
-                pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(b"".join(x for _, x in left)))],
-                ["row", "number", "unit"])
-
-    rest = half.mapInArrow(unfold, "row long, number int, unit string")
-    small = "smallint" if len(_ids(model_path).texts) <= 1 << 15 else "int"
-    rare = known.where(often < least).select("unit", F.col("ids").cast(f"array<{small}>").alias("ids"))
-    # Only numbers and ids go back to the texts, which still hold places and units.
-    found = rest.join(rare, "unit").groupBy("row").agg(F.collect_list(F.struct("number", "ids")).alias("found"))
+                pa.concat_arrays([pa.array([], pa.string()), *units])], ["row", "number", "unit"])
+
+    return half.mapInArrow(unfold, "row long, number int, unit string")
+
+
+def encode(docs: DataFrame, model_path: str | None = None, back: bool = False) -> DataFrame:
+    """``doc_id, ids`` of every row of ``docs`` (doc_id, text and any other columns), for a vocabulary of the BPE kind.
+
+    Null and empty texts have no ids. Texts of any length are encoded whole. Repeated rows give repeated results, rows
+    without doc_id are encoded like any other, an empty table gives an empty result. Extra columns are not read. With
+    ``back`` the ids are decoded in the same tasks, as by ``decode`` (column ``text``): that takes fewer Python workers.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    known = stored(unit_cuts(unit_counts(texts, model_path), model_path), "units", compression="zstd")
+    often = F.floor(F.log2("n") * 16)
+    # At most 1,024 rows: how many units come about so often.
+    sizes = known.groupBy(often.alias("often")).count().orderBy(F.desc("often")).collect()
+    least, room = 1024, FREQUENT
+    for size in sizes:
+        room -= size["count"]
+        if room < 0:
+            break
+        least = size["often"]
+    frequent = cut_ids(known.where(often >= least), model_path).toArrow()
+    lists = frequent["ids"].combine_chunks()
+    packing = Packing(np.bincount(np.asarray(pc.list_flatten(lists)), np.repeat(
+        np.asarray(frequent["n"]), np.asarray(pc.list_value_length(lists))), len(_ids(model_path).texts)))
+    sent = spark.sparkContext.broadcast((_table_bytes(frequent.select(["unit", "ids"])), packing))
+    del frequent, lists
+    # Moved once: both uses below take all columns, so that they share the exchange.
+    half = half_encoded(texts, sent, model_path).repartition("row")
+    rare = known.where(often < least).select("unit", "mask")
+    # Only numbers and cuts go back to the texts, which still hold places and units.
+    found = left_over(half).join(rare, "unit").groupBy("row").agg(F.collect_list(F.struct("number", "mask")).alias("found"))
     whole = half.join(found, "row", "left")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(model_path)
         packing = sent.value[1]
+        none = np.empty(0, np.int64), pa.array([], pa.string()).dictionary_encode()
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
-                out = [packing.unpack(x.as_py()) for x in part["packed"]]
-                left, found = part["left"], part["found"]
-                for i in np.flatnonzero(np.asarray(left.is_valid())):
-                    places, lengths, raw = unpack_units(left[int(i)].as_py())
-                    ends = np.cumsum(lengths)
-                    met = {u["number"]: u["ids"] for u in found[int(i)].as_py() or ()}
-                    new = [met[k] if k in met else ids.of(list(raw[end - size:end].decode()))
-                           for k, (size, end) in enumerate(zip(lengths.tolist(), ends.tolist()))]
-                    out[i] = np.insert(out[i], np.repeat(places, [len(x) for x in new]), [x for u in new for x in u])
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-                values = pa.array(np.concatenate(out))
-                yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                                      ["doc_id", "ids"])
+            left = [none if x is None else _left_over(x) for x in batch.column("left").to_pylist()]
+            firsts = _ends(np.array([len(u.dictionary) for _, u in left], np.int64))
+            units = pa.concat_arrays([pa.array([], pa.string()), *(u.dictionary for _, u in left)])
+            mask = np.zeros(len(units), np.int64)
+            found = batch.column("found")
+            numbers, masks = pc.list_flatten(found).flatten()
+            met = np.repeat(firsts[:-1], np.asarray(pc.fill_null(pc.list_value_length(found), 0)))
+            mask[met + np.asarray(numbers)] = np.asarray(masks)
+            cut, lost = np.flatnonzero(mask), np.flatnonzero(mask == 0)
+            lists = ids.split(units.take(pa.array(cut)), mask[cut])
+            size, start, values = _laid_out(
+                len(units), (cut, np.asarray(pc.list_value_length(lists)), np.asarray(lists.values)),
+                _part_of(lost, [ids.of(list(u)) for u in units.take(pa.array(lost)).to_pylist()]))
+            for i, (places, codes) in enumerate(left):
+                out = packing.unpack(batch.column("packed")[i].as_py())
+                code = np.asarray(codes.indices) + firsts[i]
+                out = np.insert(out, np.repeat(places, size[code]), values[_spread(size[code], start[code])])
+                # Units at the end of a text and at the start of the next have one place: their numbers tell them apart.
+                offsets = _ends(batch.column("sizes")[i].values) + _ends(size[code])[_ends(batch.column("lefts")[i].values)]
+                yield pa.record_batch([batch.column("doc_ids")[i].values, pa.ListArray.from_arrays(
+                    pa.array(offsets.astype(np.int32)), pa.array(out))], ["doc_id", "ids"])
 
     if back:
         return whole.mapInArrow(tidy(lambda batches: _decoded(fill(batches), model_path)),

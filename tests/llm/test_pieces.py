@@ -108,3 +108,33 @@ def test_left_over_units_travel_in_few_bytes_and_come_back():
             assert [data[e - n:e].decode() for n, e in zip(lengths, stops)] == units[a:b]
     assert sum(len(x) for x in packed if x) < sum(len(u.encode()) for u in units) + 8 * len(units)
     assert pieces.pack_units(np.array([], np.int64), pa.array([], pa.string()), np.array([0, 0])) == [None]
+
+
+def test_texts_travel_in_groups_that_ask_once_for_a_unit(spark):
+    """However often a unit is left over in neighbouring texts, their group sends one row to the join."""
+    words = ["inspector", "lantern", "gather", "quartz"]
+    docs = spark.createDataFrame([(i, " ".join(words[:i % 5] * 3)) for i in range(100)], "doc_id long, text string").coalesce(1)
+    none = pa.table({"unit": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
+    sent = spark.sparkContext.broadcast((pieces._table_bytes(none), pieces.Packing(np.zeros(32_000))))
+    half = pieces.half_encoded(docs, sent)
+    rows = half.collect()
+    assert [len(r.doc_ids) for r in rows] == [pieces.GROUP, 100 - pieces.GROUP]
+    assert [d for r in rows for d in r.doc_ids] == list(range(100))
+    assert [n for r in rows for n in r.lefts] == [3 * (i % 5) for i in range(100)]
+    asked = pieces.left_over(half).collect()
+    assert len(asked) == len(rows) * len(words)
+    assert len({(r.row, r.unit) for r in asked}) == len(asked)
+
+
+@pytest.mark.parametrize("frequent", [0, 2])
+def test_units_at_the_ends_of_neighbouring_texts(spark, monkeypatch, frequent):
+    """Texts of a group have their own units back, also where no id stands between the units of two texts."""
+    monkeypatch.setattr(pieces, "FREQUENT", frequent)
+    rng = random.Random(8)
+    words = ["inspector", "lantern", "gather", "quartz", "", "é😀", "xq", "a" * 70]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 4))) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    model = load()
+    rows = encode(docs, back=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: model.encode(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in rows} == dict(enumerate(texts))
