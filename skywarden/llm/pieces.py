@@ -36,7 +36,7 @@ LONGEST = 60
 # Units whose ids are sent to every task: at most 60 characters and as many ids each.
 FREQUENT = 800_000
 # Bytes of texts that are cut together, and distinct units that a task counts before it hands them on.
-SLICE_BYTES, COUNTED = 1 << 22, 500_000
+SLICE_BYTES, COUNTED = 3 << 20, 500_000
 # Texts that are cut together, that travel together, and that are decoded together.
 TOGETHER, GROUP, ROWS = 32, 64, 128
 # Frequent units that are looked up together.
@@ -165,23 +165,22 @@ class Ids:
         self.names = pa.array(list(self.ids), pa.large_string())
         self.numbers = np.array(list(self.ids.values()), np.int32)
 
-    def units(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    def units(self, texts: pa.Array) -> tuple[pa.ChunkedArray, np.ndarray]:
         """Units of some texts, in order, and the number of each text's first one (and of the one past the last)."""
-        marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts.to_pylist()]
         # A few texts at a time, so that the arrays stay small.
         parts, counts = [], []
-        for a in range(0, len(marked), TOGETHER):
-            line = "".join(marked[a:a + TOGETHER])
+        for a in range(0, len(texts), TOGETHER):
+            marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts.slice(a, TOGETHER).to_pylist()]
+            line = "".join(marked)
             letter = self.letter[np.frombuffer(line.encode("utf-32-le"), np.uint32)]
-            starts = np.concatenate([[0], np.cumsum([len(t) for t in marked[a:a + TOGETHER]])])
+            starts = np.concatenate([[0], np.cumsum([len(t) for t in marked])])
             cut = np.ones(len(letter) + 1, bool)
             cut[1:-1] = ~self.beside[letter[:-1], letter[1:]]
             cut[starts] = True
             at = np.flatnonzero(cut) if len(letter) else np.zeros(1, np.int64)
             parts.append(self._strings(line, at))
             counts.append(np.diff(np.searchsorted(at, starts)))
-        units = pa.concat_arrays(parts) if parts else pa.array([], pa.large_string())
-        return units, np.concatenate([[0], np.cumsum(np.concatenate([[0], *counts])[1:])]).astype(np.int64)
+        return pa.chunked_array(parts, pa.large_string()), np.concatenate([[0], np.cumsum(np.concatenate([[0], *counts])[1:])]).astype(np.int64)
 
     def of(self, symbols: list[str]) -> list[int]:
         out: list[int] = []
@@ -288,7 +287,9 @@ def _laid_out(n: int, *parts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tupl
 
 def _ends(sizes: np.ndarray) -> np.ndarray:
     """0 and the sums up to each size."""
-    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    ends = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    return ends
 
 
 def _part_of(which: np.ndarray, lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -454,7 +455,7 @@ def half_encoded(texts: DataFrame, sent: Broadcast, model_path: str | None = Non
         first, flat = np.asarray(lists.offsets), np.asarray(lists.values)
         for batch in _slices(batches):
             units, begins = ids.units(batch.column("text"))
-            units = units.cast(names.type).dictionary_encode()
+            units = units.cast(names.type).dictionary_encode().combine_chunks()
             distinct, code = units.dictionary, np.asarray(units.indices)
             met, place = _index_in(distinct, names)
             # Single characters and long units are not among the ways; units without an edge are not, either: the join
